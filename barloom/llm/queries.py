@@ -7,11 +7,54 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import toxicity
 from .common import table
 from .exact_dedup import exact_dedup
+from .mixing import mix
+from .sentencepiece_bpe import encode_decode
 from .simhash import simhash_components
 
 
+def default_model() -> str:
+    """Where the public tokenizer's model lies; another path may be given to the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def _sha(text):
+    return F.sha2(text.cast("binary"), 256)
+
+
+def encoded(docs):
+    """The columns of op3 for a table of documents."""
+    return encode_decode(docs, default_model()).select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        _sha(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        _sha(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
+def op3_sentencepiece(spark, sf_dir):
+    return encoded(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    held = F.coalesce(toxicity.held_out(F.col("id")), F.lit(False))
+    return found.select(F.col("id").alias("doc_id"), held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_mixing(spark, sf_dir):
+    rows, plan = mix(table(spark, sf_dir, "documents"), F.array("source"))
+    plan = plan.select(F.col("source").alias("s"), F.col("size").alias("source_size"), "target")
+    return rows.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
+        "doc_id", F.col("mix_size").alias("size"), "source_size", "target", (F.col("mix_size") * F.col("mix_copies")).alias("taken")
+    )
+
+
 def op7_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -21,6 +64,9 @@ def op10_simhash(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_sentencepiece": op3_sentencepiece,
+    "op5_toxicity": op5_toxicity,
+    "op6_mixing": op6_mixing,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_simhash": op10_simhash,
 }
