@@ -13,6 +13,7 @@ from .exact_dedup import exact_dedup
 from .mixing import mix
 from .sentencepiece_bpe import encode_decode
 from .simhash import simhash_components
+from .suffix_dedup import remove_repeats
 
 
 def default_model() -> str:
@@ -40,6 +41,16 @@ def op3_sentencepiece(spark, sf_dir):
     return encoded(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -65,6 +76,7 @@ def op10_simhash(spark, sf_dir):
 
 QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
     "op7_exact_dedup": op7_exact_dedup,
