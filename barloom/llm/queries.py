@@ -14,6 +14,7 @@ from .mixing import mix
 from .sentencepiece_bpe import encode_decode
 from .simhash import simhash_components
 from .suffix_dedup import remove_repeats
+from .wrapper import extract_articles
 
 
 def default_model() -> str:
@@ -41,6 +42,11 @@ def op3_sentencepiece(spark, sf_dir):
     return encoded(table(spark, sf_dir, "documents"))
 
 
+def op2_wrapper(spark, sf_dir):
+    found = extract_articles(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_suffix_dedup(spark, sf_dir):
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"),
@@ -75,6 +81,7 @@ def op10_simhash(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_wrapper": op2_wrapper,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxicity": op5_toxicity,
