@@ -8,8 +8,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import toxicity
-from .common import table
+from .chat import conversations, format_preferences, opening_pairs, worse_endings
+from .common import materialize, table
 from .exact_dedup import exact_dedup
+from .hamming import hamming_top_k, sign_codes
+from .line_dedup import dedup_lines
 from .mixing import mix
 from .sentencepiece_bpe import encode_decode
 from .simhash import simhash_components
@@ -42,6 +45,12 @@ def op3_sentencepiece(spark, sf_dir):
     return encoded(table(spark, sf_dir, "documents"))
 
 
+def op1_line_dedup(spark, sf_dir):
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_lines", F.size("removed").cast("long").alias("n_removed"), _sha(F.col("kept")).alias("kept_sha256")
+    )
+
+
 def op2_wrapper(spark, sf_dir):
     found = extract_articles(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -76,21 +85,100 @@ def op7_exact_dedup(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op8_preferences(spark, sf_dir):
+    convs = conversations(table(spark, sf_dir, "conversations")).withColumn("conv", F.col("conv") * 2)
+    stale = worse_endings(convs).withColumn("conv", F.col("conv") + 1)
+    both = materialize(convs.unionByName(stale))
+    pairs = opening_pairs(both.where("conv % 2 = 0")).unionByName(
+        both.where("conv % 2 != 0").select((F.col("conv") - 1).alias("chosen"), F.col("conv").alias("rejected"))
+    )
+    return format_preferences(both, pairs).select(
+        F.expr("chosen div 2").alias("chosen"),
+        F.expr("(rejected - pmod(rejected, 2)) div 2").alias("rejected"),
+        (F.expr("pmod(rejected, 2)") == 1).alias("stale"),
+        "n_prompt",
+        "prompt",
+        F.col("chosen_completion.text").alias("chosen_text"),
+        F.to_json("chosen_completion.mask").alias("chosen_mask"),
+        F.col("rejected_completion.text").alias("rejected_text"),
+        F.to_json("rejected_completion.mask").alias("rejected_mask"),
+    )
+
+
+def op9_hamming(spark, sf_dir):
+    codes = materialize(sign_codes(table(spark, sf_dir, "embeddings")))
+    return hamming_top_k(codes, codes.where("id % 20 = 0"), 10).select(
+        "query_id", "rank", F.col("id").alias("vec_id"), "distance"
+    )
+
+
 def op10_simhash(spark, sf_dir):
     return simhash_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_wrapper": op2_wrapper,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_preferences": op8_preferences,
+    "op9_hamming": op9_hamming,
     "op10_simhash": op10_simhash,
 }
 
 ORACLE_SQL = {
+    "op8_preferences": """
+        WITH t AS (
+            SELECT DISTINCT conv_id * 2 AS conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text
+            FROM conversations WHERE conv_id IS NOT NULL),
+        m AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM t),
+        a AS (SELECT conv_id, max(k) AS last, arg_min(text, k) AS stale, arg_max(text, k) AS fresh FROM m WHERE role = 'assistant' GROUP BY conv_id),
+        n AS (
+            SELECT conv_id, k, role, text FROM m
+            UNION ALL
+            SELECT m.conv_id + 1, k, role, CASE WHEN k = last THEN stale ELSE text END FROM m JOIN a ON m.conv_id = a.conv_id AND stale <> fresh),
+        p AS (
+            SELECT a.conv_id AS rejected, min(b.conv_id) AS chosen
+            FROM n a JOIN n b ON a.k = 1 AND b.k = 1 AND a.role = b.role AND a.text = b.text AND a.conv_id % 2 = 0 AND b.conv_id % 2 = 0
+            GROUP BY a.conv_id
+            UNION ALL
+            SELECT DISTINCT conv_id, conv_id - 1 FROM n WHERE conv_id % 2 <> 0),
+        e AS (
+            SELECT chosen, rejected, coalesce(min(k) FILTER (WHERE NOT same), max(k) + 1) - 1 AS n_prompt
+            FROM (SELECT p.chosen, p.rejected, r.k, c.role IS NOT DISTINCT FROM r.role AND c.text IS NOT DISTINCT FROM r.text AS same
+                  FROM p JOIN n r ON r.conv_id = p.rejected LEFT JOIN n c ON c.conv_id = p.chosen AND c.k = r.k
+                  WHERE p.chosen <> p.rejected)
+            GROUP BY ALL),
+        s AS (
+            SELECT *, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS x FROM n),
+        w AS (
+            SELECT e.*, s.conv_id, s.k, s.role, s.x,
+                   coalesce(sum(length(x)) OVER (PARTITION BY e.chosen, e.rejected, s.conv_id ORDER BY s.k
+                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+            FROM e JOIN s ON s.conv_id IN (e.chosen, e.rejected) AND s.k > e.n_prompt),
+        d AS (
+            SELECT chosen, rejected, conv_id, string_agg(x, '' ORDER BY k) AS txt,
+                   '[' || coalesce(string_agg('{"start":' || (before + length(role) + 13) || ',"end":' || (before + length(x) - 1) || '}', ',' ORDER BY k)
+                                   FILTER (WHERE role = 'assistant'), '') || ']' AS mask
+            FROM w GROUP BY ALL)
+        SELECT e.chosen // 2 AS chosen, e.rejected // 2 AS rejected, e.rejected % 2 = 1 AS stale, e.n_prompt::INTEGER AS n_prompt,
+               coalesce((SELECT string_agg(x, '' ORDER BY k) FROM s WHERE s.conv_id = e.chosen AND s.k <= e.n_prompt), '') AS prompt,
+               coalesce(a.txt, '') AS chosen_text, coalesce(a.mask, '[]') AS chosen_mask,
+               coalesce(b.txt, '') AS rejected_text, coalesce(b.mask, '[]') AS rejected_mask
+        FROM e LEFT JOIN d a ON a.chosen = e.chosen AND a.rejected = e.rejected AND a.conv_id = e.chosen
+               LEFT JOIN d b ON b.chosen = e.chosen AND b.rejected = e.rejected AND b.conv_id = e.rejected""",
+    "op9_hamming": """
+        WITH c AS (
+            SELECT DISTINCT vec_id AS id, list_transform(embedding, lambda x: CASE WHEN x > 0 AND NOT isnan(x) THEN 1 ELSE 0 END) AS bits
+            FROM embeddings WHERE vec_id IS NOT NULL),
+        d AS (
+            SELECT q.id AS query_id, c.id AS vec_id, list_sum(list_transform(list_zip(q.bits, c.bits), lambda x: CASE WHEN x[1] <> x[2] THEN 1 ELSE 0 END)) AS distance
+            FROM c q, c WHERE q.id % 20 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM d)
+        SELECT query_id, rank::INTEGER AS rank, vec_id, distance::INTEGER AS distance FROM r WHERE rank <= 10""",
     "op7_exact_dedup": """
         WITH t AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
