@@ -49,6 +49,17 @@ def drop_table(df: DataFrame) -> None:
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that go to Python by rows and bytes, where the session leaves the default.
+
+    The default of 10,000 rows may hold gigabytes where texts are long.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Aligned places of two sequences by patience diff.
@@ -98,6 +100,7 @@ def dedup_lines(
     each other; repeated rows have the same result; an empty table gives no rows;
     other columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     rows = rows.select("id", "t", F.xxhash64("t").alias("tag"))
     line = F.transform(F.split("t", "\n", -1), lambda x: F.trim(x))

@@ -11,10 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 SPACE = "▁"
 INF = float("inf")
 #: Entries of the encoder's memory of segments; when full it is emptied.
-MEMORY = 400_000
+MEMORY = 300_000
 
 
 def load_model(path: str) -> dict:
@@ -209,6 +211,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     Defined cases: a null or empty text has no ids and decodes to the empty text; a
     null id is passed through; repeated rows repeat; other columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(load_model(model_path))
 
     def run(batches):

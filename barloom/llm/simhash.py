@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, materialize
+from .common import bounded_batches, drop_table, materialize
 from .graph import connected_components
 
 SEED = 42
@@ -51,6 +51,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fp = np.array([fingerprint(x.as_py(), width) for x in b.column(1)], np.uint64)
             yield pa.record_batch([b.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
 

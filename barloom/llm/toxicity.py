@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import functools
-import math
 import re
-from collections import Counter
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 #: A word of letters in a lower-cased text.
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Words of a window, words between the starts of overlapping windows.
@@ -19,26 +20,35 @@ WINDOW, STRIDE = 32, 16
 #: Inputs per word, width of each direction's state.
 WIDTH, STATE = 6, 8
 #: Labelled rows of each class that are learnt from at most; vocabulary sizes.
-SAMPLE, WORDS, GRAMS = 2500, 4000, 8000
+SAMPLE, WORDS, GRAMS = 1500, 4000, 8000
 
 
-def grams(word: str):
+def grams(word: str) -> list[str]:
     """Character inputs of a word: its runs of four to six letters, with marks at both ends."""
     w = f"^{word[:40]}$"
-    return {w[i : i + n] for n in (4, 5, 6) for i in range(len(w) - n + 1)}
+    return [w[i : i + n] for n in (4, 5, 6) for i in range(len(w) - n + 1)]
+
+
+def gram_numbers(word: str) -> np.ndarray:
+    return np.array([zlib.crc32(g.encode()) for g in grams(word)], np.uint32)
 
 
-def _weights(toxic: Counter, clean: Counter, n1: int, n0: int, most: int, least_z: float) -> dict[str, float]:
-    """Log odds of the inputs that mark the toxic rows most surely."""
-    found = []
-    base = n1 / (n1 + n0)
-    for x, a in toxic.items():
-        n = a + clean[x]
-        z = (a - n * base) / math.sqrt(n * base * (1 - base))
-        if z >= least_z:
-            odds = math.log((a + 0.5) / (n1 + 1)) - math.log((clean[x] + 0.5) / (n0 + 1))
-            found.append((z, x, odds))
-    return {x: odds for _, x, odds in sorted(found, key=lambda f: (-f[0], f[1]))[:most]}
+def _weights(toxic: list[np.ndarray], clean, n1: int, n0: int, most: int, least_z: float) -> list[tuple[int, float]]:
+    """Log odds of the inputs (numbers) that mark the toxic rows most surely, from each row's own inputs."""
+    marks, a = np.unique(np.concatenate(toxic), return_counts=True)
+    marks, a = marks[a >= 3], a[a >= 3]
+    if not len(marks):
+        return []
+    c = np.zeros(len(marks), np.int64)
+    for row in clean:
+        at = np.minimum(np.searchsorted(marks, row), len(marks) - 1)
+        c[at[marks[at] == row]] += 1
+    base, n = n1 / (n1 + n0), a + c
+    z = (a - n * base) / np.sqrt(n * base * (1 - base))
+    odds = np.log((a + 0.5) / (n1 + 1)) - np.log((c + 0.5) / (n0 + 1))
+    pick = np.lexsort((marks, -z))
+    pick = pick[z[pick] >= least_z][:most]
+    return list(zip(marks[pick].tolist(), odds[pick].tolist()))
 
 
 class BiGru:
@@ -118,7 +128,7 @@ class ToxicityModel:
     def start(self):
         self.memory: dict[str, int] = {}
         self.vectors = [np.zeros(WIDTH, np.float32)]  # number 0: a word that no input marks
-        self.scores: dict[bytes, float] = {}
+        self.table = np.zeros((1, WIDTH), np.float32)
 
     def __getstate__(self):
         return {"words": self.words, "chars": self.chars, "net": self.net}
@@ -130,17 +140,17 @@ class ToxicityModel:
     def vector(self, word: str) -> np.ndarray:
         """Inputs of a word: its own log odds, and the largest, sum and number of its character runs' log odds."""
         w = self.words.get(word, 0.0)
-        found = sorted((self.chars[g] for g in grams(word) if g in self.chars), reverse=True)
+        marks = self.chars
+        found = [g for g in grams(word) if g in marks]
         if not w and not found:
             return self.vectors[0]
+        found = sorted((marks[g] for g in set(found)), reverse=True)
         x = [w / 4, w > 0, (found[0] if found else 0) / 4, (found[1] if len(found) > 1 else 0) / 4, min(len(found), 8) / 4, len(word[:20]) / 20]
         return np.array(x, np.float32)
 
     def number(self, word: str) -> int:
         if len(self.memory) > 300_000:
-            self.memory.clear()
-            self.scores.clear()
-            del self.vectors[1:]
+            self.start()
         v = self.vector(word)
         n = 0
         if v is not self.vectors[0]:
@@ -173,8 +183,9 @@ class ToxicityModel:
         return np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[starts]
 
     def inputs(self, windows: np.ndarray):
-        table = np.stack(self.vectors)
-        x = table[np.maximum(windows, 0)].transpose(1, 0, 2)
+        if len(self.table) < len(self.vectors):
+            self.table = np.stack(self.vectors)
+        x = self.table[np.maximum(windows, 0)].transpose(1, 0, 2)
         return np.ascontiguousarray(x), (windows >= 0).T.astype(np.float32)
 
     def score_windows(self, windows: np.ndarray) -> np.ndarray:
@@ -230,19 +241,21 @@ def fit(texts: list[str | None], toxic: list[int], seed: int = 7, epochs: int =
         model.net.p["bias"][:] = 30 if n1 else -30
         model.net.p["out"][:] = 0
         return model
-    own = [set(LETTERS.findall((x or "").lower())) for x in texts]
-    toxic_rows, clean_rows = ([w for w, y in zip(own, toxic) if y == k] for k in (1, 0))
-    runs = functools.cache(grams)
-    for kind, of, most, least in (("words", lambda w: w, WORDS, 4.5), ("chars", lambda w: set().union(*map(runs, w)), GRAMS, 5.5)):
-        marks = Counter()
-        for w in toxic_rows:
-            marks.update(of(w))
-        marks = Counter({x: a for x, a in marks.items() if a >= 3})
-        clean = Counter()
-        for w in clean_rows:
-            clean.update(x for x in of(w) if x in marks)
-        setattr(model, kind, _weights(marks, clean, n1, n0, most, least))
-    del own, runs
+    number: dict[str, int] = {}
+    own = [np.unique(np.array([number.setdefault(w, len(number)) for w in LETTERS.findall((x or "").lower())], np.int64)) for x in texts]
+    toxic_rows = [w for w, y in zip(own, toxic) if y]
+    clean_rows = [w for w, y in zip(own, toxic) if not y]
+    names = list(number)
+    model.words = {names[k]: v for k, v in _weights(toxic_rows, clean_rows, n1, n0, WORDS, 4.5)}
+    runs: dict[int, np.ndarray] = {}
+
+    def chars(row):
+        return np.unique(np.concatenate([runs[k] if k in runs else runs.setdefault(k, gram_numbers(names[k])) for k in row.tolist()] or [np.empty(0, np.uint32)]))
+
+    marks = dict(_weights([chars(w) for w in toxic_rows], map(chars, clean_rows), n1, n0, GRAMS, 5.5))
+    seen = (names[k] for k in np.unique(np.concatenate(toxic_rows)).tolist())
+    model.chars = {g: marks[n] for w in seen for g in grams(w) if (n := zlib.crc32(g.encode())) in marks}
+    del own, toxic_rows, clean_rows, runs, names, number
     r = np.random.default_rng(seed)
     picked, labels = [], []
     for x, y in zip(texts, toxic):
@@ -300,11 +313,14 @@ def score_column(spark: SparkSession, model: ToxicityModel):
 
     Arrow batches; the model, whose size the vocabulary bounds fix, goes along with the tasks.
     """
+    bounded_batches(spark)
     sent = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def score_text(text: pd.Series) -> pd.Series:
-        return pd.Series(sent.value.score(text.tolist()))
+    def score_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for text in batches:
+            yield pd.Series(sent.value.score(text.tolist()), dtype="float64")
+        sent.value.start()  # the worker may wait for other work: give the memory back
 
     return score_text
 
