@@ -10,6 +10,7 @@ from barloom.operators import incremental as N
 from barloom.operators import indicators as M
 from barloom.operators import ingest as I
 from barloom.operators import quality as Q
+from barloom.operators import structure as X
 from barloom.operators import views as V
 
 from . import panel_sql as P
@@ -255,3 +256,19 @@ query("g6_within_days", panel("SELECT g.ts_code, g.label, g.trade_date, EXISTS (
 )
 query("g7_round_robin", sql("SELECT ts_code, sector, turn::INT AS turn FROM (SELECT ts_code, sector, row_number() OVER (PARTITION BY sector ORDER BY ts_code) AS turn FROM dim_stock) ORDER BY turn, sector LIMIT 12", "dim_stock"))(lambda m: G.round_robin(m.dim_stock, 12))
 query("x_divergence_screen", panel("SELECT ts_code, trade_date, divergence FROM volume WHERE divergence IS NOT NULL", P.VOLUME))(lambda m: M.volume(m.panel).where("divergence is not null").select("ts_code", "trade_date", "divergence"))
+
+
+# Structure divergence
+
+
+def _lines(m):
+    return M.macd(m.panel).join(m.panel.select("ts_code", "trade_date", F.col("close_qfq").alias("close")), ["ts_code", "trade_date"])
+
+
+query("x1_structure_events", panel("SELECT ts_code, trade_date, rn::INT AS rn, label, path, lag_bars::INT AS lag_bars, zone_ok FROM structure", P.STRUCTURE))(lambda m: X.divergence_events(_lines(m)).select("ts_code", "trade_date", "rn", "label", "path", "lag_bars", "zone_ok"))
+query("x4_tradable", panel("SELECT ts_code, trade_date, label, reject_reason, CASE WHEN reject_reason IS NULL THEN label END AS tradable FROM structure", P.STRUCTURE))(lambda m: X.tradable(X.divergence_events(_lines(m))).select("ts_code", "trade_date", "label", "reject_reason", "tradable"))
+query("x5_trace_frame", panel(f"SELECT ts_code, trade_date, round(macd_bar, 6) AS macd_bar FROM macd WHERE trade_date <= '{DATE}' QUALIFY row_number() OVER (PARTITION BY ts_code ORDER BY trade_date DESC) <= 250", P.MACD))(lambda m: X.trace_frame(M.macd(m.panel), DATE).select("ts_code", "trade_date", "macd_bar"))
+query("x6_verdicts", panel("SELECT v.ts_code, v.trade_date, v.label, CASE WHEN s.label IS NOT NULL THEN s.reject_reason WHEN macd_bar > 0 THEN 'skip_peak' ELSE 'zone_mismatch' END AS reject_reason FROM (SELECT ts_code, trade_date, 'top_divergence' AS label, macd_bar FROM macd WHERE right(trade_date, 1) = '3') v LEFT JOIN structure s USING (ts_code, trade_date, label)", P.STRUCTURE))(
+    lambda m: X.verdicts(M.macd(m.panel).where("substring(trade_date, 8, 1) = '3'").select("ts_code", "trade_date", F.lit("top_divergence").alias("label"), "macd_bar"), X.divergence_events(_lines(m))).select("ts_code", "trade_date", "label", "reject_reason")
+)
+query("x7_structure_counts", panel("SELECT label, count(*) AS n_events, count(*) FILTER (reject_reason IS NULL) AS n_tradable FROM structure GROUP BY ALL", P.STRUCTURE))(lambda m: X.structure_counts(X.divergence_events(_lines(m))))

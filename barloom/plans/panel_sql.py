@@ -176,3 +176,34 @@ DDE = {
         CASE WHEN was < 0 AND turn > 0 THEN 'upturn_reverse' WHEN was > 0 AND turn < 0 THEN 'downturn_reverse' END AS alert FROM f4""",
 }
 KPATTERN["kp"] = "SELECT * EXCLUDE (strength_raw, fired), CASE WHEN fired > 0 THEN strength_raw END AS strength FROM kpattern"
+
+_PART = "CASE WHEN {ref} IS NULL OR {ref} = 0 THEN 0 ELSE trunc({v} / pow(10.0::DOUBLE, trunc(log10(abs({ref}))) - 1))::BIGINT END"
+_RUN = "OVER (PARTITION BY ts_code, gc ORDER BY rn ROWS UNBOUNDED PRECEDING)"
+
+
+def _tops(k: str, sign: int) -> dict[str, str]:
+    """Structure tops of the signed series, as expressions with prefix ``k``."""
+    prior = lambda c: f"CASE WHEN gc IS NOT NULL THEN first({c}) {_RUN} END"
+    part = lambda v, ref: _PART.format(v=v, ref=ref)
+    return {
+        f"{k}0": f"SELECT ts_code, trade_date, round(close_qfq * {sign}, 10) AS c, round(dif * {sign}, 10) AS f, round(dea * {sign}, 10) AS s, round(macd_bar * {sign}, 10) AS b, {RN} AS rn FROM macd JOIN panel USING (ts_code, trade_date)",
+        f"{k}1": f"SELECT *, max(CASE WHEN {up('f', 's')} THEN rn END) OVER ({BY} ROWS UNBOUNDED PRECEDING) AS gc FROM (SELECT *, {lag('f')} AS f0, {lag('s')} AS s0 FROM {k}0)".replace(up("f", "s"), "f0 <= s0 AND f > s"),
+        f"{k}2": f"SELECT *, CASE WHEN gc IS NOT NULL THEN max(c) {_RUN} END AS h1, CASE WHEN gc IS NOT NULL THEN max(f) {_RUN} END AS f1, CASE WHEN gc IS NOT NULL THEN max(CASE WHEN b > 0 THEN b END) {_RUN} END AS b1, arg_max(rn, c) {_RUN} AS peak FROM {k}1",
+        f"{k}3": f"SELECT *, {prior('ph')} AS h2, {prior('pf')} AS f2, {prior('pb')} AS b2 FROM (SELECT *, {lag('h1')} AS ph, {lag('f1')} AS pf, {lag('b1')} AS pb FROM {k}2)",
+        f"{k}4": f"SELECT *, {prior('qh')} AS h3, {prior('qf')} AS f3, {prior('qb')} AS b3 FROM (SELECT *, {lag('h2')} AS qh, CASE WHEN {lag('h2')} IS NOT NULL THEN {lag('f2')} END AS qf, CASE WHEN {lag('h2')} IS NOT NULL THEN {lag('b2')} END AS qb FROM {k}3)",
+        f"{k}5": f"SELECT *, h1 IS NOT NULL AND f2 IS NOT NULL AS ok, CASE WHEN h1 IS NOT NULL AND f2 IS NOT NULL THEN {part('f', 'f2')} END AS m2, CASE WHEN h1 IS NOT NULL AND f2 IS NOT NULL THEN {part('f', 'f3')} END AS m3, coalesce(b > 0 AND {lag('b')} > 0, false) AS red FROM {k}4",
+        f"{k}6": f"""SELECT *, {lag('m2')} AS l2, {lag('m3')} AS l3, coalesce(ok AND h1 > h2 AND m2 < {part('f2', 'f2')} AND red AND m2 >= {lag('m2')} AND b1 < b2, false) AS t1,
+            coalesce(ok AND h1 > h3 AND h3 > h2 AND m3 < {part('f3', 'f3')} AND red AND m3 >= {lag('m3')} AND b1 < b3, false) AS t2 FROM {k}5""",
+        f"{k}7": f"SELECT *, coalesce({lag('t1')}, false) AS w1, coalesce({lag('t2')}, false) AS w2 FROM {k}6",
+        f"{k}8": f"SELECT ts_code, trade_date, rn, '{'top' if sign > 0 else 'bottom'}_divergence' AS label, CASE WHEN w1 THEN 'direct' ELSE 'skip_peak' END AS path, rn - peak AS lag_bars, b > 0 AS zone_ok FROM {k}7 WHERE ok AND coalesce(CASE WHEN w1 THEN m2 < l2 WHEN w2 THEN m3 < l3 END, false) AND NOT ((w1 AND f1 >= f2) OR (w2 AND coalesce(f1 >= f3, false)))",
+    }
+
+
+STRUCTURE = MACD | _tops("st", 1) | _tops("sb", -1) | {
+    "sev": "SELECT * FROM st8 UNION ALL SELECT * FROM sb8",
+    "skept": """SELECT ts_code, label, min(rn) AS rn FROM sev GROUP BY ALL
+        UNION ALL
+        SELECT s.ts_code, s.label, (SELECT min(e.rn) FROM sev e WHERE e.ts_code = s.ts_code AND e.label = s.label AND e.rn > s.rn + 10) FROM skept s
+        WHERE EXISTS (SELECT 1 FROM sev e WHERE e.ts_code = s.ts_code AND e.label = s.label AND e.rn > s.rn + 10)""",
+    "structure": "SELECT sev.*, CASE WHEN path = 'skip_peak' THEN 'skip_peak' WHEN lag_bars > 1 THEN 'tg_lag' WHEN NOT zone_ok THEN 'zone_mismatch' END AS reject_reason FROM sev SEMI JOIN skept k ON k.ts_code = sev.ts_code AND k.label = sev.label AND k.rn = sev.rn",
+}
