@@ -194,6 +194,26 @@ def volume(panel: DataFrame, anchor: int = 60) -> DataFrame:
     return out.join(zone, ["ts_code", "trade_date"], "left").join(div, ["ts_code", "trade_date"], "left")
 
 
+def volume_regime(panel: DataFrame, anchor: int = 60, recent: int = 10) -> DataFrame:
+    """Regime of the five-row volume mean within the 20th to 80th percentile of ``anchor`` values, and a score from -1 to 1."""
+    d = enough_rows(panel, LEAST_ROWS["volume"]).select("ts_code", "trade_date", "vol", rn().alias("rn")).withColumn("m", r10(sma("vol", 5)))
+    d = d.select(
+        "*", r10(F.percentile("m", F.lit(0.8)).over(back(anchor))).alias("p80"), r10(F.percentile("m", F.lit(0.2)).over(back(anchor))).alias("p20"),
+        F.collect_list("m").over(back(recent)).alias("last"), F.collect_list("m").over(back(anchor)).alias("all"),
+        r10(weighted_slope("vol", 5) / (F.avg(F.abs("vol")).over(back(5)) + 1e-9)).alias("dir"),
+    ).where(F.col("rn") >= anchor + 4)
+    high = lambda n: F.size(F.filter(F.slice("last", -n, n), lambda x: x >= F.col("p80")))
+    low = lambda n: F.size(F.filter(F.slice("last", -n, n), lambda x: x <= F.col("p20")))
+    regime = (
+        F.when(r10(F.col("p80") / F.greatest(F.col("p20"), F.lit(1e-9))) < 1.4, "insufficient").when(high(3) == 3, "boom").when(low(3) == 3, "dry")
+        .when((high(recent) >= 3) & (high(5) >= 2), "boom").when((low(recent) >= 3) & (low(5) >= 2), "dry").otherwise("normal")
+    )
+    clip = lambda x: F.greatest(F.least(x, F.lit(1.0)), F.lit(-1.0))
+    below = F.size(F.filter("all", lambda x: x < F.col("m"))) / F.size("all") * 100
+    score = clip(clip((below - 50) / 40) * 0.4 + clip(F.col("dir") * 100) * 0.6)
+    return d.select("ts_code", "trade_date", regime.alias("regime"), score.alias("score"))
+
+
 def divergence(d: DataFrame, signal: str, window: int = 60, gap: int = 5) -> DataFrame:
     """Days on which price and signal part within a window; the same label at most once in ``gap`` rows after one that counts."""
     close, sig = F.col("close_qfq"), F.col(signal)

@@ -74,3 +74,21 @@ def label_audit(stored: DataFrame, fresh: DataFrame, columns: list[str]) -> Data
     rows = sums.select("n", F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_diff")) for c in columns])).alias("x"))
     rate = F.col("x.n_diff") / F.col("n")
     return rows.select("x.column_name", "n", "x.n_diff", F.when(rate > 0.01, "fail").when(rate > 0.001, "warn").otherwise("ok").alias("verdict"))
+
+
+def still_missing(codes: DataFrame, done: DataFrame, panel_rows: DataFrame, least: int) -> DataFrame:
+    """Instruments without a result and why: no rows at all, too few rows, or not computed."""
+    n = panel_rows.groupBy("ts_code").agg(F.count("*").alias("n_rows"))
+    rows = codes.select("ts_code").join(done.select("ts_code").distinct(), "ts_code", "left_anti").join(n, "ts_code", "left").fillna(0, ["n_rows"])
+    return rows.withColumn("reason", F.when(F.col("n_rows") == 0, "no_data").when(F.col("n_rows") < least, "insufficient_rows").otherwise("not_computed"))
+
+
+def cross_layer(tables: dict[str, DataFrame]) -> DataFrame:
+    """Instruments and rows of every layer, side by side."""
+    parts = [d.agg(F.countDistinct("ts_code").alias("n_codes"), F.count("*").alias("n_rows")).select(F.lit(n).alias("layer"), "n_codes", "n_rows") for n, d in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def outside_domain(rows: DataFrame, domains: dict[str, tuple[str, ...]]) -> DataFrame:
+    """Per column the rows whose value is not in its domain; nulls are allowed."""
+    return rule_counts({c: (rows, f"{c} is not null and {c} not in ({', '.join(repr(v) for v in vs)})") for c, vs in domains.items()})

@@ -272,3 +272,44 @@ query("x6_verdicts", panel("SELECT v.ts_code, v.trade_date, v.label, CASE WHEN s
     lambda m: X.verdicts(M.macd(m.panel).where("substring(trade_date, 8, 1) = '3'").select("ts_code", "trade_date", F.lit("top_divergence").alias("label"), "macd_bar"), X.divergence_events(_lines(m))).select("ts_code", "trade_date", "label", "reject_reason")
 )
 query("x7_structure_counts", panel("SELECT label, count(*) AS n_events, count(*) FILTER (reject_reason IS NULL) AS n_tradable FROM structure GROUP BY ALL", P.STRUCTURE))(lambda m: X.structure_counts(X.divergence_events(_lines(m))))
+
+
+# Compositions of the operators above
+query("ind_volume_regime", panel("SELECT ts_code, trade_date, regime, round(greatest(least(eco * 0.4::DOUBLE + tr * 0.6::DOUBLE, 1), -1), 6) AS score FROM r3", P.VOLUME,
+    r1="SELECT ts_code, trade_date, rn, mv AS m, dir, round(quantile_cont(mv, 0.8) OVER a, 10) AS p80, round(quantile_cont(mv, 0.2) OVER a, 10) AS p20, list(mv) OVER r AS last, list(mv) OVER f AS l5, list(mv) OVER t AS l3, list(mv) OVER a AS al FROM v2 WINDOW a AS (PARTITION BY ts_code ORDER BY trade_date ROWS 59 PRECEDING), r AS (PARTITION BY ts_code ORDER BY trade_date ROWS 9 PRECEDING), f AS (PARTITION BY ts_code ORDER BY trade_date ROWS 4 PRECEDING), t AS (PARTITION BY ts_code ORDER BY trade_date ROWS 2 PRECEDING)",
+    r2="SELECT *, len(list_filter(l3, lambda x: x >= p80)) AS h3, len(list_filter(l3, lambda x: x <= p20)) AS d3, len(list_filter(l5, lambda x: x >= p80)) AS h5, len(list_filter(l5, lambda x: x <= p20)) AS d5, len(list_filter(last, lambda x: x >= p80)) AS h10, len(list_filter(last, lambda x: x <= p20)) AS d10, len(list_filter(al, lambda x: x < m)) / len(al)::DOUBLE * 100 AS pct FROM r1 WHERE rn >= 64",
+    r3="SELECT *, greatest(least((pct - 50) / 40, 1), -1) AS eco, greatest(least(dir * 100, 1), -1) AS tr, CASE WHEN round(p80 / greatest(p20, 1e-9), 10) < 1.4 THEN 'insufficient' WHEN h3 = 3 THEN 'boom' WHEN d3 = 3 THEN 'dry' WHEN h10 >= 3 AND h5 >= 2 THEN 'boom' WHEN d10 >= 3 AND d5 >= 2 THEN 'dry' ELSE 'normal' END AS regime FROM r2"))(
+    lambda m: M.volume_regime(m.panel)
+)
+query("i24_null_ranges", sql("SELECT ts_code, min(trade_date) AS start, max(trade_date) AS \"end\", count(*) AS n_days FROM (SELECT f.ts_code, trade_date, day_idx - row_number() OVER (PARTITION BY f.ts_code ORDER BY day_idx) AS g FROM ods_moneyflow f JOIN ods_trade_cal ON cal_date = trade_date WHERE net_amount_dc IS NULL) GROUP BY ts_code, g", "ods_moneyflow"))(
+    lambda m: I.to_ranges(m.flow.where("net_amount_dc is null").join(F.broadcast(m.cal.select(F.col("cal_date").alias("trade_date"), "day_idx")), "trade_date").select("ts_code", "trade_date", "day_idx"))
+)
+query("t10_strategy_scan", panel("SELECT s.name, count(k.ts_code) AS n, count(k.ts_code) < 100 AS insufficient FROM (VALUES ('yang_bao_yin'), ('yang_ke_yin'), ('yin_ke_yang')) s(name) LEFT JOIN (SELECT sig.* FROM sig JOIN macd USING (ts_code, trade_date) WHERE macd.zone = 'bull') k ON k.pattern = s.name GROUP BY s.name", P.KPATTERN | P.MACD, sig=_SIG))(lambda m: _scan(m))
+
+
+def _scan(m):
+    names = ("yang_bao_yin", "yang_ke_yin", "yin_ke_yang")
+    bull = M.macd(m.panel).where("zone = 'bull'").select("ts_code", "trade_date")
+    found = T.pattern_signals(M.candlesticks(m.panel, m.dim_stock), names).join(bull, ["ts_code", "trade_date"], "left_semi").groupBy("pattern").agg(F.count("*").alias("n"))
+    every = m.spark.createDataFrame([(n,) for n in names], "name string")
+    return every.join(found, F.col("name") == F.col("pattern"), "left").select("name", F.coalesce("n", F.lit(0)).alias("n")).withColumn("insufficient", F.col("n") < 100)
+
+
+query("h4_latest_unique", panel("SELECT 'all_runs' AS rule, count(*) AS n_bad FROM (SELECT 1 FROM snap GROUP BY ts_code, trade_date HAVING count(*) > 1) UNION ALL SELECT 'latest', 0", P.POSITION, snap=_SNAP))(
+    lambda m: Q.rule_counts({"all_runs": (Q.duplicate_keys(snapshots(m), "ts_code", "trade_date"), "true"), "latest": (Q.duplicate_keys(V.latest(snapshots(m)), "ts_code", "trade_date"), "true")})
+)
+query("h5_domains", panel("SELECT 'alignment' AS rule, count(*) FILTER (alignment NOT IN ('tangle', 'sideways', 'bull_strong')) AS n_bad FROM ma UNION ALL SELECT 'turning_point', count(*) FILTER (turning_point NOT IN ('golden_cross', 'dead_cross', 'near_golden', 'near_dead')) FROM ma", P.MA))(
+    lambda m: Q.outside_domain(M.moving_averages(m.panel), {"alignment": ("tangle", "sideways", "bull_strong"), "turning_point": ("golden_cross", "dead_cross", "near_golden", "near_dead")})
+)
+query("h8_cross_layer", sql("SELECT 'raw' AS layer, count(DISTINCT ts_code) AS n_codes, count(*) AS n_rows FROM ods_daily UNION ALL SELECT 'bars', count(DISTINCT ts_code), count(*) FROM dwd_daily_quote UNION ALL SELECT 'weekly', count(DISTINCT ts_code), count(*) FROM dwd_weekly_quote", "dwd_weekly_quote"))(
+    lambda m: Q.cross_layer({"raw": m.daily, "bars": m.quotes, "weekly": m.weekly})
+)
+query("q5_still_missing", panel("SELECT s.ts_code, coalesce(n, 0) AS n_rows, CASE WHEN n IS NULL THEN 'no_data' WHEN n < 2000 THEN 'insufficient_rows' ELSE 'not_computed' END AS reason FROM dim_stock s LEFT JOIN (SELECT ts_code, count(*) AS n FROM panel GROUP BY ALL) p USING (ts_code) WHERE s.ts_code NOT IN (SELECT ts_code FROM panel WHERE trade_date = (SELECT max(trade_date) FROM panel WHERE trade_date < '19990615'))", {}))(
+    lambda m: (lambda d: Q.still_missing(m.dim_stock, m.panel.where(F.col("trade_date") == d), m.panel, 2000))(m.panel.where(F.col("trade_date") < DATE).agg(F.max("trade_date")).first()[0])
+)
+query("g1_extract", panel("SELECT ts_code, trade_date, macd.zone AS macd_zone, macd.trend AS macd_trend, ma.alignment, ma.turning_point AS ma_turn FROM macd LEFT JOIN ma USING (ts_code, trade_date) WHERE trade_date = (SELECT max(trade_date) FROM panel WHERE trade_date < '19990615')", P.MA | P.MACD))(
+    lambda m: (lambda d: M.macd(m.panel).where(F.col("trade_date") == d).select("ts_code", "trade_date", F.col("zone").alias("macd_zone"), F.col("trend").alias("macd_trend")).join(M.moving_averages(m.panel).select("ts_code", "trade_date", "alignment", F.col("turning_point").alias("ma_turn")), ["ts_code", "trade_date"], "left"))(m.panel.where(F.col("trade_date") < DATE).agg(F.max("trade_date")).first()[0])
+)
+query("n10_modes", panel(f"SELECT mode, count(*) AS n, sum(nb)::BIGINT AS new_bars FROM (SELECT ts_code, CASE WHEN ts_code IN ('B09.XX', 'B03.XX', 'B04.XX') THEN 'FULL' WHEN count(*) FILTER (trade_date > l) = 0 THEN 'SKIP' ELSE 'APPEND' END AS mode, count(*) FILTER (l IS NULL OR trade_date > l) AS nb FROM panel LEFT JOIN (SELECT ts_code, max(trade_date) AS l FROM panel WHERE trade_date < '{DATE}' AND ts_code <> 'B09.XX' GROUP BY ALL) USING (ts_code) GROUP BY ts_code) GROUP BY ALL", {}))(
+    lambda m: N.classify(m.panel, state(m), "close_qfq", "v2").groupBy("mode").agg(F.count("*").alias("n"), F.sum("new_bars").alias("new_bars"))
+)
