@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 import xxhash
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barloom.llm import chat, exact_dedup, hamming, line_dedup, mixing, queries, sentencepiece_bpe, simhash, suffix_dedup, toxicity, wrapper
@@ -56,7 +57,7 @@ def test_exact_dedup(docs, none, texts):
         keep = max((x for x in ids if x is not None), default=None)
         want.append((i, keep, len(ids), i == keep, hashlib.sha256(lower(t).encode()).hexdigest()))
     for options in ({}, {"hash_chunk": lambda c: F.length(c).cast("long")}):  # the second: many texts under one hash
-        got = exact_dedup.recipes(docs, **options).select("id", F.dense_rank().over(__import__("pyspark").sql.Window.orderBy("recipe")).alias("g"), "text_sha256").collect()
+        got = exact_dedup.recipes(docs, **options).select("id", F.dense_rank().over(Window.orderBy("recipe")).alias("g"), "text_sha256").collect()
         by = defaultdict(set)
         for r in got:
             by[r.g].add(r.text_sha256)
@@ -209,7 +210,7 @@ def test_line_dedup(spark, none):
 
 def test_patience_alignment():
     assert line_dedup.patience([1, 2, 3, 4, 5], [9, 2, 3, 8, 5]) == [(1, 1), (2, 2), (4, 4)]
-    assert line_dedup.patience([1, 1, 2], [1, 2, 1]) == [(0, 0)] or line_dedup.patience([1, 1, 2], [1, 2, 1])
+    assert line_dedup.patience([1, 1, 2], [1, 2, 1]) == [(0, 0), (2, 1)]
     r = random.Random(4)
     for _ in range(200):
         a, b = ([r.randint(0, 6) for _ in range(r.randint(0, 9))] for _ in range(2))
@@ -308,8 +309,9 @@ def test_wrapper_induction(spark):
         rows.append((k, f"http://a.example.com/{k}", page(body, k, k % 3 > 0)))
         want[k] = f"Title {k} & more\nFirst paragraph of {k} goes on\nSecond <{k * 7}>"
     rows += [(50, None, None), (51, "http://b.example.com", ""), (52, "not a url", "<p>Only text"), (53, "http://c.example.com/x", "<article><h1>A</h1><p>B &#233;</article><p>outside")]
+    rows += [(54, "http://d.example.com/", "<div class='layout has-sidebar'><div id=sidebar-2>no</div><article><div class='entry-header'><h1>T</h1></div><p>Body</p><div class='user_comments'>no</div></article></div>")]
     rows += [(60 + k, "http://copy.example.com/1", f"<nav>{k}</nav><article><h1>Same</h1><p>Words that all copies have.</p></article>") for k in range(8)]
-    want |= {50: "", 51: "", 52: "Only text", 53: "A\nB é"} | {60 + k: "Same\nWords that all copies have." for k in range(8)}
+    want |= {50: "", 51: "", 52: "Only text", 53: "A\nB é", 54: "T\nBody"} | {60 + k: "Same\nWords that all copies have." for k in range(8)}
     d = spark.createDataFrame([(*r, "h") for r in rows], "page_id long, url string, html string, host string").repartition(3)
     got = {r.page_id: r.text for r in wrapper.extract_articles(d).collect()}
     assert got == want
