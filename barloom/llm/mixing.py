@@ -12,6 +12,8 @@ from .common import WORD, materialize
 
 #: Ranges into which each pattern's seeded order is cut to find where a quota ends.
 BINS = 4096
+#: Rows up to which a table of patterns or sources, whose rows the driver has counted, is broadcast.
+SMALL = 20_000
 
 
 def water_fill(sizes: dict, weights: dict, total: float, ceiling: float = 2.0) -> dict:
@@ -147,7 +149,7 @@ def mix(
     cuts = [(p, full[p], r, *ends.get(p, (-1, 0))) for p, _, r in rest.collect()]
     cuts = spark.createDataFrame(cuts, "_mix_p string, _mix_full int, _mix_rest long, _mix_cut int, _mix_before long")
 
-    known = rows.join(cuts, "_mix_p")
+    known = rows.join(cuts if len(supply) > SMALL else F.broadcast(cuts), "_mix_p")
     clear = known.where("_mix_bin != _mix_cut").withColumn(
         "mix_copies", F.col("_mix_full") + (F.col("_mix_bin") < F.col("_mix_cut")).cast("int")
     )
@@ -158,4 +160,5 @@ def mix(
     )
     found = clear.unionByName(border).drop("_mix_p", "_mix_h", "_mix_bin", "_mix_full", "_mix_rest", "_mix_cut", "_mix_before")
     plan = [(s, sizes[s], t) for s, t in targets.items()]
-    return found, spark.createDataFrame(plan, "source string, size long, target double")
+    plan = spark.createDataFrame(plan, "source string, size long, target double")
+    return found, plan if len(targets) > SMALL else F.broadcast(plan)
