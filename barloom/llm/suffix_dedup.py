@@ -27,14 +27,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import bounded_batches, materialize
 
 LEAST, RUN = 50, 16
 #: Bytes of a context before and from its anchor on; starts of strings within it.
 BEFORE, FROM = LEAST - RUN, LEAST
 CONTEXT, STARTS = BEFORE + FROM, LEAST - RUN + 1
 #: Bytes of text handled together in a task, and bytes of text whose anchors meet in one group.
-SLICE, BUCKET = 4 << 20, 1 << 24
+SLICE, BUCKET = 4 << 20, 1 << 23
 
 
 def _slide(v: np.ndarray, w: int, f) -> np.ndarray:
@@ -161,36 +161,37 @@ def _meet(table: pa.Table) -> pa.Table:
     return _lists(ids[keep], tags[keep], [("found", sign)])
 
 
-def longest_previous(words: np.ndarray, doc: np.ndarray) -> np.ndarray:
+def longest_previous(words: np.ndarray, doc: np.ndarray, least: int = 1) -> np.ndarray:
     """Longest previous factor of each suffix, in bytes up to the given length.
 
     ``words`` are the suffixes' bytes as rows of big-endian numbers; a previous
     factor starts in a smaller ``doc``. In suffix order, the nearest suffixes of
     smaller documents on both sides have the longest common prefixes with a suffix
     among all of smaller documents. They are found by following links, each step
-    doubling the reach.
+    doubling the reach; a link ends where the common prefix falls below ``least``,
+    so shorter factors count as none.
     """
     n = len(doc)
     order = np.lexsort((doc, *words.T[::-1]))
-    w, d = words[order], doc[order]
-    differ = w[1:] ^ w[:-1]
-    lcp = np.full(max(n - 1, 0), 8 * w.shape[1], np.int64)
-    for k in range(w.shape[1] - 1, -1, -1):
-        x = differ[:, k]
-        same = 7 - np.floor(np.log2(np.maximum(x, 1).astype(np.longdouble))).astype(np.int64) // 8
+    d = doc[order]
+    lcp = np.full(max(n - 1, 0), 8 * words.shape[1], np.int64)
+    for k in range(words.shape[1] - 1, -1, -1):
+        x = words[order, k]
+        x = x[1:] ^ x[:-1]
+        same = sum((x < np.uint64(1 << 8 * b)).astype(np.int64) for b in range(1, 8))  # leading bytes alike
         lcp = np.where(x > 0, 8 * k + same, lcp)
     best = np.zeros(n, np.int64)
     for way in (1, -1):
         dd = d if way == 1 else d[::-1]
         reach = np.concatenate([[0], lcp if way == 1 else lcp[::-1]])  # common prefix with the suffix linked to
         link = np.arange(-1, n - 1)
-        while True:
-            far = np.flatnonzero((link >= 0) & (reach > 0) & (dd[link] >= dd))
-            if not len(far):
-                break
+        far = np.arange(n)
+        while len(far):
+            far = far[(link[far] >= 0) & (reach[far] >= least)]
+            far = far[dd[link[far]] >= dd[far]]
             to = link[far]
             reach[far], link[far] = np.minimum(reach[far], reach[to]), link[to]
-        got = np.where(link >= 0, reach, 0)
+        got = np.where((link >= 0) & (reach >= least), reach, 0)
         best = np.maximum(best, got if way == 1 else got[::-1])
     out = np.empty(n, np.int64)
     out[order] = best
@@ -202,27 +203,26 @@ _POWER = np.cumprod(np.full(CONTEXT + 1, 0x9E3779B97F4A7C15, np.uint64))
 
 def _compare(table: pa.Table) -> pa.Table:
     """Per document of a bucket: the anchors to compare and which of their strings repeat (bits)."""
-    cols = {n: table.column(n).to_pylist() for n in ("ids", "tags", "d", "p", "h", "text")}
-    ids, tags, p, h, text = [], [], [], [], []
-    for i, t, db, pb, hb, x in zip(*cols.values()):
-        d = np.frombuffer(db, np.uint32)
+    z = zstandard.ZstdDecompressor()
+    cols = {n: table.column(n).to_pylist() for n in ("ids", "tags", "d", "p", "text")}
+    ids, tags, p, text = [], [], [], []
+    for i, t, db, pb, x in zip(*cols.values()):
+        d = _planes(db)
         ids.append(np.frombuffer(i, np.int64)[d])
         tags.append(np.frombuffer(t, np.int64)[d])
-        p.append(np.frombuffer(pb, np.int64))
-        h.append(np.frombuffer(hb, np.uint64))
-        text.append(np.frombuffer(x, np.uint8).reshape(-1, CONTEXT + 2))
+        p.append(_planes(pb))
+        text.append(np.frombuffer(z.decompress(x), np.uint8).reshape(-1, CONTEXT + 2))
     del cols
-    ids, tags, p, h, text = map(np.concatenate, (ids, tags, p, h, text))
+    ids, tags, p, text = map(np.concatenate, (ids, tags, p, text))
     n = len(ids)
     key = np.zeros((n, STARTS), np.uint64)
-    for at in range(0, n, 65536):
-        part = text[at : at + 65536, :CONTEXT].astype(np.uint64) + np.uint64(1)
+    for at in range(0, n, 8192):
+        part = text[at : at + 8192, :CONTEXT].astype(np.uint64) + np.uint64(1)
         sums = np.zeros((len(part), CONTEXT + 1), np.uint64)
         np.cumsum(part * _POWER[:CONTEXT], axis=1, out=sums[:, 1:])
         hashed = (sums[:, LEAST:] - sums[:, :STARTS]) * _POWER[STARTS - 1 :: -1][:STARTS]
-        hashed ^= h[at : at + 65536, None]
         hashed ^= hashed >> np.uint64(29)
-        key[at : at + 65536] = hashed * np.uint64(0xBF58476D1CE4E5B9) | np.uint64(1)
+        key[at : at + 8192] = hashed * np.uint64(0xBF58476D1CE4E5B9) | np.uint64(1)
     start = np.arange(STARTS)
     key[(start < text[:, CONTEXT, None]) | (start + LEAST > CONTEXT - text[:, CONTEXT + 1, None].astype(np.int64))] = 0
     flat = key.ravel()
@@ -238,11 +238,13 @@ def _compare(table: pa.Table) -> pa.Table:
     if len(pick):
         strings = np.zeros((len(pick), -(-LEAST // 8) * 8), np.uint8)
         strings[:, :LEAST] = np.lib.stride_tricks.sliding_window_view(text[:, :CONTEXT], LEAST, axis=1)[row, off]
-        repeat = longest_previous(strings.view(">u8").astype(np.uint64), ids[row]) >= LEAST
+        words = strings.view(">u8").astype(np.uint64)
+        del strings, flat, may
+        repeat = longest_previous(words, ids[row], LEAST) >= LEAST
         np.bitwise_or.at(bits, row[repeat], np.int64(1) << off[repeat])
     keep = np.flatnonzero(bits)
     keep = keep[np.lexsort((tags[keep], ids[keep]))]
-    return _lists(ids[keep], tags[keep], [("place", p[keep]), ("bits", bits[keep])])
+    return _lists(ids[keep], tags[keep], [("place", p[keep].astype(np.int64)), ("bits", bits[keep])])
 
 
 def _pack(batches):
@@ -258,12 +260,27 @@ def _pack(batches):
 
 def _send_contexts(buckets: int):
     def run(batches):
-        z = zstandard.ZstdDecompressor()
+        z, pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
         edge = b"\0" * CONTEXT
+
+        def send(parts, ids, tags):
+            d, p, h, text = (np.concatenate(x) for x in zip(*parts))
+            at = (h % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(at, kind="stable")
+            ends = np.searchsorted(at[order], np.arange(buckets + 1))
+            ids, tags = np.array(ids, np.int64), np.array(tags, np.int64)
+            out = [[], [], [], [], [], []]
+            for k in np.flatnonzero(np.diff(ends)).tolist():
+                pick = order[ends[k] : ends[k + 1]]
+                own, dd = np.unique(d[pick], return_inverse=True)
+                for x, y in zip(out, (k, ids[own].tobytes(), tags[own].tobytes(), _as_planes(dd), _as_planes(p[pick]), pack.compress(text[pick].tobytes()))):
+                    x.append(y)
+            return pa.record_batch([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], ["bucket", "ids", "tags", "d", "p", "text"])
+
+        parts, ids, tags, n = [], [], [], 0
         for b in batches:
-            parts, ids, tags = [], [], []
             for i, tag, body, found in zip(*(c.to_pylist() for c in b.columns)):
-                places = sorted({-1 - x for x in found if x < 0})
+                places = sorted({-1 - x for x in found or () if x < 0})
                 if not places:
                     continue
                 t = z.decompress(body)
@@ -277,20 +294,12 @@ def _send_contexts(buckets: int):
                 parts.append((np.full(len(q), len(ids), np.uint32), q, np.array(h, np.uint64), text))
                 ids.append(i)
                 tags.append(tag)
-            if not parts:
-                continue
-            d, p, h, text = (np.concatenate(x) for x in zip(*parts))
-            at = (h % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(at, kind="stable")
-            ends = np.searchsorted(at[order], np.arange(buckets + 1))
-            ids, tags = np.array(ids, np.int64), np.array(tags, np.int64)
-            out = [[], [], [], [], [], [], []]
-            for k in np.flatnonzero(np.diff(ends)).tolist():
-                pick = order[ends[k] : ends[k + 1]]
-                own, dd = np.unique(d[pick], return_inverse=True)
-                for x, y in zip(out, (k, ids[own].tobytes(), tags[own].tobytes(), dd.astype(np.uint32).tobytes(), p[pick].tobytes(), h[pick].tobytes(), text[pick].tobytes())):
-                    x.append(y)
-            yield pa.record_batch([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], ["bucket", "ids", "tags", "d", "p", "h", "text"])
+                n += len(q)
+                if n >= 200_000:
+                    yield send(parts, ids, tags)
+                    parts, ids, tags, n = [], [], [], 0
+        if parts:
+            yield send(parts, ids, tags)
 
     return run
 
@@ -341,16 +350,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     many documents share, each slice of documents sends what it has of it in one
     row, and only the first holders of a context are compared byte by byte.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    buckets = max(1, min(total // BUCKET, 4096), total // (16 * BUCKET))
+    buckets = max(1, min(total // BUCKET, 8192), total // (32 * BUCKET))
     sent = rows.mapInArrow(_send_anchors(buckets), "bucket int, ids binary, tags binary, h binary, c binary, d binary, p binary")
     met = materialize(sent.groupBy("bucket").applyInArrow(_meet, "id long, tag long, found array<long>"))
     found = met.groupBy("id", "tag").agg(F.flatten(F.collect_list("found")).alias("found"))
     packed = rows.mapInArrow(_pack, "id long, tag long, body binary").repartition("id", "tag")
     joined = packed.join(found, ["id", "tag"], "left")
-    contexts = joined.where("found is not null").select("id", "tag", "body", "found").mapInArrow(
-        _send_contexts(buckets), "bucket int, ids binary, tags binary, d binary, p binary, h binary, text binary"
+    # Documents without anchors to compare are passed over in the function: a filter here would make Spark shuffle the texts anew.
+    contexts = joined.select("id", "tag", "body", "found").mapInArrow(
+        _send_contexts(buckets), "bucket int, ids binary, tags binary, d binary, p binary, text binary"
     )
     repeats = contexts.groupBy("bucket").applyInArrow(_compare, "id long, tag long, place array<long>, bits array<long>")
     repeats = repeats.groupBy("id", "tag").agg(F.collect_list(F.struct("place", "bits")).alias("r"))
