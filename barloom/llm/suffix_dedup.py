@@ -34,7 +34,7 @@ LEAST, RUN = 50, 16
 BEFORE, FROM = LEAST - RUN, LEAST
 CONTEXT, STARTS = BEFORE + FROM, LEAST - RUN + 1
 #: Bytes of text handled together in a task, and bytes of text whose anchors meet in one group.
-SLICE, BUCKET = 4 << 20, 1 << 23
+SLICE, BUCKET = 4 << 20, 1 << 22
 
 
 def _slide(v: np.ndarray, w: int, f) -> np.ndarray:
@@ -353,7 +353,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    buckets = max(1, min(total // BUCKET, 8192), total // (32 * BUCKET))
+    buckets = max(1, min(total // BUCKET, 65536), total // (16 * BUCKET))
     sent = rows.mapInArrow(_send_anchors(buckets), "bucket int, ids binary, tags binary, h binary, c binary, d binary, p binary")
     met = materialize(sent.groupBy("bucket").applyInArrow(_meet, "id long, tag long, found array<long>"))
     found = met.groupBy("id", "tag").agg(F.flatten(F.collect_list("found")).alias("found"))
