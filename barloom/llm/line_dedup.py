@@ -78,19 +78,18 @@ def _aligned(least: int):
 
 
 def dedup_lines(
-    docs: DataFrame, least_chars: int = 40, rare: float = 0.01, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, least_chars: int = 40, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per input row: ``(id, n_lines, removed array<int>, kept string, partners long)``.
 
     Lines are what stands between ``\\n``, compared after trimming. Seeds are hashes
-    of rare lines - in at most ``rare`` of the documents, at least 64 - and, so that
-    large groups of near copies need no rare line, of every run of three lines
-    whatever its frequency. Each seed links a document to the first document (by id)
-    that holds it, never to all: the links are as many as the seeds, without a cap on
-    partners. Every linked pair is aligned by patience diff, and aligned blocks of at
-    least ``least_chars`` characters go from the later document; ``removed`` has the
-    places of those lines, ``kept`` the other lines. Seeds of blank lines and of
-    single lines under ``least_chars`` are not used.
+    of lines and of runs of three lines, whatever their frequency. Each seed links a
+    document to the first document (by id) that holds it, never to all: the links
+    are as many as the seeds, without a cap on partners. Every linked pair is aligned
+    by patience diff, and aligned blocks of at least ``least_chars`` characters go
+    from the later document; ``removed`` has the places of those lines, ``kept`` the
+    other lines. Seeds of blank lines and of single lines under ``least_chars`` are
+    not used.
 
     Lines are hashed once; only hashes are shuffled until the kept lines are cut from
     the text at the end. Links are counted and reduced to the first holder before the
@@ -107,10 +106,9 @@ def dedup_lines(
     lean = rows.where("id is not null").select(
         "id", "tag", F.transform(line, lambda x: F.xxhash64(x)).alias("h"), F.transform(line, lambda x: F.length(x)).alias("n")
     )
-    total = lean.agg(F.count("*")).first()[0]
     own = lean.select("id", "tag", F.explode(F.array_distinct(F.filter(F.arrays_zip("h", "n"), lambda x: x["n"] >= least_chars))).alias("x"))
     single = own.groupBy(F.col("x.h").alias("seed")).agg(F.min(F.struct("id", "tag")).alias("first"), F.count("*").alias("df"))
-    single = single.where((F.col("df") > 1) & (F.col("df") <= max(64, int(rare * total))))
+    single = single.where("df > 1")
     threes = F.transform(F.sequence(F.lit(0), F.size("h") - 3), lambda k: F.struct(F.xxhash64(F.slice("h", k + 1, 3)).alias("h"), (F.element_at("n", k + 1) + F.element_at("n", k + 2) + F.element_at("n", k + 3)).alias("n")))
     run = lean.where("size(h) >= 3").select("id", "tag", F.explode(F.array_distinct(F.filter(threes, lambda x: x["n"] >= least_chars))).alias("x"))
     triple = run.groupBy(F.col("x.h").alias("seed")).agg(F.min(F.struct("id", "tag")).alias("first"), F.count("*").alias("df")).where("df > 1")

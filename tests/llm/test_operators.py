@@ -208,6 +208,13 @@ def test_line_dedup(spark, none):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def test_line_dedup_removes_lines_that_many_documents_share(spark):
+    hot = "a notice that very many of the documents carry somewhere within them"
+    rows = [(k, f"own line {k} at the head of the document\n{hot}\nown line {k} at its end") for k in range(100)]
+    got = {r.id: list(r.removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows_of(rows), DOCS)).collect()}
+    assert got == {k: [1] if k else [] for k in range(100)}
+
+
 def test_patience_alignment():
     assert line_dedup.patience([1, 2, 3, 4, 5], [9, 2, 3, 8, 5]) == [(1, 1), (2, 2), (4, 4)]
     assert line_dedup.patience([1, 1, 2], [1, 2, 1]) == [(0, 0), (2, 1)]
