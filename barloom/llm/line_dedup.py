@@ -5,11 +5,13 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import bounded_batches, materialize
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -57,21 +59,62 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def runs(h: list[int], n: list[int], least: int) -> list[tuple[int, int, int]]:
+    """``(start, end, hash)`` of the shortest runs of lines with ``least`` characters, from each line on and back from each.
+
+    Every line of a block of ``least`` or more characters lies in a run within the
+    block, so two documents that share the block share runs that cover it.
+    """
+    raw, size = np.asarray(h, np.int64).tobytes(), np.asarray(n, np.int64)
+    total = np.concatenate(([0], np.cumsum(size)))
+    on = np.searchsorted(total, total[:-1] + least)
+    back = np.searchsorted(total, total[1:] - least, side="right") - 1
+    places = np.arange(len(size))
+    found = {(x, y) for x, y, ok in zip(places.tolist(), on.tolist(), on <= len(size)) if ok}
+    found |= {(x, y + 1) for x, y, ok in zip(back.tolist(), places.tolist(), back >= 0) if ok}
+    return [(x, y, xxhash.xxh64_intdigest(raw[8 * x : 8 * y]) - (1 << 63)) for x, y in sorted(found)]
+
+
+def _seeds(least: int):
+    """Per document the distinct hashes of its runs."""
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 100):
+                part = b.slice(at, 100)
+                found = [{x for _, _, x in runs(h, n, least)} for h, n in zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
+                rows = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+                seeds = pa.array([x for xs in found for x in xs], pa.int64())
+                yield pa.record_batch([part.column(0).take(rows), part.column(1).take(rows), seeds], ["id", "tag", "seed"])
+
+    return run
+
+
 def _aligned(least: int):
-    """Per pair: places of the later document's lines in aligned blocks of at least ``least`` characters."""
+    """Per pair: places of the later document's lines in aligned blocks of at least ``least`` characters.
+
+    Lines that patience diff leaves out, as they cross an aligned block or occur more
+    than once, are aligned by themselves where a run of them stands in the earlier document.
+    """
 
     def run(batches):
         for b in batches:
             found = []
             for late, sizes, early in zip(*(c.to_pylist() for c in b.columns[2:])):
-                places, block = [], []
+                places, block = set(), []
                 for x, y in [*patience(early, late), (-2, -2)]:
                     if block and (x, y) != (block[-1][0] + 1, block[-1][1] + 1):
                         if sum(sizes[q] for _, q in block) >= least:
-                            places += [q for _, q in block]
+                            places.update(q for _, q in block)
                         block = []
                     block.append((x, y))
-                found.append(places)
+                if len(places) < len(late):
+                    size = dict(zip(late, sizes))
+                    known = {r for _, _, r in runs(early, [size.get(x, least) for x in early], least)}
+                    for x, y, r in runs(late, sizes, least):
+                        if r in known:
+                            places.update(range(x, y))
+                found.append(sorted(places))
             yield pa.record_batch([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int32()))], ["id", "tag", "places"])
 
     return run
@@ -82,14 +125,15 @@ def dedup_lines(
 ) -> DataFrame:
     """One row per input row: ``(id, n_lines, removed array<int>, kept string, partners long)``.
 
-    Lines are what stands between ``\\n``, compared after trimming. Seeds are hashes
-    of lines and of runs of three lines, whatever their frequency. Each seed links a
-    document to the first document (by id) that holds it, never to all: the links
-    are as many as the seeds, without a cap on partners. Every linked pair is aligned
-    by patience diff, and aligned blocks of at least ``least_chars`` characters go
-    from the later document; ``removed`` has the places of those lines, ``kept`` the
-    other lines. Seeds of blank lines and of single lines under ``least_chars`` are
-    not used.
+    Lines are what stands between ``\\n``, compared after trimming. A line is removed
+    if it lies in a block of lines in a row, of at least ``least_chars`` characters,
+    that stands in a document with a smaller id. Seeds are hashes of the shortest runs
+    of lines of that length, whatever their frequency. Each seed links a document to
+    the first document (by id) that holds it, never to all: the links are as many as
+    the seeds, without a cap on partners. Every linked pair is aligned by patience
+    diff, and what that leaves out by runs (blocks may cross), so each seed is settled
+    with its first holder and no further holder can add a line. ``removed`` has the
+    places of the removed lines, ``kept`` the other lines.
 
     Lines are hashed once; only hashes are shuffled until the kept lines are cut from
     the text at the end. Links are counted and reduced to the first holder before the
@@ -106,15 +150,9 @@ def dedup_lines(
     lean = rows.where("id is not null").select(
         "id", "tag", F.transform(line, lambda x: F.xxhash64(x)).alias("h"), F.transform(line, lambda x: F.length(x)).alias("n")
     )
-    own = lean.select("id", "tag", F.explode(F.array_distinct(F.filter(F.arrays_zip("h", "n"), lambda x: x["n"] >= least_chars))).alias("x"))
-    single = own.groupBy(F.col("x.h").alias("seed")).agg(F.min(F.struct("id", "tag")).alias("first"), F.count("*").alias("df"))
-    single = single.where("df > 1")
-    threes = F.transform(F.sequence(F.lit(0), F.size("h") - 3), lambda k: F.struct(F.xxhash64(F.slice("h", k + 1, 3)).alias("h"), (F.element_at("n", k + 1) + F.element_at("n", k + 2) + F.element_at("n", k + 3)).alias("n")))
-    run = lean.where("size(h) >= 3").select("id", "tag", F.explode(F.array_distinct(F.filter(threes, lambda x: x["n"] >= least_chars))).alias("x"))
-    triple = run.groupBy(F.col("x.h").alias("seed")).agg(F.min(F.struct("id", "tag")).alias("first"), F.count("*").alias("df")).where("df > 1")
-    links = own.join(single, F.col("x.h") == F.col("seed")).select("id", "tag", "first").unionByName(
-        run.join(triple, F.col("x.h") == F.col("seed")).select("id", "tag", "first")
-    )
+    seeds = materialize(lean.mapInArrow(_seeds(least_chars), f"id {rows.schema['id'].dataType.simpleString()}, tag long, seed long"))
+    firsts = seeds.groupBy("seed").agg(F.min(F.struct("id", "tag")).alias("first"), F.count("*").alias("df")).where("df > 1").drop("df")
+    links = seeds.join(firsts, "seed").select("id", "tag", "first")
     links = links.where("first.id < id").distinct()
     early = lean.select(F.struct("id", "tag").alias("first"), F.col("h").alias("early")).dropDuplicates(["first"])
     late = lean.dropDuplicates(["id", "tag"])

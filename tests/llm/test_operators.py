@@ -215,6 +215,27 @@ def test_line_dedup_removes_lines_that_many_documents_share(spark):
     assert got == {k: [1] if k else [] for k in range(100)}
 
 
+def test_line_dedup_finds_every_shared_block(spark):
+    x, y = "one long line that stands by itself in documents", "another long line that stands in the same documents"
+    short = ["twenty five characters ab", "twenty five characters cd"]
+    rows = [(1, f"{x}\nown line of the first\n{y}"), (2, f"{y}\n{x}"), (3, f"{y}\n{x}"), (4, "\n".join(short)), (5, "\n".join(["own", *short]))]
+    got = {r.id: list(r.removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows_of(rows), DOCS)).collect()}
+    assert got == {1: [], 2: [0, 1], 3: [0, 1], 4: [], 5: [1, 2]}
+    r = random.Random(8)
+    words = ["", "a", "four", "fifteen letters", "about twenty letters", "a line that has forty letters or more in it"]
+    rows = [(k % 55, "\n".join(r.choice(words) for _ in range(r.randint(0, 12)))) for k in range(60)]
+    split, want = [(i, t.split("\n")) for i, t in rows], Counter()
+    for i, lines in split:
+        gone = set()
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                if sum(map(len, lines[a:b])) >= 40 and any(j < i and lines[a:b] == u[k : k + b - a] for j, u in split for k in range(len(u))):
+                    gone.update(range(a, b))
+        want[i, len(lines), tuple(sorted(gone))] += 1
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows_of(rows), DOCS).repartition(3)).collect()
+    assert Counter((x.id, x.n_lines, tuple(x.removed)) for x in got) == want
+
+
 def test_patience_alignment():
     assert line_dedup.patience([1, 2, 3, 4, 5], [9, 2, 3, 8, 5]) == [(1, 1), (2, 2), (4, 4)]
     assert line_dedup.patience([1, 1, 2], [1, 2, 1]) == [(0, 0), (2, 1)]
