@@ -15,6 +15,8 @@ from .common import bounded_batches
 
 #: A word of letters in a lower-cased text.
 LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters of a word, letters that the pieces of a longer one share: a character input lies in one piece whole.
+LONG, SHARED = 40, 5
 #: Words of a window, words between the starts of overlapping windows.
 WINDOW, STRIDE = 32, 16
 #: Inputs per word, width of each direction's state.
@@ -23,9 +25,17 @@ WIDTH, STATE = 6, 8
 SAMPLE, WORDS, GRAMS = 1500, 4000, 8000
 
 
+def words_of(text: str | None) -> list[str]:
+    """The words of a text, lower-cased; a run of over LONG letters, as in scripts without spaces, as overlapping pieces."""
+    found = LETTERS.findall((text or "").lower())
+    if max(map(len, found), default=0) <= LONG:
+        return found
+    return [w[i : i + LONG] for w in found for i in range(0, max(len(w) - SHARED, 1), LONG - SHARED)]
+
+
 def grams(word: str) -> list[str]:
     """Character inputs of a word: its runs of four to six letters, with marks at both ends."""
-    w = f"^{word[:40]}$"
+    w = f"^{word}$"
     return [w[i : i + n] for n in (4, 5, 6) for i in range(len(w) - n + 1)]
 
 
@@ -160,7 +170,7 @@ class ToxicityModel:
         return n
 
     def numbers(self, text: str | None) -> np.ndarray:
-        words = LETTERS.findall((text or "").lower())
+        words = words_of(text)
         known = self.memory.get
         out = [known(w, -1) for w in words]
         if -1 in out:
@@ -242,7 +252,7 @@ def fit(texts: list[str | None], toxic: list[int], seed: int = 7, epochs: int =
         model.net.p["out"][:] = 0
         return model
     number: dict[str, int] = {}
-    own = [np.unique(np.array([number.setdefault(w, len(number)) for w in LETTERS.findall((x or "").lower())], np.int64)) for x in texts]
+    own = [np.unique(np.array([number.setdefault(w, len(number)) for w in words_of(x)], np.int64)) for x in texts]
     toxic_rows = [w for w, y in zip(own, toxic) if y]
     clean_rows = [w for w, y in zip(own, toxic) if not y]
     names = list(number)

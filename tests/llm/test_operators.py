@@ -298,6 +298,19 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(x.score < 0.5 for x in toxicity.score(d, empty).collect())
 
 
+def test_toxicity_reads_long_letter_runs_to_their_end():
+    r = random.Random(6)
+    glue = lambda n: "".join(r.choice(["river", "stone", "paper", "window"]) for _ in range(n))
+    texts = [f"{glue(r.randint(10, 30))}{'nastiness' if i % 3 == 0 else ''}{glue(r.randint(0, 9))}" for i in range(300)]
+    model = toxicity.fit(texts[:200], [int(i % 3 == 0) for i in range(200)])
+    assert [s >= 0.5 for s in model.score(texts[200:])] == [i % 3 == 0 for i in range(200, 300)]
+    for n in range(200):
+        w = "".join(r.choice("abcdefg") for _ in range(n))
+        pieces = toxicity.words_of(w)
+        assert all(len(p) <= 40 for p in pieces) and (pieces == [w] or n > 40 or not n)
+        assert all(any(w[i : i + 6] in p for p in pieces) for i in range(n - 5))
+
+
 def test_network_gradient():
     import numpy as np
 
