@@ -1,9 +1,9 @@
 """Main-text extraction by wrapper induction over the pages of a host.
 
-A page's DOM tree is made compact: runs of like siblings (paragraphs, list items)
-count as one node. The compact trees of a host are aligned with the tree of one
-of its pages by simple tree matching, so every node of a page gets a slot. Over all
-pages of the host, a slot whose text never changes is template, one whose text
+A page's DOM tree is made compact: like siblings (paragraphs, list items) count as
+one node, so a node is told by its path of labels. The compact trees of all pages
+of a host are merged along these paths; a node's slot is its path, whatever
+layouts the host has. Over all pages that hold it, a slot whose text never changes is template, one whose text
 varies may be content. Of the varying slots, those that stand in an article's
 place and are not menus, headers, footers, sidebars, notices, adverts, forms or
 comments by their element, name or density of links make up the wrapper, which
@@ -13,7 +13,6 @@ then extracts every page of the host.
 from __future__ import annotations
 
 import html as entities
-import json
 import re
 
 import pandas as pd
@@ -158,24 +157,25 @@ def blocks(node: Node) -> list[str]:
     return out
 
 
-def compact(root: Node) -> tuple[list, list[list[Node]]]:
-    """The tree with runs of like siblings as one node: ``[label, skip, children]`` and the elements of each node, in preorder."""
-    groups: list[list[Node]] = []
-
-    def build(nodes: list[Node]) -> list:
+def compact(root: Node) -> tuple[list[int], list[bool], list[list[Node]]]:
+    """The tree with like siblings as one node. Per node its slot (a hash of its path of labels), whether
+    neither it nor what it stands in is marked as no article, and its elements."""
+    slots, body, groups = [], [], []
+    todo = [(0, True, [root])]
+    while todo:
+        path, inside, nodes = todo.pop()
+        path = xxhash.xxh64_intdigest(nodes[0].label, path)
+        inside = inside and not any(n.skip for n in nodes)
+        slots.append(path - (1 << 63))
+        body.append(inside)
         groups.append(nodes)
-        kids: list[list[Node]] = []
+        kids: dict[str, list[Node]] = {}
         for n in nodes:
             for c in n.children:
-                for k in kids:
-                    if k[0].label == c.label:
-                        k.append(c)
-                        break
-                else:
-                    kids.append([c])
-        return [nodes[0].label, int(any(n.skip for n in nodes)), [build(k) for k in kids[:400]] if len(groups) < 4000 else []]
-
-    return build([root]), groups
+                kids.setdefault(c.label, []).append(c)
+        if len(groups) < 4000:
+            todo += [(path, inside, k) for k in list(kids.values())[:400]]
+    return slots, body, groups
 
 
 def match(a: list, b: list, memo: dict) -> int:
@@ -230,29 +230,6 @@ def align(a: list, b: list) -> list[int]:
     return out
 
 
-class _Aligner:
-    """Alignments of a host's pages; pages of a form already seen are looked up."""
-
-    def __init__(self):
-        self.trees: dict[str, list] = {}
-        self.known: dict[tuple[str, str], list[int]] = {}
-
-    def __call__(self, tree: list, other: str) -> list[int]:
-        key = json.dumps(tree), other
-        if key not in self.known:
-            if len(self.known) > 20_000:
-                self.known.clear()
-                self.trees.clear()
-            self.known[key] = align(tree, self.trees.setdefault(other, json.loads(other)))
-        return self.known[key]
-
-
-def _body(tree: list, inside: bool = True) -> list[bool]:
-    """For every node in preorder, whether neither it nor what it stands in is marked as no article."""
-    inside = inside and not tree[1]
-    return [inside, *(x for c in tree[2] for x in _body(c, inside))]
-
-
 def _own(groups: list[list[Node]]):
     """Per compact node its elements' text blocks and the share of linked characters."""
     for nodes in groups:
@@ -260,51 +237,46 @@ def _own(groups: list[list[Node]]):
         yield found, sum(n.link for n in nodes)
 
 
-def _reference(batches):
-    """The compact tree of one page per host, as the form that other pages are aligned with."""
-    for b in batches:
-        forms = [json.dumps(compact(parse(h))[0]) for h in b.column(1).to_pylist()]
-        yield pa.record_batch([b.column(0), pa.array(forms, pa.string())], ["host", "form"])
-
-
 def _observe(batches):
     """Per host and slot: smallest and largest hash of its text, number of pages, characters and linked characters."""
-    aligner = _Aligner()
     for b in batches:
         seen: dict[tuple, list] = {}
-        for host, page, form in zip(*(c.to_pylist() for c in b.columns)):
-            tree, groups = compact(parse(page))
-            for slot, body, (found, link) in zip(aligner(tree, form), _body(tree), _own(groups)):
-                if slot >= 0 and found:
+        for host, page in zip(*(c.to_pylist() for c in b.columns)):
+            slots, body, groups = compact(parse(page))
+            for slot, inside, (found, link) in zip(slots, body, _own(groups)):
+                if found:
                     text = "\n".join(found)
                     h = xxhash.xxh64_intdigest(text) - (1 << 63)
                     s = seen.setdefault((host, slot), [h, h, 0, 0, 0, 0])
-                    s[:] = min(s[0], h), max(s[1], h), s[2] + 1, s[3] + len(text), s[4] + link, s[5] + body
+                    s[:] = min(s[0], h), max(s[1], h), s[2] + 1, s[3] + len(text), s[4] + link, s[5] + inside
         rows = [(*k, *v) for k, v in seen.items()]
         names = ["host", "slot", "low", "high", "pages", "chars", "linked", "body"]
         yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=names).astype({n: "int64" for n in names[1:]}), preserve_index=False)
 
 
 def _extract(batches):
-    aligner = _Aligner()
     for b in batches:
         for at in range(0, b.num_rows, 256):
             ids, urls, texts = [], [], []
-            for i, url, page, form, slots in zip(*(c.to_pylist() for c in b.slice(at, 256).columns)):
+            for i, url, page, roles, varies in zip(*(c.to_pylist() for c in b.slice(at, 256).columns)):
                 root = parse(page)
-                tree, groups = compact(root)
-                roles = {s["slot"]: s for s in slots or ()}
-                drop = set()  # elements whose own text is template or no article
-                for slot, nodes, (found, link) in zip(aligner(tree, form), groups, _own(groups)):
+                roles = {s["slot"]: s for s in roles or ()}
+                drop, constant = set(), set()  # elements whose own text is no article, is template
+                slots, body, groups = compact(root)
+                for slot, inside, nodes, (found, link) in zip(slots, body, groups, _own(groups)):
                     r = roles.get(slot)
                     size, linked = sum(map(len, found)), link
                     if r:
                         size, linked = r["chars"], r["linked"]
-                    if r and r["constant"] or size and linked > 0.5 * size:
+                    if size and linked > 0.5 * size:
                         drop.update(map(id, nodes))
+                    elif r and r["constant"]:
+                        constant.update(map(id, nodes))
+                    else:
+                        varies = varies or inside and bool(found)
                 ids.append(i)
                 urls.append(url)
-                texts.append("\n".join(article(root, drop)))
+                texts.append("\n".join(article(root, drop | constant if varies else drop)))
             yield pa.record_batch([pa.array(ids, b.schema.field(0).type), pa.array(urls, pa.string()), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
@@ -348,37 +320,32 @@ def article(root: Node, drop: set[int]) -> list[str]:
     return text(root, [])
 
 
-def extract_articles(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_pages: int = 5) -> DataFrame:
+def extract_articles(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_pages: int = 2) -> DataFrame:
     """``(page_id, url, text)`` of every page.
 
-    Three passes over the pages, none of which shuffles them where the hosts' forms
-    and wrappers (a few kilobytes a host) are small enough to broadcast by their
+    Two passes over the pages, neither of which shuffles them where the hosts'
+    wrappers (a few kilobytes a host) are small enough to broadcast by their
     written size; beyond that Spark joins by host and may split hot hosts. What a
     host's pages tell about its slots is combined before it is shuffled, so a host
     with a third of all pages costs no task more than others. A slot is template if
     its text is the same on all of at least ``least_pages`` pages that hold it,
-    while some slot outside menus, headers and the like varies on that host: pages
-    that are all copies of one article keep it. Defined cases: a null page is empty; a null or
-    malformed address counts as a host of its own; a page without article gives the
-    empty text; repeated pages give repeated rows; an empty table gives no rows;
-    other columns are ignored.
+    while some slot outside menus, headers and the like varies on that host, or
+    is not template on that page: pages that are all copies of one article keep it.
+    Defined cases: a null page is empty; a null or malformed address counts as a
+    host of its own; a page without article gives the empty text; repeated pages
+    give repeated rows; an empty table gives no rows; other columns are ignored.
     """
     bounded_batches(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[^:/?#]*:?//([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"), host.alias("host"))
-    first = rows.groupBy("host").agg(F.min_by("html", F.struct("page_id", F.xxhash64("html"))).alias("html"))
-    forms = materialize(first.select("host", "html").mapInArrow(_reference, "host string, form string"))
-    joined = rows.join(forms, "host")
-    seen = joined.select("host", "html", "form").mapInArrow(
-        _observe, "host string, slot long, low long, high long, pages long, chars long, linked long, body long"
-    )
+    seen = rows.select("host", "html").mapInArrow(_observe, "host string, slot long, low long, high long, pages long, chars long, linked long, body long")
     slots = seen.groupBy("host", "slot").agg(*(f(c).alias(c) for f, c in ((F.min, "low"), (F.max, "high"), (F.sum, "pages"), (F.sum, "chars"), (F.sum, "linked"), (F.sum, "body"))))
     constant = (F.col("low") == F.col("high")) & (F.col("pages") >= least_pages)
-    wrapper = slots.groupBy("host").agg(
+    # A slot on one page tells nothing more than that page does.
+    wrapper = slots.where("pages > 1").groupBy("host").agg(
         F.collect_list(F.struct("slot", constant.alias("constant"), "chars", "linked")).alias("slots"), F.max(~constant & (F.col("body") > 0)).alias("varies")
     )
-    wrapper = wrapper.select("host", F.when(F.col("varies"), F.col("slots")).alias("slots"))
-    wrapper = materialize(forms.join(wrapper, "host", "left"))
-    found = rows.join(wrapper, "host")
+    wrapper = materialize(wrapper)
+    found = rows.join(wrapper, "host", "left")
     kind = rows.schema["page_id"].dataType.simpleString()
-    return found.select("page_id", "url", "html", "form", "slots").mapInArrow(_extract, f"page_id {kind}, url string, text string")
+    return found.select("page_id", "url", "html", "slots", "varies").mapInArrow(_extract, f"page_id {kind}, url string, text string")

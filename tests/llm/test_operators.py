@@ -359,6 +359,18 @@ def test_wrapper_induction(spark):
     assert wrapper.extract_articles(d.limit(0)).count() == 0
 
 
+def test_wrapper_learns_from_all_pages_of_a_host(spark):
+    plain = lambda k: f"<div class=top>Our daily paper</div><div class=text><p>Words {k}</div>"
+    other = lambda k: f"<section><p class=slogan>All the news</p><p class=story>Story {k}</p></section>"
+    rows = [(0, "http://a.example.com/0", None)] + [(k, f"http://a.example.com/{k}", (plain if k % 2 else other)(k)) for k in range(1, 13)]
+    rows += [(20 + k, f"http://b.example.com/{k}", plain(20 + k)) for k in range(2)]
+    rows += [(30 + k, "http://c.example.com/", "<div class=text><p>Same words</div>") for k in range(3)] + [(40, "http://c.example.com/x", other(40))]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in wrapper.extract_articles(d).collect()}
+    want = {0: "", 20: "Words 20", 21: "Words 21", 40: "All the news\nStory 40"} | {k: f"Words {k}" if k % 2 else f"Story {k}" for k in range(1, 13)}
+    assert got == want | {30 + k: "Same words" for k in range(3)}
+
+
 def test_simple_tree_matching():
     t = lambda tag, *kids: [tag, 0, list(kids)]
     a, b = t("r", t("x", t("p")), t("y"), t("z")), t("r", t("x", t("q"), t("p")), t("z"))
