@@ -3,8 +3,9 @@
 A page's DOM tree is made compact: like siblings (paragraphs, list items) count as
 one node, so a node is told by its path of labels. The compact trees of all pages
 of a host are merged along these paths; a node's slot is its path, whatever
-layouts the host has. Over all pages that hold it, a slot whose text never changes is template, one whose text
-varies may be content. Of the varying slots, those that stand in an article's
+layouts the host has. All like children of like parents share a slot, in a row or
+not, and their text blocks are told apart by hash. Over all pages that hold it, a slot whose text never changes is template, one whose text
+varies may be content but for the blocks that all those pages have. Of the varying slots, those that stand in an article's
 place and are not menus, headers, footers, sidebars, notices, adverts, forms or
 comments by their element, name or density of links make up the wrapper, which
 then extracts every page of the host.
@@ -15,7 +16,6 @@ from __future__ import annotations
 import html as entities
 import re
 
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -173,8 +173,7 @@ def compact(root: Node) -> tuple[list[int], list[bool], list[list[Node]]]:
         for n in nodes:
             for c in n.children:
                 kids.setdefault(c.label, []).append(c)
-        if len(groups) < 4000:
-            todo += [(path, inside, k) for k in list(kids.values())[:400]]
+        todo += [(path, inside, k) for k in kids.values()]
     return slots, body, groups
 
 
@@ -230,6 +229,10 @@ def align(a: list, b: list) -> list[int]:
     return out
 
 
+def _hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) - (1 << 63)
+
+
 def _own(groups: list[list[Node]]):
     """Per compact node its elements' text blocks and the share of linked characters."""
     for nodes in groups:
@@ -238,20 +241,24 @@ def _own(groups: list[list[Node]]):
 
 
 def _observe(batches):
-    """Per host and slot: smallest and largest hash of its text, number of pages, characters and linked characters."""
+    """Per host and slot: smallest and largest hash of its text, number of pages, characters and linked characters;
+    per host, slot and block that may be of an article: number of pages."""
     for b in batches:
         seen: dict[tuple, list] = {}
         for host, page in zip(*(c.to_pylist() for c in b.columns)):
             slots, body, groups = compact(parse(page))
-            for slot, inside, (found, link) in zip(slots, body, _own(groups)):
+            for slot, inside, nodes, (found, link) in zip(slots, body, groups, _own(groups)):
                 if found:
                     text = "\n".join(found)
-                    h = xxhash.xxh64_intdigest(text) - (1 << 63)
-                    s = seen.setdefault((host, slot), [h, h, 0, 0, 0, 0])
+                    h = _hash(text)
+                    s = seen.setdefault((host, slot, None), [h, h, 0, 0, 0, 0])
                     s[:] = min(s[0], h), max(s[1], h), s[2] + 1, s[3] + len(text), s[4] + link, s[5] + inside
-        rows = [(*k, *v) for k, v in seen.items()]
-        names = ["host", "slot", "low", "high", "pages", "chars", "linked", "body"]
-        yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=names).astype({n: "int64" for n in names[1:]}), preserve_index=False)
+                    for x in set(found) if not all(n.skip for n in nodes) else ():
+                        seen.setdefault((host, slot, _hash(x)), [0, 0, 0, 0, 0, 0])[2] += 1
+        keys, values = list(zip(*seen)) or [()] * 3, list(zip(*seen.values())) or [()] * 6
+        kinds = [pa.string(), *[pa.int64()] * 8]
+        names = ["host", "slot", "block", "low", "high", "pages", "chars", "linked", "body"]
+        yield pa.record_batch([pa.array(c, t) for c, t in zip([*keys, *values], kinds)], names)
 
 
 def _extract(batches):
@@ -261,7 +268,8 @@ def _extract(batches):
             for i, url, page, roles, varies in zip(*(c.to_pylist() for c in b.slice(at, 256).columns)):
                 root = parse(page)
                 roles = {s["slot"]: s for s in roles or ()}
-                drop, constant = set(), set()  # elements whose own text is no article, is template
+                drop: dict[int, set | None] = {}  # elements whose own text is no article
+                template: dict[int, set | None] = {}  # elements whose own text, or these blocks of it, are template
                 slots, body, groups = compact(root)
                 for slot, inside, nodes, (found, link) in zip(slots, body, groups, _own(groups)):
                     r = roles.get(slot)
@@ -269,55 +277,69 @@ def _extract(batches):
                     if r:
                         size, linked = r["chars"], r["linked"]
                     if size and linked > 0.5 * size:
-                        drop.update(map(id, nodes))
+                        drop |= dict.fromkeys(map(id, nodes))
                     elif r and r["constant"]:
-                        constant.update(map(id, nodes))
+                        template |= dict.fromkeys(map(id, nodes))
                     else:
-                        varies = varies or inside and bool(found)
+                        common = set(r["blocks"] or ()) if r else set()
+                        if common:
+                            template |= dict.fromkeys(map(id, nodes), common)
+                        varies = varies or inside and any(_hash(x) not in common for x in found)
                 ids.append(i)
                 urls.append(url)
-                texts.append("\n".join(article(root, drop | constant if varies else drop)))
+                texts.append("\n".join(article(root, template | drop if varies else drop)))
             yield pa.record_batch([pa.array(ids, b.schema.field(0).type), pa.array(urls, pa.string()), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
-def article(root: Node, drop: set[int]) -> list[str]:
-    """Text blocks of a page's article in page order, without the elements in ``drop`` and those marked as no article.
+def article(root: Node, drop: dict[int, set | None]) -> list[str]:
+    """Text blocks of a page's article in page order, without the elements in ``drop`` (or the blocks whose
+    hashes it names) and those marked as no article.
 
     The article is the ``article`` or ``main`` element with most text, if there is
     one; else all that is left of the page.
     """
 
-    def text(node: Node, out: list[str]) -> list[str]:
-        if node.skip:
-            return out
-        own, run = id(node) not in drop, []
-        for p in [*node.parts, None]:
-            if isinstance(p, str):
-                run.append(p)
+    def text(top: Node) -> list[str]:
+        out, todo = [], [top]
+        while todo:
+            node = todo.pop()
+            if isinstance(node, str):
+                out.append(node)
                 continue
-            if run and own:
-                line = WHITE.sub(" ", entities.unescape("".join(run))).strip()
-                if line:
-                    out.append(line)
-            run = []
-            if p is not None:
-                text(p, out)
+            if node.skip:
+                continue
+            gone = drop.get(id(node), ())
+            own, run = [], []
+            for p in [*node.parts, None]:
+                if isinstance(p, str):
+                    run.append(p)
+                    continue
+                if run and gone is not None:
+                    line = WHITE.sub(" ", entities.unescape("".join(run))).strip()
+                    if line and not (gone and _hash(line) in gone):
+                        own.append(line)
+                run = []
+                if p is not None:
+                    own.append(p)
+            todo += reversed(own)
         return out
 
-    def places(node: Node, tags: tuple[str, ...]):
-        for c in node.children:
+    def places(tag: str):
+        todo = root.children[::-1]
+        while todo:
+            c = todo.pop()
             if c.skip:
                 continue
-            if c.tag in tags:
+            if c.tag == tag:
                 yield c
             else:
-                yield from places(c, tags)
+                todo += reversed(c.children)
 
-    for tags in (("article",), ("main",)):
-        found = [text(n, []) for n in places(root, tags)]
+    for tag in ("article", "main"):
+        found = [text(n) for n in places(tag)]
         if any(found):
             return max(found, key=lambda t: sum(map(len, t)))
-    return text(root, [])
+    return text(root)
 
 
 def extract_articles(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_pages: int = 2) -> DataFrame:
@@ -328,7 +350,8 @@ def extract_articles(pages: DataFrame, id_col: str = "page_id", url_col: str = "
     written size; beyond that Spark joins by host and may split hot hosts. What a
     host's pages tell about its slots is combined before it is shuffled, so a host
     with a third of all pages costs no task more than others. A slot is template if
-    its text is the same on all of at least ``least_pages`` pages that hold it,
+    its text is the same on all of at least ``least_pages`` pages that hold it, a
+    block of another slot if all of at least so many pages have it there,
     while some slot outside menus, headers and the like varies on that host, or
     is not template on that page: pages that are all copies of one article keep it.
     Defined cases: a null page is empty; a null or malformed address counts as a
@@ -338,12 +361,19 @@ def extract_articles(pages: DataFrame, id_col: str = "page_id", url_col: str = "
     bounded_batches(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[^:/?#]*:?//([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"), host.alias("host"))
-    seen = rows.select("host", "html").mapInArrow(_observe, "host string, slot long, low long, high long, pages long, chars long, linked long, body long")
-    slots = seen.groupBy("host", "slot").agg(*(f(c).alias(c) for f, c in ((F.min, "low"), (F.max, "high"), (F.sum, "pages"), (F.sum, "chars"), (F.sum, "linked"), (F.sum, "body"))))
+    seen = rows.select("host", "html").mapInArrow(
+        _observe, "host string, slot long, block long, low long, high long, pages long, chars long, linked long, body long"
+    )
+    # Of what stands on one page, slots tell nothing more than that page does, and blocks are no template.
+    sums = seen.groupBy("host", "slot", "block").agg(*(f(c).alias(c) for f, c in ((F.min, "low"), (F.max, "high"), (F.sum, "pages"), (F.sum, "chars"), (F.sum, "linked"), (F.sum, "body"))))
+    sums = materialize(sums.where("pages > 1"))
+    slots = sums.where("block is null").drop("block")
     constant = (F.col("low") == F.col("high")) & (F.col("pages") >= least_pages)
-    # A slot on one page tells nothing more than that page does.
-    wrapper = slots.where("pages > 1").groupBy("host").agg(
-        F.collect_list(F.struct("slot", constant.alias("constant"), "chars", "linked")).alias("slots"), F.max(~constant & (F.col("body") > 0)).alias("varies")
+    shared = sums.where((F.col("block").isNotNull()) & (F.col("pages") >= least_pages)).select("host", "slot", "block", "pages")
+    common = shared.join(slots.where(~constant).select("host", "slot", "pages"), ["host", "slot", "pages"])
+    common = common.groupBy("host", "slot").agg(F.collect_list("block").alias("blocks"))
+    wrapper = slots.join(common, ["host", "slot"], "left").groupBy("host").agg(
+        F.collect_list(F.struct("slot", constant.alias("constant"), "chars", "linked", "blocks")).alias("slots"), F.max(~constant & (F.col("body") > 0)).alias("varies")
     )
     wrapper = materialize(wrapper)
     found = rows.join(wrapper, "host", "left")

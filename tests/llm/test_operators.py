@@ -371,6 +371,18 @@ def test_wrapper_learns_from_all_pages_of_a_host(spark):
     assert got == want | {30 + k: "Same words" for k in range(3)}
 
 
+def test_wrapper_reads_large_and_deep_pages_whole(spark):
+    odd = lambda k, j: "".join("abcdefghij"[int(c)] for c in f"{k}{j}")
+    wide = lambda k: "".join(f"<div class=w{odd(k, j)}><p>Part {k} {j}</p></div>" for j in range(5000))
+    tail = "<section><p>Some constant words at the end.</p></section>"
+    rows = [(k, "http://a.example.com/", wide(k) + tail) for k in range(2)]
+    rows += [(10 + k, "http://b.example.com/", f"<p>First of {k}</p><p>Tell us what you think.</p><p>Last of {k}</p>") for k in range(6)]
+    rows += [(20 + k, "http://c.example.com/", "<div>" * 3000 + f"Deep {k}") for k in range(2)]
+    got = {r.page_id: r.text for r in wrapper.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = {k: "\n".join(f"Part {k} {j}" for j in range(5000)) for k in range(2)}
+    assert got == want | {10 + k: f"First of {k}\nLast of {k}" for k in range(6)} | {20 + k: f"Deep {k}" for k in range(2)}
+
+
 def test_simple_tree_matching():
     t = lambda tag, *kids: [tag, 0, list(kids)]
     a, b = t("r", t("x", t("p")), t("y"), t("z")), t("r", t("x", t("q"), t("p")), t("z"))
