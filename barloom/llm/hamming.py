@@ -15,12 +15,13 @@ WIDTH = BITS // SEGMENTS
 def sign_codes(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``(id, code)``: bit i of the code is one where component i is positive.
 
-    Components beyond BITS are left out by design of the code; missing, null and NaN
-    ones count as zero bits; a null or empty vector has code zero.
+    A vector of more than BITS components is an error; missing, null and NaN ones
+    count as zero bits; a null or empty vector has code zero.
     """
     v = F.coalesce(F.col(vector_col), F.array().cast(vectors.schema[vector_col].dataType))
-    bits = f"transform(v, (x, i) -> if(i < {BITS} and x > 0 and not isnan(x), shiftleft(1L, i), 0L))"
+    bits = "transform(v, (x, i) -> if(x > 0 and not isnan(x), shiftleft(1L, i), 0L))"
     code = F.expr(f"aggregate({bits}, 0L, (a, x) -> a | x)")
+    code = F.when(F.size("v") > BITS, F.raise_error(F.lit(f"a vector has more than {BITS} components"))).otherwise(code)
     return vectors.select(F.col(id_col).alias("id"), v.alias("v")).select("id", code.alias("code"))
 
 

@@ -427,6 +427,13 @@ def test_sign_codes(spark):
     assert {r.id: r.code for r in hamming.sign_codes(d).collect()} == {1: 5, 2: 0, 3: 0, 4: 4}
 
 
+def test_sign_codes_refuse_longer_vectors(spark):
+    d = spark.createDataFrame([(1, [1.0] * 64), (2, [1.0] * 65)], "vec_id long, embedding array<float>")
+    assert [r.code for r in hamming.sign_codes(d.where("vec_id = 1")).collect()] == [-1]
+    with pytest.raises(Exception, match="more than 64 components"):
+        hamming.sign_codes(d).collect()
+
+
 def test_pages_of_the_given_table(spark):
     def article(h):
         m = re.search(r"<article>(.*?)</article>", h or "", re.S)
