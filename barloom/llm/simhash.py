@@ -143,7 +143,7 @@ def _edges(keyed: DataFrame, radius: int, overflow: bool) -> DataFrame:
 
 
 def links(nodes: DataFrame, radius: int = 3) -> DataFrame:
-    """Edges ``(a, b)`` that join distinct fingerprints at ``radius`` (at most 3) or fewer differing bits.
+    """Edges ``(a, b)`` that join distinct fingerprints at ``radius`` or fewer differing bits.
 
     The result connects the nodes as all close pairs would, without listing all
     pairs of a group. The 64 bits are split into six blocks; of close fingerprints
@@ -151,17 +151,20 @@ def links(nodes: DataFrame, radius: int = 3) -> DataFrame:
     Fingerprints of a key group larger than GROUP are told apart by further keys
     over the bits that the first left free, again three of six blocks, after which
     at most 17 bits are free: no group then exceeds 131,072 distinct fingerprints,
-    whatever the size of the input.
+    whatever the size of the input. A radius over 3 takes radius + 3 blocks, of which
+    three agree likewise; its keys are more and shorter, and that bound on a group
+    does not hold.
     """
-    if not 0 <= radius <= 3:
-        raise ValueError("six blocks cover a radius of 3 at most")
-    first = _masks(list(range(64)), 6, 3)
+    if not 0 <= radius <= 61:
+        raise ValueError("64 bits make 64 blocks at most, for a radius of 61")
+    blocks = max(6, radius + 3)
+    first = _masks(list(range(64)), blocks, 3)
     array = F.array(*[F.lit(_signed(m)) for m in first])
     keyed = nodes.select("fp", "node", F.explode(array).alias("mask")).withColumn("key", F.expr("fp & mask"))
     found = materialize(_edges(keyed, radius, True))
     over = found.where("b is null").select(F.col("a").alias("node"), "fp", "mask")
     if not over.isEmpty():
-        finer = {_signed(m): [_signed(m | x) for x in _masks([i for i in range(64) if not m >> i & 1], 6, 3)] for m in first}
+        finer = {_signed(m): [_signed(m | x) for x in _masks([i for i in range(64) if not m >> i & 1], blocks, 3)] for m in first}
         pick = F.create_map(*[x for m, more in finer.items() for x in (F.lit(m), F.array(*map(F.lit, more)))])
         again = over.select("fp", "node", F.explode(pick[F.col("mask")]).alias("mask")).withColumn("key", F.expr("fp & mask")).distinct()
         found = found.unionByName(materialize(_edges(again, radius, False)))

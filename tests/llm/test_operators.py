@@ -119,6 +119,21 @@ def test_simhash_links_connect_what_close_pairs_connect(spark, group, monkeypatc
     assert all(comp.get(i, i) == want[f] for i, f in fps)
 
 
+@pytest.mark.parametrize("group", [2048, 4])
+def test_simhash_links_of_a_larger_radius(spark, group, monkeypatch):
+    monkeypatch.setattr(simhash, "GROUP", group)
+    r = random.Random(7)
+    fps = [0, (1 << 64) - 1]
+    for _ in range(40):
+        fps.append(r.choice(fps) ^ sum(1 << b for b in r.sample(range(64), r.randint(3, 7))))
+    nodes = spark.createDataFrame([(i, f - (1 << 64) if f >> 63 else f) for i, f in enumerate(fps)], "node long, fp long")
+    comp = {x.node: x.component for x in connected_components(simhash.links(nodes, 5), "a", "b").collect()}
+    want = list(range(len(fps)))
+    for _ in fps:
+        want = [min(want[j] for j, g in enumerate(fps) if (f ^ g).bit_count() <= 5) for f in fps]
+    assert [comp.get(i, i) for i in range(len(fps))] == want
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(k, k + 1) for k in range(40)] + [(1000, 1000 + k) for k in range(1, 50)] + [(3, None), (5, 5)]
     got = dict(tuple(r) for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect())
