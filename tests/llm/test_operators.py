@@ -437,6 +437,17 @@ def test_hamming_search(spark, spread):
     assert hamming.hamming_top_k(d.limit(0), d.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n,k", [(5, 10), (10, 10), (11, 10), (40, 3)])
+def test_hamming_search_with_few_codes(spark, n, k):
+    r = random.Random(n)
+    codes = [(i, r.getrandbits(63)) for i in range(n)] + [(0, 0)]
+    d = spark.createDataFrame([(str(i), c, "q") for i, c in codes], "id string, code long, q string")
+    got = [tuple(x) for x in hamming.hamming_top_k(d, d.where("id = '3'"), k).collect()]
+    c = dict(codes)[3]
+    at = sorted(((c ^ x).bit_count(), str(i)) for i, x in codes)
+    assert sorted(got) == [("3", j + 1, i, m) for j, (m, i) in enumerate(at[:k])]
+
+
 def test_sign_codes(spark):
     d = spark.createDataFrame([(1, [1.0, -1.0, 2.0]), (2, None), (3, []), (4, [float("nan"), None, 0.5])], "vec_id long, embedding array<float>")
     assert {r.id: r.code for r in hamming.sign_codes(d).collect()} == {1: 5, 2: 0, 3: 0, 4: 4}
