@@ -1,21 +1,22 @@
 """Main-text extraction by wrapper induction over the pages of a host.
 
 A page's DOM tree is made compact: like siblings (paragraphs, list items) count as
-one node, so a node is told by its path of labels. The compact trees of all pages
-of a host are merged along these paths; a node's slot is its path, whatever
-layouts the host has. All like children of like parents share a slot, in a row or
-not, and their text blocks are told apart by hash. Over all pages that hold it, a slot whose text never changes is template, one whose text
-varies may be content but for the blocks that all those pages have. Of the varying slots, those that stand in an article's
-place and are not menus, headers, footers, sidebars, notices, adverts, forms or
-comments by their element, name or density of links make up the wrapper, which
-then extracts every page of the host.
+one node, and what is marked as no article by its element, name or being invisible is
+left out. The compact trees of all pages of a host are aligned by simple tree
+matching, and the largest match merges each into one tree per host, the wrapper, whose
+nodes are slots. Over all pages that a slot is on, a slot whose text never changes is
+template, one whose text varies is content but for the blocks that all those pages
+have. Every page is then aligned with its host's wrapper and gives the text of its
+content slots, without blocks that are mostly links.
 """
 
 from __future__ import annotations
 
 import html as entities
+import json
 import re
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -30,7 +31,7 @@ INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike "
     "strong sub sup time tt u var wbr br img".split()
 )
-ASIDE = set("nav aside footer form button dialog menu fieldset figure".split()) - {"figure"}
+ASIDE = set("nav aside footer form button dialog menu fieldset".split())
 ROLES = set("navigation banner contentinfo complementary search form menu menubar dialog alert toolbar".split())
 #: Words of a class or id that mark what is not the article.
 NAMES = set(
@@ -40,13 +41,19 @@ NAMES = set(
     "discussion disqus related recommended recommendations newsletter subscribe subscription signup login form search copyright "
     "legal disclaimer skip".split()
 )
+#: Of these, what marks an inline element too, whose names otherwise tell of the words in it.
+ADVERTS = set("ad ads adsbygoogle advert adverts advertisement advertising promo promoted promotion sponsor sponsored".split())
 #: Elements that an opening tag closes: paragraphs end at blocks, items at items.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|itemprop)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+ATTR = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 WHITE = re.compile(r"\s+")
+INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+RAW_END = {t: re.compile(f"</{t}", re.I | re.A) for t in RAW}
 #: Words of a class that tell of a layout (``has-sidebar``), not of the element itself.
 STATE = re.compile(r"\b(?:has|with|without|no|is|show|hide)-[a-z]+")
+#: Share of a host's pages below which a slot is none; forms or trees merged in one group, on average.
+RARE, FAN = 1 / 1000, 64
 
 
 class Node:
@@ -72,16 +79,27 @@ def _marks(tag: str, attrs: str, inside: bool) -> tuple[str, bool]:
             skip = skip or any(w in NAMES and not (inside and w == "header") for w in words)
         elif key == "role":
             skip = skip or value in ROLES
-        elif key == "hidden" or key == "aria-hidden" and value == "true":
+        elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and INVISIBLE.search(value):
             skip = True
-    return " ".join([tag, *names]), skip
+    return WHITE.sub(" ", " ".join([tag, *names])), skip
+
+
+def _mute(attrs: str) -> bool:
+    """Whether an inline element is an advert or invisible."""
+    for key, value in ATTR.findall(attrs):
+        key, value = key.lower(), value.strip("\"'").lower()
+        if key in ("class", "id") and not ADVERTS.isdisjoint(re.split(r"[^a-z]+", STATE.sub("", value))):
+            return True
+        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and INVISIBLE.search(value):
+            return True
+    return False
 
 
 def parse(page: str | None) -> Node:
     """The block tree of a page; inline elements dissolve into their block's text."""
     root = Node("html", "html", False)
     stack, text, links, article = [root], page or "", 0, 0
-    pos, low = 0, None
+    pos, muted = 0, []  # inline elements open since one that is not shown
 
     def close(k: int):
         nonlocal article
@@ -92,7 +110,7 @@ def parse(page: str | None) -> Node:
     while True:
         m = TAG.search(text, pos)
         chunk = text[pos : m.start() if m else len(text)]
-        if chunk:
+        if chunk and not muted:
             top = stack[-1]
             top.parts.append(chunk)
             if links:
@@ -106,6 +124,9 @@ def parse(page: str | None) -> Node:
         if m[1]:
             if tag in INLINE:
                 links -= tag == "a" and links > 0
+                if tag in muted:
+                    while muted.pop() != tag:
+                        pass
                 continue
             k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
             if k:
@@ -115,13 +136,15 @@ def parse(page: str | None) -> Node:
             if tag == "br" or tag == "hr":
                 stack[-1].parts.append(" ")
             links += tag == "a"
+            if tag not in VOID and (muted or m[3] and _mute(m[3])):
+                muted.append(tag)
             continue
         links = 0
+        muted.clear()
         if tag in RAW:
             if not m[0].endswith("/>"):
-                low = text.lower() if low is None or len(low) != len(text) else low
-                end = low.find(f"</{tag}", pos)
-                pos = len(text) if end < 0 else end
+                end = RAW_END[tag].search(text, pos)
+                pos = end.start() if end else len(text)
             continue
         if tag in ("html", "body", "head"):
             if tag == "body":
@@ -157,123 +180,220 @@ def blocks(node: Node) -> list[str]:
     return out
 
 
-def compact(root: Node) -> tuple[list[int], list[bool], list[list[Node]]]:
-    """The tree with like siblings as one node. Per node its slot (a hash of its path of labels), whether
-    neither it nor what it stands in is marked as no article, and its elements."""
-    slots, body, groups = [], [], []
-    todo = [(0, True, [root])]
+def compact(root: Node) -> tuple[str, list[list[Node]]]:
+    """The tree with like siblings as one node and without marked elements: its form, a line of depth and label a node
+    in document order; and each node's elements."""
+    lines, groups = [], []
+    todo = [(0, [root])]
     while todo:
-        path, inside, nodes = todo.pop()
-        path = xxhash.xxh64_intdigest(nodes[0].label, path)
-        inside = inside and not any(n.skip for n in nodes)
-        slots.append(path - (1 << 63))
-        body.append(inside)
+        depth, nodes = todo.pop()
+        lines.append(f"{depth} {nodes[0].label}")
         groups.append(nodes)
         kids: dict[str, list[Node]] = {}
         for n in nodes:
             for c in n.children:
-                kids.setdefault(c.label, []).append(c)
-        todo += [(path, inside, k) for k in kids.values()]
-    return slots, body, groups
-
-
-def match(a: list, b: list, memo: dict) -> int:
-    """Simple tree matching: the size of the largest top-down, order-keeping match of two trees."""
-    if a[0] != b[0]:
-        return 0
-    key = id(a), id(b)
-    if key not in memo:
-        rows = [[0] * (len(b[2]) + 1)]
-        for x in a[2]:
-            row = [0]
-            for j, y in enumerate(b[2]):
-                row.append(max(rows[-1][j + 1], row[j], rows[-1][j] + match(x, y, memo)))
-            rows.append(row)
-        memo[key] = (rows[-1][-1] + 1, rows)
-    return memo[key][0]
-
-
-def align(a: list, b: list) -> list[int]:
-    """For every node of ``a`` in preorder, the preorder number of its partner in ``b`` under the largest match, or -1."""
-    memo: dict = {}
-    match(a, b, memo)
-    number, at = {}, [0]
-
-    def count(t):
-        number[id(t)] = at[0]
-        at[0] += 1
-        for c in t[2]:
-            count(c)
-
-    count(b)
-    out: list[int] = []
-
-    def walk(x, y):
-        out.append(number[id(y)] if y is not None else -1)
-        pair = {}
-        if y is not None:
-            rows = memo[id(x), id(y)][1]
-            i, j = len(x[2]), len(y[2])
-            while i and j:
-                if rows[i][j] == rows[i - 1][j]:
-                    i -= 1
-                elif rows[i][j] == rows[i][j - 1]:
-                    j -= 1
+                if not c.skip:
+                    kids.setdefault(c.label, []).append(c)
+        todo += [(depth + 1, k) for k in reversed(kids.values())]
+    return "\n".join(lines), groups
+
+
+class Tree:
+    """A labelled ordered tree with the number of pages of each node, as lists by node; node 0 is the root."""
+
+    def __init__(self, form: str, pages: int | None = None):
+        """Of a form whose nodes are all on ``pages`` pages, or of what :meth:`text` gave."""
+        self.label: list[str] = []
+        self.kids: list[list[int]] = []
+        self.pages: list[int] = []
+        path: list[int] = []
+        for line in form.split("\n"):
+            depth, rest = line.split(" ", 1)
+            n, rest = (pages, rest) if pages is not None else rest.split(" ", 1)
+            del path[int(depth) :]
+            self.add(path[-1] if path else None, rest, int(n))
+            path.append(len(self.label) - 1)
+
+    def add(self, parent: int | None, label: str, pages: int, place: int | None = None) -> int:
+        new = len(self.label)
+        self.label.append(label)
+        self.kids.append([])
+        self.pages.append(pages)
+        if parent is not None:
+            kids = self.kids[parent]
+            kids.insert(len(kids) if place is None else place, new)
+        return new
+
+    def text(self, least: float = 0) -> str:
+        """All nodes on ``least`` pages or more, in document order."""
+        lines, todo = [], [(0, 0)]
+        while todo:
+            depth, n = todo.pop()
+            if self.pages[n] >= least:
+                lines.append(f"{depth} {self.pages[n]} {self.label[n]}")
+                todo += [(depth + 1, k) for k in reversed(self.kids[n])]
+        return "\n".join(lines)
+
+    def merge(self, other: Tree) -> None:
+        """Take in another tree: matched nodes add their pages, the rest is inserted behind its neighbour's partner."""
+        partner = align(other, self)
+        if partner[0] < 0:
+            return
+        for n in range(len(other.label)):  # parents come before their children
+            at = partner[n]
+            self.pages[at] += other.pages[n]
+            if all(partner[k] >= 0 for k in other.kids[n]):
+                continue
+            order, place, fresh = {k: i for i, k in enumerate(self.kids[at])}, 0, 0
+            for k in other.kids[n]:
+                if partner[k] >= 0:
+                    place = order[partner[k]] + 1
                 else:
-                    pair[i - 1] = y[2][j - 1]
-                    i, j = i - 1, j - 1
-        for k, c in enumerate(x[2]):
-            walk(c, pair.get(k))
-
-    walk(a, b if a[0] == b[0] else None)
-    return out
+                    partner[k] = self.add(at, other.label[k], 0, place + fresh)
+                    fresh += 1
+
+
+def increasing(pairs: list[tuple[int, int]], weight: list[int], width: int) -> list[int]:
+    """Numbers of the pairs ``(i, j)`` of the heaviest chain that rises in both places; pairs sorted by i, then by falling j."""
+    if all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:])):
+        return list(range(len(pairs)))
+    best = [(0, -1)] * (width + 1)  # heaviest chain that ends below a place, kept by a binary indexed tree
+    back = []
+    for n, (_, j) in enumerate(pairs):
+        top, at = (0, -1), j
+        while at > 0:
+            top = max(top, best[at])
+            at -= at & -at
+        back.append(top[1])
+        mine, at = (top[0] + weight[n], n), j + 1
+        while at <= width:
+            best[at] = max(best[at], mine)
+            at += at & -at
+    n, at = (0, -1), width
+    while at > 0:
+        n = max(n, best[at])
+        at -= at & -at
+    n, out = n[1], []
+    while n >= 0:
+        out.append(n)
+        n = back[n]
+    return out[::-1]
+
+
+def align(a: Tree, b: Tree) -> list[int]:
+    """Simple tree matching: for every node of ``a`` its partner in ``b`` under the largest top-down, order-keeping match, or -1."""
+    partner = [-1] * len(a.label)
+    if a.label[0] != b.label[0]:
+        return partner
+    pairs, below = [(0, 0)], []  # pairs of nodes whose parents pair, and of each the pairs of its children
+    for x, y in pairs:
+        at: dict[str, list[int]] = {}
+        for j in range(len(b.kids[y]) - 1, -1, -1):
+            at.setdefault(b.label[b.kids[y][j]], []).append(j)
+        found = [(i, j) for i, k in enumerate(a.kids[x]) for j in at.get(a.label[k], ())]
+        below.append((len(pairs), found))
+        pairs += [(a.kids[x][i], b.kids[y][j]) for i, j in found]
+    size, chosen = [1] * len(pairs), [()] * len(pairs)
+    for n in range(len(pairs) - 1, -1, -1):
+        start, found = below[n]
+        if found:
+            chosen[n] = [start + k for k in increasing(found, size[start : start + len(found)], len(b.kids[pairs[n][1]]))]
+            size[n] += sum(size[k] for k in chosen[n])
+    todo = [0]
+    while todo:
+        n = todo.pop()
+        partner[pairs[n][0]] = pairs[n][1]
+        todo += chosen[n]
+    return partner
 
 
 def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
-def _own(groups: list[list[Node]]):
-    """Per compact node its elements' text blocks and the share of linked characters."""
-    for nodes in groups:
-        found = [x for n in nodes for x in blocks(n)]
-        yield found, sum(n.link for n in nodes)
+def _own(nodes: list[Node]) -> tuple[list[str], int]:
+    """Text blocks of a compact node's elements and the number of linked characters."""
+    return [x for n in nodes for x in blocks(n)], sum(n.link for n in nodes)
+
+
+def _digest(batches):
+    """Of every page its host, its form, and per node the hashes of its blocks, its characters and linked characters."""
+    for b in batches:
+        out = [[], [], [], [], []]
+        for host, page in zip(*(c.to_pylist() for c in b.columns)):
+            form, groups = compact(parse(page))
+            own = [_own(g) for g in groups]
+            row = (host, form, [[_hash(x) for x in found] for found, _ in own], [sum(map(len, found)) for found, _ in own], [link for _, link in own])
+            for x, y in zip(out, row):
+                x.append(y)
+        kinds = [pa.string(), pa.string(), pa.list_(pa.list_(pa.int64())), pa.list_(pa.int32()), pa.list_(pa.int32())]
+        yield pa.record_batch([pa.array(x, t) for x, t in zip(out, kinds)], ["host", "form", "blocks", "chars", "linked"])
+
+
+def _merged(table: pa.Table) -> pa.Table:
+    """The trees of a host's group as one, the most frequent form first; slots too rare to matter are left out."""
+    rows = sorted(zip(*(table.column(c).to_pylist() for c in ("pages", "tree", "whole"))), key=lambda r: (-r[0], r[1]))
+    tree = None
+    for n, text, whole in rows:
+        one = Tree(text, None if whole else n)
+        if tree is None:
+            tree = one
+        else:
+            tree.merge(one)
+    text = tree.text(tree.pages[0] * RARE / 4)
+    return pa.table({"host": table.column("host").slice(0, 1), "pages": pa.array([tree.pages[0]], pa.int64()), "tree": [text]})
+
+
+def _slots(known: dict, tree: str, form: str) -> list[int]:
+    """For every node of a page's form its slot in the host's wrapper, or -1; remembered for forms that come again."""
+    if len(known) > 2000:
+        known.clear()
+    key = tree, form
+    if key not in known:
+        if tree not in known:
+            known[tree] = Tree(tree)
+        known[key] = align(Tree(form, 1), known[tree])
+    return known[key]
 
 
 def _observe(batches):
     """Per host and slot: smallest and largest hash of its text, number of pages, characters and linked characters;
-    per host, slot and block that may be of an article: number of pages."""
+    per host, slot and block: number of pages."""
+    known: dict = {}
     for b in batches:
         seen: dict[tuple, list] = {}
-        for host, page in zip(*(c.to_pylist() for c in b.columns)):
-            slots, body, groups = compact(parse(page))
-            for slot, inside, nodes, (found, link) in zip(slots, body, groups, _own(groups)):
-                if found:
-                    text = "\n".join(found)
-                    h = _hash(text)
-                    s = seen.setdefault((host, slot, None), [h, h, 0, 0, 0, 0])
-                    s[:] = min(s[0], h), max(s[1], h), s[2] + 1, s[3] + len(text), s[4] + link, s[5] + inside
-                    for x in set(found) if not all(n.skip for n in nodes) else ():
-                        seen.setdefault((host, slot, _hash(x)), [0, 0, 0, 0, 0, 0])[2] += 1
-        keys, values = list(zip(*seen)) or [()] * 3, list(zip(*seen.values())) or [()] * 6
-        kinds = [pa.string(), *[pa.int64()] * 8]
-        names = ["host", "slot", "block", "low", "high", "pages", "chars", "linked", "body"]
+        for host, tree, form, blocks_, chars, linked in zip(*(c.to_pylist() for c in b.columns)):
+            for slot, found, size, link in zip(_slots(known, tree, form), blocks_, chars, linked):
+                if found and slot >= 0:
+                    h = xxhash.xxh64_intdigest(np.array(found, np.int64).tobytes()) - (1 << 63)
+                    s = seen.setdefault((host, slot, None), [h, h, 0, 0, 0])
+                    s[:] = min(s[0], h), max(s[1], h), s[2] + 1, s[3] + size, s[4] + link
+                    for x in set(found):
+                        seen.setdefault((host, slot, x), [0, 0, 0, 0, 0])[2] += 1
+        keys, values = list(zip(*seen)) or [()] * 3, list(zip(*seen.values())) or [()] * 5
+        kinds = [pa.string(), pa.int32(), *[pa.int64()] * 6]
+        names = ["host", "slot", "block", "low", "high", "pages", "chars", "linked"]
         yield pa.record_batch([pa.array(c, t) for c, t in zip([*keys, *values], kinds)], names)
 
 
 def _extract(batches):
+    known, role = {}, {}
     for b in batches:
         for at in range(0, b.num_rows, 256):
             ids, urls, texts = [], [], []
-            for i, url, page, roles, varies in zip(*(c.to_pylist() for c in b.slice(at, 256).columns)):
+            for i, url, page, tree, told, varies in zip(*(c.to_pylist() for c in b.slice(at, 256).columns)):
                 root = parse(page)
-                roles = {s["slot"]: s for s in roles or ()}
+                if told not in role:
+                    role.clear()
+                    role[told] = {s["slot"]: s | {"blocks": set(s.get("blocks") or ())} for s in json.loads(told or "[]")}
+                roles = role[told]
                 drop: dict[int, set | None] = {}  # elements whose own text is no article
                 template: dict[int, set | None] = {}  # elements whose own text, or these blocks of it, are template
-                slots, body, groups = compact(root)
-                for slot, inside, nodes, (found, link) in zip(slots, body, groups, _own(groups)):
-                    r = roles.get(slot)
-                    size, linked = sum(map(len, found)), link
+                form, groups = compact(root)
+                slots = _slots(known, tree, form) if tree else [-1] * len(groups)
+                for slot, nodes in zip(slots, groups):
+                    found, linked = _own(nodes)
+                    size, r = sum(map(len, found)), roles.get(slot)
                     if r:
                         size, linked = r["chars"], r["linked"]
                     if size and linked > 0.5 * size:
@@ -281,10 +401,10 @@ def _extract(batches):
                     elif r and r["constant"]:
                         template |= dict.fromkeys(map(id, nodes))
                     else:
-                        common = set(r["blocks"] or ()) if r else set()
+                        common = r["blocks"] if r else ()
                         if common:
                             template |= dict.fromkeys(map(id, nodes), common)
-                        varies = varies or inside and any(_hash(x) not in common for x in found)
+                        varies = varies or any(_hash(x) not in common for x in found)
                 ids.append(i)
                 urls.append(url)
                 texts.append("\n".join(article(root, template | drop if varies else drop)))
@@ -342,40 +462,68 @@ def article(root: Node, drop: dict[int, set | None]) -> list[str]:
     return text(root)
 
 
+def wrappers(digest: DataFrame) -> DataFrame:
+    """``(host, tree)``: the merged tree of each host's pages.
+
+    Equal forms count once, with their pages. What is left is merged in groups of some
+    FAN forms, those groups' trees again, and so on, so no task meets more than a
+    group, whatever the number of forms of a host. Slots on less than a quarter of RARE
+    of a tree's pages are left out on the way: a tree stays as small as that share
+    allows, and one that is on RARE of all pages cannot get lost in it.
+    """
+    forms = digest.groupBy("host", F.col("form").alias("tree")).agg(F.count("*").alias("pages"))
+    forms = materialize(forms.withColumns({"bucket": F.pmod(F.xxhash64("tree"), F.lit(1 << 30)), "whole": F.lit(False)}))
+    most = forms.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+    parts = 1
+    while parts * FAN < most:
+        parts *= FAN
+    trees = forms
+    while True:
+        group = trees.withColumn("bucket", F.col("bucket") % parts).groupBy("host", "bucket")
+        merged = group.applyInArrow(lambda key, t: _merged(t).append_column("bucket", pa.array([key[1].as_py()], pa.int64())), "host string, pages long, tree string, bucket long")
+        if parts == 1:
+            return materialize(merged.select("host", "tree"))
+        trees = materialize(merged.withColumn("whole", F.lit(True)))
+        parts //= FAN
+
+
 def extract_articles(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_pages: int = 2) -> DataFrame:
     """``(page_id, url, text)`` of every page.
 
-    Two passes over the pages, neither of which shuffles them where the hosts'
-    wrappers (a few kilobytes a host) are small enough to broadcast by their
-    written size; beyond that Spark joins by host and may split hot hosts. What a
-    host's pages tell about its slots is combined before it is shuffled, so a host
-    with a third of all pages costs no task more than others. A slot is template if
-    its text is the same on all of at least ``least_pages`` pages that hold it, a
-    block of another slot if all of at least so many pages have it there,
-    while some slot outside menus, headers and the like varies on that host, or
-    is not template on that page: pages that are all copies of one article keep it.
+    Pages are read twice: for their digest (form and hashes of blocks), from which
+    wrappers are built and slots observed, and for their text. Neither pass shuffles
+    them where the hosts' wrappers (a few kilobytes a host) are small enough to
+    broadcast by their written size; beyond that Spark joins by host and may split hot
+    hosts. What a host's pages tell about its slots is combined before it is shuffled,
+    so a host with a third of all pages costs no task more than others. A slot is
+    template if its text is the same on all of at least ``least_pages`` pages, and RARE
+    of the host's pages, that hold it; a block of another slot if all of at least so
+    many pages have it there; while some slot varies on that host, or is not template
+    on that page: pages that are all copies of one article keep it.
     Defined cases: a null page is empty; a null or malformed address counts as a
-    host of its own; a page without article gives the empty text; repeated pages
-    give repeated rows; an empty table gives no rows; other columns are ignored.
+    host of its own; a host with one page has no template; a page without article
+    gives the empty text; repeated pages give repeated rows; an empty table gives no
+    rows; other columns are ignored.
     """
     bounded_batches(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[^:/?#]*:?//([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"), host.alias("host"))
-    seen = rows.select("host", "html").mapInArrow(
-        _observe, "host string, slot long, block long, low long, high long, pages long, chars long, linked long, body long"
+    digest = materialize(rows.where("html != ''").select("host", "html").mapInArrow(_digest, "host string, form string, blocks array<array<long>>, chars array<int>, linked array<int>"))
+    trees = wrappers(digest)
+    seen = digest.join(trees, "host").select("host", "tree", "form", "blocks", "chars", "linked").mapInArrow(
+        _observe, "host string, slot int, block long, low long, high long, pages long, chars long, linked long"
     )
     # Of what stands on one page, slots tell nothing more than that page does, and blocks are no template.
-    sums = seen.groupBy("host", "slot", "block").agg(*(f(c).alias(c) for f, c in ((F.min, "low"), (F.max, "high"), (F.sum, "pages"), (F.sum, "chars"), (F.sum, "linked"), (F.sum, "body"))))
+    sums = seen.groupBy("host", "slot", "block").agg(*(f(c).alias(c) for f, c in ((F.min, "low"), (F.max, "high"), (F.sum, "pages"), (F.sum, "chars"), (F.sum, "linked"))))
     sums = materialize(sums.where("pages > 1"))
     slots = sums.where("block is null").drop("block")
     constant = (F.col("low") == F.col("high")) & (F.col("pages") >= least_pages)
     shared = sums.where((F.col("block").isNotNull()) & (F.col("pages") >= least_pages)).select("host", "slot", "block", "pages")
     common = shared.join(slots.where(~constant).select("host", "slot", "pages"), ["host", "slot", "pages"])
     common = common.groupBy("host", "slot").agg(F.collect_list("block").alias("blocks"))
-    wrapper = slots.join(common, ["host", "slot"], "left").groupBy("host").agg(
-        F.collect_list(F.struct("slot", constant.alias("constant"), "chars", "linked", "blocks")).alias("slots"), F.max(~constant & (F.col("body") > 0)).alias("varies")
+    told = slots.join(common, ["host", "slot"], "left").groupBy("host").agg(
+        F.to_json(F.collect_list(F.struct("slot", constant.alias("constant"), "chars", "linked", "blocks"))).alias("slots"), F.max(~constant).alias("varies")
     )
-    wrapper = materialize(wrapper)
-    found = rows.join(wrapper, "host", "left")
+    found = rows.join(materialize(trees.join(told, "host")), "host", "left")
     kind = rows.schema["page_id"].dataType.simpleString()
-    return found.select("page_id", "url", "html", "slots", "varies").mapInArrow(_extract, f"page_id {kind}, url string, text string")
+    return found.select("page_id", "url", "html", "tree", "slots", "varies").mapInArrow(_extract, f"page_id {kind}, url string, text string")

@@ -399,10 +399,57 @@ def test_wrapper_reads_large_and_deep_pages_whole(spark):
 
 
 def test_simple_tree_matching():
-    t = lambda tag, *kids: [tag, 0, list(kids)]
-    a, b = t("r", t("x", t("p")), t("y"), t("z")), t("r", t("x", t("q"), t("p")), t("z"))
-    assert wrapper.match(a, b, {}) == 4
+    tree = lambda form: wrapper.Tree("\n".join(form.split(",")), 1)
+    a, b = tree("0 r,1 x,2 p,1 y,1 z"), tree("0 r,1 x,2 q,2 p,1 z")
     assert wrapper.align(a, b) == [0, 1, 3, -1, 4]
+    assert wrapper.align(tree("0 r"), tree("0 s")) == [-1]
+    b.merge(a)
+    assert b.text() == "0 2 r\n1 2 x\n2 1 q\n2 2 p\n1 1 y\n1 2 z"
+    assert wrapper.Tree(b.text()).text(2) == "0 2 r\n1 2 x\n2 2 p\n1 2 z"
+
+    def brute(a, x, b, y):  # the largest match by the table of prefixes
+        if a.label[x] != b.label[y]:
+            return 0
+        rows = [[0] * (len(b.kids[y]) + 1)]
+        for i in a.kids[x]:
+            row = [0]
+            for k, j in enumerate(b.kids[y]):
+                row.append(max(rows[-1][k + 1], row[k], rows[-1][k] + brute(a, i, b, j)))
+            rows.append(row)
+        return rows[-1][-1] + 1
+
+    r = random.Random(12)
+    for _ in range(300):
+        one, two = (wrapper.Tree("0 r", 1) for _ in range(2))
+        for t in (one, two):
+            for _ in range(r.randint(0, 12)):
+                t.add(r.randrange(len(t.label)), r.choice("abc"), 1)
+        got = wrapper.align(one, two)
+        assert sum(x >= 0 for x in got) == brute(one, 0, two, 0)
+        up = {k: n for t in (two,) for n, ks in enumerate(t.kids) for k in ks}
+        for n, ks in enumerate(one.kids):
+            there = [got[k] for k in ks if got[k] >= 0]
+            assert all(up[k] == got[n] for k in there) and there == sorted(there, key=two.kids[got[n]].index if there else None)
+        size = len(two.label)
+        two.merge(one)
+        assert len(two.label) == size + sum(x < 0 for x in got) and sum(two.pages) == len(one.label) + size
+
+
+def test_wrapper_trees_merge_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(wrapper, "FAN", 2)
+    forms = [f"0 html\n1 div a\n1 div {c}\n1 p" for c in "bcdefghij"] * 3
+    d = spark.createDataFrame([("h", f) for f in forms], "host string, form string")
+    got = wrapper.wrappers(d).collect()
+    tree = wrapper.Tree(got[0].tree)
+    assert len(got) == 1 and sorted(zip(tree.label, tree.pages)) == sorted([("html", 27), ("div a", 27), ("p", 27)] + [(f"div {c}", 3) for c in "bcdefghij"])
+
+
+def test_wrapper_drops_what_is_not_shown(spark):
+    body = "<p>Words <span class='ad-slot'>Buy <b>now</b></span>of {k}<i hidden>no</i> here</p><div style='color:red; display: none'>no</div><p class=x style='visibility:hidden'>no</p>"
+    rows = [(k, "http://a.example.com/", body.replace("{k}", str(k)) + "<script>İİİİ</SCRIPT>" + "İ" * 30 + "<script>x</script><p>Important text after") for k in range(3)]
+    rows.append((9, "http://b.example.com/", "<div>" * 10_000 + "Deep" + "</div>" * 10_000))
+    got = {r.page_id: r.text for r in wrapper.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[9] == "Deep" and got[1].split("\n")[0] == "Words of 1 here" and "no" not in got[1] and wrapper.article(wrapper.parse(rows[1][2]), {})[-1] == "Important text after"
 
 
 def test_preferences(spark):
