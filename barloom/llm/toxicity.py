@@ -19,10 +19,10 @@ LETTERS = re.compile(r"[^\W\d_]+")
 LONG, SHARED = 40, 5
 #: Words of a window, words between the starts of overlapping windows.
 WINDOW, STRIDE = 32, 16
-#: Inputs per word, width of each direction's state.
-WIDTH, STATE = 6, 8
-#: Labelled rows of each class that are learnt from at most; vocabulary sizes.
-SAMPLE, WORDS, GRAMS = 1500, 4000, 8000
+#: Width of a word's own embedding and of that of its characters, of both together, and of each direction's state.
+HALF, WIDTH, STATE = 4, 8, 8
+#: Labelled rows of each class that are learnt from at most, and under which none is kept from choosing words; vocabulary sizes.
+SAMPLE, FEW, WORDS, GRAMS = 1500, 200, 4000, 8000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -102,8 +102,9 @@ class BiGru:
         return pooled @ self.p["out"] + self.p["bias"], (x, s, a, pooled, kf, kb)
 
     def backward(self, dlogit, memo):
+        """Gradients of the parameters by name, and of the inputs."""
         x, s, a, pooled, kf, kb = memo
-        p, k, grad = self.p, STATE, {}
+        p, k, grad, inputs = self.p, STATE, {}, np.zeros_like(x)
         grad["bias"], grad["out"] = dlogit.sum(keepdims=True), pooled.T @ dlogit
         dpool = dlogit[:, None] * p["out"]
         da = (s * dpool).sum(2)
@@ -121,42 +122,54 @@ class BiGru:
                 dg = np.concatenate([dz, dr, dn], 1)
                 du = np.concatenate([dz, dr, dn * r], 1)
                 W += x[t].T @ dg
+                inputs[t] += dg @ p[f"W{d}"].T
                 c += dg.sum(0)
                 U += h.T @ du
                 dh = dh * z + du @ p[f"U{d}"].T
             grad |= {f"W{d}": W, f"U{d}": U, f"c{d}": c}
-        return grad
+        return grad, inputs
 
 
 class ToxicityModel:
-    """Word and character vocabularies with their weights, and the network over them."""
+    """Word and character vocabularies, each with learnt embeddings, and the network over them.
 
-    def __init__(self, words: dict[str, float], chars: dict[str, float], net: BiGru):
-        self.words, self.chars, self.net = words, chars, net
+    Row 0 of the word embeddings stands for every word outside the vocabulary.
+    """
+
+    def __init__(self, words: dict[str, float], chars: dict[str, float], net: BiGru, seed: int = 7):
+        """Vocabularies come with log odds, at which each embedding's first place starts; the others start at random."""
+        r = np.random.default_rng(seed)
+        self.words = {w: k for k, w in enumerate(words, 1)}
+        self.chars = {g: k for k, g in enumerate(chars)}
+        start = lambda odds: np.column_stack([np.array(odds, np.float32) / 4, r.standard_normal((len(odds), HALF - 1)) * 0.1]).astype(np.float32)
+        self.word_rows, self.char_rows = start([0.0, *words.values()]), start([*chars.values()])
+        self.net = net
         self.start()
 
     def start(self):
         self.memory: dict[str, int] = {}
-        self.vectors = [np.zeros(WIDTH, np.float32)]  # number 0: a word that no input marks
-        self.table = np.zeros((1, WIDTH), np.float32)
+        self.vectors = [np.concatenate([self.word_rows[0], np.zeros(HALF, np.float32)])]  # number 0: a word that no input marks
+        self.table = np.stack(self.vectors)
 
     def __getstate__(self):
-        return {"words": self.words, "chars": self.chars, "net": self.net}
+        return {k: self.__dict__[k] for k in ("words", "chars", "word_rows", "char_rows", "net")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
         self.start()
 
+    def rows(self, word: str) -> tuple[int, list[int]]:
+        """A word's row among the word embeddings, and the rows of its character runs."""
+        known = self.chars
+        return self.words.get(word, 0), sorted({known[g] for g in grams(word) if g in known})
+
     def vector(self, word: str) -> np.ndarray:
-        """Inputs of a word: its own log odds, and the largest, sum and number of its character runs' log odds."""
-        w = self.words.get(word, 0.0)
-        marks = self.chars
-        found = [g for g in grams(word) if g in marks]
-        if not w and not found:
+        """Inputs of a word: its own embedding, and the sum of its character runs' embeddings by the root of their number."""
+        own, runs = self.rows(word)
+        if not own and not runs:
             return self.vectors[0]
-        found = sorted((marks[g] for g in set(found)), reverse=True)
-        x = [w / 4, w > 0, (found[0] if found else 0) / 4, (found[1] if len(found) > 1 else 0) / 4, min(len(found), 8) / 4, len(word[:20]) / 20]
-        return np.array(x, np.float32)
+        chars = self.char_rows[runs].sum(0) / np.sqrt(len(runs), dtype=np.float32) if runs else np.zeros(HALF, np.float32)
+        return np.concatenate([self.word_rows[own], chars])
 
     def number(self, word: str) -> int:
         if len(self.memory) > 300_000:
@@ -238,10 +251,12 @@ class ToxicityModel:
 
 
 def fit(texts: list[str | None], toxic: list[int], seed: int = 7, epochs: int = 6) -> ToxicityModel:
-    """Train on labelled texts: vocabularies by log odds, then the network on windows by gradient descent (Adam).
+    """Train on labelled texts: vocabularies by log odds, then embeddings and network on windows by gradient descent (Adam).
 
-    A toxic text teaches by its most marked window, a clean one by its most marked
-    window and one drawn at random. Without rows of both classes every score is the
+    Every other text of a class chooses the vocabularies, the rest teach: a word that
+    stands in toxic texts by chance is then no sure mark in those. A toxic text teaches
+    by its most marked window, a clean one by its most marked window and one drawn at
+    random. Where a class has under FEW texts, all serve both ends. Without rows of both classes every score is the
     share of toxic rows, 0 if there are none.
     """
     n1 = sum(toxic)
@@ -251,12 +266,16 @@ def fit(texts: list[str | None], toxic: list[int], seed: int = 7, epochs: int =
         model.net.p["bias"][:] = 30 if n1 else -30
         model.net.p["out"][:] = 0
         return model
+    turn = {y: [k for k, v in enumerate(toxic) if v == y] for y in (0, 1)}
+    step = 2 if min(n0, n1) >= FEW else 1
+    choosing = {k for ks in turn.values() for k in ks[::step]}
+    teaching = [k for k in range(len(texts)) if k not in choosing or step == 1]
     number: dict[str, int] = {}
     own = [np.unique(np.array([number.setdefault(w, len(number)) for w in words_of(x)], np.int64)) for x in texts]
-    toxic_rows = [w for w, y in zip(own, toxic) if y]
-    clean_rows = [w for w, y in zip(own, toxic) if not y]
+    toxic_rows, clean_rows = ([own[k] for k in turn[y] if k in choosing] for y in (1, 0))
+    n1, n0 = len(toxic_rows), len(clean_rows)
     names = list(number)
-    model.words = {names[k]: v for k, v in _weights(toxic_rows, clean_rows, n1, n0, WORDS, 4.5)}
+    weights = {names[k]: v for k, v in _weights(toxic_rows, clean_rows, n1, n0, WORDS, 4.5)}
     runs: dict[int, np.ndarray] = {}
 
     def chars(row):
@@ -264,35 +283,62 @@ def fit(texts: list[str | None], toxic: list[int], seed: int = 7, epochs: int =
 
     marks = dict(_weights([chars(w) for w in toxic_rows], map(chars, clean_rows), n1, n0, GRAMS, 5.5))
     seen = (names[k] for k in np.unique(np.concatenate(toxic_rows)).tolist())
-    model.chars = {g: marks[n] for w in seen for g in grams(w) if (n := zlib.crc32(g.encode())) in marks}
-    del own, toxic_rows, clean_rows, runs, names, number
+    odds = {g: marks[n] for w in seen for g in grams(w) if (n := zlib.crc32(g.encode())) in marks}
+    del own, toxic_rows, clean_rows, runs
+    model = ToxicityModel(weights, odds, BiGru(seed), seed)
+    rows = [model.rows(w) for w in names]
+    mark = np.array([weights.get(w, 0.0) + max((odds[g] for g in grams(w) if g in odds), default=0.0) if row[0] or row[1] else 0.0 for w, row in zip(names, rows)] + [0.0])
     r = np.random.default_rng(seed)
     picked, labels = [], []
-    for x, y in zip(texts, toxic):
-        w = model.windows(model.numbers(x))
-        table = np.array([v[0] + v[2] for v in model.vectors])
-        marked = np.where(w >= 0, table[np.maximum(w, 0)], 0).sum(1)
-        picks = [int(marked.argmax())] + ([int(r.integers(len(w)))] if not y else [])
-        picked += [w[k] for k in picks]
+    for k in teaching:
+        y, w = toxic[k], model.windows(np.array([number[v] for v in words_of(texts[k])], np.int32))
+        picks = [int(mark[w].sum(1).argmax())] + ([int(r.integers(len(w)))] if not y else [])
+        picked += [w[i] for i in picks]
         labels += [y] * len(picks)
-    x, mask = model.inputs(np.array(picked))
-    y = np.array(labels, np.float32)
+    _descend(model, np.array(picked), np.array(labels, np.float32), rows, r, epochs)
+    return model
+
+
+def _descend(model: ToxicityModel, windows: np.ndarray, y: np.ndarray, rows: list[tuple[int, list[int]]], r, epochs: int) -> None:
+    """Train the network and both tables of embeddings on labelled windows of words, whose embeddings' rows are given."""
+    mask = (windows >= 0).T.astype(np.float32)
+    marked = [k for k in np.unique(windows).tolist() if k >= 0 and (rows[k][0] or rows[k][1])]
+    kind = np.zeros(len(rows) + 1, np.int64)  # 0 for all that nothing marks, and for no word
+    kind[marked] = np.arange(1, len(marked) + 1)
+    windows = kind[windows]
+    own = np.array([0, *(rows[k][0] for k in marked)])
+    flat = np.array([x for k in marked for x in rows[k][1]], np.int64)
+    of = np.repeat(np.arange(1, len(marked) + 1), [len(rows[k][1]) for k in marked])
+    scale = (1 / np.sqrt(np.maximum(np.bincount(of, minlength=len(own)), 1))).astype(np.float32)[of, None]
     net, step = model.net, 0
-    m = {k: np.zeros_like(v) for k, v in net.p.items()}
-    s = {k: np.zeros_like(v) for k, v in net.p.items()}
+    p = net.p | {"words": model.word_rows, "chars": model.char_rows}
+    m = {k: np.zeros_like(v) for k, v in p.items()}
+    s = {k: np.zeros_like(v) for k, v in p.items()}
     for epoch in range(epochs):
         order = r.permutation(len(y))
         for at in range(0, len(y), 100):
             pick = order[at : at + 100]
-            logit, memo = net.forward(x[:, pick], mask[:, pick])
+            table = np.zeros((len(own), WIDTH), np.float32)
+            table[:, :HALF] = p["words"][own]
+            np.add.at(table[:, HALF:], of, p["chars"][flat] * scale)
+            w = windows[pick]
+            net.p = {k: p[k] for k in net.p}
+            logit, memo = net.forward(np.ascontiguousarray(table[w].transpose(1, 0, 2)), mask[:, pick])
             d = (1 / (1 + np.exp(-logit)) - y[pick]) / len(pick)
-            grad, step = net.backward(d.astype(np.float32), memo), step + 1
+            (grad, inputs), step = net.backward(d.astype(np.float32), memo), step + 1
+            down = np.zeros_like(table)
+            np.add.at(down, w.T.ravel(), (inputs * mask[:, pick, None]).reshape(-1, WIDTH))
+            grad |= {"words": np.zeros_like(p["words"]), "chars": np.zeros_like(p["chars"])}
+            np.add.at(grad["words"], own, down[:, :HALF])
+            np.add.at(grad["chars"], flat, down[of, HALF:] * scale)
             rate = 0.02 * (1 - epoch / (epochs + 1))
             for k, g in grad.items():
                 m[k] = 0.9 * m[k] + 0.1 * g
                 s[k] = 0.99 * s[k] + 0.01 * g * g
-                net.p[k] = (net.p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
-    return model
+                p[k] = (p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+    net.p = {k: p[k] for k in net.p}
+    model.word_rows, model.char_rows = p["words"], p["chars"]
+    model.start()
 
 
 def held_out(doc_id) -> F.Column:

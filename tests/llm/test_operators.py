@@ -326,6 +326,42 @@ def test_toxicity_reads_long_letter_runs_to_their_end():
         assert all(any(w[i : i + 6] in p for p in pieces) for i in range(n - 5))
 
 
+def test_toxicity_score_is_the_largest_of_all_windows():
+    import numpy as np
+
+    r = random.Random(13)
+    clean, bad = ["river", "stone", "paper", "window"], ["nasty", "nastiness", "vile"]
+    texts = [" ".join(r.choice(clean + bad * (i % 2)) for _ in range(r.randint(1, 90))) for i in range(240)]
+    model = toxicity.fit(texts[:160], [i % 2 for i in range(160)])
+    start = toxicity.ToxicityModel({}, {}, toxicity.BiGru()).word_rows
+    assert len(model.word_rows) > 1 and np.abs(model.word_rows[1:, 1:]).max() > 0.3 and np.isfinite(model.char_rows).all() and start.shape == (1, toxicity.HALF)
+    p = {k: v.astype(float) for k, v in model.net.p.items()}
+    sig = lambda x: 1 / (1 + np.exp(-x))
+
+    def one_window(words):
+        """The network over one window, word by word."""
+        x = [np.asarray(model.vector(w), float) for w in words] + [np.asarray(model.vectors[0], float)] * (toxicity.WINDOW - len(words))
+        states = {}
+        for d in "fb":
+            h, k = np.zeros(toxicity.STATE), toxicity.STATE
+            for t in range(len(x)) if d == "f" else reversed(range(len(x))):
+                g, u = x[t] @ p[f"W{d}"] + p[f"c{d}"], h @ p[f"U{d}"]
+                z, q = sig(g[:k] + u[:k]), sig(g[k : 2 * k] + u[k : 2 * k])
+                h = z * h + (1 - z) * np.tanh(g[2 * k :] + q * u[2 * k :])
+                states[t, d] = h
+        s = [np.concatenate([states[t, "f"], states[t, "b"]]) for t in range(len(x))]
+        a = np.exp([v @ p["att"] - (30 if t >= len(words) else 0) for t, v in enumerate(s)])
+        return sig((sum(w * v for w, v in zip(a, s)) / a.sum()) @ p["out"] + p["bias"][0])
+
+    for text in [*texts[160:190], "", None, "river"]:
+        words = re.findall("[a-z]+", text or "")
+        at = [0]
+        while at[-1] + toxicity.WINDOW < len(words):
+            at.append(at[-1] + toxicity.STRIDE)
+        want = max(one_window(words[k : k + toxicity.WINDOW]) for k in at)
+        assert model.score([text])[0] == pytest.approx(want, abs=1e-4)
+
+
 def test_network_gradient():
     import numpy as np
 
@@ -335,7 +371,14 @@ def test_network_gradient():
     x, mask = r.standard_normal((7, 3, toxicity.WIDTH)), np.ones((7, 3))
     mask[5:, 1] = 0
     logit, memo = net.forward(x, mask)
-    grad = net.backward(np.ones(3), memo)
+    grad, inputs = net.backward(np.ones(3), memo)
+    for at in ((0, 0, 0), (4, 1, 3), (6, 2, 7)):
+        was, sums = x[at], []
+        for step in (1e-5, -1e-5):
+            x[at] = was + step
+            sums.append(net.forward(x, mask)[0].sum())
+        x[at] = was
+        assert inputs[at] == pytest.approx((sums[0] - sums[1]) / 2e-5, rel=2e-3, abs=2e-4)
     for name in ("Wf", "Ub", "att", "out", "cf", "bias"):
         at = tuple(0 for _ in net.p[name].shape)
         was, step = net.p[name][at], 1e-5
