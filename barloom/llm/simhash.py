@@ -16,17 +16,23 @@ from .graph import connected_components
 SEED = 42
 #: A group of fingerprints under one key is compared in memory up to this size; larger ones go by finer keys.
 GROUP = 2048
+#: The same for fingerprints of several words, and the bits of their blocks, so many of which fit a word.
+LARGE_GROUP, BLOCK, PER_WORD = 16384, 12, 5
+#: For near copies, words of a fingerprint, and the bits of it in which texts of similarity 0.8 differ, 38.7 on average, and a deviation more.
+COPY_WORDS, COPY_RADIUS = 4, 44
 
 
-def fingerprint(text: str | None, width: int = 3) -> int:
-    """The 64-bit SimHash of the ``width``-word shingles, repeats included; zero for a text without words.
+def fingerprint(text: str | None, width: int = 3, words: int = 1) -> tuple[int, ...]:
+    """The SimHash of the ``width``-word shingles, repeats included, as ``words`` numbers of 64 bits; zero for a text without words.
 
-    A bit is one if it is set in over half of the shingles' XXH64 values. Fewer
-    words than ``width`` make one shingle.
+    A bit is one if it is set in over half of the shingles' values: the first word's
+    value is the XXH64 value, the others' are mixed from it. Fewer words than ``width``
+    make one shingle.
     """
+    n_words = words
     words = (text or "").encode().lower().split()  # bytes: A-Z alone change, ASCII white space splits
     if not words:
-        return 0
+        return (0,) * n_words
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
@@ -35,25 +41,43 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     else:
         starts, ends = starts[:1], ends[-1:]
     of = xxhash.xxh64_intdigest
-    counts, n = np.zeros(64, np.int64), len(starts)
+    counts, n = np.zeros(64 * n_words, np.int64), len(starts)
     for at in range(0, n, 65536):  # so many at a time, for bounded memory with very long texts
         h = np.array([of(line[s:e], SEED) for s, e in zip(starts[at : at + 65536].tolist(), ends[at : at + 65536].tolist())], np.uint64)
-        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        h = np.stack([_mixed(h, k) for k in range(n_words)], 1)
+        for row in range(0, len(h), 255):  # so many bits add up within a byte
+            bits = np.unpackbits(h[row : row + 255].view(np.uint8), axis=1, bitorder="little")
+            counts += bits.sum(0, dtype=np.uint8)
     bits = np.packbits(counts * 2 > n, bitorder="little")
-    return int(bits.view(np.uint64)[0])
+    return tuple(bits.view(np.uint64).tolist())
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """``(id, fp)`` of every row, fp as a signed long."""
+def _mixed(h: np.ndarray, k: int) -> np.ndarray:
+    """The values themselves for word 0; for word k other values that follow from them."""
+    if k:
+        h = h + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+        for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            h = (h ^ h >> np.uint64(shift)) * np.uint64(by)
+        h ^= h >> np.uint64(31)
+    return h
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, words: int = 1) -> DataFrame:
+    """``(id, fp)`` of every row, fp as a signed long; of several words ``(id, fp, fp1, ...)``."""
+    names = _names(words)
 
     def run(batches):
         for b in batches:
-            fp = np.array([fingerprint(x.as_py(), width) for x in b.column(1)], np.uint64)
-            yield pa.record_batch([b.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
+            fp = np.array([fingerprint(x.as_py(), width, words) for x in b.column(1)], np.uint64).reshape(-1, words).view(np.int64)
+            yield pa.record_batch([b.column(0), *(pa.array(fp[:, k]) for k in range(words))], ["id", *names])
 
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, {', '.join(f'{n} long' for n in names)}")
+
+
+def _names(words: int) -> list[str]:
+    return ["fp", *(f"fp{k}" for k in range(1, words))]
 
 
 def _masks(bits: list[int], blocks: int, same: int) -> list[int]:
@@ -75,7 +99,7 @@ def _near(fp: np.ndarray, node: np.ndarray, radius: int):
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             i = queue.pop()
-            close = np.bitwise_count(fp[left] ^ fp[i]) <= radius
+            close = np.bitwise_count(fp[left] ^ fp[i]).sum(1, dtype=np.int64) <= radius
             if close.any():
                 got = left[close]
                 out_a += [node[i]] * len(got)
@@ -85,15 +109,17 @@ def _near(fp: np.ndarray, node: np.ndarray, radius: int):
     return out_a, out_b
 
 
-def _edges(keyed: DataFrame, radius: int, overflow: bool) -> DataFrame:
-    """Edges within each group of equal ``(mask, key)``; ``over`` rows where a group is larger than GROUP.
+def _edges(keyed: DataFrame, radius: int, most: int | None, words: int = 1) -> DataFrame:
+    """Edges within each group of equal ``(mask, key)``; rows without ``b`` where a group is larger than ``most``.
 
-    Rows arrive sorted by key. Memory holds one Arrow batch and at most GROUP rows
+    Rows arrive sorted by key. Memory holds one Arrow batch and at most that many rows
     of an open group; the rows of a larger group are passed on one by one.
     """
+    names = _names(words)
 
     def run(batches):
-        mask, key, fp, node = (np.empty(0, np.int64) for _ in range(4))
+        mask, key, node = (np.empty(0, np.int64) for _ in range(3))
+        fp = np.empty((0, words), np.int64)
         big = None  # (mask, key) of the group now being passed on
 
         def out(a, b, m, f, n):
@@ -104,9 +130,9 @@ def _edges(keyed: DataFrame, radius: int, overflow: bool) -> DataFrame:
                         pa.array(np.concatenate([np.asarray(a, np.int64), n])),
                         pa.array([*b, *[None] * len(n)], pa.int64()),
                         pa.array([*[None] * k, *m.tolist()], pa.int64()),
-                        pa.array([*[None] * k, *f.tolist()], pa.int64()),
+                        *(pa.array([*[None] * k, *f[:, w].tolist()], pa.int64()) for w in range(words)),
                     ],
-                    ["a", "b", "mask", "fp"],
+                    ["a", "b", "mask", *names],
                 )
 
         def flush(last: bool):
@@ -118,7 +144,7 @@ def _edges(keyed: DataFrame, radius: int, overflow: bool) -> DataFrame:
                 if s == e:
                     continue
                 open_end = e == len(mask) and not last
-                if big == (mask[s], key[s]) or overflow and e - s > GROUP:
+                if big == (mask[s], key[s]) or most is not None and e - s > most:
                     over.append(np.arange(s, e))
                     big = (mask[s], key[s])
                 elif not open_end:
@@ -134,12 +160,13 @@ def _edges(keyed: DataFrame, radius: int, overflow: bool) -> DataFrame:
 
         for batch in batches:
             new = [np.asarray(c) for c in batch.columns]
-            mask, key, fp, node = (np.concatenate(x) for x in zip((mask, key, fp, node), new))
+            mask, key, node = (np.concatenate(x) for x in zip((mask, key, node), new))
+            fp = np.concatenate((fp, np.stack(new[3:], 1)))
             yield from flush(False)
         yield from flush(True)
 
-    parts = keyed.repartition("mask", "key").sortWithinPartitions("mask", "key", "fp")
-    return parts.select("mask", "key", "fp", "node").mapInArrow(run, "a long, b long, mask long, fp long")
+    parts = keyed.repartition("mask", "key").sortWithinPartitions("mask", "key", *names)
+    return parts.select("mask", "key", "node", *names).mapInArrow(run, f"a long, b long, mask long, {', '.join(f'{n} long' for n in names)}")
 
 
 def links(nodes: DataFrame, radius: int = 3) -> DataFrame:
@@ -161,20 +188,51 @@ def links(nodes: DataFrame, radius: int = 3) -> DataFrame:
     first = _masks(list(range(64)), blocks, 3)
     array = F.array(*[F.lit(_signed(m)) for m in first])
     keyed = nodes.select("fp", "node", F.explode(array).alias("mask")).withColumn("key", F.expr("fp & mask"))
-    found = materialize(_edges(keyed, radius, True))
+    found = materialize(_edges(keyed, radius, GROUP))
     over = found.where("b is null").select(F.col("a").alias("node"), "fp", "mask")
     if not over.isEmpty():
         finer = {_signed(m): [_signed(m | x) for x in _masks([i for i in range(64) if not m >> i & 1], blocks, 3)] for m in first}
         pick = F.create_map(*[x for m, more in finer.items() for x in (F.lit(m), F.array(*map(F.lit, more)))])
         again = over.select("fp", "node", F.explode(pick[F.col("mask")]).alias("mask")).withColumn("key", F.expr("fp & mask")).distinct()
-        found = found.unionByName(materialize(_edges(again, radius, False)))
+        found = found.unionByName(materialize(_edges(again, radius, None)))
+    return found.where("b is not null").select("a", "b")
+
+
+def long_links(nodes: DataFrame, radius: int, words: int) -> DataFrame:
+    """Edges ``(a, b)`` between fingerprints of several words that share a block and differ in ``radius`` or fewer bits.
+
+    ``radius`` or fewer bits over PER_WORD * words blocks: fewer than that many leave a
+    block alike for certain; for more, as similarity 0.8 needs, the share of pairs
+    that have none alike is (1 - a**BLOCK) ** blocks, where a is the share of equal bits
+    (5 in 100 at a = 0.85, 1 in 100 at 0.87). Rows of a block's value that more than
+    LARGE_GROUP fingerprints have go on to pairs of blocks, which keeps the same share
+    of pairs once more. Edges connect a group's fingerprints as all its close pairs
+    would, without listing them.
+    """
+    blocks = [F.struct(F.lit(PER_WORD * k + b).cast("long").alias("mask"), F.expr(f"shiftrightunsigned({n}, {BLOCK * b}) & {(1 << BLOCK) - 1}L").alias("key")) for k, n in enumerate(_names(words)) for b in range(PER_WORD)]
+    names = _names(words)
+    keyed = nodes.select("node", *names, F.explode(F.array(*blocks)).alias("x")).select("node", *names, "x.*")
+    found = materialize(_edges(keyed, radius, LARGE_GROUP, words))
+    over = found.where("b is null").select(F.col("a").alias("node"), *names, "mask")
+    if not over.isEmpty():
+        pairs = F.transform(F.array(*blocks), lambda y: F.struct(
+            (F.least("mask", y["mask"]) * len(blocks) + F.greatest("mask", y["mask"])).alias("mask"),
+            F.when(y["mask"] < F.col("mask"), y["key"] * (1 << BLOCK) + F.col("own")).otherwise(F.col("own") * (1 << BLOCK) + y["key"]).alias("key"),
+            (y["mask"] != F.col("mask")).alias("other"),
+        ))
+        own = F.element_at(F.array(*blocks), (F.col("mask") + 1).cast("int"))["key"]
+        again = over.withColumn("own", own).select("node", *names, F.explode(pairs).alias("x")).where("x.other").select("node", *names, "x.mask", "x.key").distinct()
+        found = found.unionByName(materialize(_edges(again, radius, None, words)))
     return found.where("b is not null").select("a", "b")
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, width: int = 3) -> DataFrame:
+def simhash_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 3, width: int = 3, words: int = 1
+) -> DataFrame:
     """One row per input row: ``(id, fingerprint, component_id)``.
 
-    ``fingerprint`` is 16 lowercase hex digits; ``component_id`` is the smallest id
+    ``fingerprint`` is 16 lowercase hex digits a word; links of one word are exact
+    (:func:`links`), those of several words are found by blocks (:func:`long_links`); ``component_id`` is the smallest id
     reachable over links of ``radius`` or fewer differing bits, itself included.
     Equal fingerprints are merged before the search, so a group of copies costs one
     node. Defined cases: null and wordless texts have the fingerprint zero and link
@@ -183,11 +241,11 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     repeated rows and ties change nothing; an empty table gives no rows; other
     columns are ignored.
     """
-    fps = materialize(fingerprints(docs, id_col, text_col, width))
-    nodes = materialize(fps.where("id is not null").groupBy("fp").agg(F.min("id").alias("node")))
-    pairs = links(nodes, radius)
+    names = _names(words)
+    fps = materialize(fingerprints(docs, id_col, text_col, width, words))
+    nodes = materialize(fps.where("id is not null").groupBy(*names).agg(F.min("id").alias("node")))
+    pairs = links(nodes, radius) if words == 1 else long_links(nodes, radius, words)
     comp = connected_components(pairs, "a", "b")
-    named = nodes.join(comp, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return fps.join(named, "fp", "left").select(
-        "id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    named = nodes.join(comp, "node", "left").select(*names, F.coalesce("component", "node").alias("component_id"))
+    digits = F.concat(*(F.lpad(F.lower(F.hex(n)), 16, "0") for n in names))
+    return fps.join(named, names, "left").select("id", digits.alias("fingerprint"), "component_id")

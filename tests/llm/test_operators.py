@@ -134,6 +134,41 @@ def test_simhash_links_of_a_larger_radius(spark, group, monkeypatch):
     assert [comp.get(i, i) for i in range(len(fps))] == want
 
 
+def brute_copies(rows):
+    """Class by id: the smallest id reachable over pairs within the radius that share a block."""
+    fp = {i: simhash.fingerprint(t, 5, 4) for i, t in rows if i is not None}
+    block = {f: {(k, b, w >> 12 * b & 4095) for k, w in enumerate(f) for b in range(5)} for f in fp.values()}
+    want = {}
+    for i in sorted(fp):
+        near = {want[j] for j in want if block[fp[i]] & block[fp[j]] and sum((x ^ y).bit_count() for x, y in zip(fp[i], fp[j])) <= simhash.COPY_RADIUS}
+        want = {j: min(near) if c in near else c for j, c in want.items()} | {i: min(near, default=i)}
+    return want
+
+
+@pytest.mark.parametrize("group", [16384, 8])
+def test_simhash_of_several_words(spark, group, monkeypatch):
+    monkeypatch.setattr(simhash, "LARGE_GROUP", group)  # 8: some blocks go on in pairs
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
+    texts = []
+    for k in range(40):
+        base = [word() for _ in range(r.randint(120, 400))]
+        for _ in range(4):
+            texts.append((len(texts), " ".join(word() if r.random() < 0.008 else w for w in base)))
+    texts += [(1000 + k, " ".join(word() for _ in range(k))) for k in range(30)] + [(2000, None), (2001, "  "), (None, texts[0][1])]
+    got = {x.id: x for x in simhash.simhash_components(spark.createDataFrame(rows_of(texts), DOCS), radius=simhash.COPY_RADIUS, width=5, words=4).collect()}
+    assert len(got) == len(texts) and all(len(x.fingerprint) == 64 for x in got.values())
+    want = brute_copies(texts)
+    found = {i: x.component_id for i, x in got.items() if i is not None}
+    assert all(want[i] == want[c] for i, c in found.items())
+    assert found == want if group > 8 else sum(found[i] == want[i] for i in want) > 0.9 * len(want)
+    assert sum(found[k] == k // 4 * 4 for k in range(160)) > 150 and all(found[1000 + k] == 1000 + k for k in range(1, 30))
+    assert found[2001] == found[2000] == found[1000] == 1000 and got[None].component_id == 0
+    w = texts[5][1].split()
+    h = [xxhash.xxh64_intdigest(" ".join(w[k : k + 5]).encode(), 42) for k in range(len(w) - 4)]
+    assert simhash.fingerprint(texts[5][1], 5, 4)[0] == sum(1 << b for b in range(64) if sum(x >> b & 1 for x in h) * 2 > len(h))
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(k, k + 1) for k in range(40)] + [(1000, 1000 + k) for k in range(1, 50)] + [(3, None), (5, 5)]
     got = dict(tuple(r) for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect())

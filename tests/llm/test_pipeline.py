@@ -7,11 +7,21 @@ import corpus_pipeline
 from barloom.llm import mixing, queries, toxicity
 from barloom.llm.common import materialize, table
 
-from .test_operators import brute_components, brute_fingerprint, lower
+from .test_operators import brute_copies, lower
 
 SF = "/root/testdata/sf0.001"
 
 
+def similar(rows):
+    """Pairs of ids whose five-word shingles have a Jaccard similarity of 0.8 or more."""
+    sets = {}
+    for i, t in rows:
+        w = lower(t).encode().split()
+        if i is not None and len(w) > 4:
+            sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    return [(x, y) for x in sets for y in sets if x < y and len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])]
+
+
 def test_stages(spark):
     import sentencepiece
 
@@ -35,8 +45,10 @@ def test_stages(spark):
     assert docs.columns == seen and Counter(docs.collect()) == Counter(r for r in was if best[lower(r.text)] == r.doc_id)
 
     was, docs = docs.collect(), materialize(steps["simhash"](spark, docs, SF))
-    comp = brute_components([(r.doc_id, brute_fingerprint(r.text)) for r in was])
-    assert docs.columns == seen and Counter(docs.collect()) == Counter(r for r in was if comp.get(brute_fingerprint(r.text)) == r.doc_id)
+    comp = brute_copies([(r.doc_id, r.text) for r in was])
+    assert docs.columns == seen and Counter(docs.collect()) == Counter(r for r in was if comp.get(r.doc_id) == r.doc_id and (r.doc_id is not None or all((x.text or "").strip() or x.doc_id is None for x in was)))
+    near, kept = similar([(r.doc_id, r.text or "") for r in was]), {r.doc_id for r in docs.collect()}
+    assert near and sum(not {x, y} <= kept for x, y in near) > 0.9 * len(near)  # of real near copies one goes
 
     was, docs = docs.collect(), materialize(steps["mixing"](spark, docs, SF))
     sizes, taken = Counter(), Counter()
