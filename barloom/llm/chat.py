@@ -50,17 +50,17 @@ def _rendered(turn: Column) -> Column:
 
 def _completion(turns: Column) -> Column:
     """Text of the turns, and the spans of it (in code points) to learn: the words and the end mark of assistant turns."""
-    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("n"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
+    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
 
     def add(done: Column, turn: Column) -> Column:
-        text = _rendered(turn)
-        end = done["n"] + F.length(text)
+        end = done["n"] + F.length(_rendered(turn))
         head = F.length(turn["role"]) + len("<|im_start|>\n")
         span = F.struct((done["n"] + head).alias("start"), (end - 1).alias("end"))
         spans = F.when(turn["role"] == "assistant", F.concat(done["spans"], F.array(span))).otherwise(done["spans"])
-        return F.struct(F.concat(done["text"], text).alias("text"), end.alias("n"), spans.alias("spans"))
+        return F.struct(end.alias("n"), spans.alias("spans"))
 
-    return F.aggregate(turns, start, add, lambda x: F.struct(x["text"].alias("text"), x["spans"].alias("mask")))
+    text = F.array_join(F.transform(turns, _rendered), "")
+    return F.struct(text.alias("text"), F.aggregate(turns, start, add, lambda x: x["spans"]).alias("mask"))
 
 
 def format_preferences(convs: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -16,10 +16,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Only where the session names none, as in tests, a temporary folder is set.
+    Only where the session names none and runs in one process, as in tests, a
+    temporary folder is set; executors elsewhere would not see it, so there it is an error.
     """
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not found and not sc.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not found:
         found = tempfile.mkdtemp(prefix="barloom-")
         sc.setCheckpointDir(found)

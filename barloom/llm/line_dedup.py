@@ -141,7 +141,7 @@ def dedup_lines(
     Defined cases: a null text counts as empty (one empty line); a null id is not
     compared and stays whole; equal ids with different texts are not compared with
     each other; repeated rows have the same result; an empty table gives no rows;
-    other columns are ignored.
+    other columns are ignored. Ids are whole numbers.
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
@@ -164,7 +164,8 @@ def dedup_lines(
     out = rows.join(gone, ["id", "tag"], "left")
     lines = F.split("t", "\n", -1)
     removed = F.coalesce("removed", none)
-    kept = F.filter(lines, lambda x, k: ~F.array_contains(removed, k))
-    return out.select(
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed)
+    kept = F.transform(stay, lambda k: F.get(F.col("lines"), k))
+    return out.withColumn("lines", lines).select(
         "id", F.size(lines).cast("long").alias("n_lines"), removed.alias("removed"), F.when(F.size(removed) == 0, F.col("t")).otherwise(F.array_join(kept, "\n")).alias("kept"), F.coalesce("partners", F.lit(0)).cast("long").alias("partners")
     )

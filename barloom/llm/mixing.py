@@ -14,6 +14,8 @@ from .common import WORD, materialize
 BINS = 4096
 #: Rows up to which a table of patterns or sources, whose rows the driver has counted, is broadcast.
 SMALL = 20_000
+#: Sets of sources up to which the flow is routed, on the driver; more are an error.
+MOST_PATTERNS = 10_000
 
 
 def water_fill(sizes: dict, weights: dict, total: float, ceiling: float = 2.0) -> dict:
@@ -108,7 +110,7 @@ def mix(
     words by weight; no target exceeds ``repeats`` times its source's size.
     Documents are aggregated by their set of sources (pattern); one row per distinct
     set goes to the driver, a figure of the source catalogue and not of the
-    documents. A min-cost flow routes the patterns' words to the sources' quotas, at
+    documents; over MOST_PATTERNS sets are an error. A min-cost flow routes the patterns' words to the sources' quotas, at
     costs that rise by repetition. Each pattern then gives whole documents in a
     seeded order until its flow is met; ``mix_copies`` (0 to ``repeats``) says how
     often each. A pattern ends within half a document of its flow.
@@ -128,7 +130,10 @@ def mix(
     rows = rows.withColumn("_mix_bin", F.shiftrightunsigned("_mix_h", 64 - BINS.bit_length() + 1).cast("int"))
     bins = materialize(rows.groupBy("_mix_p", "_mix_bin").agg(F.sum("mix_size").alias("words")))
 
-    supply = {p: int(n) for p, n in bins.groupBy("_mix_p").agg(F.sum("words")).collect()}
+    sums = bins.groupBy("_mix_p").agg(F.sum("words"))
+    if sums.limit(MOST_PATTERNS + 1).count() > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} sets of sources: group the sources first, as by domain or language")
+    supply = {p: int(n) for p, n in sums.collect()}
     member = {p: json.loads(p) for p in supply}
     sizes: dict = {}
     for p, n in supply.items():

@@ -75,10 +75,9 @@ def op5_toxicity(spark, sf_dir):
 
 def op6_mixing(spark, sf_dir):
     rows, plan = mix(table(spark, sf_dir, "documents"), F.array("source"))
-    plan = plan.select(F.col("source").alias("s"), F.col("size").alias("source_size"), "target")
-    return rows.join(plan, F.col("source").eqNullSafe(F.col("s"))).select(
-        "doc_id", F.col("mix_size").alias("size"), "source_size", "target", (F.col("mix_size") * F.col("mix_copies")).alias("taken")
-    )
+    rows = rows.select("doc_id", F.col("source").alias("of"), F.col("mix_size").alias("size"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
+    plan = plan.withColumnRenamed("size", "source_size")
+    return rows.join(plan, F.col("of").eqNullSafe(F.col("source"))).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op7_exact_dedup(spark, sf_dir):

@@ -239,7 +239,7 @@ def simhash_components(
     like any other; a row with a null id keeps its fingerprint and takes the
     component of its fingerprint, null if no row with an id has that fingerprint;
     repeated rows and ties change nothing; an empty table gives no rows; other
-    columns are ignored.
+    columns are ignored. Ids are whole numbers.
     """
     names = _names(words)
     fps = materialize(fingerprints(docs, id_col, text_col, width, words))

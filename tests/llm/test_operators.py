@@ -595,3 +595,85 @@ def test_pages_of_the_given_table(spark):
     d = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = Counter((r.page_id, r.text) for r in wrapper.extract_articles(d).collect())
     assert got == Counter((r.page_id, article(r.html)) for r in d.collect())
+
+
+def test_registered_queries_give_the_contract_columns(spark, tmp_path):
+    """Each query over written tables with nulls, empty texts, repeats and columns whose names clash with its own."""
+    r = random.Random(17)
+    line = lambda: " ".join(r.choice(WORDS).strip() for _ in range(12))
+    shared = line() + line()
+    docs = [(i, "\n".join([line(), shared] if i % 3 else [line()]), "src" + str(i % 2) if i % 5 else None, "x", 1, 2.0, 3, 4) for i in range(30)]
+    docs += [(100, None, "src0", "x", 1, 2.0, 3, 4), (101, "", None, "x", 1, 2.0, 3, 4), (102, "".join(c.swapcase() if c.isascii() else c for c in docs[1][1]), "src1", "x", 1, 2.0, 3, 4)]
+    sf = str(tmp_path)
+    write = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{sf}/{name}.parquet")
+    write("documents", docs, "doc_id long, text string, source string, id string, s int, target double, source_size int, size int")
+    write("labels", [(i, 0, int(i % 4 == 0)) for i in range(30)] + [(None, 0, 1), (5, 1, None)], "doc_id long, quality int, toxic int")
+    write("pages", [(1, "http://a.x/", "<article><p>One &amp; two</p></article>", "h", "t"), (2, None, None, "h", "t"), (3, "http://a.x/", "", "h", "t")], "page_id long, url string, html string, host string, text string")
+    write("embeddings", [(i, [r.gauss(0, 1) for _ in range(64)], 5) for i in range(45)] + [(60, None, 5), (None, [1.0], 5)], "vec_id long, embedding array<double>, id long")
+    write("conversations", [(c, k, "user" if k % 2 == 0 else "assistant", f"turn {k} {c if k > 1 else ''}", 1) for c in range(6) for k in range(4)] + [(9, 0, None, None, 1), (None, 0, "user", "x", 1)], "conv_id long, turn int, role string, text string, chosen int")
+    run = {n: q(spark, sf) for n, q in queries.QUERIES.items()}
+    rows = {n: q.collect() for n, q in run.items()}
+    kinds = {n: dict(q.dtypes) for n, q in run.items()}
+    expected = {
+        "op2_wrapper": "page_id bigint url string text string n_chars bigint",
+        "op3_sentencepiece": "doc_id bigint n_tokens bigint ids_sha256 string decoded_sha256 string",
+        "op4_suffix_dedup": "doc_id bigint n_bytes bigint n_removed bigint n_spans bigint kept_sha256 string",
+        "op5_toxicity": "doc_id bigint held_out boolean score double predicted int",
+        "op6_mixing": "doc_id bigint size bigint source_size bigint target double taken bigint",
+        "op7_exact_dedup": "doc_id bigint keep_id bigint group_size bigint kept boolean text_sha256 string",
+        "op10_simhash": "doc_id bigint fingerprint string component_id bigint",
+    }
+    for name, want in expected.items():
+        want = want.split()
+        assert {c: kinds[name][c] for c in want[::2]} == dict(zip(want[::2], want[1::2])), name
+    ids = sorted(d[0] for d in docs)
+    for name in ("op1_line_dedup", "op3_sentencepiece", "op4_suffix_dedup", "op5_toxicity", "op6_mixing", "op7_exact_dedup", "op10_simhash"):
+        assert sorted(x.doc_id for x in rows[name]) == ids, name
+    assert sorted((x.page_id, x.text, x.n_chars) for x in rows["op2_wrapper"]) == [(1, "One & two", 9), (2, "", 0), (3, "", 0)]
+    assert {(x.doc_id, x.keep_id) for x in rows["op7_exact_dedup"]} >= {(1, 102), (102, 102), (100, 101)}
+    text = {d[0]: d[1] or "" for d in docs}
+    first = min(i for i in range(30) if i % 3)
+    for x in rows["op4_suffix_dedup"]:
+        assert x.n_bytes == len(text[x.doc_id].encode()) and (x.n_removed > 0) == (x.doc_id < 30 and x.doc_id % 3 > 0 and x.doc_id != first), x
+    for x in rows["op1_line_dedup"]:
+        assert x.n_lines == text[x.doc_id].count("\n") + 1
+    by = Counter()
+    for x in rows["op6_mixing"]:
+        assert x["size"] == len(re.findall(r"[^\x20\x09-\x0D]+", text[x.doc_id])) and x.taken <= 2 * x["size"]
+        by[x.source_size, x.target] += x.taken
+    assert all(abs(n - t) <= 30 for (_, t), n in by.items())
+    assert all(x.held_out == (__import__("zlib").crc32(str(x.doc_id).encode()) % 5 == 0) and x.predicted == (x.score >= 0.5) for x in rows["op5_toxicity"])
+    assert Counter(x.query_id for x in rows["op9_hamming"]) == {0: 10, 20: 10, 40: 10, 60: 10}
+    assert {(x.chosen, x.rejected) for x in rows["op8_preferences"] if not x.stale} == {(0, c) for c in range(1, 6)}
+
+
+def test_mixing_refuses_too_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_PATTERNS", 3)
+    with pytest.raises(ValueError, match="sets of sources"):
+        mixing.mix(spark.createDataFrame([(i, "a b", f"s{i}") for i in range(4)], "doc_id long, text string, source string"), F.array("source"))
+
+
+def test_flow_is_the_cheapest():
+    """All ways to give whole words, at each pattern and source, against the flow's cost."""
+    from itertools import product
+
+    r = random.Random(4)
+    for _ in range(12):
+        supply = {p: r.randint(0, 2) for p in ("a", "b", "ab")}
+        quota, member = {"x": r.randint(0, 3), "y": r.randint(0, 3)}, {"a": ["x"], "b": ["y"], "ab": ["x", "y"]}
+        flow = mixing.min_cost_flow(supply, quota, member, [0, 1])
+        cost = lambda give: sum(max(0, n - supply[p]) for p, n in give.items())
+        best = None
+        for a, b, x, y in product(range(5), repeat=4):
+            give = {"a": a, "b": b, "ab": x + y}
+            if all(n <= 2 * supply[p] for p, n in give.items()) and a + x <= quota["x"] and b + y <= quota["y"]:
+                best = min(best or (9, 9), (-(a + b + x + y), cost(give)))
+        assert best == (-sum(flow.values()), cost({p: sum(v for (q, _), v in flow.items() if q == p) for p in supply}))
+
+
+def test_long_conversation(spark):
+    turns = [(c, k, "user" if k % 2 == 0 else "assistant", f"text {k}" * 5 + (str(c) if k == 700 else "")) for c in (1, 2) for k in range(1500)]
+    convs = chat.conversations(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    r = chat.format_preferences(convs, chat.opening_pairs(convs)).first()
+    assert r.n_prompt == 700 and len(r.chosen_completion["mask"]) == 400 and r.chosen_completion.text.endswith("<|im_end|>\n")
+    assert chat.format_preferences(convs.limit(0), chat.opening_pairs(convs.limit(0))).count() == 0
