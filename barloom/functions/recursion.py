@@ -63,10 +63,22 @@ def zones(rank: list, seed: str | None = None) -> list:
     return out
 
 
-def volume_zone(g: pd.DataFrame) -> pd.DataFrame:
+def spaced(flags: list[bool], gap: int) -> list[bool]:
+    """Flags without those within ``gap`` rows after one that counts."""
+    out, last = [], None
+    for i, x in enumerate(flags):
+        out.append(bool(x) and (last is None or i - last > gap))
+        last = i if out[-1] else last
+    return out
+
+
+def volume_zone(g: pd.DataFrame, gap: int = 5) -> pd.DataFrame:
+    """Zone and divergence of one instrument's volume; the same label at most once in ``gap`` rows after one that counts."""
     g = g.sort_values("trade_date")
     rank = [None if x != x else x for x in g["pct_vol_rank"].astype(float)]
-    return pd.DataFrame({"ts_code": g["ts_code"], "trade_date": g["trade_date"], "zone": zones(rank)})
+    top, bottom = spaced(g["top"].tolist(), gap), spaced(g["bottom"].tolist(), gap)
+    label = ["bottom_divergence" if b else "top_divergence" if t else None for t, b in zip(top, bottom)]
+    return g.drop(columns=["top", "bottom"]).assign(zone=zones(rank), divergence=label)
 
 
 def flow_lines(g: pd.DataFrame) -> pd.DataFrame:

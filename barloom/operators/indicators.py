@@ -125,7 +125,7 @@ def candlesticks(panel: DataFrame, stocks: DataFrame) -> DataFrame:
     """Seven candlestick flags from two bars with volume and trend context, and the strength of the first that fires."""
     o, h, l, c, v = (F.col(x) for x in ("open_qfq", "high_qfq", "low_qfq", "close_qfq", "vol"))
     lag = lambda x, n=1: F.lag(x, n).over(by_date())
-    d = enough_rows(panel, LEAST_ROWS["kpattern"]).join(F.broadcast(stocks.select("ts_code", "is_st")), "ts_code", "left")
+    d = enough_rows(panel, LEAST_ROWS["kpattern"]).join(stocks.select("ts_code", "is_st"), "ts_code", "left")
     d = d.select("ts_code", "trade_date", *[r10(F.col(x)).alias(x) for x in ("open_qfq", "high_qfq", "low_qfq", "close_qfq")], "vol", "pct_chg", F.coalesce("is_st", F.lit(0)).alias("is_st"))
     d = d.select(
         "*", rn().alias("rn"), lag(o).alias("o1"), lag(c).alias("c1"), lag(v).alias("v1"), lag(c, 10).alias("c10"), lag(c, 20).alias("c20"),
@@ -180,18 +180,16 @@ def volume(panel: DataFrame, anchor: int = 60) -> DataFrame:
     d = enough_rows(panel, LEAST_ROWS["volume"]).select("ts_code", "trade_date", "close_qfq", "vol", rn().alias("rn"))
     d = d.withColumn("ma_vol_5", r10(sma("vol", 5)))
     d = d.select("*", r10(K.pct_rank("ma_vol_5", 120)).alias("pct_vol_rank"))
-    zone = d.select("ts_code", "trade_date", "pct_vol_rank").groupBy("ts_code").applyInPandas(R.volume_zone, "ts_code string, trade_date string, zone string")
     direction = r10(weighted_slope("vol", 5) / (F.avg(F.abs("vol")).over(back(5)) + 1e-9))
     trend = F.when(F.col("rn") >= anchor + 4, F.when(direction > 0.001, "expanding").when(direction < -0.001, "shrinking").otherwise("flat"))
-    logs = d.withColumn("lv", F.when(F.col("vol") > 0, F.ln("vol")))
+    d = parted(d.withColumn("lv", F.when(F.col("vol") > 0, F.ln("vol"))), "vol")
     scale = K.mean_abs("lv", 10)
-    strength = F.when(scale < 1e-6, 0.0).otherwise(weighted_slope("lv", 10, 0.20) / scale)
-    div = divergence(d, "vol")
-    out = logs.select(
+    d = d.select(
         "ts_code", "trade_date", "ma_vol_5", F.when(F.col("ma_vol_5") > 0, F.col("vol") / F.col("ma_vol_5")).alias("volume_ratio"), "pct_vol_rank",
-        trend.alias("trend"), strength.alias("trend_strength"),
+        trend.alias("trend"), F.when(scale < 1e-6, 0.0).otherwise(weighted_slope("lv", 10, 0.20) / scale).alias("trend_strength"), "top", "bottom",
     )
-    return out.join(zone, ["ts_code", "trade_date"], "left").join(div, ["ts_code", "trade_date"], "left")
+    kept = [f"{c} {t}" for c, t in d.dtypes if c not in ("top", "bottom")]
+    return d.groupBy("ts_code").applyInPandas(lambda g: R.volume_zone(g), ", ".join([*kept, "zone string", "divergence string"]))
 
 
 def volume_regime(panel: DataFrame, anchor: int = 60, recent: int = 10) -> DataFrame:
@@ -214,22 +212,18 @@ def volume_regime(panel: DataFrame, anchor: int = 60, recent: int = 10) -> DataF
     return d.select("ts_code", "trade_date", regime.alias("regime"), score.alias("score"))
 
 
-def divergence(d: DataFrame, signal: str, window: int = 60, gap: int = 5) -> DataFrame:
-    """Days on which price and signal part within a window; the same label at most once in ``gap`` rows after one that counts."""
-    close, sig = F.col("close_qfq"), F.col(signal)
-    d = d.select("ts_code", "trade_date", "rn", r10(close).alias("close_qfq"), sig.alias("s"))
-    c = F.collect_list("close_qfq").over(back(window))
-    s = F.collect_list("s").over(back(window))
-    d = d.select("*", F.max("close_qfq").over(back(window)).alias("chi"), F.min("close_qfq").over(back(window)).alias("clo"), F.max("s").over(back(window)).alias("shi"), F.min("s").over(back(window)).alias("slo"), c.alias("cs"), s.alias("ss"))
-    d = d.where(F.col("rn") >= window)
+def parted(d: DataFrame, signal: str, window: int = 60) -> DataFrame:
+    """``d`` (with ``rn``) and whether price and signal part within a window at a row: ``top``, ``bottom``."""
+    over = back(window)
+    d = d.withColumns({"_c": r10(F.col("close_qfq")), "_s": F.col(signal)})
+    d = d.select("*", F.max("_c").over(over).alias("_chi"), F.min("_c").over(over).alias("_clo"), F.max("_s").over(over).alias("_shi"), F.min("_s").over(over).alias("_slo"), F.collect_list("_c").over(over).alias("_cs"), F.collect_list("_s").over(over).alias("_ss"))
     at = lambda a, x: F.array_position(a, F.col(x))
-    top = (at("ss", "shi") < window) & (F.col("shi") != 0) & (F.col("s") < F.col("shi")) & (F.col("close_qfq") >= r10(F.col("chi") * 0.98))
-    back_up = r10((F.col("s") - F.col("slo")) / F.abs(F.nullif("slo", F.lit(0.0)))) > 0.1
-    bottom = (at("ss", "slo") < window) & (F.col("slo") != 0) & (F.col("s") > F.col("slo")) & back_up & (F.lit(window) - at("cs", "clo") >= 3) & (F.col("close_qfq") <= r10(F.col("clo") * 1.02))
-    events = d.select("ts_code", "trade_date", "rn", F.array_compact(F.array(F.when(top, "top_divergence"), F.when(bottom, "bottom_divergence"))).alias("labels"))
-    events = events.select("ts_code", "trade_date", "rn", F.explode("labels").alias("label"))
-    kept = K.spaced(events, gap, "ts_code", "label").join(events, ["ts_code", "label", "rn"])
-    return kept.groupBy("ts_code", "trade_date").agg(F.min("label").alias("divergence"))
+    col, whole = F.col, F.col("rn") >= window
+    top = (at("_ss", "_shi") < window) & (col("_shi") != 0) & (col("_s") < col("_shi")) & (col("_c") >= r10(col("_chi") * 0.98))
+    back_up = r10((col("_s") - col("_slo")) / F.abs(F.nullif("_slo", F.lit(0.0)))) > 0.1
+    bottom = (at("_ss", "_slo") < window) & (col("_slo") != 0) & (col("_s") > col("_slo")) & back_up & (F.lit(window) - at("_cs", "_clo") >= 3) & (col("_c") <= r10(col("_clo") * 1.02))
+    no = F.lit(False)
+    return d.withColumns({"top": F.coalesce(whole & top, no), "bottom": F.coalesce(whole & bottom, no)}).drop("_c", "_s", "_chi", "_clo", "_shi", "_slo", "_cs", "_ss")
 
 
 _DDE = "ts_code string, trade_date string, ddx double, ddx2 double, flow60 double"

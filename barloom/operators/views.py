@@ -50,7 +50,7 @@ def wide(quotes: DataFrame, stocks: DataFrame, ma: DataFrame, macd: DataFrame, k
     """One row per bar with instrument data and all indicators: left joins on one key, so one shuffle of each side."""
     named = lambda d, **names: d.withColumnsRenamed(names)
     out = quotes.select(*KEYS, F.col("close_qfq").alias("close"), "pct_chg", "vol", "amount", "total_mv", "pe_ttm", "turnover_rate")
-    out = out.join(F.broadcast(stocks.select("ts_code", "stock_code", F.col("name").alias("stock_name"), "exchange", "sector", "industry", "is_st")), "ts_code", "left")
+    out = out.join(stocks.select("ts_code", "stock_code", F.col("name").alias("stock_name"), "exchange", "sector", "industry", "is_st"), "ts_code", "left")
     for d in (
         named(kp, strength="kpattern_strength"),
         pos,

@@ -9,6 +9,7 @@ from barloom.operators import bars as B
 from barloom.operators import dims as D
 from barloom.operators import indicators as M
 from barloom.sources import market as S
+from barloom.sources.store import layer
 
 from . import panel_sql as P
 from .base_sql import sql
@@ -39,6 +40,10 @@ def r6(columns: str, *floats: str) -> str:
     return ", ".join([columns, *(f"round({c}, 6) AS {c}" for c in floats)])
 
 
+#: Layers that are written once a session and read from then on: the raw one and the bars.
+LAYERS = ("cal", "daily", "basic", "flow", "adjusted", "quotes", "weekly")
+
+
 class Tables:
     """The layer tables of one run, built lazily from the given data."""
 
@@ -48,9 +53,10 @@ class Tables:
     def __getattr__(self, name: str):
         build = {
             "cal": lambda: S.trade_cal(self.spark, self.sf_dir),
-            "daily": lambda: S.ods_daily(self.spark, self.sf_dir),
-            "basic": lambda: S.ods_daily_basic(self.spark, self.sf_dir),
-            "flow": lambda: S.ods_moneyflow(self.spark, self.sf_dir),
+            "trades": lambda: S.trades(self.spark, self.sf_dir, self.cal),
+            "daily": lambda: S.ods_daily(self.trades),
+            "basic": lambda: S.ods_daily_basic(self.daily),
+            "flow": lambda: S.ods_moneyflow(self.trades),
             "stock_basic": lambda: S.ods_stock_basic(self.spark, self.sf_dir),
             "concepts": lambda: S.ods_concept_detail(self.spark, self.sf_dir),
             "dim_stock": lambda: D.dim_stock(self.stock_basic),
@@ -64,7 +70,7 @@ class Tables:
         }.get(name)
         if build is None:
             raise AttributeError(name)
-        value = build()
+        value = layer(self.spark, self.sf_dir, name, build) if name in LAYERS else build()
         setattr(self, name, value)
         return value
 

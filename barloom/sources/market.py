@@ -1,7 +1,7 @@
 """Market tables (ODS layer) derived from the order tables, so that every operator runs on given data.
 
-An instrument is a part brand, plus one pseudo-instrument ``INDEX.XX`` over all
-rows; a trading day is a weekday on which something shipped; prices are the line
+An instrument is a part brand at a hundred suppliers, so instruments grow with the
+data, plus one pseudo-instrument ``INDEX.XX`` over all rows; a trading day is a weekday on which something shipped; prices are the line
 items' unit prices with a slow triangle trend.
 """
 
@@ -18,8 +18,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _code():
-    return F.concat(F.lit("B"), F.lpad(F.substring_index("p_brand", "#", -1), 2, "0"), F.lit(".XX"))
+def _code(supplier: str):
+    """``B07.XX`` for the first hundred suppliers, ``B07-3.XX`` for a later hundred."""
+    group = F.expr(f"{supplier} div 100")
+    return F.concat(F.lit("B"), F.lpad(F.substring_index("p_brand", "#", -1), 2, "0"), F.when(group > 0, F.concat(F.lit("-"), group.cast("string"))).otherwise(""), F.lit(".XX"))
 
 
 def trade_cal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,16 +33,16 @@ def trade_cal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cal.join(opened, "cal_date", "left").select("cal_date", "is_open", "pretrade_date", "day_idx")
 
 
-def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trades(spark: SparkSession, sf_dir: str, cal: DataFrame) -> DataFrame:
     """Line items on trading days with instrument code, date, unit price and day index."""
-    cal = F.broadcast(trade_cal(spark, sf_dir).where("is_open = 1").select(F.col("cal_date").alias("trade_date"), "day_idx"))
-    part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type")
+    cal = F.broadcast(cal.where("is_open = 1").select(F.col("cal_date").alias("trade_date"), "day_idx"))
+    part = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     rows = read(spark, sf_dir, "lineitem").withColumn("trade_date", F.date_format("l_shipdate", "yyyyMMdd"))
     cents = F.round(F.col("l_extendedprice") * 100).cast("long") % 200
     px = F.lit(20.0) + cents / F.lit(100.0) + F.abs(F.col("day_idx") % 120 - 60) / F.lit(20.0)
     return rows.join(part, "l_partkey").join(cal, "trade_date").select(
-        _code().alias("ts_code"), "trade_date", "day_idx", px.alias("px"),
-        "p_type", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_linestatus",
+        _code("l_suppkey").alias("ts_code"), "trade_date", "day_idx", px.alias("px"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_linestatus",
     )
 
 
@@ -52,9 +54,8 @@ def _bars(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def ods_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw daily bars with adjustment factors; the index is summed to one row a day before anything else."""
-    rows = trades(spark, sf_dir)
+def ods_daily(rows: DataFrame) -> DataFrame:
+    """Raw daily bars of the trades with adjustment factors; the index is summed to one row a day before anything else."""
     both = _bars(rows, "ts_code", "trade_date").unionByName(_bars(rows, "trade_date").withColumn("ts_code", F.lit(INDEX)))
     w = Window.partitionBy("ts_code").orderBy("trade_date")
     pct = F.round((F.col("close") / F.lag("close").over(w) - 1) * 100, 6)
@@ -65,19 +66,18 @@ def ods_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ods_daily_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ods_daily_basic(daily: DataFrame) -> DataFrame:
     """Valuations; some market values are missing by date."""
     w = Window.partitionBy("ts_code").orderBy("trade_date").rowsBetween(Window.unboundedPreceding, 0)
-    d = ods_daily(spark, sf_dir).withColumn("total_mv", F.sum("vol").over(w) * 10)
+    d = daily.withColumn("total_mv", F.sum("vol").over(w) * 10)
     return d.select(
         "ts_code", "trade_date", "total_mv", F.when(F.col("day_idx") % 7 != 0, F.col("total_mv") * 0.6).alias("circ_mv"),
         (F.lit(10.0) + F.col("day_idx") % 30).alias("pe_ttm"), (F.col("vol") / 100).alias("turnover_rate"), F.lit(1.0).alias("volume_ratio"),
     )
 
 
-def ods_moneyflow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Money flow by side (open orders buy, finished ones sell) and trade size."""
-    rows = trades(spark, sf_dir)
+def ods_moneyflow(rows: DataFrame) -> DataFrame:
+    """Money flow of the trades by side (open orders buy, finished ones sell) and trade size."""
     q, sums = F.col("l_quantity"), []
     for side, status in (("buy", "O"), ("sell", "F")):
         for size, (lo, hi) in SIZES.items():
@@ -91,11 +91,11 @@ def ods_moneyflow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ods_stock_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The instruments: one delisted, some under special treatment, codes spread over the exchanges' prefixes."""
-    part = read(spark, sf_dir, "part").groupBy("p_brand").agg(F.min("p_type").alias("industry"))
+    part = _brands(spark, sf_dir)
     n = F.substring_index("p_brand", "#", -1).cast("int")
-    symbol = F.concat(F.element_at(F.array(*map(F.lit, ("60", "00", "30", "68", "83"))), n % 5 + 1), F.lpad(n.cast("string"), 4, "0"))
+    symbol = F.concat(F.element_at(F.array(*map(F.lit, ("60", "00", "30", "68", "83"))), n % 5 + 1), F.lpad(((n + F.expr("supplier div 100") * 100) % 10000).cast("string"), 4, "0"))
     return part.select(
-        _code().alias("ts_code"), symbol.alias("symbol"),
+        _code("supplier").alias("ts_code"), symbol.alias("symbol"),
         F.when(n % 11 == 0, F.concat(F.lit("ST "), "p_brand")).otherwise(F.col("p_brand")).alias("name"), F.lit("area").alias("area"), "industry",
         F.element_at(F.array(*map(F.lit, ("SSE", "SZSE", "BSE"))), n % 3 + 1).alias("exchange"), F.lit("19950101").alias("list_date"),
         F.when(n == 13, "20000101").alias("delist_date"),
@@ -104,5 +104,13 @@ def ods_stock_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ods_concept_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Concept membership: part types by brand."""
-    part = read(spark, sf_dir, "part")
-    return part.select(F.col("p_type").alias("concept_name"), _code().alias("ts_code")).distinct()
+    part = read(spark, sf_dir, "part").select("p_type", "p_brand").distinct()
+    return part.join(_brands(spark, sf_dir), "p_brand").select(F.col("p_type").alias("concept_name"), _code("supplier").alias("ts_code"))
+
+
+def _brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(p_brand, industry, supplier)``: each brand with the first supplier of every hundred; the brands are a short list."""
+    brand = read(spark, sf_dir, "part").groupBy("p_brand").agg(F.min("p_type").alias("industry"))
+    hundred = read(spark, sf_dir, "supplier").select((F.expr("s_suppkey div 100") * 100).alias("supplier")).distinct()
+    brand = brand.agg(F.collect_list(F.struct("p_brand", "industry")).alias("b"))
+    return hundred.join(F.broadcast(brand)).select("supplier", F.inline("b"))
