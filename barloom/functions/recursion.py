@@ -47,6 +47,30 @@ def macd_lines(g: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out | {"b_dif": b_dif, "b_dea": b_dea, "b_bar": [2 * (a - b) for a, b in zip(b_dif, b_dea)]})
 
 
+def trend_lines(g: pd.DataFrame, fast: int, slow: int, signal: int) -> pd.DataFrame:
+    """MACD lines of one instrument's closes that start at the first value."""
+    g = g.sort_values("trade_date")
+    close = g["close"].tolist()
+    dif = [a - b for a, b in zip(ewm_array(close, fast), ewm_array(close, slow))]
+    dea = ewm_array(dif, signal)
+    return g.assign(b_dif=dif, b_dea=dea, b_bar=[2 * (a - b) for a, b in zip(dif, dea)])
+
+
+def seeded_macd_lines(g: pd.DataFrame) -> pd.DataFrame:
+    """:func:`macd_lines`' lines continued from the last stored ones (``seed_*``, alike on all rows of an instrument)."""
+    g = g.sort_values("trade_date")
+    seed = g.iloc[0]
+    e12, e26 = ema_array(g["close_qfq"].tolist(), 12, seed["seed_12"]), ema_array(g["close_qfq"].tolist(), 26, seed["seed_26"])
+    dif = [a - b for a, b in zip(e12, e26)]
+    dea = ema_array(dif, 9, seed["seed_dea"])
+    return pd.DataFrame({"ts_code": g["ts_code"], "trade_date": g["trade_date"], "ema_12": e12, "ema_26": e26, "dif": dif, "dea": dea, "macd_bar": [2 * (a - b) for a, b in zip(dif, dea)]})
+
+
+def weekly_smooth(g: pd.DataFrame) -> pd.DataFrame:
+    g = g.sort_values("trade_date")
+    return g.assign(smooth=ewm_array(g["ddx"].tolist(), 60))
+
+
 def zones(rank: list, seed: str | None = None) -> list:
     """Zones with hysteresis: one is entered and left only after several rows; ``seed`` is the zone before the first."""
     held = lambda i, n, test: i >= n - 1 and all(rank[k] is not None and test(rank[k]) for k in range(i - n + 1, i + 1))

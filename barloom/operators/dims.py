@@ -58,6 +58,13 @@ def week_end_before(dates: DataFrame, dim: DataFrame, column: str = "date") -> D
     return roll_back(dates, ends, column).withColumnRenamed("trade_date", "week_end")
 
 
+def range_report(rows: DataFrame, cal: DataFrame, start: str, end: str) -> DataFrame:
+    """Per trading day of a range the rows there are, and whether there are any: one job for the range."""
+    days = cal.where((F.col("is_open") == 1) & F.col("cal_date").between(start, end)).select(F.col("cal_date").alias("trade_date"))
+    n = rows.where(F.col("trade_date").between(start, end)).groupBy("trade_date").agg(F.count("*").alias("n_rows"))
+    return days.join(n, "trade_date", "left").fillna(0, ["n_rows"]).withColumn("status", F.when(F.col("n_rows") > 0, "ok").otherwise("failed"))
+
+
 def trading_days_between(spans: DataFrame, cal: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
     """Number of open days in each closed span, from the day index at its ends."""
     ends = roll_back(spans.select(F.col(end).alias("date")).unionByName(spans.select(F.date_format(F.date_sub(as_date(start), 1), "yyyyMMdd").alias("date"))).distinct(), cal)

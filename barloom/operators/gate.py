@@ -45,3 +45,22 @@ def round_robin(stocks: DataFrame, n: int) -> DataFrame:
     """``n`` instruments, taken from the sectors in turn."""
     w = Window.partitionBy("sector").orderBy("ts_code")
     return stocks.withColumn("turn", F.row_number().over(w)).orderBy("turn", "sector").limit(n).select("ts_code", "sector", "turn")
+
+
+def mapped(rows: DataFrame, columns: dict[str, str], names: dict[str, dict[str, str]] | None = None) -> DataFrame:
+    """A reference's rows under our column names, labels normalised by maps of their own per field."""
+    names = names or {}
+    return rows.select(*[(normalized(F.col(theirs), names.get(ours)) if ours not in ("ts_code", "trade_date") else F.col(theirs)).alias(ours) for theirs, ours in columns.items()])
+
+
+def verified(ours: DataFrame, golden: DataFrame, columns: list[str]) -> DataFrame:
+    """Per date: golden rows, fields that differ, and whether it passes."""
+    n = golden.groupBy("trade_date").agg(F.count("*").alias("n_rows"))
+    bad = field_diff(ours, golden, columns).groupBy("trade_date").agg(F.count("*").alias("n_diff"))
+    return n.join(bad, "trade_date", "left").fillna(0, ["n_diff"]).withColumn("passed", F.col("n_diff") == 0)
+
+
+def worksheet(golden: DataFrame, filled: DataFrame) -> DataFrame:
+    """Golden labels with a worksheet's filled rows merged in, without doubling a label of an instrument and day."""
+    rows = filled.where(normalized(F.col("label")).isNotNull()).select("ts_code", "trade_date", normalized(F.col("label")).alias("label"))
+    return golden.select("ts_code", "trade_date", "label").unionByName(rows).distinct()

@@ -113,3 +113,74 @@ def new_bar_counts(panel: DataFrame) -> DataFrame:
     return panel.groupBy("trade_date").agg(F.count("*").alias("n_rows"))
 
 
+# Bars an indicator looks back on, seeds from, keeps for events and must have; the margin of a recomputation.
+WIDTHS = {"macd": (250, 26, 10, 27), "ma": (10, 10, 5, 11), "kpattern": (60, 10, 5, 30), "dde": (250, 5, 10, 10), "volume": (120, 5, 5, 5), "position": (250, 0, 0, 2)}
+SAFETY = 5
+
+
+def recalc_bars(panel: DataFrame) -> DataFrame:
+    """``(ts_code, indicator, bars)``: how many of its bars each instrument loads for an indicator, and for ``all`` of them."""
+    need = {i: sum(w[:3]) for i, w in WIDTHS.items()}
+    need["all"] = max(need.values()) + SAFETY
+    rows = F.array(*[F.struct(F.lit(i).alias("indicator"), F.least(F.col("n"), F.lit(n).cast("long")).alias("bars")) for i, n in need.items()])
+    return panel.groupBy("ts_code").agg(F.count("*").alias("n")).select("ts_code", F.inline(rows))
+
+
+def spare_unchanged(modes: DataFrame, prints: DataFrame, stored: DataFrame) -> DataFrame:
+    """Routes with FULL turned to SKIP where the domain's fingerprint is the stored one and no bar is new."""
+    same = prints.join(stored.select("ts_code", F.col("fp").alias("_fp")), "ts_code").where("fp = _fp").select("ts_code", F.lit(True).alias("_same"))
+    out = modes.join(same, "ts_code", "left")
+    spare = (F.col("mode") == "FULL") & F.col("_same") & (F.col("new_bars") == 0)
+    return out.withColumn("mode", F.when(spare, "SKIP").otherwise(F.col("mode"))).drop("_same")
+
+
+def upsert_state(state: DataFrame, new: DataFrame) -> DataFrame:
+    """State rows by (instrument, indicator, frequency), new ones first; one with the same date and fingerprint stays as it is."""
+    keys = ["ts_code", "indicator", "freq"]
+    both = state.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    group = Window.partitionBy(*keys)
+    same = (F.size(F.collect_set(F.struct("last_trade_date", "history_fp")).over(group)) == 1) & (F.count("*").over(group) > 1)
+    first = F.row_number().over(group.orderBy(F.when(F.col("_same"), F.col("_new")).otherwise(-F.col("_new"))))
+    return both.withColumn("_same", same).withColumn("_r", first).where("_r = 1").drop("_r", "_new", "_same")
+
+
+def may_skip(written: DataFrame, stale: DataFrame, freshness: DataFrame, snapshots: DataFrame, date: str) -> DataFrame:
+    """One row: whether a run may skip bars and indicators, as nothing was written, nothing is stale and results exist."""
+    one = written.agg(F.count("*").alias("n_written")).join(stale.agg(F.count("*").alias("n_stale")))
+    one = one.join(freshness.agg(F.coalesce(F.sum("n_stale"), F.lit(0)).alias("n_old_spec"))).join(snapshots.agg(F.count_if(F.col("trade_date") >= date).alias("n_snapshots")))
+    ok = (F.col("n_written") == 0) & (F.col("n_stale") == 0) & (F.col("n_old_spec") == 0) & (F.col("n_snapshots") > 0)
+    return one.withColumn("may_skip", ok)
+
+
+def refresh_scope(stocks: DataFrame, all_routes: DataFrame, n_dates: int, indicators: tuple[str, ...] | None = None) -> DataFrame:
+    """Per chosen route the instruments to refresh (dde has none of the Beijing exchange) and the work over the dates."""
+    routes_ = all_routes if indicators is None else all_routes.where(F.col("indicator").isin(*indicators))
+    n = stocks.agg(F.count("*").alias("_all"), F.count_if(~F.col("ts_code").endswith(".BJ")).alias("_flow"))
+    codes = F.when(F.col("indicator") == "dde", F.col("_flow")).otherwise(F.col("_all"))
+    return routes_.join(F.broadcast(n)).select("indicator", "freq", codes.alias("n_codes"), (codes * n_dates).alias("n_work"))
+
+
+def settled(state: DataFrame, all_routes: DataFrame, date: str) -> DataFrame:
+    """Per instrument whether its state alone lets a run of that date pass: all routes there, of the date and of the expected version."""
+    rows = state.join(F.broadcast(all_routes), ["indicator", "freq"])
+    fine = (F.col("last_trade_date") >= date) & (F.col("spec_version") == F.col("expected_version"))
+    n = all_routes.count()
+    return rows.groupBy("ts_code").agg(F.count_if(fine).alias("n_fine")).select("ts_code", (F.col("n_fine") == n).alias("settled"))
+
+
+def chosen(panel: DataFrame, modes: DataFrame, *wanted: str) -> DataFrame:
+    """The bars of instruments whose route is one of the wanted modes."""
+    return panel.join(modes.where(F.col("mode").isin(*wanted)).select("ts_code"), "ts_code", "left_semi")
+
+
+def routed(operator, panel: DataFrame, modes: DataFrame, stored: DataFrame, lookback: int) -> DataFrame:
+    """Results brought up to date by mode: SKIP keeps what is stored, APPEND adds new bars, FULL computes anew."""
+    full = operator(chosen(panel, modes, "FULL"))
+    kept = stored.join(modes.where("mode != 'FULL'").select("ts_code"), "ts_code", "left_semi")
+    last = kept.groupBy("ts_code").agg(F.max("trade_date").alias("last_trade_date"))
+    return full.unionByName(kept).unionByName(append(operator, chosen(panel, modes, "APPEND"), last, lookback))
+
+
+def stale_indicators(freshness: DataFrame) -> DataFrame:
+    """The indicators to refresh, as some of their results are of an old version."""
+    return freshness.groupBy("indicator").agg(F.sum("n_stale").alias("n_stale")).where("n_stale > 0")

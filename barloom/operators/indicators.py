@@ -86,21 +86,62 @@ def macd(panel: DataFrame, n_std: int = 20, frac: float = 0.1) -> DataFrame:
     d = d.select("ts_code", "trade_date", "ema_12", "ema_26", *[r10(F.col(c)).alias(c) for c in ("dif", "dea", "macd_bar", "b_dif", "b_dea", "b_bar")])
     h0, h1, h2 = F.lag("macd_bar", 2).over(by_date()), F.lag("macd_bar").over(by_date()), F.col("macd_bar")
     scale = K.mean_abs("macd_bar", 5)
-    slope5 = r10(weighted_slope("b_bar", 5, 0.15))
-    gap, gap1 = F.abs(F.col("b_dif") - F.col("b_dea")), F.abs(F.lag("b_dif").over(by_date()) - F.lag("b_dea").over(by_date()))
-    std = F.greatest(F.stddev_pop("b_dif").over(back(n_std)), F.stddev_pop("b_dea").over(back(n_std)))
-    limit = F.when(rn() >= n_std, std).otherwise(F.greatest(F.abs("b_dif"), F.abs("b_dea"))) * frac
-    same = lambda below: ((F.col("b_dif") < F.col("b_dea")) & (F.lag("b_dif").over(by_date()) < F.lag("b_dea").over(by_date()))) if below else ((F.col("b_dif") > F.col("b_dea")) & (F.lag("b_dif").over(by_date()) > F.lag("b_dea").over(by_date())))
-    close_in = (rn() >= 3) & (r10(gap) < r10(gap1)) & (r10(gap) < r10(limit))
+    trend, turn = _turns(n_std, frac)
     return d.select(
         "ts_code", "trade_date", "ema_12", "ema_26", "dif", "dea", "macd_bar",
         F.when(F.col("macd_bar") > 0, "bull").when(F.col("macd_bar") < 0, "bear").alias("zone"),
         F.when(scale < 1e-6, 0.0).otherwise(weighted_slope("macd_bar", 5, 0.15) / scale).alias("trend_strength"),
         F.when((h2 > h1) & (h1 < h0), "downturn_reverse").when((h2 < h1) & (h1 > h0), "upturn_reverse").alias("alert"),
-        F.when(F.abs(slope5) < 0.001, "flat").when(slope5 > 0, "up").when(slope5 < 0, "down").alias("trend"),
+        trend.alias("trend"), turn.alias("turning_point"),
+    )
+
+
+def _turns(n_std: int, frac: float, short: bool = False) -> tuple[Column, Column]:
+    """Trend and turning point of the lines ``b_dif``, ``b_dea``, ``b_bar``; with ``short`` a trend from two bars on."""
+    slope = r10(weighted_slope("b_bar", 5, 0.15))
+    if short:
+        for n in (4, 3, 2):
+            slope = F.when(rn() == n, r10(weighted_slope("b_bar", n, 0.15))).otherwise(slope)
+    trend = F.when(F.abs(slope) < 0.001, "flat").when(slope > 0, "up").when(slope < 0, "down")
+    gap, gap1 = F.abs(F.col("b_dif") - F.col("b_dea")), F.abs(F.lag("b_dif").over(by_date()) - F.lag("b_dea").over(by_date()))
+    std = F.greatest(F.stddev_pop("b_dif").over(back(n_std)), F.stddev_pop("b_dea").over(back(n_std)))
+    limit = F.when(rn() >= n_std, std).otherwise(F.greatest(F.abs("b_dif"), F.abs("b_dea"))) * frac
+    below, was_below = F.col("b_dif") < F.col("b_dea"), F.lag("b_dif").over(by_date()) < F.lag("b_dea").over(by_date())
+    above, was_above = F.col("b_dif") > F.col("b_dea"), F.lag("b_dif").over(by_date()) > F.lag("b_dea").over(by_date())
+    close_in = (rn() >= 3) & (r10(gap) < r10(gap1)) & (r10(gap) < r10(limit))
+    turn = (
         F.when(crossed_up("b_dif", "b_dea"), "golden_cross").when(crossed_down("b_dif", "b_dea"), "dead_cross")
-        .when(same(True) & close_in, "near_golden").when(same(False) & close_in, "near_dead").alias("turning_point"),
+        .when(below & was_below & close_in, "near_golden").when(above & was_above & close_in, "near_dead")
     )
+    return trend, turn
+
+
+def sunday(date: str) -> Column:
+    """The Sunday that ends a date's calendar week."""
+    return F.date_format(F.date_add(F.date_trunc("week", F.to_date(date, "yyyyMMdd")).cast("date"), 6), "yyyyMMdd")
+
+
+def weekly_macd(panel: DataFrame, weeks: DataFrame) -> DataFrame:
+    """MACD of week-end bars with the trend and turning point of the calendar weeks' (12, 26, 9) lines.
+
+    ``weeks`` are the resampled closes ``(ts_code, week, close, last_date)`` of all daily bars.
+    """
+    d = weeks.select("ts_code", F.col("week").alias("trade_date"), "close")
+    d = d.groupBy("ts_code").applyInPandas(lambda g: R.trend_lines(g, 12, 26, 9), "ts_code string, trade_date string, close double, b_dif double, b_dea double, b_bar double")
+    d = d.select("ts_code", "trade_date", *[r10(F.col(c)).alias(c) for c in ("b_dif", "b_dea", "b_bar")], F.count("*").over(Window.partitionBy("ts_code")).alias("n"))
+    trend, turn = _turns(10, 0.15, short=True)
+    d = d.select("ts_code", F.col("trade_date").alias("week"), "n", trend.alias("trend"), turn.alias("turning_point")).where("n >= 2").drop("n")
+    own = macd(panel).drop("trend", "turning_point").withColumn("week", sunday("trade_date"))
+    return own.join(d, ["ts_code", "week"], "left").drop("week")
+
+
+def append_macd(panel: DataFrame, stored: DataFrame) -> DataFrame:
+    """MACD lines of the bars after each instrument's last stored result, continued from it; equal to a full run."""
+    last = stored.groupBy("ts_code").agg(F.max_by(F.struct("trade_date", "ema_12", "ema_26", "dea"), "trade_date").alias("s"))
+    last = last.select("ts_code", F.col("s.trade_date").alias("_last"), F.col("s.ema_12").alias("seed_12"), F.col("s.ema_26").alias("seed_26"), F.col("s.dea").alias("seed_dea"))
+    new = panel.select("ts_code", "trade_date", "close_qfq").join(last, "ts_code").where("trade_date > _last").drop("_last")
+    d = new.groupBy("ts_code").applyInPandas(lambda g: R.seeded_macd_lines(g), "ts_code string, trade_date string, ema_12 double, ema_26 double, dif double, dea double, macd_bar double")
+    return d.withColumns({c: r10(F.col(c)) for c in ("dif", "dea", "macd_bar")})
 
 
 def price_position(panel: DataFrame) -> DataFrame:
@@ -175,12 +216,16 @@ def candlesticks(panel: DataFrame, stocks: DataFrame) -> DataFrame:
     return d.select("ts_code", "trade_date", *PATTERNS, strength.alias("strength"))
 
 
-def volume(panel: DataFrame, anchor: int = 60) -> DataFrame:
-    """MA5 volume, ratio, percentile rank, zone, trend, strength and divergence from price."""
-    d = enough_rows(panel, LEAST_ROWS["volume"]).select("ts_code", "trade_date", "close_qfq", "vol", rn().alias("rn"))
+def volume(panel: DataFrame, anchor: int = 60, traded: str = "vol") -> DataFrame:
+    """MA5 volume, ratio, percentile rank, zone, trend, strength and divergence from price.
+
+    The trend is that of ``traded``: for weekly bars, whose volume is scaled to five
+    days, ``vol * active_days / 5``.
+    """
+    d = enough_rows(panel, LEAST_ROWS["volume"]).select("ts_code", "trade_date", "close_qfq", "vol", F.expr(traded).alias("traded"), rn().alias("rn"))
     d = d.withColumn("ma_vol_5", r10(sma("vol", 5)))
     d = d.select("*", r10(K.pct_rank("ma_vol_5", 120)).alias("pct_vol_rank"))
-    direction = r10(weighted_slope("vol", 5) / (F.avg(F.abs("vol")).over(back(5)) + 1e-9))
+    direction = r10(weighted_slope("traded", 5) / (F.avg(F.abs("traded")).over(back(5)) + 1e-9))
     trend = F.when(F.col("rn") >= anchor + 4, F.when(direction > 0.001, "expanding").when(direction < -0.001, "shrinking").otherwise("flat"))
     d = parted(d.withColumn("lv", F.when(F.col("vol") > 0, F.ln("vol"))), "vol")
     scale = K.mean_abs("lv", 10)
@@ -248,3 +293,53 @@ def dde(flow: DataFrame, quotes: DataFrame) -> DataFrame:
         F.when(scale > 0, weighted_slope("ddx2", 5, 0.20) / F.nullif(scale, F.lit(0.0))).alias("trend_strength"),
         F.when((was < 0) & (F.col("turn") > 0), "upturn_reverse").when((was > 0) & (F.col("turn") < 0), "downturn_reverse").alias("alert"),
     )
+
+
+def flow_frame(flow: DataFrame, quotes: DataFrame) -> DataFrame:
+    """Every day of money flow with the market value of its bar, null where there is none: the frame of flow trends."""
+    return flow.join(quotes.where("is_suspended = 0").select("ts_code", "trade_date", "circ_mv", "total_mv"), ["ts_code", "trade_date"], "left")
+
+
+def legacy_flow_trend(lines: DataFrame) -> DataFrame:
+    """Trend of ``ddx2`` over eight bars, flat within 1e-4: the measure before the smoothed inflow."""
+    slope = r10(weighted_slope("ddx2", 8, 0.20))
+    return lines.select("ts_code", "trade_date", F.when(slope > 1e-4, "up").when(slope < -1e-4, "down").when(slope.isNotNull(), "flat").alias("trend"))
+
+
+def weekly_flow_trend(frame: DataFrame, ends: DataFrame, n: int = 4) -> DataFrame:
+    """Trend at the given week-ends of the weekly net inflow by market value, smoothed; from ``n`` weeks on.
+
+    Calendar weeks sum the second source's net amount and take the last float market
+    value; a week without one is none. A week-end takes the week it lies in or the next
+    there is, the last one of an instrument the last week.
+    """
+    known = F.count("net_amount_dc").over(Window.partitionBy("ts_code")) > 0
+    days = frame.withColumns({"week": sunday("trade_date"), "_known": known}).where("_known")
+    weeks = days.groupBy("ts_code", "week").agg(F.sum(F.coalesce("net_amount_dc", F.lit(0.0))).alias("net"), F.max_by("circ_mv", F.when(F.col("circ_mv").isNotNull(), F.col("trade_date"))).alias("mv"))
+    weeks = weeks.where("mv > 0").select("ts_code", F.col("week").alias("trade_date"), (F.col("net") / F.col("mv") * 100).alias("ddx"))
+    d = weeks.groupBy("ts_code").applyInPandas(lambda g: R.weekly_smooth(g), "ts_code string, trade_date string, ddx double, smooth double")
+    d = d.withColumn("sma", F.when(F.count("*").over(back(10)) == 10, F.avg(F.col("smooth") * 60.1953).over(back(10))))
+    d = d.withColumn("sma", F.when(F.count("sma").over(Window.partitionBy("ts_code")) > 0, F.col("sma")).otherwise(F.col("ddx")))
+    slope = r10(weighted_slope("sma", n))
+    d = d.select("ts_code", "trade_date", F.struct(F.when(rn() >= n, F.when(slope > 0, "up").when(slope < 0, "down").otherwise("flat")).alias("trend")).alias("t"))
+    both = d.unionByName(ends.select("ts_code", "trade_date", F.lit(1).alias("asked")), allowMissingColumns=True)
+    order = Window.partitionBy("ts_code").orderBy("trade_date", F.desc("asked"))
+    last = F.max_by("t", F.when(F.col("t").isNotNull(), F.col("trade_date"))).over(Window.partitionBy("ts_code"))
+    later = F.first("t", True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    final = F.col("trade_date") == F.max(F.when(F.col("asked") == 1, F.col("trade_date"))).over(Window.partitionBy("ts_code"))
+    found = both.select("ts_code", "trade_date", "asked", F.when(final, last).otherwise(F.coalesce(later, last)).alias("t")).where("asked = 1")
+    return found.select("ts_code", "trade_date", F.col("t.trend").alias("trend"))
+
+
+def weekly_dde(weeks: DataFrame, trends: DataFrame) -> DataFrame:
+    """Large-order flow of whole weeks: ``ddx`` is null in a week with too few days; trend as given."""
+    d = weeks.withColumnRenamed("week_end", "trade_date")
+    d = d.withColumn("_n", F.count("*").over(Window.partitionBy("ts_code"))).where("_n >= 2")
+    big = F.col("buy_lg_vol") + F.col("buy_elg_vol") - F.col("sell_lg_vol") - F.col("sell_elg_vol")
+    d = d.select("ts_code", "trade_date", F.when(F.col("is_skipped") == 0, big / F.nullif("total_vol", F.lit(0.0))).alias("ddx"), F.lit(None).cast("double").alias("flow"))
+    d = d.groupBy("ts_code").applyInPandas(lambda g: R.flow_lines(g), _DDE).select("ts_code", "trade_date", r10(F.col("ddx")).alias("ddx"), r10(F.col("ddx2")).alias("ddx2"))
+    scale, turn = K.mean_abs("ddx2", 5), r10(weighted_slope("ddx2", 2))
+    d = d.withColumns({"turn": turn, "trend_strength": F.when(scale > 0, weighted_slope("ddx2", 5, 0.20) / F.nullif(scale, F.lit(0.0)))})
+    was = F.lag("turn").over(by_date())
+    alert = F.when((was < 0) & (F.col("turn") > 0), "upturn_reverse").when((was > 0) & (F.col("turn") < 0), "downturn_reverse")
+    return d.withColumn("alert", alert).drop("turn").join(trends, ["ts_code", "trade_date"], "left")

@@ -106,3 +106,41 @@ def uncovered_dates(rows: DataFrame, codes: DataFrame, cal: DataFrame) -> DataFr
     n = codes.agg(F.countDistinct("ts_code").alias("n_all"))
     done = rows.join(codes.select("ts_code"), "ts_code", "left_semi").groupBy("trade_date").agg(F.countDistinct("ts_code").alias("n")).join(F.broadcast(n)).where("n >= n_all")
     return cal.where("is_open = 1").select(F.col("cal_date").alias("trade_date")).join(done, "trade_date", "left_anti")
+
+
+def calendar_slice(cal: DataFrame, start: str, end: str) -> DataFrame:
+    """The open days of a range, if the stored calendar spans it; else none."""
+    span = cal.agg(((F.min("cal_date") <= start) & (F.max("cal_date") >= end)).alias("_spans"))
+    return cal.join(F.broadcast(span)).where((F.col("is_open") == 1) & F.col("cal_date").between(start, end) & F.col("_spans")).select(F.col("cal_date").alias("trade_date"))
+
+
+def needing_backfill(flow: DataFrame, daily: DataFrame, basic: DataFrame, start: str, end: str, by: str) -> DataFrame:
+    """Days (``by`` trade_date) or instruments (``by`` ts_code) of a range with a missing net amount or market value."""
+    inside = F.col("trade_date").between(start, end) & ~F.col("ts_code").endswith(".BJ")
+    net = flow.where(inside & F.col("net_amount_dc").isNull()).select(by)
+    value = daily.where(inside).select(*KEYS).join(basic.select(*KEYS, "circ_mv"), KEYS, "left").where("circ_mv is null").select(by)
+    return net.withColumn("needs", F.lit("net_amount_dc")).unionByName(value.withColumn("needs", F.lit("circ_mv"))).distinct()
+
+
+def required_ranges(stocks: DataFrame, rows: DataFrame, cal: DataFrame, date: str, bars: int) -> DataFrame:
+    """``(ts_code, start, end)`` of the history each instrument needs and does not have whole.
+
+    It ends at the date or the delisting, begins ``bars`` trading days before or at the listing.
+    """
+    days = cal.where("is_open = 1").select("cal_date", "day_idx")
+    end = F.when((F.coalesce("delist_date", F.lit("")) != "") & (F.col("delist_date") < date), F.col("delist_date")).otherwise(date)
+    idx = days.agg(F.sort_array(F.collect_list("cal_date")).alias("_days"))  # one row: the calendar
+    s = stocks.select("ts_code", "list_date", end.alias("end")).join(F.broadcast(idx))
+    s = s.withColumn("_upto", F.filter("_days", lambda d: d <= F.col("end"))).where(F.size("_upto") > 0)
+    start = F.greatest("list_date", F.element_at("_upto", F.greatest(F.size("_upto") - bars + 1, F.lit(1))))
+    s = s.withColumn("start", start).withColumn("expected", F.size(F.filter("_upto", lambda d: d >= F.col("start")))).drop("_days", "_upto")
+    have = rows.select(*KEYS).distinct().join(s.select("ts_code", "start", "end"), "ts_code").where("trade_date between start and end").groupBy("ts_code").agg(F.count("*").alias("actual"))
+    s = s.join(have, "ts_code", "left").fillna(0, ["actual"])
+    return s.where("not (actual > 0 and actual >= expected)").select("ts_code", "start", "end", "expected", "actual")
+
+
+def patch_both(stored: DataFrame, patch: DataFrame, date: str, columns: tuple[str, ...]) -> DataFrame:
+    """A day's null-only patch of several columns; other days stay."""
+    new = patch.where(F.col("trade_date") == date).select(*KEYS, *[F.col(c).alias(f"_{c}") for c in columns])
+    out = stored.join(new, KEYS, "left").withColumns({c: F.coalesce(c, f"_{c}") for c in columns})
+    return out.drop(*[f"_{c}" for c in columns])

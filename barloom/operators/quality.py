@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -57,11 +57,12 @@ def row_gate(panel: DataFrame, least: dict[str, int]) -> DataFrame:
     return rows.where("n_rows < need").select("ts_code", "indicator", "n_rows", F.lit("insufficient_rows").alias("reason"))
 
 
-def fill_rate(weekly: DataFrame, dim: DataFrame, stocks: DataFrame) -> DataFrame:
+def fill_rate(weekly: DataFrame, dim: DataFrame, stocks: DataFrame, back: int = 120) -> DataFrame:
     """Per week-end: instruments with a bar against the mature ones (listed before the 120th week-end back), and the threshold."""
     ends = dim.where("is_week_end = 1").select("trade_date")
     have = weekly.join(F.broadcast(ends), "trade_date").groupBy("trade_date").agg(F.countDistinct("ts_code").alias("n"))
-    u = stocks.agg(F.count_if(F.col("is_active") == 1).alias("u"))
+    nth = ends.withColumn("_k", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("trade_date")))).where(F.col("_k") == back).select(F.col("trade_date").alias("_since"))
+    u = stocks.join(F.broadcast(nth)).where(F.col("list_date") < F.col("_since")).agg(F.count_if(F.col("is_active") == 1).alias("u"))
     floor = F.least(F.col("u").cast("double"), F.greatest(F.col("u") * 0.8, F.when(F.col("u") >= 4000, 4000.0).otherwise(0.0)))
     return have.join(F.broadcast(u)).withColumn("enough", F.col("n") >= floor)
 
@@ -92,3 +93,32 @@ def cross_layer(tables: dict[str, DataFrame]) -> DataFrame:
 def outside_domain(rows: DataFrame, domains: dict[str, tuple[str, ...]]) -> DataFrame:
     """Per column the rows whose value is not in its domain; nulls are allowed."""
     return rule_counts({c: (rows, f"{c} is not null and {c} not in ({', '.join(repr(v) for v in vs)})") for c, vs in domains.items()})
+
+
+def stale_bars(daily: DataFrame, raw_flow: DataFrame, date: str, **layers: DataFrame) -> DataFrame:
+    """Instruments with a raw row on a date and a layer (``quotes``, ``weekly``, ``moneyflow``) that ends before; the
+    flow layer counts only where there is raw flow on the date."""
+    out = daily.where(F.col("trade_date") == date).select("ts_code").distinct()
+    for name, rows in layers.items():
+        out = out.join(rows.groupBy("ts_code").agg(F.max("trade_date").alias(f"_{name}")), "ts_code", "left")
+    has_flow = raw_flow.where(F.col("trade_date") == date).select("ts_code", F.lit(True).alias("_has")).distinct()
+    out = out.join(has_flow, "ts_code", "left")
+    behind = [F.coalesce(F.col(f"_{n}") < date, F.lit(True)) & (F.lit(True) if n != "moneyflow" else F.coalesce("_has", F.lit(False))) for n in layers]
+    return out.where(reduce(lambda a, b: a | b, behind)).select("ts_code")
+
+
+def to_compute(stocks: DataFrame, results: DataFrame, date: str) -> DataFrame:
+    """All instruments but those delisted before a date that already have results."""
+    gone = stocks.where((F.coalesce("delist_date", F.lit("")) != "") & (F.col("delist_date") < date)).select("ts_code")
+    return stocks.select("ts_code").join(gone.join(results.select("ts_code").distinct(), "ts_code", "left_semi"), "ts_code", "left_anti")
+
+
+def step_log(runs: DataFrame) -> DataFrame:
+    """Log rows ``(step_name, day, started_at, finished_at, duration_s, row_count)`` of steps, from their start times and JSON audit."""
+    audit = F.get_json_object("audit", "$.rows").cast("long")
+    return runs.select("step_name", F.date_format("started_at", "yyyyMMdd").alias("day"), "started_at", "finished_at", (F.unix_timestamp("finished_at") - F.unix_timestamp("started_at")).alias("duration_s"), audit.alias("row_count"))
+
+
+def latest_steps(log: DataFrame) -> DataFrame:
+    """Of every step and day the run that started last, with the number of its runs."""
+    return log.groupBy("step_name", "day").agg(F.count("*").alias("n_runs"), F.max_by(F.struct("duration_s", "row_count"), F.struct("started_at", "duration_s", "row_count")).alias("x")).select("step_name", "day", "n_runs", "x.*")

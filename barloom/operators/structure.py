@@ -7,7 +7,7 @@ A bottom is a top of the negated series, so one definition serves both.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.kernels import by_date, crossed_up, last_cross, r10, rn, scaled_part, spaced
@@ -15,8 +15,27 @@ from barloom.functions.kernels import by_date, crossed_up, last_cross, r10, rn,
 GAP, MOST_LAG = 10, 1
 
 
-def tops(lines: DataFrame, sign: int = 1) -> DataFrame:
-    """Events ``(ts_code, trade_date, rn, path, lag_bars, zone_ok)`` before spacing; ``lines`` has close, dif, dea and bar."""
+def _flow_peak(sign: int, run, inside: Column) -> Column:
+    """Running largest flow of a segment, while all its flows are known. A top that stands alone, fewer than two of
+    the five flows around it at 0.8 of it or more, is none; a bottom needs a flow below zero."""
+    lag, lead = (lambda n: F.lag("f", n).over(by_date())), (lambda n: F.lead("f", n).over(by_date()))
+    known = inside & (F.count("f").over(run) == F.count("*").over(run))
+    if sign < 0:
+        top = F.max("f").over(run)
+        return F.when(known & (top > 0), top)
+    back1, back2 = (F.when(F.col("rn") - n >= F.col("gc"), lag(n)) for n in (1, 2))
+    here = F.struct(F.col("rn").alias("rn"), F.col("f").alias("f"), back1.alias("p1"), back2.alias("p2"), lead(1).alias("n1"), lead(2).alias("n2"))
+    p = F.last(F.when(F.col("first_f"), here), ignorenulls=True).over(run)
+    high = lambda c, ok: F.when(ok & (p[c] >= p["f"] * 0.8), 1).otherwise(0)
+    n = F.when(p["f"] >= p["f"] * 0.8, 1).otherwise(0) + high("p1", F.lit(True)) + high("p2", F.lit(True)) + high("n1", F.col("rn") > p["rn"]) + high("n2", F.col("rn") > p["rn"] + 1)
+    return F.when(known & (n >= 2), p["f"])
+
+
+def tops(lines: DataFrame, sign: int = 1, flow: bool = False) -> DataFrame:
+    """Events ``(ts_code, trade_date, rn, path, lag_bars, zone_ok)`` before spacing; ``lines`` has close, dif, dea and bar.
+
+    With ``flow`` the lines are ddx, ddx2 and ddx again: peaks are :func:`_flow_peak`.
+    """
     d = lines.select("ts_code", "trade_date", *[r10(F.col(c) * sign).alias(a) for c, a in (("close", "c"), ("dif", "f"), ("dea", "s"), ("macd_bar", "b"))])
     d = d.withColumn("rn", rn())
     d = d.withColumn("gc", last_cross(crossed_up("f", "s")))
@@ -27,6 +46,11 @@ def tops(lines: DataFrame, sign: int = 1) -> DataFrame:
         "h1": F.when(inside, F.max("c").over(run)), "f1": F.when(inside, F.max("f").over(run)), "b1": F.when(inside, F.max(F.when(F.col("b") > 0, F.col("b"))).over(run)),
         "new": F.coalesce(F.col("c") > F.max("c").over(before), F.lit(True)),
     })
+    if flow:
+        d = d.withColumn("first_f", F.coalesce(F.col("f") > F.max("f").over(before), F.col("f").isNotNull()))
+        d = d.withColumn("f1", _flow_peak(sign, run, inside))
+        known = F.count("f").over(run) == F.count("*").over(run)
+        d = d.withColumns({"b1": F.when(F.col("f1") > 0, F.col("f1")), "h1": F.when(known, F.col("h1"))})
     d = d.withColumn("peak", F.last(F.when(F.col("new"), F.col("rn")), ignorenulls=True).over(run))
     prior = lambda c: F.when(inside, F.first(F.col(c)).over(run))
     lag = lambda c: F.lag(c).over(by_date())
@@ -47,9 +71,46 @@ def tops(lines: DataFrame, sign: int = 1) -> DataFrame:
     )
 
 
-def divergence_events(lines: DataFrame) -> DataFrame:
+def flow_lines(dde: DataFrame, panel: DataFrame) -> DataFrame:
+    """Money-flow lines as :func:`tops` takes them."""
+    own = dde.select("ts_code", "trade_date", F.col("ddx").alias("dif"), F.col("ddx2").alias("dea"), F.col("ddx").alias("macd_bar"))
+    return own.join(panel.select("ts_code", "trade_date", F.col("close_qfq").alias("close")), ["ts_code", "trade_date"])
+
+
+def all_events(macd_lines: DataFrame, flow_rows: DataFrame) -> DataFrame:
+    """Events of both indicators, each with its name."""
+    return divergence_events(macd_lines).withColumn("indicator", F.lit("macd")).unionByName(divergence_events(flow_rows, True).withColumn("indicator", F.lit("dde")))
+
+
+def enriched(wide: DataFrame, events: DataFrame) -> DataFrame:
+    """Wide rows with the divergence label, tradable label and reject reason of each indicator's event on that day."""
+    e = tradable(events)
+    pick = lambda c: [F.min(F.when(F.col("indicator") == i, F.col(c))).alias(f"{i}_{n}") for i in ("macd", "dde") for n in (NAMES[c],)]
+    by_day = e.groupBy("ts_code", "trade_date").agg(*pick("label"), *pick("tradable"), *pick("reject_reason"))
+    return wide.join(by_day, ["ts_code", "trade_date"], "left")
+
+
+NAMES = {"label": "divergence", "tradable": "tradable", "reject_reason": "reject"}
+# Display texts of verdicts and labels.
+REASON_TEXT = {"skip_peak": "隔峰", "tg_lag": "滞后", "zone_mismatch": "区域"}
+LABEL_TEXT = {"top_divergence": "顶背离", "bottom_divergence": "底背离"}
+
+
+def in_words(events: DataFrame) -> DataFrame:
+    """Tradable events with their label and reject reason as display texts."""
+    words = lambda c, texts: F.create_map(*[F.lit(x) for kv in texts.items() for x in kv])[F.col(c)]
+    return tradable(events).withColumns({"label_text": words("tradable", LABEL_TEXT), "reason_text": words("reject_reason", REASON_TEXT)})
+
+
+def screen(events: DataFrame, date: str, only_tradable: bool = False) -> DataFrame:
+    """The events of a day with their verdicts."""
+    found = tradable(events).where(F.col("trade_date") == date)
+    return found.where("tradable is not null") if only_tradable else found
+
+
+def divergence_events(lines: DataFrame, flow: bool = False) -> DataFrame:
     """Top and bottom divergences, each label at most once in GAP bars after one that counts, with their trace."""
-    found = tops(lines).withColumn("label", F.lit("top_divergence")).unionByName(tops(lines, -1).withColumn("label", F.lit("bottom_divergence")))
+    found = tops(lines, 1, flow).withColumn("label", F.lit("top_divergence")).unionByName(tops(lines, -1, flow).withColumn("label", F.lit("bottom_divergence")))
     return found.join(spaced(found, GAP, "ts_code", "label"), ["ts_code", "label", "rn"], "left_semi")
 
 

@@ -133,3 +133,46 @@ def prune(snapshots: DataFrame, keep_runs: int) -> DataFrame:
     w = Window.partitionBy(*KEYS).orderBy(F.desc("calc_date"))
     rows = snapshots.withColumn("_r", F.row_number().over(w)).join(F.broadcast(runs.withColumn("_k", F.lit(1))), "calc_date", "left")
     return rows.where("_r = 1 or _k = 1").drop("_r", "_k")
+
+
+def latest_analysis(wide_rows: DataFrame, code: str) -> DataFrame:
+    """The newest wide row of one instrument."""
+    return wide_rows.where(F.col("ts_code") == code).orderBy(F.desc("trade_date")).limit(1)
+
+
+# Display names of columns and of coded values.
+COLUMN_TEXT = {"ts_code": "code", "trade_date": "date", "macd_zone": "MACD zone", "macd_trend": "MACD trend", "vol_zone": "volume zone"}
+VALUE_TEXT = {"bull": "above zero", "bear": "below zero", "up": "rising", "down": "falling", "flat": "flat", "explosive": "high volume", "low_volume": "low volume", "normal": "normal volume"}
+
+
+def translated(rows: DataFrame, coded: list[str]) -> DataFrame:
+    """Rows with coded values and column names in words; unknown values stay."""
+    return rows.withColumns({c: F.coalesce(text_map(c, VALUE_TEXT), c) for c in coded}).withColumnsRenamed({c: t for c, t in COLUMN_TEXT.items() if c in rows.columns})
+
+
+def laid_out(rows: DataFrame, basic: list[str], daily: list[str], weekly: list[str], signals_only: bool = False) -> DataFrame:
+    """Columns in sheet order: basic, daily, weekly (prefixed); with ``signals_only`` the rows on which a signal stands."""
+    names = [*basic, *daily, *(f"__w__{c}" for c in weekly)]
+    rows = rows.select(*[c for c in names if c in rows.columns])
+    return rows.where("vol_signal is not null") if signals_only else rows
+
+
+def glossary(spark, texts: dict[str, str]) -> DataFrame:
+    """Description of every column and of its weekly form."""
+    rows = [(c, t) for c, t in texts.items()] + [(f"__w__{c}", f"{t} (weekly)") for c, t in texts.items() if c not in KEYS]
+    return spark.createDataFrame(rows, "column_name string, description string")
+
+
+def export_audit(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of an export and how many have each of the given labels, as log rows with JSON."""
+    counts = F.to_json(F.struct(*[F.count(c).alias(c) for c in columns]))
+    return rows.agg(F.count("*").alias("n_rows"), counts.alias("audit"))
+
+
+def stamped(rows: DataFrame, start: str, calc_date: str, spec_version: str) -> DataFrame:
+    """Rows from a write date on, NaN as null, with calculation date, version and a fingerprint of their values."""
+    clean = {c: F.when(~F.isnan(c), F.col(c)) for c, t in rows.dtypes if t == "double"}
+    values = [c for c in rows.columns if c not in KEYS]
+    out = rows.where(F.col("trade_date") >= start).withColumns(clean)
+    text = F.concat_ws("|", *[F.coalesce(F.format_string("%.4f", c) if t == "double" else F.col(c).cast("string"), F.lit("")) for c, t in rows.dtypes if c in values])
+    return out.withColumns({"input_fingerprint": F.substring(F.sha2(text.cast("binary"), 256), 1, 16), "calc_date": F.lit(calc_date), "spec_version": F.lit(spec_version)})

@@ -96,9 +96,9 @@ _FWD0 = "SELECT ts_code, trade_date, lead(open_qfq) OVER w AS entry, lead(high_q
 _FWD = "SELECT ts_code, trade_date, entry, CASE WHEN entry IS NULL THEN 'no_next_bar' WHEN entry = nh AND nh = nl AND np >= 9 THEN 'limit_up' WHEN entry = nh AND nh = nl AND np <= -9 THEN 'limit_down' ELSE 'ok' END AS tradable, " + ", ".join(f"(c{n} - entry) / entry * 100 AS ret_{n}" for n in T.HOLDINGS) + " FROM fwd0"
 _SIG = "SELECT ts_code, trade_date, unnest(list_filter([" + ", ".join(f"CASE WHEN {p} = 1 THEN '{p}' END" for p in M.PATTERNS) + "], lambda x: x IS NOT NULL)) AS pattern FROM kp"
 _BT = {"reg": _REG, "fwd0": _FWD0, "fwd": _FWD, "sig": _SIG}
-_STATS = """SELECT pattern, regime, holding, count(*) AS n, count(*) FILTER (ret > 0) / count(*)::DOUBLE AS win_rate, avg(ret) AS mean_ret, avg(ret) FILTER (ret > 0) AS mean_win, avg(ret) FILTER (ret <= 0) AS mean_loss,
-    sum(ret) FILTER (ret > 0) / abs(nullif(sum(ret) FILTER (ret <= 0), 0)) AS profit_factor FROM (SELECT pattern, regime, unnest([1, 3, 5, 10, 20]) AS holding, round(unnest([ret_1, ret_3, ret_5, ret_10, ret_20]), 10) AS ret
-    FROM sig JOIN fwd USING (ts_code, trade_date) JOIN reg USING (trade_date) WHERE tradable = 'ok') WHERE ret IS NOT NULL GROUP BY ALL"""
+_STATS = """SELECT pattern, regime, holding, count(*) AS n, count(*) FILTER (ret > 0) / count(*)::DOUBLE AS win_rate, avg(ret) AS mean_ret, coalesce(avg(ret) FILTER (ret > 0), 0) AS mean_win, coalesce(avg(ret) FILTER (ret < 0), 0) AS mean_loss,
+    CASE WHEN sum(ret) FILTER (ret < 0) < 0 THEN coalesce(sum(ret) FILTER (ret > 0), 0) / abs(sum(ret) FILTER (ret < 0)) ELSE 'inf'::DOUBLE END AS profit_factor FROM (SELECT pattern, regime, unnest([1, 3, 5, 10, 20]) AS holding, round(unnest([ret_1, ret_3, ret_5, ret_10, ret_20]), 10) AS ret
+    FROM sig JOIN fwd USING (ts_code, trade_date) JOIN reg USING (trade_date) WHERE tradable = 'ok') WHERE ret IS NOT NULL GROUP BY pattern, regime, holding HAVING count(*) >= 5"""
 query("t1_regime", sql(_REG, "dwd_daily_quote"))(lambda m: T.market_regime(m.quotes, "INDEX.XX"))
 query("t2_forward_frame", sql(f"SELECT {r6('ts_code, trade_date, tradable', 'entry', *[f'ret_{n}' for n in T.HOLDINGS])} FROM fwd", "dwd_daily_quote", fwd0=_FWD0, fwd=_FWD))(lambda m: T.forward_frame(m.quotes))
 query("t4_tradability", panel("SELECT pattern, count(*) AS n, round(avg((tradable <> 'ok')::INT), 6) AS untradable FROM sig JOIN fwd USING (ts_code, trade_date) GROUP BY ALL", P.KPATTERN, **_BT))(
@@ -177,7 +177,7 @@ query("h3_week_rules", sql("SELECT 'active_days' AS rule, count(*) FILTER (activ
 )
 query("h6_orphans", sql("SELECT count(*) AS n_orphans FROM dwd_daily_quote ANTI JOIN dim_stock USING (ts_code)", "dwd_daily_quote"))(lambda m: Q.orphans(m.quotes, m.dim_stock, "ts_code", "ts_code"))
 query("h7_week_ends", sql("SELECT year, week_of_year, sum(is_week_end)::BIGINT AS n FROM dim_date GROUP BY ALL HAVING sum(is_week_end) <> 1", "dim_date"))(lambda m: Q.week_ends_per_week(m.dim_date))
-query("h9_fill_rate", sql("SELECT trade_date, n, u, n >= least(u::DOUBLE, greatest(u * 0.8, CASE WHEN u >= 4000 THEN 4000 ELSE 0 END)) AS enough FROM (SELECT trade_date, count(DISTINCT ts_code) AS n FROM dwd_weekly_quote JOIN dim_date USING (trade_date) WHERE is_week_end = 1 GROUP BY ALL), (SELECT count(*) FILTER (is_active = 1) AS u FROM dim_stock)", "dwd_weekly_quote"))(
+query("h9_fill_rate", sql("SELECT trade_date, n, u, n >= least(u::DOUBLE, greatest(u * 0.8, CASE WHEN u >= 4000 THEN 4000 ELSE 0 END)) AS enough FROM (SELECT trade_date, count(DISTINCT ts_code) AS n FROM dwd_weekly_quote JOIN dim_date USING (trade_date) WHERE is_week_end = 1 GROUP BY ALL), (SELECT count(*) FILTER (is_active = 1) AS u FROM dim_stock WHERE list_date < (SELECT trade_date FROM dim_date WHERE is_week_end = 1 ORDER BY trade_date DESC LIMIT 1 OFFSET 119))", "dwd_weekly_quote"))(
     lambda m: Q.fill_rate(m.weekly, m.dim_date, m.dim_stock)
 )
 query("q1_completeness", sql("SELECT ts_code, d.n AS n_daily, coalesce(w.n, 0) AS n_weekly, CASE WHEN d.n >= 1000 AND coalesce(w.n, 0) >= 1100 THEN 'ok' WHEN d.n >= 1000 THEN 'missing_weekly' WHEN coalesce(w.n, 0) >= 1100 THEN 'missing_daily' ELSE 'missing_both' END AS status FROM (SELECT ts_code, count(*) AS n FROM adjusted GROUP BY ALL) d LEFT JOIN (SELECT ts_code, count(*) AS n FROM dwd_weekly_quote GROUP BY ALL) w USING (ts_code)", "dwd_weekly_quote"))(

@@ -207,3 +207,74 @@ STRUCTURE = MACD | _tops("st", 1) | _tops("sb", -1) | {
         WHERE EXISTS (SELECT 1 FROM sev e WHERE e.ts_code = s.ts_code AND e.label = s.label AND e.rn > s.rn + 10)""",
     "structure": "SELECT sev.*, CASE WHEN path = 'skip_peak' THEN 'skip_peak' WHEN lag_bars > 1 THEN 'tg_lag' WHEN NOT zone_ok THEN 'zone_mismatch' END AS reject_reason FROM sev SEMI JOIN skept k ON k.ts_code = sev.ts_code AND k.label = sev.label AND k.rn = sev.rn",
 }
+
+
+def _flow_tops(k: str, sign: int) -> dict[str, str]:
+    """Structure tops of the signed money-flow lines; a peak is judged on the list of its segment's flows."""
+    top = "list_max(l)"
+    around = f"l[greatest(1, list_position(l, {top}) - 2):least(len(l), list_position(l, {top}) + 2)]"
+    alone = f"len(list_filter({around}, lambda x: x >= {top} * 0.8::DOUBLE)) < 2" if sign > 0 else f"{top} <= 0"
+    return _tops(k, sign) | {
+        f"{k}0": f"SELECT ts_code, trade_date, round(close_qfq * {sign}, 10) AS c, round(ddx * {sign}, 10) AS f, round(ddx2 * {sign}, 10) AS s, round(ddx * {sign}, 10) AS b, {RN} AS rn FROM dde JOIN panel USING (ts_code, trade_date)",
+        f"{k}2": f"""SELECT *, CASE WHEN f1 > 0 THEN f1 END AS b1 FROM (SELECT *, CASE WHEN whole THEN hh END AS h1, CASE WHEN whole AND NOT ({alone}) THEN {top} END AS f1
+            FROM (SELECT *, gc IS NOT NULL AND count(f) {_RUN} = count(*) {_RUN} AS whole, max(c) {_RUN} AS hh, list(f) {_RUN} AS l, arg_max(rn, c) {_RUN} AS peak FROM {k}1))""",
+    }
+
+
+FLOW_STRUCTURE = DDE | _flow_tops("gt", 1) | _flow_tops("gb", -1) | {
+    k.replace("s", "g", 1): v.replace("st8", "gt8").replace("sb8", "gb8").replace("sev", "gev").replace("skept", "gkept") for k, v in STRUCTURE.items() if k in ("sev", "skept", "structure")
+}
+FLOW_STRUCTURE["flow_structure"] = FLOW_STRUCTURE.pop("gtructure")
+
+
+def sunday(c: str) -> str:
+    return f"strftime(date_trunc('week', strptime({c}, '%Y%m%d')) + INTERVAL 6 DAY, '%Y%m%d')"
+
+
+_SHORT = " ".join(f"WHEN {RN} = {n} THEN round({slope('b_bar', n, 0.15)}, 10)" for n in (2, 3, 4))
+WEEK_MACD = MACD | {
+    "wk0": f"SELECT *, row_number() OVER (PARTITION BY ts_code ORDER BY week) AS rn, count(*) OVER (PARTITION BY ts_code) AS n FROM (SELECT ts_code, {sunday('trade_date')} AS week, arg_max(close_qfq, trade_date) AS c FROM dwd_daily_quote WHERE is_suspended = 0 GROUP BY ALL)",
+    "wrec": """SELECT ts_code, rn, c AS f1, c AS f2, 0.0::DOUBLE AS bd, 0.0::DOUBLE AS bdea FROM wk0 WHERE rn = 1
+        UNION ALL
+        SELECT ts_code, rn, f1, f2, f1 - f2, 0.2::DOUBLE * (f1 - f2) + 0.8::DOUBLE * bdea
+        FROM (SELECT wk0.ts_code, wk0.rn, 2.0::DOUBLE / 13 * c + 11.0::DOUBLE / 13 * f1 AS f1, 2.0::DOUBLE / 27 * c + 25.0::DOUBLE / 27 * f2 AS f2, bdea FROM wrec JOIN wk0 ON wk0.ts_code = wrec.ts_code AND wk0.rn = wrec.rn + 1)""",
+    "wx0": "SELECT ts_code, week AS trade_date, n, round(bd, 10) AS b_dif, round(bdea, 10) AS b_dea, round(2 * (bd - bdea), 10) AS b_bar FROM wrec JOIN wk0 USING (ts_code, rn) WHERE n >= 2",
+    "wx1": f"""SELECT *, {RN} AS rn, {lag('b_dif')} AS d1, {lag('b_dea')} AS a1, CASE {_SHORT} ELSE round({slope('b_bar', 5, 0.15)}, 10) END AS s5,
+        CASE WHEN {RN} >= 10 THEN greatest({over('stddev_pop(b_dif)', 10)}, {over('stddev_pop(b_dea)', 10)}) ELSE greatest(abs(b_dif), abs(b_dea)) END * 0.15::DOUBLE AS lim FROM wx0""",
+    "wt": """SELECT ts_code, trade_date AS week, CASE WHEN abs(s5) < 0.001 THEN 'flat' WHEN s5 > 0 THEN 'up' WHEN s5 < 0 THEN 'down' END AS trend,
+        CASE WHEN d1 <= a1 AND b_dif > b_dea THEN 'golden_cross' WHEN d1 >= a1 AND b_dif < b_dea THEN 'dead_cross'
+             WHEN rn >= 3 AND round(abs(b_dif - b_dea), 10) < round(abs(d1 - a1), 10) AND round(abs(b_dif - b_dea), 10) < round(lim, 10) AND b_dif < b_dea AND d1 < a1 THEN 'near_golden'
+             WHEN rn >= 3 AND round(abs(b_dif - b_dea), 10) < round(abs(d1 - a1), 10) AND round(abs(b_dif - b_dea), 10) < round(lim, 10) AND b_dif > b_dea AND d1 > a1 THEN 'near_dead' END AS turning_point FROM wx1""",
+    "macdw": f"SELECT m.* EXCLUDE (trend, turning_point), wt.trend, wt.turning_point FROM macd m LEFT JOIN wt ON wt.ts_code = m.ts_code AND wt.week = {sunday('m.trade_date')}",
+}
+WEEK_VOLUME = VOLUME | {
+    "v0": VOLUME["v0"].replace("vol AS v,", "vol AS v, vol * active_days / 5 AS tv,"),
+    "v2": VOLUME["v2"].replace(slope("v", 5), slope("tv", 5)).replace("avg(abs(v))", "avg(abs(tv))"),
+    "volume": VOLUME["volume"].replace("rn >= 64", "rn >= 34"),
+}
+_BIG = "sum(coalesce(buy_lg_vol, 0)) + sum(coalesce(buy_elg_vol, 0)) - sum(coalesce(sell_lg_vol, 0)) - sum(coalesce(sell_elg_vol, 0))"
+WEEK_DDE = {
+    "ends": "SELECT ts_code, trade_date, coalesce(lag(trade_date) OVER (PARTITION BY ts_code ORDER BY trade_date), strftime(strptime(trade_date, '%Y%m%d') - INTERVAL 7 DAY, '%Y%m%d')) AS prev FROM dwd_weekly_quote JOIN dim_date USING (trade_date) WHERE is_week_end = 1",
+    "wf0": f"""SELECT e.ts_code, e.trade_date, CASE WHEN count(DISTINCT f.trade_date) >= 0.6 * (SELECT count(*) FROM dim_date d WHERE d.trade_date > e.prev AND d.trade_date <= e.trade_date) THEN ({_BIG}) / nullif(sum(f.total_vol), 0) END AS ddx
+        FROM ends e JOIN dwd_daily_moneyflow f ON f.ts_code = e.ts_code AND f.trade_date > e.prev AND f.trade_date <= e.trade_date GROUP BY e.ts_code, e.trade_date, e.prev""",
+    "wf1": f"SELECT * FROM (SELECT *, {RN} AS rn, {ALL_N} AS n, count(ddx) OVER (PARTITION BY ts_code) AS nx FROM wf0) WHERE n >= 2",
+    "wfr": """SELECT ts_code, rn, ddx AS s, CASE WHEN ddx IS NULL THEN 0 ELSE 1 END AS k, ddx AS e FROM wf1 WHERE rn = 1
+        UNION ALL
+        SELECT wf1.ts_code, wf1.rn, CASE WHEN ddx IS NULL THEN s ELSE coalesce(s, 0) + ddx END, k + CASE WHEN ddx IS NULL THEN 0 ELSE 1 END,
+               CASE WHEN ddx IS NULL THEN e WHEN k + 1 <= 5 THEN (coalesce(s, 0) + ddx) / (k + 1) ELSE ddx / 3 + e * 2 / 3 END
+        FROM wfr JOIN wf1 ON wf1.ts_code = wfr.ts_code AND wf1.rn = wfr.rn + 1""",
+    "wf2": "SELECT ts_code, trade_date, round(ddx, 10) AS ddx, round(CASE WHEN nx >= 5 THEN e END, 10) AS ddx2 FROM wfr JOIN wf1 USING (ts_code, rn)",
+    "wf3": f"SELECT *, round({slope('ddx2', 2)}, 10) AS turn, CASE WHEN {over('count(ddx2)', 5)} = 5 THEN {over('avg(abs(ddx2))', 5)} END AS sc, {slope('ddx2', 5, 0.2)} AS s2 FROM wf2",
+    "wf4": f"SELECT *, {lag('turn')} AS was FROM wf3",
+    "fd": "SELECT f.*, q.circ_mv, q.total_mv FROM dwd_daily_moneyflow f LEFT JOIN (SELECT ts_code, trade_date, circ_mv, total_mv FROM dwd_daily_quote WHERE is_suspended = 0) q USING (ts_code, trade_date)",
+    "fw0": f"SELECT ts_code, {sunday('trade_date')} AS trade_date, sum(coalesce(net_amount_dc, 0)) AS net, arg_max(circ_mv, fd.trade_date) FILTER (circ_mv IS NOT NULL) AS mv FROM fd WHERE ts_code IN (SELECT ts_code FROM fd WHERE net_amount_dc IS NOT NULL) GROUP BY ts_code, {sunday('fd.trade_date')}".replace("strptime(trade_date", "strptime(fd.trade_date"),
+    "fw1": f"SELECT ts_code, trade_date, net / mv * 100 AS ddx, {RN} AS rn FROM fw0 WHERE mv > 0",
+    "fwr": "SELECT ts_code, rn, ddx AS w FROM fw1 WHERE rn = 1 UNION ALL SELECT fw1.ts_code, fw1.rn, 59.0::DOUBLE / 61 * w + 2.0::DOUBLE / 61 * ddx FROM fwr JOIN fw1 ON fw1.ts_code = fwr.ts_code AND fw1.rn = fwr.rn + 1",
+    "fw2": f"SELECT *, CASE WHEN rn >= 10 THEN {over('avg(sm)', 10)} END AS a FROM (SELECT fw1.*, w * 60.1953::DOUBLE AS sm FROM fwr JOIN fw1 USING (ts_code, rn))",
+    "fw3": "SELECT *, CASE WHEN count(a) OVER (PARTITION BY ts_code) > 0 THEN a ELSE ddx END AS sma FROM fw2",
+    "fw4": f"SELECT ts_code, trade_date, rn, CASE WHEN rn < 4 THEN NULL WHEN sl > 0 THEN 'up' WHEN sl < 0 THEN 'down' ELSE 'flat' END AS trend FROM (SELECT *, round({slope('sma', 4)}, 10) AS sl FROM fw3)",
+    "wtr": """SELECT a.ts_code, a.trade_date, CASE WHEN a.trade_date = max(a.trade_date) OVER (PARTITION BY a.ts_code) OR nx.trade_date IS NULL THEN l.trend ELSE nx.trend END AS trend
+        FROM wf0 a ASOF LEFT JOIN fw4 nx ON a.ts_code = nx.ts_code AND a.trade_date <= nx.trade_date LEFT JOIN (SELECT ts_code, arg_max(struct_pack(t := trend), trade_date).t AS trend FROM fw4 GROUP BY ALL) l ON l.ts_code = a.ts_code""",
+    "ddew": """SELECT wf4.ts_code, wf4.trade_date, ddx, ddx2, CASE WHEN sc > 0 THEN s2 / sc END AS trend_strength,
+        CASE WHEN was < 0 AND turn > 0 THEN 'upturn_reverse' WHEN was > 0 AND turn < 0 THEN 'downturn_reverse' END AS alert, wtr.trend FROM wf4 LEFT JOIN wtr USING (ts_code, trade_date)""",
+}

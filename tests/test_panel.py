@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from barloom.operators import bars as B
 from barloom.operators import indicators as M
 from barloom.operators import ingest as I
-from barloom.plans import layer_queries, queries  # noqa: F401
+from barloom.plans import further_queries, layer_queries, queries  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 DAILY = "ts_code string, trade_date string, open double, high double, low double, close double, vol double, amount double, pct_chg double, adj_factor double"
@@ -72,12 +72,12 @@ def test_merge_ranges(spark):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("part", "lineitem"):
+    for t in ("part", "lineitem", "supplier", "events"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     return con
 
 
-@pytest.mark.parametrize("name", ["d2_dim_date", "b5_weekly_bars", "b19_weekly_flow", "ind_ma_daily", "ind_macd_daily", "ind_dde_daily", "t5_pattern_evaluation", "i11_change_events", "n3_classify", "n6_append_ma", "g6_within_days"])
+@pytest.mark.parametrize("name", ["d2_dim_date", "b5_weekly_bars", "b19_weekly_flow", "ind_ma_daily", "ind_macd_daily", "ind_dde_daily", "t5_pattern_evaluation", "i11_change_events", "n3_classify", "n6_append_ma", "n6_append_macd", "n7_routed_ma", "m7_weekly_macd", "ind_dde_weekly", "x7_enriched", "g6_within_days"])
 def test_queries_equal_their_sql(spark, duck, name):
     got = queries.QUERIES[name](spark, SF)
     cols = sorted(got.columns)
@@ -87,3 +87,40 @@ def test_queries_equal_their_sql(spark, duck, name):
     assert sorted(at) == cols
     want = sorted((tuple(norm(r[at.index(c)]) for c in cols) for r in rel.fetchall()), key=repr)
     assert sorted((tuple(norm(r[c]) for c in cols) for r in got.collect()), key=repr) == want and want
+
+
+def test_layers_are_built_once_and_read_once_per_query(spark):
+    from barloom.sources.store import layer
+
+    asked = []
+    build = lambda: asked.append(1) or spark.range(3)
+    first, again = layer(spark, "nowhere", "tiny", build), layer(spark, "nowhere", "tiny", build)
+    assert len(asked) == 1 and first.count() == again.count() == 3
+    m = queries.Tables(spark, SF)
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan(M.macd(M.daily_panel(m.quotes)))
+
+
+def test_instruments_grow_with_the_suppliers(spark, tmp_path):
+    import datetime
+
+    from barloom.sources import market as S
+
+    day = datetime.datetime(1999, 6, 15)
+    spark.createDataFrame([(1, 1, 1, s, 5.0, 100.0 + s, "O", day) for s in (7, 99, 100, 250)], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_linestatus string, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "Brand#7", "t")], "p_partkey long, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(s,) for s in (7, 99, 100, 250)], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    rows = S.trades(spark, str(tmp_path), S.trade_cal(spark, str(tmp_path)))
+    want = {"B07.XX", "B07-1.XX", "B07-2.XX"}
+    assert {r.ts_code for r in rows.collect()} == want == {r.ts_code for r in S.ods_stock_basic(spark, str(tmp_path)).collect()}
+    assert {r.ts_code for r in S.ods_daily(rows).collect()} == want | {"INDEX.XX"}
+
+
+def test_profit_without_a_loss_is_infinite_and_few_returns_are_left_out(spark):
+    from barloom.operators import backtest as T
+
+    quotes = [("A", f"2024{k // 28 + 1:02d}{k % 28 + 1:02d}", 10.0 + k, 10.5 + k, 9.5 + k, 10.0 + k, 1.0, 0) for k in range(40)]
+    q = spark.createDataFrame(quotes, "ts_code string, trade_date string, open_qfq double, high_qfq double, low_qfq double, close_qfq double, pct_chg double, is_suspended int")
+    signals = q.where("trade_date < '20240108'").selectExpr("ts_code", "trade_date", "'p' AS pattern").unionByName(q.where("trade_date < '20240104'").selectExpr("ts_code", "trade_date", "'few' AS pattern"))
+    got = T.evaluate(signals, q, q.selectExpr("trade_date", "'bull' AS regime").distinct()).where("holding = 5").collect()
+    assert [(r.pattern, r.n, r.win_rate, r.mean_loss, r.profit_factor) for r in got] == [("p", 7, 1.0, 0.0, float("inf"))]
