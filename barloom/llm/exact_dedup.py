@@ -64,12 +64,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     id and text all carry ``kept``, as they are the same document; an empty table
     gives no rows; other columns are ignored.
 
-    Only recipes move in the second shuffle: the count and the largest id per
-    recipe are combined before it, and the join back is one that Spark may split
-    where one recipe is hot.
+    Only recipes move in the second shuffle, written once for both readers: the count
+    and the largest id per recipe are combined before it and written too, so the join
+    back is one of two plain tables, which Spark may split where one recipe is hot.
     """
-    rows = recipes(docs, id_col, text_col)
-    best = rows.groupBy("recipe").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
+    rows = materialize(recipes(docs, id_col, text_col))
+    best = materialize(rows.groupBy("recipe").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")))
     return rows.join(best, "recipe").select(
         F.col("id"), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
