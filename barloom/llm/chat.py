@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 
 def conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """``(conv, turns array<struct<role,text>>)``: every conversation's turns in order.
@@ -27,10 +29,11 @@ def opening_pairs(convs: DataFrame) -> DataFrame:
     """``(chosen, rejected)``: per first turn, the smallest conversation as chosen with every other as rejected.
 
     The pairs grow with the conversations, however many share a first turn: the
-    smallest id per first turn is combined before the shuffle and joined back.
+    smallest id per first turn is combined before the shuffle, written, and joined
+    back by a join of plain tables, which Spark may split where a first turn is hot.
     """
     opened = convs.where(F.size("turns") > 0).select("conv", F.element_at("turns", 1).alias("first"))
-    best = opened.groupBy("first").agg(F.min("conv").alias("chosen"))
+    best = materialize(opened.groupBy("first").agg(F.min("conv").alias("chosen")))
     return opened.join(best, "first").where("conv != chosen").select("chosen", F.col("conv").alias("rejected"))
 
 
