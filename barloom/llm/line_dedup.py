@@ -151,7 +151,7 @@ def dedup_lines(
         "id", "tag", F.transform(line, lambda x: F.xxhash64(x)).alias("h"), F.transform(line, lambda x: F.length(x)).alias("n")
     )
     seeds = materialize(lean.mapInArrow(_seeds(least_chars), f"id {rows.schema['id'].dataType.simpleString()}, tag long, seed long"))
-    firsts = seeds.groupBy("seed").agg(F.min(F.struct("id", "tag")).alias("first"), F.count("*").alias("df")).where("df > 1").drop("df")
+    firsts = materialize(seeds.groupBy("seed").agg(F.min(F.struct("id", "tag")).alias("first"), F.count("*").alias("df")).where("df > 1").drop("df"))
     links = seeds.join(firsts, "seed").select("id", "tag", "first")
     links = links.where("first.id < id").distinct()
     early = lean.select(F.struct("id", "tag").alias("first"), F.col("h").alias("early")).dropDuplicates(["first"])
