@@ -25,13 +25,27 @@ def test_snapshot_sink_replaces_one_date(spark, tmp_path):
 
 
 def test_stream_of_bars(spark, tmp_path):
+    """Batches with new, repeated and late changed bars give what one run over all bars gives."""
+    from barloom.functions.kernels import r10, sma
+
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "ts_code string, trade_date string, close double, arrived long"
-    spark.createDataFrame([("A", "20240101", 1.0, 1), ("A", "20240101", 2.0, 2)], schema).write.parquet(src)
-    stream = lambda: spark.readStream.schema(schema).parquet(src)
-    run = lambda: microbatch.incremental_sink(stream(), out, lambda b: b.drop("arrived"), str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
-    run()
-    spark.createDataFrame([("A", "20240101", 5.0, 3), ("A", "20240102", 6.0, 4)], schema).write.mode("append").parquet(src)
-    run()
-    got = sorted((r.trade_date, r.close) for r in microbatch.newest(spark.read.parquet(out)).collect())
-    assert got == [("20240101", 5.0), ("20240102", 6.0)]
+    day = lambda k: f"2024{k // 28 + 1:02d}{k % 28 + 1:02d}"
+    batches = [
+        [(c, day(k), float(k * k % 17), 1) for c in "AB" for k in range(12)] + [("A", day(3), 99.0, 2)],
+        [("A", day(k), float(k), 3) for k in range(12, 20)] + [("C", day(15), 1.0, 3)],
+        [("A", day(9), 50.0, 4), ("B", day(12), 7.0, 4)],
+    ]
+    compute = lambda bars: bars.select("ts_code", "trade_date", "close", r10(sma("close", 5)).alias("ma"))
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        microbatch.incremental_sink(stream, out, compute, str(tmp_path / "cp"), lookback=5).trigger(availableNow=True).start().awaitTermination()
+    all_ = {}
+    for rows in batches:
+        for c, d, x, n in sorted(rows, key=lambda r: r[3]):
+            all_[c, d] = x
+    full = compute(spark.createDataFrame([(*k, v) for k, v in all_.items()], "ts_code string, trade_date string, close double"))
+    got = microbatch.newest(spark.read.parquet(f"{out}/results"))
+    read = lambda d: sorted((r.ts_code, r.trade_date, r.close, r.ma) for r in d.collect() if r.ma is not None or r.ts_code == "C")
+    assert read(got) == read(full) and spark.read.parquet(f"{out}/results").where("batch_id = 1 and ts_code = 'B'").count() == 0
