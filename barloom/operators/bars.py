@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.kernels import by_date
 
-from .dims import as_date
+from .dims import as_date, roll_back
 
 PRICES = ("open", "high", "low", "close")
 VALUES = ("total_mv", "circ_mv", "pe_ttm", "turnover_rate", "volume_ratio")
@@ -160,8 +160,9 @@ def weekly_moneyflow(flow: DataFrame, weekly: DataFrame, dim: DataFrame, basic:
     week = rows.groupBy("ts_code", "week_end", "prev").agg(*[F.sum(F.coalesce(c, F.lit(0.0))).alias(c) for c in sums], F.countDistinct("trade_date").alias("active_days"))
     idx = dim.select("trade_date", "day_idx")
     end_idx = F.broadcast(idx.withColumnsRenamed({"trade_date": "week_end", "day_idx": "e"}))
-    weeks = week.join(end_idx, "week_end")
-    days = F.broadcast(idx.agg(F.sort_array(F.collect_list("trade_date")).alias("days")))  # one row: the calendar
-    weeks = weeks.join(days).withColumn("expected_days", F.col("e") - F.size(F.filter("days", lambda d: d <= F.col("prev")))).drop("days", "e")
+    days = dim.select(F.col("trade_date").alias("cal_date"), F.lit(1).alias("is_open"))
+    upto = roll_back(ends.select("prev").distinct(), days, "prev").join(F.broadcast(idx), "trade_date", "left")
+    upto = F.broadcast(upto.select("prev", F.coalesce("day_idx", F.lit(0)).alias("p")))  # one row a date
+    weeks = week.join(end_idx, "week_end").join(upto, "prev").withColumn("expected_days", F.col("e") - F.col("p")).drop("e", "p")
     mv = basic.select("ts_code", F.col("trade_date").alias("week_end"), "circ_mv", "total_mv")
     return weeks.join(mv, ["ts_code", "week_end"], "left").withColumn("is_skipped", (F.col("active_days") < share * F.col("expected_days")).cast("int"))
