@@ -233,6 +233,23 @@ def test_suffix_dedup(spark, docs, none, texts):
         assert sorted(got, key=repr) == sorted(brute_repeats(rows), key=repr)
 
 
+@pytest.mark.parametrize("hot, bucket", [(4, 1 << 22), (12, 1 << 12)])
+def test_suffix_dedup_hot_runs(spark, monkeypatch, hot, bucket):
+    """Runs, contexts and strings that most documents share meet in many groups, with the same result."""
+    r = random.Random(hot)
+    make = lambda n: "".join(r.choice("abcdefgh é") for _ in range(n))
+    run, passage, line = make(20), make(60), make(150)
+    rows = [(i * 11 % 300, make(r.randint(0, 80)) + r.choice([run, passage, line, "-" * 70, run + line[:70]]) + make(r.randint(0, 80))) for i in range(300)]
+    rows += [(3, line), (3, line + line), (None, line), (None, passage), (301, "-" * 3000), (302, None), (303, line[10:70])]
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "BUCKET", bucket)
+    kinds = []
+    monkeypatch.setattr(suffix_dedup, "_send_contexts", lambda buckets, runs, f=suffix_dedup._send_contexts: kinds.append(len(runs)) or f(buckets, runs))
+    got = [(x.id, x.n_bytes, tuple((s.start, s.end) for s in x.spans), bytes(x.kept)) for x in suffix_dedup.remove_repeats(spark.createDataFrame(rows_of(rows), DOCS).repartition(3)).collect()]
+    assert kinds[0] > 0
+    assert sorted(got, key=repr) == sorted(brute_repeats(rows), key=repr)
+
+
 def test_longest_previous_factors():
     import numpy as np
 
