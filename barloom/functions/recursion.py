@@ -71,12 +71,12 @@ def weekly_smooth(g: pd.DataFrame) -> pd.DataFrame:
     return g.assign(smooth=ewm_array(g["ddx"].tolist(), 60))
 
 
-def zones(rank: list, seed: str | None = None) -> list:
-    """Zones with hysteresis: one is entered and left only after several rows; ``seed`` is the zone before the first."""
+def zones(rank: list, seed: str | None = None, start: int = 0) -> list:
+    """Zones with hysteresis from row ``start`` on: one is entered and left only after several rows; ``seed`` is the zone before."""
     held = lambda i, n, test: i >= n - 1 and all(rank[k] is not None and test(rank[k]) for k in range(i - n + 1, i + 1))
     state, out = seed if seed in ("explosive", "low_volume") else "normal", []
     for i, x in enumerate(rank):
-        if x is None:
+        if x is None or i < start:
             out.append(None)
             continue
         if state == "normal":
@@ -87,11 +87,12 @@ def zones(rank: list, seed: str | None = None) -> list:
     return out
 
 
-def spaced(flags: list[bool], gap: int) -> list[bool]:
-    """Flags without those within ``gap`` rows after one that counts."""
+def spaced(flags: list[bool], gap: int, known: list = ()) -> list[bool]:
+    """Flags without those within ``gap`` rows after one that counts; of the first rows it may be ``known`` whether they do."""
     out, last = [], None
     for i, x in enumerate(flags):
-        out.append(bool(x) and (last is None or i - last > gap))
+        given = known[i] if i < len(known) else None
+        out.append(given if given is not None else bool(x) and (last is None or i - last > gap))
         last = i if out[-1] else last
     return out
 
@@ -105,6 +106,19 @@ def volume_zone(g: pd.DataFrame, gap: int = 5) -> pd.DataFrame:
     return g.drop(columns=["top", "bottom"]).assign(zone=zones(rank), divergence=label)
 
 
+def seeded_volume_zone(g: pd.DataFrame, gap: int = 5) -> pd.DataFrame:
+    """:func:`volume_zone` continued from stored rows (``old``, with ``old_zone`` and ``old_label``) before the new ones."""
+    g = g.sort_values("trade_date")
+    rank = [None if x != x else x for x in g["pct_vol_rank"].astype(float)]
+    start = max((i + 1 for i, x in enumerate(g["old"]) if x == 1), default=0)
+    zone = [x for x in g["old_zone"].tolist()[:start] if isinstance(x, str)]
+    was = g["old_label"].tolist()[:start]
+    bottom = spaced(g["bottom"].tolist(), gap, [x == "bottom_divergence" for x in was])
+    top = spaced(g["top"].tolist(), gap, [None if x == "bottom_divergence" else x == "top_divergence" for x in was])
+    label = ["bottom_divergence" if b else "top_divergence" if t else None for t, b in zip(top, bottom)]
+    return g.drop(columns=["top", "bottom", "old", "old_zone", "old_label"]).assign(zone=zones(rank, zone[-1] if zone else None, start), divergence=label)
+
+
 def flow_lines(g: pd.DataFrame) -> pd.DataFrame:
     g = g.sort_values("trade_date")
     none = lambda x: [None if v != v else v for v in x.astype(float)]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barloom.functions import kernels as K
 from barloom.functions import recursion as R
 from barloom.functions.kernels import back, by_date, crossed_down, crossed_up, r10, rn, sma, weighted_slope
+from barloom.operators.incremental import append
 
 # Rows an instrument needs, flat zone of a slope, gap of a tangle.
 LEAST_ROWS = {"macd": 27, "ma": 11, "kpattern": 30, "dde": 10, "volume": 5, "position": 2}
@@ -222,6 +223,32 @@ def volume(panel: DataFrame, anchor: int = 60, traded: str = "vol") -> DataFrame
     The trend is that of ``traded``: for weekly bars, whose volume is scaled to five
     days, ``vol * active_days / 5``.
     """
+    d = _volume_rows(panel, anchor, traded)
+    return d.groupBy("ts_code").applyInPandas(lambda g: R.volume_zone(g), _volume_schema(d))
+
+
+def append_volume(panel: DataFrame, stored: DataFrame, anchor: int = 60, traded: str = "vol") -> DataFrame:
+    """:func:`volume` of the bars after each instrument's last stored result; equal to a full run.
+
+    The windows reach over 130 bars before the new ones; the zone and the spacing of
+    divergences go on from the stored ones. Instruments without a stored result have no rows.
+    """
+    was = stored.select("ts_code", "trade_date", F.lit(1).alias("old"), F.col("zone").alias("old_zone"), F.col("divergence").alias("old_label"))
+
+    def on_tail(rows: DataFrame) -> DataFrame:
+        d = _volume_rows(rows, anchor, traded)
+        return d.join(was, ["ts_code", "trade_date"], "left").groupBy("ts_code").applyInPandas(lambda g: R.seeded_volume_zone(g), _volume_schema(d))
+
+    return append(on_tail, panel, stored.groupBy("ts_code").agg(F.max("trade_date").alias("last_trade_date")), 130)
+
+
+def _volume_schema(d: DataFrame) -> str:
+    kept = [f"{c} {t}" for c, t in d.dtypes if c not in ("top", "bottom")]
+    return ", ".join([*kept, "zone string", "divergence string"])
+
+
+def _volume_rows(panel: DataFrame, anchor: int, traded: str) -> DataFrame:
+    """The part of the volume measures that windows give, and where price and volume part."""
     d = enough_rows(panel, LEAST_ROWS["volume"]).select("ts_code", "trade_date", "close_qfq", "vol", F.expr(traded).alias("traded"), rn().alias("rn"))
     d = d.withColumn("ma_vol_5", r10(sma("vol", 5)))
     d = d.select("*", r10(K.pct_rank("ma_vol_5", 120)).alias("pct_vol_rank"))
@@ -229,12 +256,10 @@ def volume(panel: DataFrame, anchor: int = 60, traded: str = "vol") -> DataFrame
     trend = F.when(F.col("rn") >= anchor + 4, F.when(direction > 0.001, "expanding").when(direction < -0.001, "shrinking").otherwise("flat"))
     d = parted(d.withColumn("lv", F.when(F.col("vol") > 0, F.ln("vol"))), "vol")
     scale = K.mean_abs("lv", 10)
-    d = d.select(
+    return d.select(
         "ts_code", "trade_date", "ma_vol_5", F.when(F.col("ma_vol_5") > 0, F.col("vol") / F.col("ma_vol_5")).alias("volume_ratio"), "pct_vol_rank",
         trend.alias("trend"), F.when(scale < 1e-6, 0.0).otherwise(weighted_slope("lv", 10, 0.20) / scale).alias("trend_strength"), "top", "bottom",
     )
-    kept = [f"{c} {t}" for c, t in d.dtypes if c not in ("top", "bottom")]
-    return d.groupBy("ts_code").applyInPandas(lambda g: R.volume_zone(g), ", ".join([*kept, "zone string", "divergence string"]))
 
 
 def volume_regime(panel: DataFrame, anchor: int = 60, recent: int = 10) -> DataFrame:

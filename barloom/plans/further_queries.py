@@ -176,6 +176,9 @@ query("n1_recalc_bars", L.panel("SELECT ts_code, indicator, least(n, need) AS ba
 query("n6_append_macd", L.panel(f"SELECT {r6('ts_code, trade_date', 'ema_12', 'ema_26', 'dif', 'dea', 'macd_bar')} FROM macd WHERE trade_date >= '{DATE}'", P.MACD))(
     lambda m: M.append_macd(m.panel, M.macd(m.panel.where(F.col("trade_date") < DATE)))
 )
+query("n6_append_volume", L.panel(f"SELECT {r6('ts_code, trade_date, trend, zone, divergence', 'ma_vol_5', 'volume_ratio', 'pct_vol_rank', 'trend_strength')} FROM volume WHERE trade_date >= '{DATE}'", P.VOLUME))(
+    lambda m: M.append_volume(m.panel, M.volume(m.panel.where(F.col("trade_date") < DATE)))
+)
 query("n4_spare_unchanged", L.panel("SELECT DISTINCT ts_code, CASE WHEN ts_code < 'B10' AND ts_code <> 'B01.XX' THEN 'SKIP' ELSE 'FULL' END AS mode FROM panel", {}))(lambda m: _spare(m))
 
 

@@ -77,7 +77,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", ["d2_dim_date", "b5_weekly_bars", "b19_weekly_flow", "ind_ma_daily", "ind_macd_daily", "ind_dde_daily", "t5_pattern_evaluation", "i11_change_events", "n3_classify", "n6_append_ma", "n6_append_macd", "n7_routed_ma", "m7_weekly_macd", "ind_dde_weekly", "x7_enriched", "g6_within_days"])
+@pytest.mark.parametrize("name", ["d2_dim_date", "b5_weekly_bars", "b19_weekly_flow", "ind_ma_daily", "ind_macd_daily", "ind_dde_daily", "t5_pattern_evaluation", "i11_change_events", "n3_classify", "n6_append_ma", "n6_append_macd", "n6_append_volume", "n7_routed_ma", "m7_weekly_macd", "ind_dde_weekly", "x7_enriched", "g6_within_days"])
 def test_queries_equal_their_sql(spark, duck, name):
     got = queries.QUERIES[name](spark, SF)
     cols = sorted(got.columns)
