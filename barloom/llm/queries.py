@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from . import toxicity
 from .chat import conversations, format_preferences, opening_pairs, worse_endings
-from .common import materialize, table
+from .common import LOWER, UPPER, materialize, table
 from .exact_dedup import exact_dedup
 from .hamming import hamming_top_k, sign_codes
 from .line_dedup import dedup_lines
+from .merkle import folded, manifest, proof_digest
 from .mixing import mix
+from .negatives import mine_negatives, quantized
+from .pivots import embedding_components
 from .sentencepiece_bpe import encode_decode
 from .simhash import simhash_components
 from .suffix_dedup import remove_repeats
@@ -115,6 +118,27 @@ def op10_simhash(spark, sf_dir):
     return simhash_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_pivots(spark, sf_dir):
+    return embedding_components(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op12_merkle(spark, sf_dir):
+    lower = F.translate("text", UPPER, LOWER)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    found = manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], changed={"text": lower}, when=tampered)
+    found = found.select("*", folded(F.col("changed_leaf"), F.col("path")).alias("folded_root"))
+    return found.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_negatives(spark, sf_dir):
+    rows = quantized(table(spark, sf_dir, "embeddings"), "case when vec_id % 7 = 0 then (label + 1) % 10 else label end")
+    rows = materialize(rows)
+    return mine_negatives(rows, rows.where("id % 100 = 0"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_wrapper": op2_wrapper,
@@ -126,6 +150,9 @@ QUERIES = {
     "op8_preferences": op8_preferences,
     "op9_hamming": op9_hamming,
     "op10_simhash": op10_simhash,
+    "op11_pivots": op11_pivots,
+    "op12_merkle": op12_merkle,
+    "op13_negatives": op13_negatives,
 }
 
 ORACLE_SQL = {
@@ -185,4 +212,82 @@ ORACLE_SQL = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
         FROM t WINDOW w AS (PARTITION BY norm)""",
+    "op11_pivots": """
+        WITH RECURSIVE t AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS v, list_aggregate(list_transform(embedding, lambda x: x::DOUBLE * x), 'sum') ** 0.5 AS norm
+            FROM embeddings),
+        e AS (
+            SELECT a.vec_id AS a, b.vec_id AS b
+            FROM t a JOIN t b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            WHERE a.norm > 0 AND b.norm > 0 AND isfinite(a.norm) AND isfinite(b.norm) AND list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.93),
+        r AS (SELECT vec_id AS id, vec_id AS low FROM t UNION SELECT e.b, r.low FROM r JOIN e ON e.a = r.id),
+        c AS (SELECT id, min(low) AS component_id FROM r GROUP BY id),
+        n AS (SELECT a AS id, count(*) AS n_links FROM e GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM t JOIN c ON c.id = vec_id LEFT JOIN n ON n.id = vec_id""",
+    "op12_merkle": """
+        WITH RECURSIVE d AS (
+            SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+                   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                   list_transform(range(8 * strlen(doc_id::VARCHAR)),
+                                  lambda i: CASE WHEN i % 8 = 0 THEN ord(substr(doc_id::VARCHAR, (i // 8 + 1)::BIGINT, 1)) ELSE 0 END::BIGINT) AS bits
+            FROM documents),
+        c AS (
+            SELECT *, list_reduce(list_prepend(4294967295::BIGINT, bits),
+                                  lambda h, x: xor(xor(h, x) >> 1, CASE WHEN xor(h, x) % 2 = 1 THEN 3988292384 ELSE 0 END::BIGINT)) AS crc
+            FROM d),
+        l AS (
+            SELECT doc_id, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) ELSE leaf END AS changed,
+                   dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY lang) AS n,
+                   row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+            FROM c),
+        u AS (
+            SELECT tree, 0 AS level, pos, n, leaf AS digest FROM l
+            UNION ALL
+            SELECT tree, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos))
+            FROM u WHERE n > 1 GROUP BY tree, level, pos // 8, n),
+        v AS (
+            SELECT 0 AS level, tree AS pos, count(*) OVER () AS n, digest FROM u WHERE n = 1
+            UNION ALL
+            SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos))
+            FROM v WHERE n > 1 GROUP BY level, pos // 8, n),
+        f AS (
+            SELECT doc_id, leaf, tree, pos AS place, 0 AS level, pos, n, changed AS digest, '' AS proof FROM l
+            UNION ALL
+            SELECT f.doc_id, f.leaf, f.tree, f.place, f.level + 1, f.pos // 8, (f.n + 7) // 8,
+                   sha256(string_agg(CASE WHEN u.pos = f.pos THEN f.digest ELSE u.digest END, '' ORDER BY u.pos)),
+                   f.proof || coalesce(string_agg(u.digest, '' ORDER BY u.pos) FILTER (WHERE u.pos <> f.pos), '')
+            FROM f JOIN u ON u.tree = f.tree AND u.level = f.level AND u.pos // 8 = f.pos // 8
+            WHERE f.n > 1 GROUP BY f.doc_id, f.leaf, f.tree, f.place, f.level, f.pos, f.n, f.digest, f.proof),
+        g AS (
+            SELECT f.doc_id, f.leaf, f.tree, f.place, u.digest AS subroot, 0 AS level, f.tree AS pos, v.n, f.digest, f.proof
+            FROM f JOIN u ON u.tree = f.tree AND u.n = 1 JOIN v ON v.level = 0 AND v.pos = f.tree WHERE f.n = 1
+            UNION ALL
+            SELECT g.doc_id, g.leaf, g.tree, g.place, g.subroot, g.level + 1, g.pos // 8, (g.n + 7) // 8,
+                   sha256(string_agg(CASE WHEN v.pos = g.pos THEN g.digest ELSE v.digest END, '' ORDER BY v.pos)),
+                   g.proof || coalesce(string_agg(v.digest, '' ORDER BY v.pos) FILTER (WHERE v.pos <> g.pos), '')
+            FROM g JOIN v ON v.level = g.level AND v.pos // 8 = g.pos // 8
+            WHERE g.n > 1 GROUP BY g.doc_id, g.leaf, g.tree, g.place, g.subroot, g.level, g.pos, g.n, g.digest, g.proof)
+        SELECT doc_id, leaf, subroot, v.digest AS root, sha256(proof) AS proof_sha256, g.digest AS folded_root, g.digest = v.digest AS verified
+        FROM g JOIN v ON v.n = 1 WHERE g.n = 1""",
+    "op13_negatives": """
+        WITH t AS (
+            SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+            FROM t a JOIN t b ON a.id % 100 = 0 AND a.id <> b.id AND len(a.v) = len(b.v) AND len(a.v) > 0),
+        p AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+        QUALIFY row_number() OVER w <= 10""",
 }
