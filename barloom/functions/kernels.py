@@ -45,6 +45,26 @@ def weighted_slope(c: str, n: int, decay: float = 0.0) -> Column:
     return sum(parts[1:], parts[0])
 
 
+def masked_slope(c: str, n: int, log: bool = False, at: str = "rn") -> Column:
+    """Least-squares slope over the last ``n`` rows of the values there are, each at its row number ``at``; with ``log`` of their
+    logarithms, positive ones only. Fewer than two give 0."""
+    y = F.when(F.col(c) > 0, F.ln(c)) if log else F.when(~F.isnan(c), F.col(c))
+    return F.when(F.count(y).over(back(n)) < 2, 0.0).otherwise(F.regr_slope(y, F.col(at)).over(back(n)))
+
+
+def compacted_strength(c: str, n: int, decay: float, least: int = 5) -> Column:
+    """Weighted slope of the logarithms of the positive values among the last ``n`` rows, by their mean magnitude.
+
+    Others are left out and the rest moved together; fewer than ``least`` give null, a mean magnitude near zero gives 0.
+    """
+    y = F.when(F.col(c) > 0, F.ln(c))
+    logs = F.collect_list(y).over(back(n))
+    factors = F.element_at(F.array(*[F.array(*map(F.lit, slope_weights(m, decay))) for m in range(2, n + 1)]), F.size(logs) - 1)
+    slope = F.aggregate(F.zip_with(logs, factors, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    count, scale = F.count(y).over(back(n)), F.avg(F.abs(y)).over(back(n))
+    return F.when((rn() >= n) & (count >= least), F.when(scale < 1e-6, 0.0).otherwise(slope / scale))
+
+
 def mean_abs(c: str, n: int) -> Column:
     return F.when(F.count(c).over(back(n)) == n, F.avg(F.abs(c)).over(back(n)))
 
@@ -83,8 +103,15 @@ def scaled_part(value: Column, ref: Column) -> Column:
     return F.when(ref.isNull() | (ref == 0), 0).otherwise((value / power).cast("bigint"))
 
 
-def spaced(events: DataFrame, gap: int, *keys: str) -> DataFrame:
-    """Events ``(keys, rn)`` without those within ``gap`` rows after one that was kept: a fold over each key's events."""
+def spaced(events: DataFrame, gap: int, *keys: str, before: DataFrame | None = None) -> DataFrame:
+    """Events ``(keys, rn)`` without those within ``gap`` rows after one that was kept: a fold over each key's events.
+
+    ``before`` may give the last event kept of a key so far, in the same columns.
+    """
     lists = events.groupBy(*keys).agg(F.array_sort(F.collect_list("rn")).alias("at"))
-    kept = F.aggregate("at", F.array().cast("array<int>"), lambda a, x: F.when((F.size(a) == 0) | (x - F.element_at(a, -1) > gap), F.concat(a, F.array(x))).otherwise(a))
-    return lists.select(*keys, F.explode(kept).alias("rn"))
+    start = F.array().cast("array<int>")
+    if before is not None:
+        lists = lists.join(before.select(*keys, F.col("rn").alias("_last")), list(keys), "left")
+        start = F.array_compact(F.array("_last")).cast("array<int>")
+    kept = F.aggregate("at", start, lambda a, x: F.when((F.size(a) == 0) | (x - F.element_at(a, -1) > gap), F.concat(a, F.array(x))).otherwise(a))
+    return lists.select(*keys, F.explode(F.array_intersect(kept, "at")).alias("rn"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.kernels import by_date
+from barloom.sources import store
 
 from .dims import as_date, roll_back
 
@@ -110,16 +111,48 @@ def refresh_prices(stored: DataFrame, daily: DataFrame) -> DataFrame:
     return out.drop(*[f"_{p}" for p in PRICES])
 
 
-def rebuild_incremental(stored: DataFrame, daily: DataFrame, basic: DataFrame, cal: DataFrame, date: str) -> DataFrame:
-    """Stored bars brought up to a date: refreshed instruments from all raw rows, others with the new tail only."""
+def tail_bars(daily: DataFrame, basic: DataFrame, cal: DataFrame, stored: DataFrame) -> DataFrame:
+    """Bars of the raw rows after each instrument's last stored bar, days without one filled from that bar on."""
+    names = [c for c in stored.columns if c != "ts_code"]
+    last = stored.groupBy("ts_code").agg(F.max_by(F.struct(*names), "trade_date").alias("x")).select("ts_code", "x.*")
+    since = last.select("ts_code", F.col("trade_date").alias("_last"))
+    new = daily.join(since, "ts_code").where("trade_date > _last").drop("_last")
+    bars = adjusted_bars(new, basic)
+    return fill_suspensions(last.select(*bars.columns).unionByName(bars), new, cal).join(since, "ts_code").where("trade_date > _last").drop("_last")
+
+
+def incremental_parts(stored: DataFrame, daily: DataFrame, basic: DataFrame, cal: DataFrame, date: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What brings stored bars up to a date: instruments to compute anew, all their bars, and the new bars of the others."""
     upto = daily.where(F.col("trade_date") <= date)
     codes = needing_refresh(upto, stored, date)
     full = fill_suspensions(adjusted_bars(upto.join(codes, "ts_code", "left_semi"), basic), upto, cal)
-    rest = stored.join(codes, "ts_code", "left_anti")
-    last = stored.groupBy("ts_code").agg(F.max("trade_date").alias("last"))
-    calm = upto.join(codes, "ts_code", "left_anti")
-    tail = fill_suspensions(adjusted_bars(calm, basic), calm, cal).join(last, "ts_code").where("trade_date > last").drop("last")
-    return rest.unionByName(tail).unionByName(full)
+    calm = lambda d: d.join(codes, "ts_code", "left_anti")
+    return codes, full, tail_bars(calm(upto), basic, cal, calm(stored))
+
+
+def rebuild_incremental(stored: DataFrame, daily: DataFrame, basic: DataFrame, cal: DataFrame, date: str) -> DataFrame:
+    """Stored bars brought up to a date: refreshed instruments from all raw rows, others with the new tail only; ``route`` says which."""
+    codes, full, tail = incremental_parts(stored, daily, basic, cal, date)
+    route = lambda d, r: d.withColumn("route", F.lit(r))
+    return route(stored.join(codes, "ts_code", "left_anti"), "kept").unionByName(route(tail, "tail")).unionByName(route(full, "full"))
+
+
+def refresh_layers(spark: SparkSession, quotes: str, weekly: str, flows: str, daily: DataFrame, basic: DataFrame, flow: DataFrame, cal: DataFrame, date: str, buckets: int = 64) -> None:
+    """Bring the stored layers (paths of daily bars, weekly bars and money flow) up to a date.
+
+    Daily bars: instruments with a changed factor, drifted or new from all raw rows, others by their tail. Weekly bars:
+    all weeks of the former, the weeks that the tail touches of the others. Money flow: its tail. Only partitions
+    with a changed row are read and written; a second run changes nothing.
+    """
+    codes, full, tail = (store.staged(d) for d in incremental_parts(store.stored(spark, quotes), daily, basic, cal, date))
+    store.merge(spark, quotes, full.unionByName(tail), buckets)
+    monday = F.date_format(F.date_trunc("week", as_date("first")), "yyyyMMdd")
+    since = tail.groupBy("ts_code").agg(F.min("trade_date").alias("first")).select("ts_code", monday.alias("monday"))
+    weeks = store.stored(spark, quotes).join(since, "ts_code").where("trade_date >= monday").drop("monday")
+    store.merge(spark, weekly, weekly_bars(full).unionByName(weekly_bars(weeks)), buckets)
+    last = store.stored(spark, flows).groupBy("ts_code").agg(F.max("trade_date").alias("_last"))
+    new = flow.where(F.col("trade_date") <= date).join(last, "ts_code", "left").where("_last is null or trade_date > _last").drop("_last")
+    store.merge(spark, flows, daily_moneyflow(new), buckets)
 
 
 def sync_meta(stored: DataFrame, fresh: DataFrame, columns: list[str]) -> DataFrame:
@@ -136,6 +169,46 @@ def orphan_weeks(weekly_rows: DataFrame, dim: DataFrame) -> DataFrame:
     return weekly_rows.join(F.broadcast(dim.where("is_week_end = 1").select("trade_date")), "trade_date", "left_anti")
 
 
+def right_week_ends(dim: DataFrame) -> DataFrame:
+    """The last trading day of every calendar week, whatever is marked."""
+    return dim.groupBy(F.date_trunc("week", as_date("trade_date")).alias("week")).agg(F.max("trade_date").alias("trade_date")).select("trade_date")
+
+
+def mark_changes(dim: DataFrame) -> DataFrame:
+    """``(kind, trade_date)``: week-ends marked wrongly, and ones not marked; a day marked twice is wrong once."""
+    marked, right = dim.where("is_week_end = 1").select("trade_date"), right_week_ends(dim)
+    kind = lambda d, k: d.select(F.lit(k).alias("kind"), "trade_date")
+    return kind(marked.exceptAll(right), "wrongly_marked").unionByName(kind(right.exceptAll(marked), "newly_marked"))
+
+
+def repair_report(dim: DataFrame, results: dict[str, DataFrame]) -> DataFrame:
+    """``(kind, table_name, trade_date, n)``: marks to change, and per weekly table the rows on days that are no week-ends."""
+    right = F.broadcast(right_week_ends(dim))
+    out = mark_changes(dim).select("kind", F.lit("dim_date").alias("table_name"), "trade_date", F.lit(1).cast("long").alias("n"))
+    for name, rows in results.items():
+        gone = rows.join(right, "trade_date", "left_anti").groupBy("trade_date").agg(F.count("*").alias("n"))
+        out = out.unionByName(gone.select(F.lit("orphan").alias("kind"), F.lit(name).alias("table_name"), "trade_date", "n"))
+    return out
+
+
+def repair_weekly(spark: SparkSession, dim: str, results: dict[str, str], states: str, buckets: int = 64) -> dict[str, int]:
+    """Mark the right week-ends in the stored calendar, delete orphan rows of the stored weekly tables, and drop the
+    weekly states (a folder by frequency) if anything changed. Returns the number of changes by table; a second run makes none."""
+    days = store.staged(spark.read.parquet(dim))
+    done = {"dim_date": mark_changes(days).count()}
+    if days.isEmpty():
+        return done
+    right = right_week_ends(days).withColumn("_right", F.lit(1))
+    if done["dim_date"]:
+        fixed = days.join(F.broadcast(right), "trade_date", "left").withColumn("is_week_end", F.coalesce("_right", F.lit(0))).select(*days.columns)
+        fixed.coalesce(1).write.mode("overwrite").parquet(dim)  # a calendar
+    for name, path in results.items():
+        done[name] = store.remove(spark, path, store.stored(spark, path).join(F.broadcast(right), "trade_date", "left_anti"), buckets)
+    if any(done.values()):
+        store.drop_folder(spark, f"{states}/freq=weekly")
+    return done
+
+
 def resample_weekly(bars: DataFrame) -> DataFrame:
     """Calendar weeks labelled by their Sunday with the last close that is not null; empty weeks do not appear."""
     sunday = F.date_format(F.date_add(F.date_trunc("week", as_date("trade_date")).cast("date"), 6), "yyyyMMdd")

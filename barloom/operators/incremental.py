@@ -63,6 +63,16 @@ def append(operator, panel: DataFrame, last: DataFrame, lookback: int) -> DataFr
     return out.join(last.select("ts_code", "last_trade_date"), "ts_code").where("trade_date > last_trade_date").drop("last_trade_date")
 
 
+def after(rows: DataFrame, state: DataFrame, *more: str) -> DataFrame:
+    """The rows after each instrument's ``last_trade_date`` in a stored state, with ``more`` of its columns; none without a state.
+
+    The earliest of these dates, read first, goes to the scan as a filter.
+    """
+    floor = state.agg(F.min("last_trade_date")).first()[0]
+    since = state.select("ts_code", F.col("last_trade_date").alias("_last"), *more)
+    return rows.where(F.col("trade_date") > F.lit(floor)).join(since, "ts_code").where("trade_date > _last").drop("_last")
+
+
 def seeds(results: DataFrame, before: str, *columns: str) -> DataFrame:
     """The last stored values of every instrument before a date."""
     return results.where(F.col("trade_date") < before).groupBy("ts_code").agg(F.max_by(F.struct("trade_date", *columns), "trade_date").alias("s")).select("ts_code", "s.*")
@@ -181,6 +191,62 @@ def routed(operator, panel: DataFrame, modes: DataFrame, stored: DataFrame, look
     return full.unionByName(kept).unionByName(append(operator, chosen(panel, modes, "APPEND"), last, lookback))
 
 
+def guarded(results: DataFrame, bars: DataFrame) -> DataFrame:
+    """Results of an append, which fails with the key of the first row that does not fit its new bars.
+
+    Every new bar must stand once in ``bars`` and have one result, every result a bar. The tests are part of the plan, so they
+    run with the append and not as a job of their own.
+    """
+    keys = ["ts_code", "trade_date"]
+    own = results.withColumn("_results", F.count("*").over(Window.partitionBy(*keys)))
+    asked = bars.groupBy(*keys).agg(F.count("*").alias("_bars"))
+    both = own.join(asked, keys, "full")
+    why = F.when(F.col("_bars").isNull(), "result without a new bar").when(F.col("_bars") > 1, "repeated new bar").when(F.col("_results").isNull(), "new bar without a result").when(F.col("_results") > 1, "repeated result")
+    fine = F.assert_true(why.isNull(), F.concat_ws(" ", why, "ts_code", "trade_date")).isNull()
+    return both.where(fine).select(*results.columns)
+
+
+def run_route(modes: DataFrame, stored: DataFrame, state: DataFrame, full, fresh_state, onward) -> tuple[DataFrame, DataFrame]:
+    """One indicator's results and states for instruments of mixed routes, ``mode`` telling each row's.
+
+    SKIP keeps stored results and states, APPEND keeps the results and goes on from the states (``onward``: state to new rows
+    and next state), FULL computes both anew (``full`` and ``fresh_state``: a filter on instruments to rows). An
+    APPEND instrument without a state goes the FULL way, so no row is lost.
+    """
+    mode = modes.select("ts_code", "mode").join(state.select("ts_code").distinct().withColumn("_has", F.lit(True)), "ts_code", "left")
+    mode = mode.withColumn("mode", F.when((F.col("mode") == "APPEND") & F.col("_has").isNull(), "FULL").otherwise(F.col("mode"))).drop("_has")
+    of = lambda *wanted: mode.where(F.col("mode").isin(*wanted))
+    anew = of("FULL").select("ts_code")
+    new, moved = onward(state.join(of("APPEND").select("ts_code"), "ts_code", "left_semi"))
+    rows = stored.join(of("SKIP", "APPEND"), "ts_code").unionByName(new.withColumn("mode", F.lit("APPEND"))).unionByName(full(anew).withColumn("mode", F.lit("FULL")))
+    states = state.join(of("SKIP").select("ts_code"), "ts_code", "left_semi").unionByName(moved).unionByName(fresh_state(anew).select(*state.columns))
+    return rows, states
+
+
+# Contradictions of labels, as (rule, alignment, least and largest slope of MA5 in between, slope of MA10 over).
+CONTRADICTIONS = (("bear_weakening with MA10 rising", "bear_weakening", None, None, 0.08), ("bull_strong with MA5 flat and MA10 rising", "bull_strong", -0.08, 0.08, 0.08))
+
+
+def contradictions(ma: DataFrame) -> DataFrame:
+    """``(ts_code, trade_date, rule)`` of averages whose alignment contradicts their slopes, by a table of rules joined to the labels."""
+    rules = ma.sparkSession.createDataFrame(list(CONTRADICTIONS), "rule string, alignment string, lo5 double, hi5 double, over10 double")
+    hit = (F.col("lo5").isNull() | F.col("ma5_slope").between(F.col("lo5"), F.col("hi5"))) & (F.col("ma10_slope") > F.col("over10"))
+    return ma.join(F.broadcast(rules), "alignment").where(hit).select("ts_code", "trade_date", "rule")
+
+
+def spec_contradictions(freshness: DataFrame, watched: tuple[str, ...] = ("ma", "macd", "volume")) -> DataFrame:
+    """Routes of the watched indicators with results of an old version."""
+    return freshness.where(F.col("indicator").isin(*watched) & (F.col("n_stale") > 0)).select("indicator", "freq", "n_stale")
+
+
+def stale_instruments(state: DataFrame, latest: DataFrame, all_routes: DataFrame, indicators: tuple[str, ...] | None = None) -> DataFrame:
+    """``(ts_code, indicator, freq)`` of old versions by their state or by their newest result, each once."""
+    out = state.select("ts_code", "indicator", "freq", "spec_version").unionByName(latest.select("ts_code", "indicator", "freq", "spec_version"))
+    out = out.join(F.broadcast(all_routes), ["indicator", "freq"]).where(~F.col("spec_version").eqNullSafe(F.col("expected_version")))
+    out = out.where(F.col("indicator").isin(*indicators)) if indicators is not None else out
+    return out.select("ts_code", "indicator", "freq").distinct()
+
+
 def stale_indicators(freshness: DataFrame) -> DataFrame:
     """The indicators to refresh, as some of their results are of an old version."""
     return freshness.groupBy("indicator").agg(F.sum("n_stale").alias("n_stale")).where("n_stale > 0")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from barloom.functions import kernels as K
 from barloom.functions import recursion as R
 from barloom.functions.kernels import back, by_date, crossed_down, crossed_up, r10, rn, sma, weighted_slope
-from barloom.operators.incremental import append
+from barloom.operators.incremental import after, append
 
 # Rows an instrument needs, flat zone of a slope, gap of a tangle.
 LEAST_ROWS = {"macd": 27, "ma": 11, "kpattern": 30, "dde": 10, "volume": 5, "position": 2}
@@ -78,13 +78,19 @@ def _ma_turn() -> Column:
     )
 
 
-_MACD = "ts_code string, trade_date string, ema_12 double, ema_26 double, dif double, dea double, macd_bar double, b_dif double, b_dea double, b_bar double"
+_MACD = ", ".join(f"{c} double" for c in ("ema_12", "ema_26", "dif", "dea", "macd_bar", "b_dif", "b_dea", "b_bar"))
+_ROUNDED = ("dif", "dea", "macd_bar", "b_dif", "b_dea", "b_bar")
+#: Bars before a new one that the labels of MACD and of the flow look at.
+MACD_BACK, FLOW_BACK = 19, 13
 
 
 def macd(panel: DataFrame, n_std: int = 20, frac: float = 0.1) -> DataFrame:
     """EMA lines, zone, strength, alert on the histogram's turn, trend and turning point of the (10, 20, 7) lines."""
-    d = enough_rows(panel, LEAST_ROWS["macd"]).select("ts_code", "trade_date", "close_qfq").groupBy("ts_code").applyInPandas(R.macd_lines, _MACD)
-    d = d.select("ts_code", "trade_date", "ema_12", "ema_26", *[r10(F.col(c)).alias(c) for c in ("dif", "dea", "macd_bar", "b_dif", "b_dea", "b_bar")])
+    d = R.over_series(enough_rows(panel, LEAST_ROWS["macd"]), ["close_qfq"], _MACD, R.macd_lines)
+    return _macd_labels(d.withColumns({c: r10(F.col(c)) for c in _ROUNDED}), n_std, frac)
+
+
+def _macd_labels(d: DataFrame, n_std: int, frac: float, *more: str) -> DataFrame:
     h0, h1, h2 = F.lag("macd_bar", 2).over(by_date()), F.lag("macd_bar").over(by_date()), F.col("macd_bar")
     scale = K.mean_abs("macd_bar", 5)
     trend, turn = _turns(n_std, frac)
@@ -93,10 +99,62 @@ def macd(panel: DataFrame, n_std: int = 20, frac: float = 0.1) -> DataFrame:
         F.when(F.col("macd_bar") > 0, "bull").when(F.col("macd_bar") < 0, "bear").alias("zone"),
         F.when(scale < 1e-6, 0.0).otherwise(weighted_slope("macd_bar", 5, 0.15) / scale).alias("trend_strength"),
         F.when((h2 > h1) & (h1 < h0), "downturn_reverse").when((h2 < h1) & (h1 > h0), "upturn_reverse").alias("alert"),
-        trend.alias("trend"), turn.alias("turning_point"),
+        trend.alias("trend"), turn.alias("turning_point"), *more,
     )
 
 
+def macd_state(panel: DataFrame) -> DataFrame:
+    """What continues the MACD of every instrument that has one: the recursions' values at its last bar, and the lines of the last ones."""
+    return _state(_macd_from(enough_rows(panel, LEAST_ROWS["macd"])), R.MACD_STATE, ("dif", "dea", "macd_bar", "b_dif", "b_dea", "b_bar"), MACD_BACK, {"dea": "raw_dea", "b_dea": "raw_b_dea"})
+
+
+def _macd_from(rows: DataFrame, seeds: tuple[str, ...] = ()) -> DataFrame:
+    more = [c for c in R.MACD_STATE if c not in ("ema_12", "ema_26", "dea", "b_dea")] + ["raw_dea", "raw_b_dea"]
+    d = R.over_series(rows, ["close_qfq"], f"{_MACD}, {', '.join(f'{c} double' for c in more)}", R.macd_lines, seeds)
+    return d.withColumns({c: r10(F.col(c)) for c in _ROUNDED})
+
+
+def _state(lines: DataFrame, carried: tuple[str, ...], shown: tuple[str, ...], back: int, named: dict[str, str] = {}) -> DataFrame:
+    """``(ts_code, last_trade_date, seed_..., recent)``: what recursions carry at the last bar, and the last bars' lines, ``back`` of them."""
+    last = Window.partitionBy("ts_code").orderBy(F.desc("trade_date"))
+    rows = lines.withColumn("_r", F.row_number().over(last)).where(F.col("_r") <= back)
+    here = lambda c: F.max(F.when(F.col("_r") == 1, F.col(named.get(c, c))))
+    recent = F.array_sort(F.collect_list(F.struct("trade_date", *shown)))
+    moved = [F.max("fresh").alias("moved")] if "fresh" in lines.columns else []
+    return rows.groupBy("ts_code").agg(F.max("trade_date").alias("last_trade_date"), *[here(c).alias(f"seed_{c}") for c in carried], recent.alias("recent"), *moved)
+
+
+def _since(rows: DataFrame, state: DataFrame, carried: tuple[str, ...]) -> DataFrame:
+    """The rows after each instrument's state, with what continues it; rows of instruments without one are left to a full run."""
+    return after(rows, state, *[f"seed_{c}" for c in carried])
+
+
+def _after_recent(new: DataFrame, state: DataFrame) -> DataFrame:
+    """New lines behind the last stored ones of their instruments, ``fresh`` telling them apart."""
+    fields = [f.name for f in state.schema["recent"].dataType.elementType]
+    old = state.select("ts_code", F.explode("recent").alias("x"))
+    return old.select("ts_code", *[f"x.{c}" for c in fields], F.lit(False).alias("fresh")).unionByName(new.withColumn("fresh", F.lit(True)), allowMissingColumns=True)
+
+
+def continue_macd(panel: DataFrame, state: DataFrame, n_std: int = 20, frac: float = 0.1) -> tuple[DataFrame, DataFrame]:
+    """MACD with all its labels for the bars after a state (:func:`macd_state`), and the state after them.
+
+    Equal to a full run's rows of those bars. No bar up to the state's date is read: recursions go on from its values,
+    windows look at the lines that it keeps. Dates at or before the state's, repeated or lost ones are for
+    :func:`barloom.operators.incremental.guarded` to tell.
+    """
+    new = _macd_from(_since(panel.select("ts_code", "trade_date", "close_qfq"), state, R.MACD_STATE), tuple(f"seed_{c}" for c in R.MACD_STATE))
+    both = _after_recent(new, state)
+    found = _macd_labels(both, n_std, frac, "fresh").where("fresh").drop("fresh")
+    return found, _next_state(both, state, R.MACD_STATE, _ROUNDED, MACD_BACK, {"dea": "raw_dea", "b_dea": "raw_b_dea"})
+
+
+def _next_state(both: DataFrame, state: DataFrame, carried: tuple[str, ...], shown: tuple[str, ...], back: int, named: dict[str, str] = {}) -> DataFrame:
+    """The states after an append; instruments without new bars keep theirs."""
+    moved = _state(both, carried, shown, back, named).where("moved").drop("moved")
+    return moved.unionByName(state.join(moved.select("ts_code"), "ts_code", "left_anti").select(*moved.columns))
+
+
 def _turns(n_std: int, frac: float, short: bool = False) -> tuple[Column, Column]:
     """Trend and turning point of the lines ``b_dif``, ``b_dea``, ``b_bar``; with ``short`` a trend from two bars on."""
     slope = r10(weighted_slope("b_bar", 5, 0.15))
@@ -128,7 +186,7 @@ def weekly_macd(panel: DataFrame, weeks: DataFrame) -> DataFrame:
     ``weeks`` are the resampled closes ``(ts_code, week, close, last_date)`` of all daily bars.
     """
     d = weeks.select("ts_code", F.col("week").alias("trade_date"), "close")
-    d = d.groupBy("ts_code").applyInPandas(lambda g: R.trend_lines(g, 12, 26, 9), "ts_code string, trade_date string, close double, b_dif double, b_dea double, b_bar double")
+    d = R.over_series(d, ["close"], "b_dif double, b_dea double, b_bar double", R.trend_lines(12, 26, 9))
     d = d.select("ts_code", "trade_date", *[r10(F.col(c)).alias(c) for c in ("b_dif", "b_dea", "b_bar")], F.count("*").over(Window.partitionBy("ts_code")).alias("n"))
     trend, turn = _turns(10, 0.15, short=True)
     d = d.select("ts_code", F.col("trade_date").alias("week"), "n", trend.alias("trend"), turn.alias("turning_point")).where("n >= 2").drop("n")
@@ -139,9 +197,10 @@ def weekly_macd(panel: DataFrame, weeks: DataFrame) -> DataFrame:
 def append_macd(panel: DataFrame, stored: DataFrame) -> DataFrame:
     """MACD lines of the bars after each instrument's last stored result, continued from it; equal to a full run."""
     last = stored.groupBy("ts_code").agg(F.max_by(F.struct("trade_date", "ema_12", "ema_26", "dea"), "trade_date").alias("s"))
-    last = last.select("ts_code", F.col("s.trade_date").alias("_last"), F.col("s.ema_12").alias("seed_12"), F.col("s.ema_26").alias("seed_26"), F.col("s.dea").alias("seed_dea"))
+    last = last.select("ts_code", F.col("s.trade_date").alias("_last"), F.col("s.ema_12").alias("seed_ema_12"), F.col("s.ema_26").alias("seed_ema_26"), F.col("s.dea").alias("seed_dea"))
     new = panel.select("ts_code", "trade_date", "close_qfq").join(last, "ts_code").where("trade_date > _last").drop("_last")
-    d = new.groupBy("ts_code").applyInPandas(lambda g: R.seeded_macd_lines(g), "ts_code string, trade_date string, ema_12 double, ema_26 double, dif double, dea double, macd_bar double")
+    new = new.withColumn("seed_n", F.lit(26.0))  # a stored result is past the means' first bars
+    d = R.over_series(new, ["close_qfq"], "ema_12 double, ema_26 double, dif double, dea double, macd_bar double", R.macd_lines, ["seed_n", "seed_ema_12", "seed_ema_26", "seed_dea"])
     return d.withColumns({c: r10(F.col(c)) for c in ("dif", "dea", "macd_bar")})
 
 
@@ -224,7 +283,7 @@ def volume(panel: DataFrame, anchor: int = 60, traded: str = "vol") -> DataFrame
     days, ``vol * active_days / 5``.
     """
     d = _volume_rows(panel, anchor, traded)
-    return d.groupBy("ts_code").applyInPandas(lambda g: R.volume_zone(g), _volume_schema(d))
+    return _zoned(d, ["pct_vol_rank", "top", "bottom"])
 
 
 def append_volume(panel: DataFrame, stored: DataFrame, anchor: int = 60, traded: str = "vol") -> DataFrame:
@@ -233,18 +292,24 @@ def append_volume(panel: DataFrame, stored: DataFrame, anchor: int = 60, traded:
     The windows reach over 130 bars before the new ones; the zone and the spacing of
     divergences go on from the stored ones. Instruments without a stored result have no rows.
     """
-    was = stored.select("ts_code", "trade_date", F.lit(1).alias("old"), F.col("zone").alias("old_zone"), F.col("divergence").alias("old_label"))
+    code = lambda c, names: F.array_position(F.array(*map(F.lit, names)), F.col(c)) - 1
+    label = F.when(F.col("divergence") == "bottom_divergence", 2).when(F.col("divergence") == "top_divergence", 1).otherwise(0)
+    was = stored.select("ts_code", "trade_date", F.lit(1).alias("old"), code("zone", R.ZONES).alias("old_zone"), label.alias("old_label"))
 
     def on_tail(rows: DataFrame) -> DataFrame:
         d = _volume_rows(rows, anchor, traded)
-        return d.join(was, ["ts_code", "trade_date"], "left").groupBy("ts_code").applyInPandas(lambda g: R.seeded_volume_zone(g), _volume_schema(d))
+        return _zoned(d.join(was, ["ts_code", "trade_date"], "left"), ["pct_vol_rank", "top", "bottom", "old", "old_zone", "old_label"])
 
     return append(on_tail, panel, stored.groupBy("ts_code").agg(F.max("trade_date").alias("last_trade_date")), 130)
 
 
-def _volume_schema(d: DataFrame) -> str:
-    kept = [f"{c} {t}" for c, t in d.dtypes if c not in ("top", "bottom")]
-    return ", ".join([*kept, "zone string", "divergence string"])
+def _zoned(d: DataFrame, values: list[str]) -> DataFrame:
+    """Volume rows with the names of their zone and of the divergence that counts."""
+    kept = ["ma_vol_5", "volume_ratio", "pct_vol_rank", "trend", "trend_strength"]
+    d = R.over_series(d, values, "zone long, top boolean, bottom boolean", R.volume_zone(), keep=kept)
+    zone = F.when(F.col("zone") >= 0, F.element_at(F.array(*map(F.lit, R.ZONES)), (F.col("zone") + 1).cast("int")))
+    label = F.when(F.col("bottom"), "bottom_divergence").when(F.col("top"), "top_divergence")
+    return d.select("ts_code", "trade_date", *kept, zone.alias("zone"), label.alias("divergence"))
 
 
 def _volume_rows(panel: DataFrame, anchor: int, traded: str) -> DataFrame:
@@ -254,11 +319,12 @@ def _volume_rows(panel: DataFrame, anchor: int, traded: str) -> DataFrame:
     d = d.select("*", r10(K.pct_rank("ma_vol_5", 120)).alias("pct_vol_rank"))
     direction = r10(weighted_slope("traded", 5) / (F.avg(F.abs("traded")).over(back(5)) + 1e-9))
     trend = F.when(F.col("rn") >= anchor + 4, F.when(direction > 0.001, "expanding").when(direction < -0.001, "shrinking").otherwise("flat"))
-    d = parted(d.withColumn("lv", F.when(F.col("vol") > 0, F.ln("vol"))), "vol")
+    d = parted(d, "vol").withColumn("lv", F.when(F.col("vol") > 0, F.ln("vol")))
     scale = K.mean_abs("lv", 10)
+    whole = F.when(scale < 1e-6, 0.0).otherwise(weighted_slope("lv", 10, 0.20) / scale)
     return d.select(
         "ts_code", "trade_date", "ma_vol_5", F.when(F.col("ma_vol_5") > 0, F.col("vol") / F.col("ma_vol_5")).alias("volume_ratio"), "pct_vol_rank",
-        trend.alias("trend"), F.when(scale < 1e-6, 0.0).otherwise(weighted_slope("lv", 10, 0.20) / scale).alias("trend_strength"), "top", "bottom",
+        trend.alias("trend"), F.coalesce(whole, K.compacted_strength("vol", 10, 0.20)).alias("trend_strength"), "top", "bottom",
     )
 
 
@@ -296,18 +362,27 @@ def parted(d: DataFrame, signal: str, window: int = 60) -> DataFrame:
     return d.withColumns({"top": F.coalesce(whole & top, no), "bottom": F.coalesce(whole & bottom, no)}).drop("_c", "_s", "_chi", "_clo", "_shi", "_slo", "_cs", "_ss")
 
 
-_DDE = "ts_code string, trade_date string, ddx double, ddx2 double, flow60 double"
+_DDE = "ddx double, ddx2 double, smoothed double"
 
 
 def dde(flow: DataFrame, quotes: DataFrame) -> DataFrame:
     """Large-order flow ``ddx`` and its mean, trend of the smoothed net inflow, strength and slope alert."""
+    return _flow_labels(_flow_from(enough_rows(_flow_rows(flow, quotes), LEAST_ROWS["dde"]), _DDE))
+
+
+def _flow_rows(flow: DataFrame, quotes: DataFrame) -> DataFrame:
     rows = flow.join(quotes.select("ts_code", "trade_date", "circ_mv", "total_mv"), ["ts_code", "trade_date"])
-    rows = enough_rows(rows, LEAST_ROWS["dde"])
     big = F.col("buy_lg_vol") + F.col("buy_elg_vol") - F.col("sell_lg_vol") - F.col("sell_elg_vol")
     mv = F.nullif(F.coalesce("circ_mv", "total_mv"), F.lit(0.0))
-    rows = rows.select("ts_code", "trade_date", "net_mf_amount", (big / F.nullif("total_vol", F.lit(0.0))).alias("ddx"), (F.coalesce("net_amount_dc", "net_mf_amount") / mv * 100).alias("flow"))
-    d = rows.select("ts_code", "trade_date", "ddx", "flow").groupBy("ts_code").applyInPandas(R.flow_lines, _DDE)
-    d = d.select("ts_code", "trade_date", r10(F.col("ddx")).alias("ddx"), r10(F.col("ddx2")).alias("ddx2"), r10(F.col("flow60") * 60.1953).alias("smooth"))
+    return rows.select("ts_code", "trade_date", (big / F.nullif("total_vol", F.lit(0.0))).alias("ddx"), (F.coalesce("net_amount_dc", "net_mf_amount") / mv * 100).alias("flow"))
+
+
+def _flow_from(rows: DataFrame, out: str, seeds: tuple[str, ...] = ()) -> DataFrame:
+    d = R.over_series(rows, ["ddx", "flow"], out, R.flow_lines, seeds)
+    return d.withColumns({"ddx": r10(F.col("ddx")), "ddx2": r10(F.col("ddx2")), "smooth": r10(F.col("smoothed") * 60.1953)})
+
+
+def _flow_labels(d: DataFrame, *more: str) -> DataFrame:
     d = d.withColumn("sma10", F.when(F.count("smooth").over(back(10)) == 10, F.avg("smooth").over(back(10))))
     slope = r10(weighted_slope("sma10", 5))
     scale = K.mean_abs("ddx2", 5)
@@ -316,10 +391,32 @@ def dde(flow: DataFrame, quotes: DataFrame) -> DataFrame:
     return d.select(
         "ts_code", "trade_date", "ddx", "ddx2", F.when(slope > 0, "up").when(slope < 0, "down").when(slope == 0, "flat").alias("trend"),
         F.when(scale > 0, weighted_slope("ddx2", 5, 0.20) / F.nullif(scale, F.lit(0.0))).alias("trend_strength"),
-        F.when((was < 0) & (F.col("turn") > 0), "upturn_reverse").when((was > 0) & (F.col("turn") < 0), "downturn_reverse").alias("alert"),
+        F.when((was < 0) & (F.col("turn") > 0), "upturn_reverse").when((was > 0) & (F.col("turn") < 0), "downturn_reverse").alias("alert"), *more,
     )
 
 
+_FLOW_ALL = ", ".join(f"{c} double" for c in ("ddx", "ddx2", *R.FLOW_STATE))
+
+
+def dde_state(flow: DataFrame, quotes: DataFrame) -> DataFrame:
+    """What continues the flow indicator: the mean, the smoothed flow with its decayed weight, and the last bars' lines.
+
+    An instrument with fewer than ten bars or five known flows has none: more bars would change its stored rows, so it is computed anew.
+    """
+    lines = _flow_from(enough_rows(_flow_rows(flow, quotes), LEAST_ROWS["dde"]), _FLOW_ALL)
+    return _state(lines, R.FLOW_STATE, ("ddx", "ddx2", "smooth"), FLOW_BACK).where("seed_k >= 5")
+
+
+def continue_dde(flow: DataFrame, quotes: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The flow indicator of the bars after a state (:func:`dde_state`), equal to a full run's, and the state after them.
+
+    Flow and quotes up to each state's date are dropped before they are joined.
+    """
+    new = _flow_from(_since(_flow_rows(after(flow, state), after(quotes, state)), state, R.FLOW_STATE), _FLOW_ALL, tuple(f"seed_{c}" for c in R.FLOW_STATE))
+    both = _after_recent(new, state)
+    return _flow_labels(both, "fresh").where("fresh").drop("fresh"), _next_state(both, state, R.FLOW_STATE, ("ddx", "ddx2", "smooth"), FLOW_BACK)
+
+
 def flow_frame(flow: DataFrame, quotes: DataFrame) -> DataFrame:
     """Every day of money flow with the market value of its bar, null where there is none: the frame of flow trends."""
     return flow.join(quotes.where("is_suspended = 0").select("ts_code", "trade_date", "circ_mv", "total_mv"), ["ts_code", "trade_date"], "left")
@@ -342,7 +439,7 @@ def weekly_flow_trend(frame: DataFrame, ends: DataFrame, n: int = 4) -> DataFram
     days = frame.withColumns({"week": sunday("trade_date"), "_known": known}).where("_known")
     weeks = days.groupBy("ts_code", "week").agg(F.sum(F.coalesce("net_amount_dc", F.lit(0.0))).alias("net"), F.max_by("circ_mv", F.when(F.col("circ_mv").isNotNull(), F.col("trade_date"))).alias("mv"))
     weeks = weeks.where("mv > 0").select("ts_code", F.col("week").alias("trade_date"), (F.col("net") / F.col("mv") * 100).alias("ddx"))
-    d = weeks.groupBy("ts_code").applyInPandas(lambda g: R.weekly_smooth(g), "ts_code string, trade_date string, ddx double, smooth double")
+    d = R.over_series(weeks, ["ddx"], "smooth double", R.weekly_smooth, keep=["ddx"])
     d = d.withColumn("sma", F.when(F.count("*").over(back(10)) == 10, F.avg(F.col("smooth") * 60.1953).over(back(10))))
     d = d.withColumn("sma", F.when(F.count("sma").over(Window.partitionBy("ts_code")) > 0, F.col("sma")).otherwise(F.col("ddx")))
     slope = r10(weighted_slope("sma", n))
@@ -362,7 +459,7 @@ def weekly_dde(weeks: DataFrame, trends: DataFrame) -> DataFrame:
     d = d.withColumn("_n", F.count("*").over(Window.partitionBy("ts_code"))).where("_n >= 2")
     big = F.col("buy_lg_vol") + F.col("buy_elg_vol") - F.col("sell_lg_vol") - F.col("sell_elg_vol")
     d = d.select("ts_code", "trade_date", F.when(F.col("is_skipped") == 0, big / F.nullif("total_vol", F.lit(0.0))).alias("ddx"), F.lit(None).cast("double").alias("flow"))
-    d = d.groupBy("ts_code").applyInPandas(lambda g: R.flow_lines(g), _DDE).select("ts_code", "trade_date", r10(F.col("ddx")).alias("ddx"), r10(F.col("ddx2")).alias("ddx2"))
+    d = R.over_series(d, ["ddx", "flow"], "ddx double, ddx2 double", R.flow_lines).select("ts_code", "trade_date", r10(F.col("ddx")).alias("ddx"), r10(F.col("ddx2")).alias("ddx2"))
     scale, turn = K.mean_abs("ddx2", 5), r10(weighted_slope("ddx2", 2))
     d = d.withColumns({"turn": turn, "trend_strength": F.when(scale > 0, weighted_slope("ddx2", 5, 0.20) / F.nullif(scale, F.lit(0.0)))})
     was = F.lag("turn").over(by_date())

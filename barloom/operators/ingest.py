@@ -74,9 +74,18 @@ def patch_nulls(stored: DataFrame, patch: DataFrame, column: str, insert: bool =
 
 
 def missing_days(codes: DataFrame, rows: DataFrame, cal: DataFrame, start: str, end: str) -> DataFrame:
-    """Trading days of a range without a row, per instrument: calendar by instruments (both small) minus the rows."""
-    days = cal.where((F.col("is_open") == 1) & F.col("cal_date").between(start, end)).select(F.col("cal_date").alias("trade_date"), "day_idx")
-    return codes.select("ts_code").join(F.broadcast(days)).join(rows.select(*KEYS), KEYS, "left_anti")
+    """Trading days of a range without a row, per instrument.
+
+    Each row knows the day index of the instrument's next one, and only the days between are expanded; a row before the range
+    stands for its beginning, so an instrument without rows misses all days.
+    """
+    days = cal.where((F.col("is_open") == 1) & F.col("cal_date").between(start, end)).select(F.col("cal_date").alias("trade_date"), F.col("day_idx").cast("int").alias("day_idx"))
+    ends = days.agg((F.min("day_idx") - 1).alias("at"), (F.max("day_idx") + 1).alias("stop")).where("at is not null")  # one row
+    have = rows.select(*KEYS).join(codes.select("ts_code"), "ts_code", "left_semi").join(F.broadcast(days), "trade_date").select("ts_code", F.col("day_idx").alias("at")).distinct()
+    both = codes.select("ts_code").distinct().join(F.broadcast(ends.select("at"))).unionByName(have).join(F.broadcast(ends.select("stop")))
+    ahead = F.coalesce(F.lead("at").over(Window.partitionBy("ts_code").orderBy("at")), F.col("stop"))
+    gaps = both.withColumn("next", ahead).where("next > at + 1")
+    return gaps.select("ts_code", F.explode(F.sequence(F.col("at") + 1, F.col("next") - 1)).alias("day_idx")).join(F.broadcast(days), "day_idx").select("ts_code", "trade_date", "day_idx")
 
 
 def drop_interior(missing: DataFrame, rows: DataFrame) -> DataFrame:

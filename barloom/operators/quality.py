@@ -84,6 +84,39 @@ def still_missing(codes: DataFrame, done: DataFrame, panel_rows: DataFrame, leas
     return rows.withColumn("reason", F.when(F.col("n_rows") == 0, "no_data").when(F.col("n_rows") < least, "insufficient_rows").otherwise("not_computed"))
 
 
+#: Of one reason alone, more rows than this are one batch row.
+BATCH = 100
+
+
+def missing_reasons(missing: DataFrame, calc_date: str, indicator: str, freq: str) -> DataFrame:
+    """Skip rows of instruments still without results (``ts_code, n_rows``): source unavailable, no bars, or too few."""
+    none = F.col("n_rows") == 0
+    reason = F.when(none & F.col("ts_code").endswith(".BJ"), "source_unavailable").when(none, "no_dwd_data").otherwise("insufficient_rows")
+    detail = F.concat(F.lit("rows="), F.col("n_rows"))
+    return missing.select(F.lit(calc_date).alias("calc_date"), "ts_code", F.lit(indicator).alias("indicator"), F.lit(freq).alias("freq"), reason.alias("reason"), detail.alias("detail"))
+
+
+def skip_log(skips: DataFrame, only: str = "fingerprint_match", most: int = BATCH) -> DataFrame:
+    """Log rows of skips ``(calc_date, ts_code, indicator, freq, reason, detail)``: every detail, or one ``__batch__`` row
+    with their number where ``only`` is the one reason of over ``most`` rows. Both levels come from one aggregate by grouping sets."""
+    run = ["calc_date", "indicator", "freq"]
+    sets = [[*run, "ts_code", "reason", "detail"], run]
+    level = skips.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in sets[0]]).agg(
+        F.grouping("ts_code").alias("_whole"), F.count("*").alias("_n"), F.count_if(F.col("reason") != only).alias("_others")
+    )
+    # One row a run, which decides for its details.
+    batch = level.where("_whole = 1").select(*run, ((F.col("_n") > most) & (F.col("_others") == 0)).alias("_batch"))
+    rows = level.join(F.broadcast(batch), run).where((F.col("_whole") == 1) == F.col("_batch"))
+    text = lambda c, v: F.when(F.col("_whole") == 1, v).otherwise(F.col(c)).alias(c)
+    return rows.select("calc_date", text("ts_code", F.lit("__batch__")), "indicator", "freq", text("reason", F.lit(only)), text("detail", F.concat(F.lit("batch_skip="), F.col("_n"))))
+
+
+def log_skips(log: DataFrame, new: DataFrame) -> DataFrame:
+    """The log with new rows in place of those of the same date, instrument, indicator and frequency; adding a batch again adds nothing."""
+    keys = ["calc_date", "ts_code", "indicator", "freq"]
+    return log.join(new.select(*keys), keys, "left_anti").unionByName(new.dropDuplicates(keys))
+
+
 def cross_layer(tables: dict[str, DataFrame]) -> DataFrame:
     """Instruments and rows of every layer, side by side."""
     parts = [d.agg(F.countDistinct("ts_code").alias("n_codes"), F.count("*").alias("n_rows")).select(F.lit(n).alias("layer"), "n_codes", "n_rows") for n, d in tables.items()]

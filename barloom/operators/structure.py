@@ -10,59 +10,98 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.functions.kernels import by_date, crossed_up, last_cross, r10, rn, scaled_part, spaced
+from barloom.functions.kernels import by_date, last_cross, r10, rn, scaled_part, spaced
+
+from .incremental import after
 
 GAP, MOST_LAG = 10, 1
 
+#: What an open segment carries on: the last bar, the last crossing, running extremes, those of the two segments before, and the last tests.
+_CARRIED = (
+    dict.fromkeys(("rn", "gc", "peak"), "int") | dict.fromkeys(("f", "s", "b", "f_back", "top_c", "top_f", "top_b"), "double") | dict.fromkeys(("known", "t1", "t2"), "boolean")
+    | dict.fromkeys((f"{c}{n}" for c in "hfb" for n in (1, 2, 3)), "double") | dict.fromkeys(("m2", "m3"), "bigint")
+    | {"p": "struct<rn:int,f:double,p1:double,p2:double,n1:double,n2:double>"}
+)
+_STATE = f"struct<{','.join(f'{c}:{t}' for c, t in _CARRIED.items())}>"
+
 
-def _flow_peak(sign: int, run, inside: Column) -> Column:
+def _flow_peak(sign: int, run, inside: Column, known: Column) -> Column:
     """Running largest flow of a segment, while all its flows are known. A top that stands alone, fewer than two of
     the five flows around it at 0.8 of it or more, is none; a bottom needs a flow below zero."""
-    lag, lead = (lambda n: F.lag("f", n).over(by_date())), (lambda n: F.lead("f", n).over(by_date()))
-    known = inside & (F.count("f").over(run) == F.count("*").over(run))
     if sign < 0:
-        top = F.max("f").over(run)
-        return F.when(known & (top > 0), top)
-    back1, back2 = (F.when(F.col("rn") - n >= F.col("gc"), lag(n)) for n in (1, 2))
-    here = F.struct(F.col("rn").alias("rn"), F.col("f").alias("f"), back1.alias("p1"), back2.alias("p2"), lead(1).alias("n1"), lead(2).alias("n2"))
-    p = F.last(F.when(F.col("first_f"), here), ignorenulls=True).over(run)
+        return F.when(inside & known & (F.col("top_f") > 0), F.col("top_f"))
+    p = F.col("p")
     high = lambda c, ok: F.when(ok & (p[c] >= p["f"] * 0.8), 1).otherwise(0)
     n = F.when(p["f"] >= p["f"] * 0.8, 1).otherwise(0) + high("p1", F.lit(True)) + high("p2", F.lit(True)) + high("n1", F.col("rn") > p["rn"]) + high("n2", F.col("rn") > p["rn"] + 1)
-    return F.when(known & (n >= 2), p["f"])
+    return F.when(inside & known & (n >= 2), p["f"])
 
 
-def tops(lines: DataFrame, sign: int = 1, flow: bool = False) -> DataFrame:
-    """Events ``(ts_code, trade_date, rn, path, lag_bars, zone_ok)`` before spacing; ``lines`` has close, dif, dea and bar.
+def _peak_bar(run, open_: Column) -> Column:
+    """The segment's bar of largest flow with its neighbours; a carried one gets those that came since."""
+    z = F.col("z")
+    lag = lambda n: F.when(F.col("local") > n, F.lag("f", n).over(by_date())).otherwise(F.when(F.col("local") == n, z["f"]).otherwise(z["f_back"]))
+    lead = lambda n: F.lead("f", n).over(by_date())
+    back1, back2 = (F.when(F.col("rn") - n >= F.col("gc"), lag(n)) for n in (1, 2))
+    here = F.struct(F.col("rn").alias("rn"), F.col("f").alias("f"), back1.alias("p1"), back2.alias("p2"), lead(1).alias("n1"), lead(2).alias("n2"))
+    whole = by_date().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first, second, old = F.nth_value("f", 1).over(whole), F.nth_value("f", 2).over(whole), z["p"]
+    n1 = F.when(old["rn"] == z["rn"], first).otherwise(old["n1"])
+    n2 = F.when(old["rn"] == z["rn"], second).when(old["rn"] == z["rn"] - 1, first).otherwise(old["n2"])
+    carried = F.when(open_ & old.isNotNull(), F.struct(old["rn"].alias("rn"), old["f"].alias("f"), old["p1"].alias("p1"), old["p2"].alias("p2"), n1.alias("n1"), n2.alias("n2")))
+    return F.coalesce(F.last(F.when(F.col("first_f"), here), ignorenulls=True).over(run), carried)
 
-    With ``flow`` the lines are ddx, ddx2 and ddx again: peaks are :func:`_flow_peak`.
-    """
+
+def _followed(lines: DataFrame, sign: int, flow: bool, state: DataFrame | None) -> DataFrame:
+    """The bars with their segments' running extremes and tests; ``z`` is what a state carries, null without one."""
     d = lines.select("ts_code", "trade_date", *[r10(F.col(c) * sign).alias(a) for c, a in (("close", "c"), ("dif", "f"), ("dea", "s"), ("macd_bar", "b"))])
-    d = d.withColumn("rn", rn())
-    d = d.withColumn("gc", last_cross(crossed_up("f", "s")))
+    if state is None:
+        d = d.withColumn("z", F.lit(None).cast(_STATE))
+    else:
+        d = d.join(state.where(F.col("sign") == sign).select("ts_code", "z"), "ts_code")
+    z = F.col("z")
+    d = d.withColumn("local", rn())
+    d = d.withColumn("rn", F.coalesce(z["rn"], F.lit(0)) + F.col("local"))
+    lag = lambda c: F.when(F.col("local") == 1, z[c]).otherwise(F.lag(c).over(by_date()))
+    crossed = (lag("f") <= lag("s")) & (F.col("f") > F.col("s"))
+    d = d.withColumn("gc", F.coalesce(last_cross(crossed), z["gc"]))
     seg = Window.partitionBy("ts_code", "gc").orderBy("rn")
     run, before = seg.rowsBetween(Window.unboundedPreceding, 0), seg.rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.col("gc").isNotNull()
+    inside, open_ = F.col("gc").isNotNull(), z.isNotNull() & F.col("gc").eqNullSafe(z["gc"])
+    most = lambda x, c, w=run: F.greatest(F.max(x).over(w), F.when(open_, z[c]))
     d = d.withColumns({
-        "h1": F.when(inside, F.max("c").over(run)), "f1": F.when(inside, F.max("f").over(run)), "b1": F.when(inside, F.max(F.when(F.col("b") > 0, F.col("b"))).over(run)),
-        "new": F.coalesce(F.col("c") > F.max("c").over(before), F.lit(True)),
+        "top_c": most("c", "top_c"), "top_f": most("f", "top_f"), "top_b": most(F.when(F.col("b") > 0, F.col("b")), "top_b"),
+        "known": (F.count("f").over(run) == F.count("*").over(run)) & F.coalesce(F.when(open_, z["known"]), F.lit(True)),
+        "new": F.coalesce(F.col("c") > most("c", "top_c", before), F.lit(True)),
     })
     if flow:
-        d = d.withColumn("first_f", F.coalesce(F.col("f") > F.max("f").over(before), F.col("f").isNotNull()))
-        d = d.withColumn("f1", _flow_peak(sign, run, inside))
-        known = F.count("f").over(run) == F.count("*").over(run)
-        d = d.withColumns({"b1": F.when(F.col("f1") > 0, F.col("f1")), "h1": F.when(known, F.col("h1"))})
-    d = d.withColumn("peak", F.last(F.when(F.col("new"), F.col("rn")), ignorenulls=True).over(run))
-    prior = lambda c: F.when(inside, F.first(F.col(c)).over(run))
-    lag = lambda c: F.lag(c).over(by_date())
-    d = d.withColumns({f"_{c}": lag(f"{c}1") for c in "hfb"}).withColumns({f"{c}2": prior(f"_{c}") for c in "hfb"})
-    d = d.withColumns({f"_{c}": F.when(lag("h2").isNotNull(), lag(f"{c}2")) for c in "hfb"}).withColumns({f"{c}3": prior(f"_{c}") for c in "hfb"})
+        d = d.withColumn("first_f", F.coalesce(F.col("f") > most("f", "top_f", before), F.col("f").isNotNull()))
+        d = d.withColumn("p", _peak_bar(run, open_))
+        d = d.withColumn("f1", _flow_peak(sign, run, inside, F.col("known")))
+        d = d.withColumns({"b1": F.when(F.col("f1") > 0, F.col("f1")), "h1": F.when(inside & F.col("known"), F.col("top_c"))})
+    else:
+        d = d.withColumns({f"{k}1": F.when(inside, F.col(f"top_{c}")) for k, c in zip("hfb", "cfb")}).withColumn("p", z["p"])
+    d = d.withColumn("peak", F.coalesce(F.last(F.when(F.col("new"), F.col("rn")), ignorenulls=True).over(run), F.when(open_, z["peak"])))
+    prior = lambda c, k: F.when(inside, F.when(open_, z[k]).otherwise(F.first(F.col(c)).over(run)))
+    d = d.withColumns({f"_{c}": lag(f"{c}1") for c in "hfb"}).withColumns({f"{c}2": prior(f"_{c}", f"{c}2") for c in "hfb"})
+    d = d.withColumns({f"_{c}": F.when(lag("h2").isNotNull(), lag(f"{c}2")) for c in "hfb"}).withColumns({f"{c}3": prior(f"_{c}", f"{c}3") for c in "hfb"})
     valid = F.col("h1").isNotNull() & F.col("f2").isNotNull()
     part = lambda ref: F.when(valid, scaled_part(F.col("f"), F.col(ref)))
     d = d.withColumns({"m2": part("f2"), "m3": part("f3"), "red": F.coalesce((F.col("b") > 0) & (lag("b") > 0), F.lit(False)), "valid": valid})
     t1 = (F.col("h1") > F.col("h2")) & (F.col("m2") < scaled_part(F.col("f2"), F.col("f2"))) & F.col("red") & (F.col("m2") >= lag("m2")) & (F.col("b1") < F.col("b2"))
     t2 = (F.col("h1") > F.col("h3")) & (F.col("h3") > F.col("h2")) & (F.col("m3") < scaled_part(F.col("f3"), F.col("f3"))) & F.col("red") & (F.col("m3") >= lag("m3")) & (F.col("b1") < F.col("b3"))
     d = d.withColumns({"t1": F.coalesce(valid & t1, F.lit(False)), "t2": F.coalesce(valid & t2, F.lit(False))})
-    d = d.withColumns({"w1": F.coalesce(lag("t1"), F.lit(False)), "w2": F.coalesce(lag("t2"), F.lit(False)), "l2": lag("m2"), "l3": lag("m3")})
+    return d.withColumns({"w1": F.coalesce(lag("t1"), F.lit(False)), "w2": F.coalesce(lag("t2"), F.lit(False)), "l2": lag("m2"), "l3": lag("m3"), "f_back": lag("f")})
+
+
+def tops(lines: DataFrame, sign: int = 1, flow: bool = False, state: DataFrame | None = None) -> DataFrame:
+    """Events ``(ts_code, trade_date, rn, path, lag_bars, zone_ok)`` before spacing; ``lines`` has close, dif, dea and bar.
+
+    With ``flow`` the lines are ddx, ddx2 and ddx again: peaks are :func:`_flow_peak`. With a state the lines are those of later bars.
+    """
+    return _hits(_followed(lines, sign, flow, state))
+
+
+def _hits(d: DataFrame) -> DataFrame:
     turned = F.when(F.col("w1"), F.col("m2") < F.col("l2")).when(F.col("w2"), F.col("m3") < F.col("l3"))
     over = (F.col("w1") & (F.col("f1") >= F.col("f2"))) | (F.col("w2") & F.coalesce(F.col("f1") >= F.col("f3"), F.lit(False)))
     hit = d.where(F.col("valid") & F.coalesce(turned, F.lit(False)) & ~over)
@@ -71,6 +110,43 @@ def tops(lines: DataFrame, sign: int = 1, flow: bool = False) -> DataFrame:
     )
 
 
+LABELS = {1: "top_divergence", -1: "bottom_divergence"}
+
+
+def structure_state(lines: DataFrame, flow: bool = False) -> DataFrame:
+    """``(ts_code, sign, last_trade_date, z, kept)``: for tops and bottoms the open segment at the last bar, and the last event that counts."""
+    return _structure(lines, flow, None)[1]
+
+
+def continue_structure(lines: DataFrame, state: DataFrame, flow: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Events of the bars after a state (:func:`structure_state`), equal to a full run's, and the state after them.
+
+    ``lines`` may hold later bars only; earlier ones are dropped and those of instruments without a state left to a full run.
+    """
+    events, moved = _structure(after(lines, state.where("sign = 1")), flow, state)
+    return events, moved.unionByName(state.join(moved.select("ts_code", "sign"), ["ts_code", "sign"], "left_anti").select(*moved.columns))
+
+
+def _structure(lines: DataFrame, flow: bool, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    followed = {sign: _followed(lines, sign, flow, state) for sign in LABELS}
+    found = [_hits(d).withColumn("label", F.lit(LABELS[sign])) for sign, d in followed.items()]
+    found = found[0].unionByName(found[1])
+    before = None
+    if state is not None:
+        label = F.when(F.col("sign") == 1, LABELS[1]).otherwise(LABELS[-1])
+        before = state.where("kept is not null").select("ts_code", label.alias("label"), F.col("kept").alias("rn"))
+    events = found.join(spaced(found, GAP, "ts_code", "label", before=before), ["ts_code", "label", "rn"], "left_semi")
+    ends = []
+    for sign, d in followed.items():
+        kept = events.where(F.col("label") == LABELS[sign]).groupBy("ts_code").agg(F.max("rn").alias("kept"))
+        end = d.groupBy("ts_code").agg(F.max("trade_date").alias("last_trade_date"), F.max_by(F.struct(*_CARRIED), "trade_date").alias("z"))
+        end = end.withColumn("sign", F.lit(sign)).join(kept, "ts_code", "left")
+        if state is not None:
+            end = end.join(state.where(F.col("sign") == sign).select("ts_code", F.col("kept").alias("_kept")), "ts_code", "left").withColumn("kept", F.coalesce("kept", "_kept")).drop("_kept")
+        ends.append(end.select("ts_code", "sign", "last_trade_date", "z", "kept"))
+    return events, ends[0].unionByName(ends[1])
+
+
 def flow_lines(dde: DataFrame, panel: DataFrame) -> DataFrame:
     """Money-flow lines as :func:`tops` takes them."""
     own = dde.select("ts_code", "trade_date", F.col("ddx").alias("dif"), F.col("ddx2").alias("dea"), F.col("ddx").alias("macd_bar"))
@@ -110,8 +186,7 @@ def screen(events: DataFrame, date: str, only_tradable: bool = False) -> DataFra
 
 def divergence_events(lines: DataFrame, flow: bool = False) -> DataFrame:
     """Top and bottom divergences, each label at most once in GAP bars after one that counts, with their trace."""
-    found = tops(lines, 1, flow).withColumn("label", F.lit("top_divergence")).unionByName(tops(lines, -1, flow).withColumn("label", F.lit("bottom_divergence")))
-    return found.join(spaced(found, GAP, "ts_code", "label"), ["ts_code", "label", "rn"], "left_semi")
+    return _structure(lines, flow, None)[0]
 
 
 def tradable(events: DataFrame) -> DataFrame:

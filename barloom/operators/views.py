@@ -163,6 +163,14 @@ def glossary(spark, texts: dict[str, str]) -> DataFrame:
     return spark.createDataFrame(rows, "column_name string, description string")
 
 
+def described(rows: DataFrame, texts: dict[str, str]) -> DataFrame:
+    """``(column_name, description, n_filled)`` of every described column of ``rows``: the glossary with what the data holds."""
+    names = [c for c in rows.columns if c in texts]
+    filled = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_filled")) for c in names])
+    counts = rows.agg(*[F.count(c).alias(c) for c in names]).select(F.inline(filled))
+    return F.broadcast(glossary(rows.sparkSession, texts)).join(counts, "column_name").select("column_name", "description", "n_filled")
+
+
 def export_audit(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Rows of an export and how many have each of the given labels, as log rows with JSON."""
     counts = F.to_json(F.struct(*[F.count(c).alias(c) for c in columns]))

@@ -12,7 +12,7 @@ from barloom.sources import market as S
 from barloom.sources.store import layer
 
 from . import panel_sql as P
-from .base_sql import sql
+from .base_sql import CTES, sql
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -70,7 +70,7 @@ class Tables:
         }.get(name)
         if build is None:
             raise AttributeError(name)
-        value = layer(self.spark, self.sf_dir, name, build) if name in LAYERS else build()
+        value = layer(self.spark, self.sf_dir, name, build, None if name == "cal" else "ts_code") if name in LAYERS else build()
         setattr(self, name, value)
         return value
 
@@ -115,6 +115,22 @@ def stored(m: Tables, date: str = DATE) -> DataFrame:
     return m.adjusted.where((F.col("trade_date") < date) & (F.col("ts_code") != "B05.XX")).withColumn("close_qfq", F.when(day % 11 == 0, F.col("close_qfq") + 0.01).otherwise(F.col("close_qfq")))
 
 
+#: The bars of all rows up to the first day from DATE on, as a full rebuild of that day gives them.
+_TO = f"(SELECT min(trade_date) FROM ods_daily WHERE trade_date >= '{DATE}')"
+UPTO = {
+    "daily13": f"SELECT * FROM ods_daily WHERE trade_date <= {_TO}", "adjusted13": CTES["adjusted"].replace("FROM ods_daily)", "FROM daily13)"),
+    "quote13": CTES["dwd_daily_quote"].replace("FROM ods_daily ", "FROM daily13 ").replace("adjusted", "adjusted13"),
+}
+
+
+def stored_before(m: Tables) -> DataFrame:
+    """Bars as they were stored before DATE, when no later row was known: some instruments with stale closes, one not yet there."""
+    daily = m.daily.where((F.col("trade_date") < DATE) & (F.col("ts_code") != "B05.XX"))
+    bars = B.fill_suspensions(B.adjusted_bars(daily, m.basic), daily, m.cal)
+    stale = F.col("ts_code").startswith("B1") & (F.substring("trade_date", 7, 2).cast("int") % 11 == 0) & (F.col("is_suspended") == 0)
+    return bars.withColumn("close_qfq", F.when(stale, F.col("close_qfq") + 0.01).otherwise(F.col("close_qfq")))
+
+
 _LATEST = "SELECT *, arg_max(coalesce(adj_factor, 0), trade_date) OVER (PARTITION BY ts_code) AS latest FROM ods_daily"
 query("b7_factor_changed", sql("SELECT ts_code, trade_date FROM (SELECT *, lag(adj_factor) OVER (PARTITION BY ts_code ORDER BY trade_date) AS before FROM ods_daily) WHERE before IS NOT NULL AND adj_factor IS DISTINCT FROM before AND trade_date = (SELECT min(trade_date) FROM ods_daily WHERE trade_date >= '19990101')", "ods_daily"))(
     lambda m: (lambda d: B.factor_changed(m.daily, d).withColumn("trade_date", F.lit(d)))(m.daily.where("trade_date >= '19990101'").agg(F.min("trade_date")).first()[0])
@@ -131,8 +147,9 @@ query("b11_behind", sql(f"SELECT d.ts_code, s.last FROM ods_daily d JOIN (SELECT
 query("b12_refresh_prices", sql(f"SELECT {r6('ts_code, trade_date', 'open_qfq', 'high_qfq', 'low_qfq', 'close_qfq')} FROM (SELECT ts_code, trade_date, coalesce(l.open * l.adj_factor / latest, s.open_qfq) AS open_qfq, coalesce(l.high * l.adj_factor / latest, s.high_qfq) AS high_qfq, coalesce(l.low * l.adj_factor / latest, s.low_qfq) AS low_qfq, coalesce(l.close * l.adj_factor / latest, s.close_qfq) AS close_qfq FROM stored s LEFT JOIN latest l USING (ts_code, trade_date))", "adjusted", stored=_STORED, latest=_LATEST))(
     lambda m: B.refresh_prices(stored(m), m.daily).select("ts_code", "trade_date", "open_qfq", "high_qfq", "low_qfq", "close_qfq")
 )
-query("b13_incremental", sql(f"SELECT {_Q} FROM dwd_daily_quote WHERE ts_code IN (SELECT ts_code FROM stored JOIN latest l USING (ts_code, trade_date) WHERE abs(close_qfq - l.close * l.adj_factor / latest) > 1e-6)", "dwd_daily_quote", stored=_STORED, latest=_LATEST))(
-    lambda m: B.rebuild_incremental(stored(m), m.daily, m.basic, m.cal, "99999999").join(B.drifted(stored(m), m.daily), "ts_code", "left_semi")
+query("b13_incremental", sql(f"SELECT {_Q}, CASE WHEN ts_code IN (SELECT ts_code FROM drift13) OR ts_code = 'B05.XX' THEN 'full' WHEN trade_date <= last THEN 'kept' ELSE 'tail' END AS route FROM quote13 LEFT JOIN (SELECT ts_code, max(trade_date) AS last FROM ods_daily WHERE trade_date < '{DATE}' GROUP BY ALL) USING (ts_code)", "dwd_daily_quote", **UPTO, **{
+    "drift13": f"SELECT ts_code FROM adjusted13 WHERE ts_code LIKE 'B1%' AND ts_code <> 'B05.XX' AND trade_date < '{DATE}' AND right(trade_date, 2)::INT % 11 = 0 GROUP BY ALL"}))(
+    lambda m: (lambda d: B.rebuild_incremental(stored_before(m), m.daily, m.basic, m.cal, d))(m.daily.where(F.col("trade_date") >= DATE).agg(F.min("trade_date")).first()[0])
 )
 query("b15_rebuild_week", sql(f"SELECT {_W} FROM dwd_weekly_quote WHERE date_trunc('week', strptime(trade_date, '%Y%m%d')) = date_trunc('week', strptime('{DATE}', '%Y%m%d'))", "dwd_weekly_quote"))(
     lambda m: B.weekly_bars(m.quotes.where(F.date_trunc("week", D.as_date("trade_date")) == F.date_trunc("week", D.as_date(F.lit(DATE)))))

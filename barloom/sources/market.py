@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 SIZES = {"sm": (0, 10), "md": (10, 25), "lg": (25, 40), "elg": (40, 1e9)}
 INDEX = "INDEX.XX"
+#: Moves amounts off the middle between two rounded ones, where sums in another order would round elsewhere.
+TICK = 2.3e-8
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,14 +79,19 @@ def ods_daily_basic(daily: DataFrame) -> DataFrame:
 
 
 def ods_moneyflow(rows: DataFrame) -> DataFrame:
-    """Money flow of the trades by side (open orders buy, finished ones sell) and trade size."""
-    q, sums = F.col("l_quantity"), []
-    for side, status in (("buy", "O"), ("sell", "F")):
+    """Money flow of the trades by side and trade size.
+
+    Half of a trade counts by its size, half as a large one. The share that buys follows a slow triangle of the
+    days and is zero on a few, on which flow by volume is unknown; it is a multiple of 1/32, so sums are exact in any order.
+    """
+    q, ext, sums = F.col("l_quantity"), F.col("l_extendedprice"), []
+    buys = F.when(F.col("day_idx") % 211 != 0, (F.abs(F.col("day_idx") % 48 - 24) / 2 + 2) / 16).otherwise(0.0)
+    for side, share in (("buy", buys), ("sell", 1 - buys)):
         for size, (lo, hi) in SIZES.items():
-            mine = (F.col("l_linestatus") == status) & (q > lo) & (q <= hi)
-            sums += [F.sum(F.when(mine, q).otherwise(0.0)).alias(f"{side}_{size}_vol"), F.round(F.sum(F.when(mine, F.col("l_extendedprice")).otherwise(0.0)), 2).alias(f"{side}_{size}_amount")]
-    sign = F.when(F.col("l_linestatus") == "O", 1.0).otherwise(-1.0)
-    sums += [F.sum(q * sign).alias("net_mf_vol"), F.round(F.sum(F.col("l_extendedprice") * sign), 2).alias("net_mf_amount")]
+            part = share * (F.when((q > lo) & (q <= hi), 0.5).otherwise(0.0) + (0.5 if size == "lg" else 0.0))
+            sums += [F.sum(q * part).alias(f"{side}_{size}_vol"), F.round(F.sum(ext * part) + TICK, 8).alias(f"{side}_{size}_amount")]
+    net = buys * 2 - 1
+    sums += [F.sum(q * net).alias("net_mf_vol"), F.round(F.sum(ext * net) + TICK, 8).alias("net_mf_amount")]
     flow = rows.groupBy("ts_code", "trade_date").agg(*sums)
     return flow.withColumn("net_amount_dc", F.when(F.col("trade_date") >= "19970101", F.col("net_mf_amount") * 0.9))
 

@@ -6,8 +6,10 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+KEYS = ("ts_code", "trade_date")
 _WRITTEN: dict[tuple, DataFrame] = {}
 
 
@@ -23,17 +25,104 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def layer(spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def layer(spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame], by: str | None = None) -> DataFrame:
     """The layer ``name`` of the tables under ``source``: built and written by the first that asks in a session.
 
     Parquet in the shared folder survives lost executors, has column statistics for
-    pushed-down filters, and goes when the driver ends.
+    pushed-down filters, and goes when the driver ends. With ``by`` it is a table in as many
+    buckets of that column as a shuffle has partitions, one file each and sorted by date:
+    windows, joins and grouped maps by that column need no exchange.
     """
     key = spark.sparkContext.applicationId, source, name
     if key not in _WRITTEN:
-        rows, path = build(), f"{shared_dir(spark)}/layer-{name}-{uuid.uuid4().hex}"
-        rows.write.parquet(path)
+        rows, tag = build(), uuid.uuid4().hex
+        path = f"{shared_dir(spark)}/layer-{name}-{tag}"
+        if by:
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            dealt = rows.repartition(n, by).write.bucketBy(n, by).sortBy(by, "trade_date")
+            dealt.option("path", path).saveAsTable(f"barloom_{name}_{tag}")
+            table = spark.table(f"barloom_{name}_{tag}")
+        else:
+            rows.write.parquet(path)
+            table = spark.read.schema(rows.schema).parquet(path)
         target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-        _WRITTEN[key] = spark.read.schema(rows.schema).parquet(path)
+        _WRITTEN[key] = table
     return _WRITTEN[key]
+
+
+def load(rows: DataFrame, start: str | None = None, codes: DataFrame | None = None, ends: DataFrame | None = None) -> DataFrame:
+    """A bar layer's rows from a date on, which the scan gets as a filter, of given instruments and (weekly) of given days only."""
+    if start:
+        rows = rows.where(F.col("trade_date") >= start)
+    if codes is not None:
+        rows = rows.join(codes.select("ts_code"), "ts_code", "left_semi")
+    return rows.join(F.broadcast(ends.select("trade_date")), "trade_date", "left_semi") if ends is not None else rows  # a calendar
+
+
+# Stored layers: Parquet in partitions by a hash of the instrument and by year, so that a change rewrites few of them.
+PARTS = ("bucket", "year")
+
+
+def _parts(buckets: int) -> dict[str, Column]:
+    return {"bucket": F.pmod(F.hash("ts_code"), F.lit(buckets)), "year": F.substring("trade_date", 1, 4).cast("int")}
+
+
+def put(rows: DataFrame, path: str, buckets: int = 64) -> None:
+    """Write a layer anew."""
+    rows.withColumns(_parts(buckets)).repartition(*PARTS).write.mode("overwrite").partitionBy(*PARTS).parquet(path)
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """A stored layer without its partition columns."""
+    return spark.read.parquet(path).drop(*PARTS)
+
+
+def _touched(spark: SparkSession, path: str, keys: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """The given keys with their partitions, and the stored rows of those partitions; the scan skips all others."""
+    placed = keys.withColumns(_parts(buckets))
+    parts = placed.select(*PARTS).distinct()  # at most as many rows as the layer has partitions
+    return placed, spark.read.parquet(path).join(F.broadcast(parts), list(PARTS), "left_semi")
+
+
+def staged(rows: DataFrame) -> DataFrame:
+    """Rows written to the shared folder and read again: what several steps use is computed once."""
+    spark = rows.sparkSession
+    path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _overwrite(rows: DataFrame, path: str) -> None:
+    """Replace the partitions of ``rows``; they may come from the same layer, as its files go when the job commits."""
+    rows.repartition(*PARTS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS).parquet(path)
+
+
+def merge(spark: SparkSession, path: str, changed: DataFrame, buckets: int = 64) -> None:
+    """Put ``changed`` rows into a stored layer, in place of those with their keys: read, merge and rewrite only the
+    partitions that they touch. Running it again changes nothing."""
+    changed = staged(changed)
+    placed, old = _touched(spark, path, changed, buckets)
+    kept = old.join(changed.select(*KEYS), list(KEYS), "left_anti")
+    _overwrite(kept.unionByName(placed.select(*kept.columns)), path)
+
+
+def remove(spark: SparkSession, path: str, gone: DataFrame, buckets: int = 64) -> int:
+    """Take the rows with the keys of ``gone`` out of a stored layer, and drop partitions left empty; returns how many rows went."""
+    gone = staged(gone.select(*KEYS).distinct())
+    placed, old = _touched(spark, path, gone, buckets)
+    n = old.join(gone, list(KEYS), "left_semi").count()
+    if n:
+        rest = staged(old.join(gone, list(KEYS), "left_anti"))
+        _overwrite(rest, path)
+        empty = placed.select(*PARTS).distinct().join(rest.select(*PARTS).distinct(), list(PARTS), "left_anti")
+        for bucket, year in empty.collect():  # numbers of partitions, as many as the layer has at most
+            drop_folder(spark, f"{path}/bucket={bucket}/year={year}")
+    return n
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

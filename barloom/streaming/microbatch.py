@@ -11,6 +11,10 @@ from pyspark.sql.streaming import DataStreamWriter
 from barloom.operators.incremental import append
 
 
+#: Folders by a hash of the instrument in which stored bars lie.
+BUCKETS = 64
+
+
 def keep_latest(bars: DataFrame) -> DataFrame:
     """Of rows with one key in a micro-batch, the one that came last."""
     w = Window.partitionBy("ts_code", "trade_date").orderBy(F.desc("arrived"))
@@ -20,7 +24,8 @@ def keep_latest(bars: DataFrame) -> DataFrame:
 def incremental_sink(stream: DataFrame, path: str, compute: Callable[[DataFrame], DataFrame], checkpoint: str, lookback: int = 0) -> DataStreamWriter:
     """A writer that stores each micro-batch's bars and the results they change, under ``path/bars`` and ``path/results``.
 
-    A batch's instruments are computed anew from the first bar that the batch brings,
+    Bars lie in folders by a hash of their instrument; a batch reads those of its instruments only, and joins them
+    before anything is sorted. A batch's instruments are computed anew from the first bar that the batch brings,
     with ``lookback`` stored bars before it: an append where bars are new, a repair
     where an old bar changed; instruments without new bars are passed over. Results are
     then those of a run over all bars, as far as ``compute`` looks back no further.
@@ -31,10 +36,12 @@ def incremental_sink(stream: DataFrame, path: str, compute: Callable[[DataFrame]
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         bars, results = f"{path}/bars", f"{path}/results"
-        _put(keep_latest(batch).drop("arrived"), bars, epoch)
-        stored = spark.read.parquet(bars)
-        first = stored.where(F.col("batch_id") == epoch).groupBy("ts_code").agg(F.min("trade_date").alias("first"))
-        panel = newest(stored.where(F.col("batch_id") <= epoch)).join(first, "ts_code")
+        bucket = F.pmod(F.hash("ts_code"), F.lit(BUCKETS))
+        _put(keep_latest(batch).drop("arrived").withColumn("bucket", bucket), bars, epoch, "bucket")
+        known = spark.read.parquet(bars).where(F.col("batch_id") <= epoch)
+        first = known.where(F.col("batch_id") == epoch).groupBy("bucket", "ts_code").agg(F.min("trade_date").alias("first"))
+        touched = F.broadcast(first.select("bucket").distinct())  # BUCKETS rows at most; the scan skips all other folders
+        panel = newest(known.join(touched, "bucket", "left_semi").drop("bucket").join(first.drop("bucket"), "ts_code"))
         # The last bar before the first that came; an instrument without one begins with the batch.
         before = F.coalesce(F.max(F.when(F.col("trade_date") < F.col("first"), F.col("trade_date"))), F.lit(""))
         last = panel.groupBy("ts_code").agg(before.alias("last_trade_date"))
@@ -43,8 +50,8 @@ def incremental_sink(stream: DataFrame, path: str, compute: Callable[[DataFrame]
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
-def _put(rows: DataFrame, path: str, epoch: int) -> None:
-    rows.withColumn("batch_id", F.lit(epoch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+def _put(rows: DataFrame, path: str, epoch: int, *parts: str) -> None:
+    rows.withColumn("batch_id", F.lit(epoch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id", *parts).parquet(path)
 
 
 def newest(rows: DataFrame) -> DataFrame:
