@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -10,14 +11,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, drop_table, materialize
+from .common import bounded_batches, materialize
 from .graph import connected_components
 
 SEED = 42
 #: A group of fingerprints under one key is compared in memory up to this size; larger ones go by finer keys.
 GROUP = 2048
-#: The same for fingerprints of several words, and the bits of their blocks, so many of which fit a word.
-LARGE_GROUP, BLOCK, PER_WORD = 16384, 12, 5
+#: The same for fingerprints of several words: larger groups are compared in tiles of about that many, every pair of them.
+LARGE_GROUP = 16384
+#: Bits of a key of such fingerprints at least; with more of them keys get longer, so that groups stay about as large as with 2**FEW.
+BLOCK, FEW = 12, 18
+#: The share of equal bits in a pair of similarity 0.8, on average, and how many of such pairs share a key at least.
+ALIKE, FOUND = 0.85, 0.929
 #: For near copies, words of a fingerprint, and the bits of it in which texts of similarity 0.8 differ, 38.7 on average, and a deviation more.
 COPY_WORDS, COPY_RADIUS = 4, 44
 
@@ -198,31 +203,61 @@ def links(nodes: DataFrame, radius: int = 3) -> DataFrame:
     return found.where("b is not null").select("a", "b")
 
 
+def _key_bits(n: int, words: int) -> list[list[int]]:
+    """The bits of every key for ``n`` fingerprints: as few keys as find FOUND of the pairs whose bits are equal with chance ALIKE.
+
+    First the runs of bits that a word is cut into, then seeded choices of as many bits.
+    """
+    width, size = max(BLOCK, BLOCK + max(n, 1).bit_length() - FEW), 64 * words
+    equal = np.arange(width, size + 1)
+    chance = np.array([math.exp(math.lgamma(size + 1) - math.lgamma(e + 1) - math.lgamma(size - e + 1) + e * math.log(ALIKE) + (size - e) * math.log(1 - ALIKE)) for e in equal])
+    alike = np.prod([(equal - i) / (size - i) for i in range(width)], axis=0)  # the chance that one key of such a pair is alike
+    count = 1
+    while chance @ (1 - (1 - alike) ** count) < FOUND:
+        count += 1
+    runs = [[64 * k + b * width + i for i in range(width)] for k in range(words) for b in range(64 // width)][:count]
+    r = np.random.default_rng(SEED)
+    return runs + [sorted(r.choice(64 * words, width, replace=False).tolist()) for _ in range(count - len(runs))]
+
+
+def _keyed(nodes: DataFrame, bits: list[list[int]], names: list[str]) -> DataFrame:
+    """Every fingerprint with each of its keys, ``mask`` being the key's number."""
+
+    def run(batches):
+        for b in batches:
+            fp = np.stack([c.to_numpy() for c in b.columns[1:]], 1)
+            ones = np.unpackbits(np.ascontiguousarray(fp).view(np.uint8), axis=1, bitorder="little")
+            keys = np.stack([ones[:, at].astype(np.int64) @ (1 << np.arange(len(at))) for at in bits], 1)
+            at = np.repeat(np.arange(len(b)), len(bits))
+            yield pa.record_batch(
+                [pa.array(np.tile(np.arange(len(bits)), len(b))), pa.array(keys.ravel()), b.column(0).take(pa.array(at)), *(pa.array(fp[at, w]) for w in range(len(names)))],
+                ["mask", "key", "node", *names],
+            )
+
+    bounded_batches(nodes.sparkSession)
+    return nodes.select("node", *names).mapInArrow(run, f"mask long, key long, node long, {', '.join(f'{n} long' for n in names)}")
+
+
 def long_links(nodes: DataFrame, radius: int, words: int) -> DataFrame:
-    """Edges ``(a, b)`` between fingerprints of several words that share a block and differ in ``radius`` or fewer bits.
-
-    ``radius`` or fewer bits over PER_WORD * words blocks: fewer than that many leave a
-    block alike for certain; for more, as similarity 0.8 needs, the share of pairs
-    that have none alike is (1 - a**BLOCK) ** blocks, where a is the share of equal bits
-    (5 in 100 at a = 0.85, 1 in 100 at 0.87). Rows of a block's value that more than
-    LARGE_GROUP fingerprints have go on to pairs of blocks, which keeps the same share
-    of pairs once more. Edges connect a group's fingerprints as all its close pairs
-    would, without listing them.
+    """Edges ``(a, b)`` between fingerprints of several words that share a key and differ in ``radius`` or fewer bits.
+
+    A key is the value of some of the bits (:func:`_key_bits`). Of pairs of similarity 0.8, whose bits are equal with chance ALIKE, 93 in 100
+    share a key, of closer ones more, at any number of fingerprints: where keys get longer they get more (12 bits: 20, 16: 46, 24: 234).
+    All pairs of a group are compared: a group of over LARGE_GROUP fingerprints in tiles, each pair of its parts
+    in a task of its own, so no group is held or passed on by one task and none is left out. Edges connect
+    a group's fingerprints as all its close pairs would, without listing them.
     """
-    blocks = [F.struct(F.lit(PER_WORD * k + b).cast("long").alias("mask"), F.expr(f"shiftrightunsigned({n}, {BLOCK * b}) & {(1 << BLOCK) - 1}L").alias("key")) for k, n in enumerate(_names(words)) for b in range(PER_WORD)]
     names = _names(words)
-    keyed = nodes.select("node", *names, F.explode(F.array(*blocks)).alias("x")).select("node", *names, "x.*")
-    found = materialize(_edges(keyed, radius, LARGE_GROUP, words))
-    over = found.where("b is null").select(F.col("a").alias("node"), *names, "mask")
-    if not over.isEmpty():
-        pairs = F.transform(F.array(*blocks), lambda y: F.struct(
-            (F.least("mask", y["mask"]) * len(blocks) + F.greatest("mask", y["mask"])).alias("mask"),
-            F.when(y["mask"] < F.col("mask"), y["key"] * (1 << BLOCK) + F.col("own")).otherwise(F.col("own") * (1 << BLOCK) + y["key"]).alias("key"),
-            (y["mask"] != F.col("mask")).alias("other"),
-        ))
-        own = F.element_at(F.array(*blocks), (F.col("mask") + 1).cast("int"))["key"]
-        again = over.withColumn("own", own).select("node", *names, F.explode(pairs).alias("x")).where("x.other").select("node", *names, "x.mask", "x.key").distinct()
-        found = found.unionByName(materialize(_edges(again, radius, None, words)))
+    keyed = _keyed(nodes, _key_bits(nodes.count(), words), names)
+    part = max(1, LARGE_GROUP // 2)
+    large = keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > LARGE_GROUP)
+    large = materialize(large.select("mask", "key", F.expr(f"cast((n + {part - 1}) div {part} as int)").alias("parts")))
+    found = materialize(_edges(keyed.join(large, ["mask", "key"], "left_anti"), radius, None, words))
+    if not large.isEmpty():
+        own = F.expr("cast(pmod(xxhash64(node), parts) as int)")
+        tiles = keyed.join(large, ["mask", "key"]).withColumn("own", own).withColumn("other", F.expr("explode(sequence(0, parts - 1))"))
+        tile = F.xxhash64("mask", "key", F.least("own", "other"), F.greatest("own", "other"))
+        found = found.unionByName(materialize(_edges(tiles.select("node", *names, "mask", tile.alias("key")), radius, None, words)))
     return found.where("b is not null").select("a", "b")
 
 
