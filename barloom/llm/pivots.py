@@ -27,11 +27,11 @@ def distinct_vectors(vectors: DataFrame, id_col: str, vector_col: str, group_col
     """``(id, kind, v, norm)`` of every row; ``norm`` is null where the vector links with nothing."""
     v = F.col(vector_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).alias("id"), F.col(group_col).alias("kind"), v.alias("v"))
+    fine = "id is not null and kind is not null and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))"
     # The largest part is taken out before squaring, so that no square overflows or vanishes.
-    top = "array_max(transform(v, x -> abs(x)))"
-    norm = f"{top} * sqrt(aggregate(v, 0D, (a, x) -> a + (x / {top}) * (x / {top})))"
-    fine = "id is not null and kind is not null and forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(v, x -> x <> 0)"
-    return rows.withColumn("norm", F.expr(f"case when {fine} then {norm} end"))
+    rows = rows.withColumn("top", F.expr(f"case when {fine} then greatest(array_max(v), -array_min(v)) end"))
+    norm = "case when top > 0 then top * sqrt(aggregate(transform(v, x -> x / top), 0D, (a, x) -> a + x * x)) end"
+    return rows.withColumn("norm", F.expr(norm)).drop("top")
 
 
 def choose_pivots(nodes: DataFrame, n: int) -> np.ndarray:
