@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word: a maximal run of characters other than the six ASCII white-space characters.
@@ -43,6 +43,29 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ranked(rows: DataFrame, tree: str, order: list[str], numbered: bool = False) -> DataFrame:
+    """``rows`` with ``lo`` (from 0) and ``n``: each row's rank in its tree by ``order``, and the tree's size;
+    ``numbered`` adds ``tree_no``, the rank of the tree among all, nulls first.
+
+    Rows are dealt by range, sorted and written with their place in their range; what earlier ranges hold of a tree
+    is added to it. So a tree of any size is ranked in parallel. Rows alike in every column of the order are told
+    apart by a number, so a hot one is split as well.
+    """
+    by = [F.asc_nulls_first(c) for c in (tree, *order, "tie")]
+    dealt = materialize(rows.withColumn("tie", F.monotonically_increasing_id()))
+    dealt = dealt.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("place", F.monotonically_increasing_id())
+    dealt = materialize(dealt.withColumn("part", F.expr("shiftright(place, 33)")).drop("tie"))
+    held = dealt.groupBy(tree, "part").agg(F.count("*").alias("rows"), F.min("place").alias("start"))
+    whole = Window.partitionBy(tree)
+    before = F.sum("rows").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    held = materialize(held.select(F.col(tree).alias("of"), F.col("part").alias("at"), "start", F.coalesce(before, F.lit(0)).alias("before"), F.sum("rows").over(whole).alias("n")))
+    if numbered:
+        trees = ranked(held.where("before = 0").select(F.lit(0).alias("all"), F.col("of").alias("value")), "all", ["value"])
+        held = materialize(held.join(trees.select("value", F.col("lo").alias("tree_no")), F.col("of").eqNullSafe(F.col("value"))).drop("value"))
+    placed = dealt.join(held, F.col(tree).eqNullSafe(F.col("of")) & (F.col("part") == F.col("at")))
+    return placed.withColumn("lo", F.col("before") + F.col("place") - F.col("start")).drop("part", "place", "of", "at", "before", "start")
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete the files of a table that :func:`materialize` wrote, once nothing reads it any more."""
     spark = df.sparkSession

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, ranked
 
 #: Children of a node.
 FANOUT = 8
@@ -21,29 +21,6 @@ def leaf_digest(*fields: str | Column) -> Column:
     return F.sha2(F.concat(*map(_field, fields)).cast("binary"), 256)
 
 
-def _ranked(rows: DataFrame, tree: str, order: list[str], numbered: bool = False) -> DataFrame:
-    """``rows`` with ``lo`` (from 0) and ``n``: each row's rank in its tree by ``order``, and the tree's size;
-    ``numbered`` adds ``tree_no``, the rank of the tree among all, nulls first.
-
-    Rows are dealt by range, sorted and written with their place in their range; what earlier ranges hold of a tree
-    is added to it. So a tree of any size is ranked in parallel. Rows alike in every column of the order are told
-    apart by a number, so a hot one is split as well.
-    """
-    by = [F.asc_nulls_first(c) for c in (tree, *order, "tie")]
-    dealt = materialize(rows.withColumn("tie", F.monotonically_increasing_id()))
-    dealt = dealt.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("place", F.monotonically_increasing_id())
-    dealt = materialize(dealt.withColumn("part", F.expr("shiftright(place, 33)")).drop("tie"))
-    held = dealt.groupBy(tree, "part").agg(F.count("*").alias("rows"), F.min("place").alias("start"))
-    whole = Window.partitionBy(tree)
-    before = F.sum("rows").over(whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    held = materialize(held.select(F.col(tree).alias("of"), F.col("part").alias("at"), "start", F.coalesce(before, F.lit(0)).alias("before"), F.sum("rows").over(whole).alias("n")))
-    if numbered:
-        trees = _ranked(held.where("before = 0").select(F.lit(0).alias("all"), F.col("of").alias("value")), "all", ["value"])
-        held = materialize(held.join(trees.select("value", F.col("lo").alias("tree_no")), F.col("of").eqNullSafe(F.col("value"))).drop("value"))
-    ranked = dealt.join(held, F.col(tree).eqNullSafe(F.col("of")) & (F.col("part") == F.col("at")))
-    return ranked.withColumn("lo", F.col("before") + F.col("place") - F.col("start")).drop("part", "place", "of", "at", "before", "start")
-
-
 def _parents(nodes: DataFrame, level: int) -> DataFrame:
     """The nodes one level up, ``(tree, level, lo, hi, n, digest, kids)``, of all trees that hold more than one."""
     span = FANOUT**level
@@ -123,8 +100,8 @@ def manifest(docs: DataFrame, fields: list[str], id_col: str = "doc_id", tree_co
     other = [(changed or {}).get(f, f) for f in fields]
     mark = F.lit(False) if when is None else F.coalesce(when, F.lit(False))
     rows = docs.select(F.col(id_col).alias("id"), F.col(tree_col).alias("value"), leaf_digest(*fields).alias("digest"), F.when(mark, leaf_digest(*other)).alias("changed"))
-    ranked = _ranked(rows, "value", ["id", "digest"], numbered=True)
-    leaves = materialize(ranked.select(F.col("tree_no").alias("tree"), "lo", F.col("lo").alias("hi"), "n", "id", "digest", "changed"))
+    placed = ranked(rows, "value", ["id", "digest"], numbered=True)
+    leaves = materialize(placed.select(F.col("tree_no").alias("tree"), "lo", F.col("lo").alias("hi"), "n", "id", "digest", "changed"))
     levels = _grown(leaves)
     roots = leaves.where("n = 1").select("tree", "digest")
     for nodes in levels:

@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 import heapq
-import json
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize
+from .common import WORD, drop_table, materialize, ranked
+from .graph import connected_components
 
 #: Ranges into which each pattern's seeded order is cut to find where a quota ends.
 BINS = 4096
-#: Rows up to which a table of patterns or sources, whose rows the driver has counted, is broadcast.
+#: Rows up to which a table of patterns or sources, whose rows have been counted, is broadcast.
 SMALL = 20_000
-#: Sets of sources up to which the flow is routed, on the driver; more are an error.
-MOST_PATTERNS = 10_000
 
 
 def water_fill(sizes: dict, weights: dict, total: float, ceiling: float = 2.0) -> dict:
@@ -86,11 +85,47 @@ def min_cost_flow(supply: dict, quota: dict, member: dict, costs: list[int]) ->
             edges[k ^ 1][1] += push
 
 
-def source_targets(sizes: dict, weight_cycle: tuple[float, ...], total: float, ceiling: float) -> dict:
-    """Targets of the sources in code-point order, null last, with the weights of the cycle in turn."""
-    names = sorted(sizes, key=lambda s: (s is None, [ord(c) for c in s or ""]))
-    weights = {s: weight_cycle[k % len(weight_cycle)] for k, s in enumerate(names)}
-    return water_fill({s: sizes[s] for s in names}, weights, total, ceiling)
+def source_targets(sizes: DataFrame, weight_cycle: tuple[float, ...], total: float, ceiling: float) -> DataFrame:
+    """``sizes`` (``source, size``) with ``no``, the place in code-point order, null last, and ``target``: :func:`water_fill`
+    with the weights of the cycle in turn, over any number of sources. A round reads two sums; the sources stay in Spark."""
+    placed = ranked(sizes.select(F.lit(0).alias("all"), F.col("source").isNull().alias("last"), "source", "size"), "all", ["last", "source"])
+    weights = F.array(*[F.lit(float(w)) for w in weight_cycle])
+    rows = placed.select("source", "size", F.col("lo").alias("no"), F.get(weights, (F.col("lo") % len(weight_cycle)).cast("int")).alias("weight"), F.lit(None).cast("double").alias("fixed"))
+    rows = materialize(rows)
+    while True:
+        used, whole = rows.agg(F.coalesce(F.sum("fixed"), F.lit(0.0)), F.sum(F.when(F.col("fixed").isNull(), F.col("weight")))).first()
+        share = F.lit((total - used) if whole else 0.0) * F.col("weight") / F.lit(whole or 1.0)
+        above = F.col("fixed").isNull() & (share > ceiling * F.col("size"))
+        if rows.where(above).isEmpty():
+            return rows.select("source", "size", "no", F.coalesce("fixed", share).alias("target"))
+        old, rows = rows, materialize(rows.withColumn("fixed", F.when(above, ceiling * F.col("size")).otherwise(F.col("fixed"))))
+        drop_table(old)
+
+
+def routed(patterns: DataFrame, plan: DataFrame, repeats: int) -> DataFrame:
+    """``(_mix_p, words, give)``: the words that every pattern gives.
+
+    A pattern (``_mix_p, words, sources``) whose source is in no other one gives what the source asks for. Sources that share
+    patterns are a component, and each component's flow is routed in a task of its own, patterns in order of name.
+    """
+    of = patterns.select("_mix_p", "words", F.explode("sources").alias("s")).join(plan.select(F.col("source").alias("of"), "no", "target"), F.col("s").eqNullSafe(F.col("of")))
+    of = materialize(of.select("_mix_p", "words", "no", F.round("target").cast("long").alias("quota"), F.min("no").over(Window.partitionBy("_mix_p")).alias("low")))
+    found = connected_components(of.where("low != no").select("low", "no"), "low", "no")
+    of = of.join(found, of["no"] == found["node"], "left").drop("node")
+    alone = of.where("component is null").select("_mix_p", "words", F.least(F.col("quota"), F.lit(repeats) * F.col("words")).alias("give"))
+
+    def route(g):
+        g = g.sort_values(["_mix_p", "no"])
+        supply = {p: int(n) for p, n in zip(g["_mix_p"], g["words"])}
+        quota = {int(q): int(n) for q, n in zip(g["no"], g["quota"])}
+        member: dict = {}
+        for p, q in zip(g["_mix_p"], g["no"]):
+            member.setdefault(p, []).append(int(q))
+        flow = min_cost_flow(supply, quota, member, list(range(repeats)))
+        return pd.DataFrame([(p, supply[p], sum(flow[p, q] for q in member[p])) for p in supply], columns=["_mix_p", "words", "give"])
+
+    shared = of.where("component is not null").select("component", "_mix_p", "words", "no", "quota")
+    return alone.unionByName(shared.groupBy("component").applyInPandas(route, "_mix_p string, words long, give long"))
 
 
 def mix(
@@ -102,68 +137,57 @@ def mix(
     seed: int = 42,
     id_col: str = "doc_id",
     text_col: str = "text",
+    added: tuple[str, str] = ("mix_size", "mix_copies"),
 ) -> tuple[DataFrame, DataFrame]:
-    """``(rows, plan)``: ``docs`` with ``mix_size`` and ``mix_copies``; ``(source, size, target)`` of every source.
+    """``(rows, plan)``: ``docs`` with ``mix_size`` and ``mix_copies`` (or other names); ``(source, size, target)`` of every source.
 
     ``sources`` gives the array of a row's sources as strings; null is a source of
     its own. A size is a number of words. The sources share ``share`` times all
     words by weight; no target exceeds ``repeats`` times its source's size.
-    Documents are aggregated by their set of sources (pattern); one row per distinct
-    set goes to the driver, a figure of the source catalogue and not of the
-    documents; over MOST_PATTERNS sets are an error. A min-cost flow routes the patterns' words to the sources' quotas, at
-    costs that rise by repetition. Each pattern then gives whole documents in a
+    Documents are aggregated by their set of sources (pattern), and a min-cost flow routes the patterns' words to the sources'
+    quotas, at costs that rise by repetition: by components of sources that share patterns, of which a task holds one, a figure
+    of the source catalogue and not of the documents. Each pattern then gives whole documents in a
     seeded order until its flow is met; ``mix_copies`` (0 to ``repeats``) says how
-    often each. A pattern ends within half a document of its flow.
-
-    Where in the order a flow ends is found from sums over BINS ranges and then row
-    by row in that one range, so a hot source is never sorted as a whole, and no
-    text is shuffled but for that range. Defined cases: null and wordless texts have
-    size zero; a null id has its place in the order by its text; rows that repeat id
-    and text share a place; an empty table gives no rows and no sources; the other
-    columns pass (``mix_*`` and ``_mix_*`` are reserved).
+    often each. A pattern ends within half a place of its flow.
+
+    The order is by hash; where in it a flow ends is found from sums over BINS ranges and then in that one range
+    from hashes and sizes alone, so a hot source is never sorted as a whole and no text is moved. Defined
+    cases: null and wordless texts have size zero; a null id has its place in the order by its text; rows that repeat id
+    and text share a place and all go in or not; texts of any length are counted whole; an empty table gives no rows
+    and no sources, a row without sources has no copies; the other columns pass, whatever their names, but for the
+    two that are added, which are an error.
     """
-    spark = docs.sparkSession
-    pattern = F.to_json(F.array_sort(F.array_distinct(sources)))
+    taken = {c.lower() for c in added} & {c.lower() for c in docs.columns}
+    if taken:
+        raise ValueError(f"columns that the mix adds are there already: {sorted(taken)}")
+    pattern = F.array_sort(F.array_distinct(F.coalesce(sources, F.array().cast("array<string>"))))
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    order = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
-    rows = docs.withColumns({"mix_size": size, "_mix_p": pattern, "_mix_h": order})
-    rows = rows.withColumn("_mix_bin", F.shiftrightunsigned("_mix_h", 64 - BINS.bit_length() + 1).cast("int"))
-    bins = materialize(rows.groupBy("_mix_p", "_mix_bin").agg(F.sum("mix_size").alias("words")))
-
-    sums = bins.groupBy("_mix_p").agg(F.sum("words"))
-    if sums.limit(MOST_PATTERNS + 1).count() > MOST_PATTERNS:
-        raise ValueError(f"more than {MOST_PATTERNS} sets of sources: group the sources first, as by domain or language")
-    supply = {p: int(n) for p, n in sums.collect()}
-    member = {p: json.loads(p) for p in supply}
-    sizes: dict = {}
-    for p, n in supply.items():
-        for s in member[p]:
-            sizes[s] = sizes.get(s, 0) + n
-    targets = source_targets(sizes, weight_cycle, share * sum(supply.values()), repeats)
-    flow = min_cost_flow(supply, {s: round(t) for s, t in targets.items()}, member, list(range(repeats)))
-    give = {p: sum(flow[p, s] for s in member[p]) for p in supply}
-    full = {p: min(repeats, give[p] // n) if n else 0 for p, n in supply.items()}
-    rest = [(p, full[p], give[p] - full[p] * supply[p]) for p in supply]
-    rest = spark.createDataFrame(rest, "_mix_p string, _mix_full int, _mix_rest long")
-
-    upto = Window.partitionBy("_mix_p").orderBy("_mix_bin")
-    ends = bins.join(rest, "_mix_p").withColumn("upto", F.sum("words").over(upto))
-    ends = ends.where("_mix_rest > upto - words and _mix_rest <= upto")
-    ends = ends.groupBy("_mix_p").agg(F.min(F.struct("_mix_bin", F.col("upto") - F.col("words"))).alias("e")).collect()
-    ends = {p: tuple(e) for p, e in ends}
-    cuts = [(p, full[p], r, *ends.get(p, (-1, 0))) for p, _, r in rest.collect()]
-    cuts = spark.createDataFrame(cuts, "_mix_p string, _mix_full int, _mix_rest long, _mix_cut int, _mix_before long")
-
-    known = rows.join(cuts if len(supply) > SMALL else F.broadcast(cuts), "_mix_p")
-    clear = known.where("_mix_bin != _mix_cut").withColumn(
-        "mix_copies", F.col("_mix_full") + (F.col("_mix_bin") < F.col("_mix_cut")).cast("int")
-    )
-    order = Window.partitionBy("_mix_p").orderBy("_mix_h", id_col, text_col).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("_mix_before") + F.coalesce(F.sum("mix_size").over(order), F.lit(0))
-    border = known.where("_mix_bin = _mix_cut").withColumn(
-        "mix_copies", F.col("_mix_full") + (before + F.col("mix_size") / 2 <= F.col("_mix_rest")).cast("int")
-    )
-    found = clear.unionByName(border).drop("_mix_p", "_mix_h", "_mix_bin", "_mix_full", "_mix_rest", "_mix_cut", "_mix_before")
-    plan = [(s, sizes[s], t) for s, t in targets.items()]
-    plan = spark.createDataFrame(plan, "source string, size long, target double")
-    return found, plan if len(targets) > SMALL else F.broadcast(plan)
+    place = F.struct(*[F.xxhash64(F.lit(k), F.col(id_col), F.col(text_col)).alias(f"h{k}") for k in (seed, seed + 1)])
+    rows = docs.select(F.struct(*docs.columns).alias("row"), size.alias("mix_size"), F.to_json(pattern).alias("_mix_p"), pattern.alias("sources"), place.alias("place"))
+    bin_ = F.shiftrightunsigned(F.col("place")[f"h{seed}"], 64 - BINS.bit_length() + 1).cast("int")
+    keys = materialize(rows.select("_mix_p", "sources", "place", bin_.alias("bin"), "mix_size"))
+    bins = materialize(keys.groupBy("_mix_p", "bin").agg(F.sum("mix_size").alias("words"), F.first("sources").alias("sources")))
+    patterns = materialize(bins.groupBy("_mix_p").agg(F.sum("words").alias("words"), F.first("sources").alias("sources")))
+    sizes = patterns.select("words", F.explode("sources").alias("source")).groupBy("source").agg(F.sum("words").alias("size"))
+    total = share * (patterns.agg(F.sum("words")).first()[0] or 0)
+    plan = materialize(source_targets(sizes, weight_cycle, total, repeats))
+    give = patterns.select("_mix_p", "words").join(routed(patterns, plan, repeats).select("_mix_p", "give"), "_mix_p", "left").fillna(0, ["give"])
+    give = materialize(give)
+
+    full = F.when(F.col("words") > 0, F.least(F.lit(repeats), F.expr("cast(give div words as int)"))).otherwise(0)
+    give = give.withColumn("full", full).select("_mix_p", "full", (F.col("give") - F.col("full") * F.col("words")).alias("rest"))
+    upto = Window.partitionBy("_mix_p").orderBy("bin")
+    ends = bins.select("_mix_p", "bin", "words").join(give, "_mix_p").withColumn("upto", F.sum("words").over(upto)).where("rest > upto - words and rest <= upto")
+    ends = materialize(ends.groupBy("_mix_p").agg(F.min(F.struct("bin", (F.col("upto") - F.col("words")).alias("before"), "rest")).alias("e")).select("_mix_p", "e.*"))
+    border = keys.join(ends, ["_mix_p", "bin"]).groupBy("_mix_p", "place").agg(F.sum("mix_size").alias("words"), F.first("before").alias("before"), F.first("rest").alias("rest"))
+    so_far = F.sum("words").over(Window.partitionBy("_mix_p").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
+    inside = F.col("before") + F.coalesce(so_far, F.lit(0)) + F.col("words") / 2 <= F.col("rest")
+    last = border.withColumn("inside", inside).where("inside").groupBy("_mix_p").agg(F.max("place").alias("last"))
+    cuts = give.join(ends.select("_mix_p", F.col("bin").alias("cut")), "_mix_p", "left").join(last, "_mix_p", "left").select("_mix_p", "full", "cut", "last")
+    cuts = materialize(cuts)
+    small = cuts.count() <= SMALL
+    known = rows.withColumn("bin", bin_).join(F.broadcast(cuts) if small else cuts, "_mix_p")
+    more = F.coalesce((F.col("bin") < F.col("cut")) | ((F.col("bin") == F.col("cut")) & (F.col("place") <= F.col("last"))), F.lit(False))
+    found = known.select("row.*", F.col("mix_size").alias(added[0]), (F.col("full") + more.cast("int")).alias(added[1]))
+    plan = plan.select("source", "size", "target")
+    return found, F.broadcast(plan) if small and plan.count() <= SMALL else plan

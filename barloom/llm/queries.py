@@ -77,7 +77,7 @@ def op5_toxicity(spark, sf_dir):
 
 
 def op6_mixing(spark, sf_dir):
-    rows, plan = mix(table(spark, sf_dir, "documents"), F.array("source"))
+    rows, plan = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), F.array("source"))
     rows = rows.select("doc_id", F.col("source").alias("of"), F.col("mix_size").alias("size"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
     plan = plan.withColumnRenamed("size", "source_size")
     return rows.join(plan, F.col("of").eqNullSafe(F.col("source"))).select("doc_id", "size", "source_size", "target", "taken")
