@@ -7,7 +7,7 @@ matching, and the largest match merges each into one tree per host, the wrapper,
 nodes are slots. Over all pages that a slot is on, a slot whose text never changes is
 template, one whose text varies is content but for the blocks that all those pages
 have. Every page is then aligned with its host's wrapper and gives the text of its
-content slots, without blocks that are mostly links.
+content slots; lists of links beside an article go before that.
 """
 
 from __future__ import annotations
@@ -33,16 +33,22 @@ INLINE = set(
 )
 ASIDE = set("nav aside footer form button dialog menu fieldset".split())
 ROLES = set("navigation banner contentinfo complementary search form menu menubar dialog alert toolbar".split())
-#: Words of a class or id that mark what is not the article.
+#: Words of a class or id that mark what is not the article, wherever they stand in a name.
 NAMES = set(
-    "ad ads adsbygoogle advert adverts advertisement advertising banner promo promoted promotion sponsor sponsored nav navbar navigation menu "
-    "menubar breadcrumb breadcrumbs pagination pager sidebar aside widget footer header masthead topbar toolbar cookie cookies "
-    "consent gdpr notice notices notification alert popup modal overlay dialog share sharing social comment comments reply replies "
-    "discussion disqus related recommended recommendations newsletter subscribe subscription signup login form search copyright "
-    "legal disclaimer skip".split()
+    "adsbygoogle advert adverts advertisement advertising sponsored nav navbar navigation menu menubar breadcrumb breadcrumbs "
+    "pagination pager sidebar aside footer masthead topbar toolbar cookie cookies consent gdpr popup modal disqus newsletter signup login".split()
 )
-#: Of these, what marks an inline element too, whose names otherwise tell of the words in it.
+#: Words that do so only as a whole name, before one of PLACES (``comment-list``), or behind one of WHOSE (``site-header``): others (``market-share``) tell of a text.
+VAGUE = set(
+    "ad ads banner promo promoted promotion sponsor widget header notice notices notification alert overlay dialog share sharing social comment "
+    "comments reply replies discussion related recommended recommendations subscribe subscription form search copyright legal disclaimer skip".split()
+)
+PLACES = set("area bar block blocks box buttons container form icons inner label line link links list panel row section slot thread top unit widget wrap wrapper".split())
+WHOSE = set("article bottom cookie footer global left main mobile page post primary reader right secondary site sticky top user".split())
+#: Inside an article only adverts, reader comments and share bars are told by name; adverts also inside a line.
 ADVERTS = set("ad ads adsbygoogle advert adverts advertisement advertising promo promoted promotion sponsor sponsored".split())
+INSIDE = ADVERTS | set("comment comments reply replies discussion disqus share sharing social related recommended newsletter subscribe".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: Elements that an opening tag closes: paragraphs end at blocks, items at items.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
@@ -57,15 +63,27 @@ RARE, FAN = 1 / 1000, 64
 
 
 class Node:
-    """An element: name, whether it is marked as no article, children, and its own text blocks."""
+    """An element: name, whether it is marked as no article and lies in one, children, and its own text blocks."""
 
-    __slots__ = ("tag", "label", "skip", "children", "parts", "link")
+    __slots__ = ("tag", "label", "skip", "inside", "children", "parts", "link", "links")
 
-    def __init__(self, tag: str, label: str, skip: bool):
-        self.tag, self.label, self.skip = tag, label, skip
+    def __init__(self, tag: str, label: str, skip: bool, inside: bool = False):
+        self.tag, self.label, self.skip, self.inside = tag, label, skip, inside
         self.children: list[Node] = []
         self.parts: list = []  # text of inline content and, in between, child blocks
-        self.link = 0  # characters inside links
+        self.link = self.links = 0  # characters inside links, and links
+
+
+def _named(value: str, inside: bool) -> bool:
+    """Whether one of the names in a class or id marks what is not the article."""
+    for name in STATE.sub("", value).split():
+        words = [w for w in re.split(r"[^a-z]+", name) if w]
+        if not inside and any(w in NAMES for w in words):
+            return True
+        words = words[1:] if len(words) > 1 and words[0] in WHOSE and words[1:] != ["header"] * (words[0] in ("article", "post")) else words
+        if words and words[0] in (INSIDE if inside else VAGUE) and all(w in PLACES for w in words[1:]):
+            return True
+    return False
 
 
 def _marks(tag: str, attrs: str, inside: bool) -> tuple[str, bool]:
@@ -75,8 +93,7 @@ def _marks(tag: str, attrs: str, inside: bool) -> tuple[str, bool]:
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id"):
             names.append(re.sub(r"\d+", "", value))
-            words = re.split(r"[^a-z]+", STATE.sub("", value))
-            skip = skip or any(w in NAMES and not (inside and w == "header") for w in words)
+            skip = skip or not (key == "id" and tag in HEADINGS) and _named(value, inside)
         elif key == "role":
             skip = skip or value in ROLES
         elif key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and INVISIBLE.search(value):
@@ -116,7 +133,7 @@ def parse(page: str | None) -> Node:
             if links:
                 top.link += len(chunk.strip())
         if not m:
-            return root
+            return _forms_with_the_page(root)
         pos = m.end()
         if not m[2]:
             continue
@@ -136,6 +153,7 @@ def parse(page: str | None) -> Node:
             if tag == "br" or tag == "hr":
                 stack[-1].parts.append(" ")
             links += tag == "a"
+            stack[-1].links += tag == "a"
             if tag not in VOID and (muted or m[3] and _mute(m[3])):
                 muted.append(tag)
             continue
@@ -159,13 +177,45 @@ def parse(page: str | None) -> Node:
             if stack[k].tag in ("ul", "ol", "table", "dl", "article", "div", "section"):
                 break
         label, skip = _marks(tag, m[3], article > 0)
-        node = Node(tag, label, skip)
         article += tag in ("article", "main")
+        node = Node(tag, label, skip, article > 0)
         stack[-1].children.append(node)
         stack[-1].parts.append(node)
         stack.append(node)
 
 
+def _forms_with_the_page(root: Node) -> Node:
+    """The tree, a form (or an element in the role of one) that holds most of the page's text being no form of its own."""
+    order, todo = [], [root]
+    while todo:
+        order.append(node := todo.pop())
+        todo += node.children
+    size: dict[int, int] = {}
+    for node in reversed(order):
+        size[id(node)] = sum(len(p.strip()) if isinstance(p, str) else size[id(p)] for p in node.parts)
+    for node in order:
+        if node.skip and node.tag == "form" and 2 * size[id(node)] > size[id(root)]:
+            node.skip = False
+    return root
+
+
+def link_lists(root: Node) -> set[int]:
+    """Elements (by identity) outside articles that are lists of links: three links or more that make up most of an
+    element's own text, or the items of a list, two at least, that are mostly links all together."""
+    out, todo = set(), [root]
+    while todo:
+        node = todo.pop()
+        todo += node.children
+        if node.inside:
+            continue
+        if node.links > 2 and 2 * node.link > sum(map(len, blocks(node))):
+            out.add(id(node))
+        items = [c for c in node.children if c.tag in ("li", "dd", "dt", "td")]
+        if len(items) > 1 and 2 * sum(c.link for c in items) > sum(len(x) for c in items for x in blocks(c)):
+            out.update(map(id, items))
+    return out
+
+
 def blocks(node: Node) -> list[str]:
     """The text blocks directly in an element: its inline text between child blocks, white space as one space."""
     out, run = [], []
@@ -311,23 +361,19 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
-def _own(nodes: list[Node]) -> tuple[list[str], int]:
-    """Text blocks of a compact node's elements and the number of linked characters."""
-    return [x for n in nodes for x in blocks(n)], sum(n.link for n in nodes)
-
-
 def _digest(batches):
-    """Of every page its host, its form, and per node the hashes of its blocks, its characters and linked characters."""
+    """Of every page its host, its form, and per node the hashes of its blocks."""
     for b in batches:
-        out = [[], [], [], [], []]
+        out = [[], [], []]
         for host, page in zip(*(c.to_pylist() for c in b.columns)):
-            form, groups = compact(parse(page))
-            own = [_own(g) for g in groups]
-            row = (host, form, [[_hash(x) for x in found] for found, _ in own], [sum(map(len, found)) for found, _ in own], [link for _, link in own])
+            root = parse(page)
+            gone = link_lists(root)
+            form, groups = compact(root)
+            row = (host, form, [[_hash(x) for n in g if id(n) not in gone for x in blocks(n)] for g in groups])
             for x, y in zip(out, row):
                 x.append(y)
-        kinds = [pa.string(), pa.string(), pa.list_(pa.list_(pa.int64())), pa.list_(pa.int32()), pa.list_(pa.int32())]
-        yield pa.record_batch([pa.array(x, t) for x, t in zip(out, kinds)], ["host", "form", "blocks", "chars", "linked"])
+        kinds = [pa.string(), pa.string(), pa.list_(pa.list_(pa.int64()))]
+        yield pa.record_batch([pa.array(x, t) for x, t in zip(out, kinds)], ["host", "form", "blocks"])
 
 
 def _merged(table: pa.Table) -> pa.Table:
@@ -357,22 +403,21 @@ def _slots(known: dict, tree: str, form: str) -> list[int]:
 
 
 def _observe(batches):
-    """Per host and slot: smallest and largest hash of its text, number of pages, characters and linked characters;
-    per host, slot and block: number of pages."""
+    """Per host and slot: smallest and largest hash of its text and number of pages; per host, slot and block: number of pages."""
     known: dict = {}
     for b in batches:
         seen: dict[tuple, list] = {}
-        for host, tree, form, blocks_, chars, linked in zip(*(c.to_pylist() for c in b.columns)):
-            for slot, found, size, link in zip(_slots(known, tree, form), blocks_, chars, linked):
+        for host, tree, form, blocks_ in zip(*(c.to_pylist() for c in b.columns)):
+            for slot, found in zip(_slots(known, tree, form), blocks_):
                 if found and slot >= 0:
                     h = xxhash.xxh64_intdigest(np.array(found, np.int64).tobytes()) - (1 << 63)
-                    s = seen.setdefault((host, slot, None), [h, h, 0, 0, 0])
-                    s[:] = min(s[0], h), max(s[1], h), s[2] + 1, s[3] + size, s[4] + link
+                    s = seen.setdefault((host, slot, None), [h, h, 0])
+                    s[:] = min(s[0], h), max(s[1], h), s[2] + 1
                     for x in set(found):
-                        seen.setdefault((host, slot, x), [0, 0, 0, 0, 0])[2] += 1
-        keys, values = list(zip(*seen)) or [()] * 3, list(zip(*seen.values())) or [()] * 5
-        kinds = [pa.string(), pa.int32(), *[pa.int64()] * 6]
-        names = ["host", "slot", "block", "low", "high", "pages", "chars", "linked"]
+                        seen.setdefault((host, slot, x), [0, 0, 0])[2] += 1
+        keys, values = list(zip(*seen)) or [()] * 3, list(zip(*seen.values())) or [()] * 3
+        kinds = [pa.string(), pa.int32(), *[pa.int64()] * 4]
+        names = ["host", "slot", "block", "low", "high", "pages"]
         yield pa.record_batch([pa.array(c, t) for c, t in zip([*keys, *values], kinds)], names)
 
 
@@ -389,16 +434,15 @@ def _extract(batches):
                 roles = role[told]
                 drop: dict[int, set | None] = {}  # elements whose own text is no article
                 template: dict[int, set | None] = {}  # elements whose own text, or these blocks of it, are template
+                drop |= dict.fromkeys(link_lists(root))
                 form, groups = compact(root)
                 slots = _slots(known, tree, form) if tree else [-1] * len(groups)
                 for slot, nodes in zip(slots, groups):
-                    found, linked = _own(nodes)
-                    size, r = sum(map(len, found)), roles.get(slot)
-                    if r:
-                        size, linked = r["chars"], r["linked"]
-                    if size and linked > 0.5 * size:
-                        drop |= dict.fromkeys(map(id, nodes))
-                    elif r and r["constant"]:
+                    nodes = [n for n in nodes if id(n) not in drop]
+                    found, r = [x for n in nodes for x in blocks(n)], roles.get(slot)
+                    if not found:
+                        continue
+                    if r and r["constant"]:
                         template |= dict.fromkeys(map(id, nodes))
                     else:
                         common = r["blocks"] if r else ()
@@ -415,8 +459,8 @@ def article(root: Node, drop: dict[int, set | None]) -> list[str]:
     """Text blocks of a page's article in page order, without the elements in ``drop`` (or the blocks whose
     hashes it names) and those marked as no article.
 
-    The article is the ``article`` or ``main`` element with most text, if there is
-    one; else all that is left of the page.
+    The article is all ``article`` elements, or else all ``main`` ones, that lie in no other, if they have any text; else
+    all that is left of the page.
     """
 
     def text(top: Node) -> list[str]:
@@ -458,7 +502,7 @@ def article(root: Node, drop: dict[int, set | None]) -> list[str]:
     for tag in ("article", "main"):
         found = [text(n) for n in places(tag)]
         if any(found):
-            return max(found, key=lambda t: sum(map(len, t)))
+            return [x for part in found for x in part]
     return text(root)
 
 
@@ -508,13 +552,13 @@ def extract_articles(pages: DataFrame, id_col: str = "page_id", url_col: str = "
     bounded_batches(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[^:/?#]*:?//([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"), host.alias("host"))
-    digest = materialize(rows.where("html != ''").select("host", "html").mapInArrow(_digest, "host string, form string, blocks array<array<long>>, chars array<int>, linked array<int>"))
+    digest = materialize(rows.where("html != ''").select("host", "html").mapInArrow(_digest, "host string, form string, blocks array<array<long>>"))
     trees = wrappers(digest)
-    seen = digest.join(trees, "host").select("host", "tree", "form", "blocks", "chars", "linked").mapInArrow(
-        _observe, "host string, slot int, block long, low long, high long, pages long, chars long, linked long"
+    seen = digest.join(trees, "host").select("host", "tree", "form", "blocks").mapInArrow(
+        _observe, "host string, slot int, block long, low long, high long, pages long"
     )
     # Of what stands on one page, slots tell nothing more than that page does, and blocks are no template.
-    sums = seen.groupBy("host", "slot", "block").agg(*(f(c).alias(c) for f, c in ((F.min, "low"), (F.max, "high"), (F.sum, "pages"), (F.sum, "chars"), (F.sum, "linked"))))
+    sums = seen.groupBy("host", "slot", "block").agg(*(f(c).alias(c) for f, c in ((F.min, "low"), (F.max, "high"), (F.sum, "pages"))))
     sums = materialize(sums.where("pages > 1"))
     slots = sums.where("block is null").drop("block")
     constant = (F.col("low") == F.col("high")) & (F.col("pages") >= least_pages)
@@ -522,7 +566,7 @@ def extract_articles(pages: DataFrame, id_col: str = "page_id", url_col: str = "
     common = shared.join(slots.where(~constant).select("host", "slot", "pages"), ["host", "slot", "pages"])
     common = common.groupBy("host", "slot").agg(F.collect_list("block").alias("blocks"))
     told = slots.join(common, ["host", "slot"], "left").groupBy("host").agg(
-        F.to_json(F.collect_list(F.struct("slot", constant.alias("constant"), "chars", "linked", "blocks"))).alias("slots"), F.max(~constant).alias("varies")
+        F.to_json(F.collect_list(F.struct("slot", constant.alias("constant"), "blocks"))).alias("slots"), F.max(~constant).alias("varies")
     )
     found = rows.join(materialize(trees.join(told, "host")), "host", "left")
     kind = rows.schema["page_id"].dataType.simpleString()
