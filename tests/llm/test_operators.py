@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import Window
@@ -169,6 +170,41 @@ def test_simhash_of_several_words(spark, group, monkeypatch):
     assert simhash.fingerprint(texts[5][1], 5, 4)[0] == sum(1 << b for b in range(64) if sum(x >> b & 1 for x in h) * 2 > len(h))
 
 
+def similar_pairs(r, n):
+    """Pairs of texts of five-word similarity 0.80 to 0.87."""
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
+    out = []
+    while len(out) < n:
+        base = [word() for _ in range(r.randint(150, 400))]
+        other = [word() if r.random() < 0.02 else w for w in base]
+        a, b = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (base, other))
+        if 0.80 <= len(a & b) / len(a | b) <= 0.87:
+            out.append((" ".join(base), " ".join(other)))
+    return out
+
+
+@pytest.mark.parametrize("large", [16384, 1])
+def test_near_copies_of_the_least_similarity(spark, large, monkeypatch):
+    """Recall at similarity 0.80 to 0.87, also where every group counts as large and is compared in tiles."""
+    monkeypatch.setattr(simhash, "LARGE_GROUP", large)
+    pairs = similar_pairs(random.Random(17), 300)
+    rows = [(2 * k + side, t) for k, p in enumerate(pairs) for side, t in enumerate(p)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {x.id: x.component_id for x in simhash.simhash_components(docs, radius=simhash.COPY_RADIUS, width=5, words=4).collect()}
+    assert sum(got[2 * k + 1] == 2 * k for k in range(300)) >= 0.9 * 300
+    assert all(got[i] // 2 == i // 2 for i in got)
+
+
+@pytest.mark.parametrize("n", [1, 10**6, 10**9])
+def test_keys_of_any_number_of_fingerprints_find_as_many_pairs(n):
+    bits = simhash._key_bits(n, 4)
+    assert n > 1 or bits == [[64 * k + 12 * b + i for i in range(12)] for k in range(4) for b in range(5)]
+    assert 2 ** len(bits[0]) >= n / 128 and len({len(b) for b in bits}) == 1
+    r = np.random.default_rng(1)
+    differ = r.random((2000, 256)) > 0.85
+    assert np.mean([any(not row[at].any() for at in bits) for row in differ]) >= 0.91
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(k, k + 1) for k in range(40)] + [(1000, 1000 + k) for k in range(1, 50)] + [(3, None), (5, 5)]
     got = dict(tuple(r) for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect())
@@ -493,6 +529,27 @@ def test_wrapper_reads_large_and_deep_pages_whole(spark):
     assert got == want | {10 + k: f"First of {k}\nLast of {k}" for k in range(6)} | {20 + k: f"Deep {k}" for k in range(2)}
 
 
+def test_wrapper_keeps_the_text_of_articles(spark):
+    """Linked paragraphs, headings by any id, names that only sound like boilerplate, a form around the page, articles in parts."""
+    linked = lambda k: f"<h1>Title {k}</h1><p>Plain words {k}</p><p><a href=x>A paragraph {k} that is one long link to something else</a></p><h2>Heading {k}</h2>"
+    rows = [(k, "http://a.example.com/", linked(k)) for k in range(4)]
+    want = {k: f"Title {k}\nPlain words {k}\nA paragraph {k} that is one long link to something else\nHeading {k}" for k in range(4)}
+    names = "<h2 id=search>Search {k}</h2><h2 id=legal>Legal</h2><h2 id=related-work>Related {k}</h2><section id=notice-periods><p>Notice {k}</p></section><div class='market-share'>Share {k}</div><figure class=ad-hoc>Ad hoc {k}</figure>"
+    gone = "<div class='ad-slot'>Buy {k}</div><div class='share-bar'>Share it</div><div id=comments><p>I say {k}</p></div><ul class=related-links><li>See {k}</li></ul>"
+    rows += [(10 + k, "http://b.example.com/", f"<article>{(names + gone).replace('{k}', str(k))}</article>") for k in range(3)]
+    want |= {10 + k: f"Search {k}\nLegal\nRelated {k}\nNotice {k}\nShare {k}\nAd hoc {k}" for k in range(3)}
+    menu = "<div><a>Home</a> <a>News</a> <a>About us</a></div><ul><li><a>One {k}</a></li><li><a>Two {k}</a></li></ul>"
+    rows += [(20 + k, "http://c.example.com/", f"{menu.replace('{k}', str(k))}<div class='article-header'><h1>Head {k}</h1></div><p>Body {k} <a>linked</a></p><ul><li>Point {k}</li><li><a>two</a></li></ul>") for k in range(3)]
+    want |= {20 + k: f"Head {k}\nBody {k} linked\nPoint {k}\ntwo" for k in range(3)}
+    rows += [(30 + k, "http://d.example.com/", f"<form id=aspnet><div><p>All the words of page {k} lie in it.</p></div></form><form><p>Mail {k}</p></form>") for k in range(3)]
+    want |= {30 + k: f"All the words of page {k} lie in it." for k in range(3)}
+    rows += [(40 + k, "http://e.example.com/", f"<article><p>First part {k}</p></article><p>between</p><article><p>Second part {k}, longer</p></article>") for k in range(3)]
+    want |= {40 + k: f"First part {k}\nSecond part {k}, longer" for k in range(3)}
+    got = {r.page_id: r.text for r in wrapper.extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    # A block that all pages of the host have in one place is template, as "Legal" and "two" are.
+    assert got == {k: t.replace("\nLegal", "").removesuffix("\ntwo") for k, t in want.items()}
+
+
 def test_simple_tree_matching():
     tree = lambda form: wrapper.Tree("\n".join(form.split(",")), 1)
     a, b = tree("0 r,1 x,2 p,1 y,1 z"), tree("0 r,1 x,2 q,2 p,1 z")
@@ -622,11 +679,11 @@ def test_registered_queries_give_the_contract_columns(spark, tmp_path):
     docs = [(i, "\n".join([line(), shared] if i % 3 else [line()]), "src" + str(i % 2) if i % 5 else None, "x", 1, 2.0, 3, 4) for i in range(30)]
     docs += [(100, None, "src0", "x", 1, 2.0, 3, 4), (101, "", None, "x", 1, 2.0, 3, 4), (102, "".join(c.swapcase() if c.isascii() else c for c in docs[1][1]), "src1", "x", 1, 2.0, 3, 4)]
     sf = str(tmp_path)
-    write = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{sf}/{name}.parquet")
-    write("documents", docs, "doc_id long, text string, source string, id string, s int, target double, source_size int, size int")
+    write = lambda name, rows, schema, **more: spark.createDataFrame(rows, schema).withColumns({c: F.lit(v) for c, v in more.items()}).write.parquet(f"{sf}/{name}.parquet")
+    write("documents", docs, "doc_id long, text string, source string, id string, s int, target double, source_size int, size int", lang="en", n_chars=7)
     write("labels", [(i, 0, int(i % 4 == 0)) for i in range(30)] + [(None, 0, 1), (5, 1, None)], "doc_id long, quality int, toxic int")
     write("pages", [(1, "http://a.x/", "<article><p>One &amp; two</p></article>", "h", "t"), (2, None, None, "h", "t"), (3, "http://a.x/", "", "h", "t")], "page_id long, url string, html string, host string, text string")
-    write("embeddings", [(i, [r.gauss(0, 1) for _ in range(64)], 5) for i in range(45)] + [(60, None, 5), (None, [1.0], 5)], "vec_id long, embedding array<double>, id long")
+    write("embeddings", [(i, [r.gauss(0, 1) for _ in range(64)], 5) for i in range(45)] + [(60, None, 5), (None, [1.0], 5)], "vec_id long, embedding array<double>, id long", label=3, kept=True, rank=0)
     write("conversations", [(c, k, "user" if k % 2 == 0 else "assistant", f"turn {k} {c if k > 1 else ''}", 1) for c in range(6) for k in range(4)] + [(9, 0, None, None, 1), (None, 0, "user", "x", 1)], "conv_id long, turn int, role string, text string, chosen int")
     run = {n: q(spark, sf) for n, q in queries.QUERIES.items()}
     rows = {n: q.collect() for n, q in run.items()}
@@ -639,12 +696,15 @@ def test_registered_queries_give_the_contract_columns(spark, tmp_path):
         "op6_mixing": "doc_id bigint size bigint source_size bigint target double taken bigint",
         "op7_exact_dedup": "doc_id bigint keep_id bigint group_size bigint kept boolean text_sha256 string",
         "op10_simhash": "doc_id bigint fingerprint string component_id bigint",
+        "op11_pivots": "vec_id bigint n_links bigint component_id bigint kept boolean",
+        "op12_merkle": "doc_id bigint leaf string subroot string root string proof_sha256 string folded_root string verified boolean",
+        "op13_negatives": "anchor_id bigint positive_id bigint rank int negative_id bigint positive_score bigint negative_score bigint",
     }
     for name, want in expected.items():
         want = want.split()
         assert {c: kinds[name][c] for c in want[::2]} == dict(zip(want[::2], want[1::2])), name
     ids = sorted(d[0] for d in docs)
-    for name in ("op1_line_dedup", "op3_sentencepiece", "op4_suffix_dedup", "op5_toxicity", "op6_mixing", "op7_exact_dedup", "op10_simhash"):
+    for name in ("op1_line_dedup", "op3_sentencepiece", "op4_suffix_dedup", "op5_toxicity", "op6_mixing", "op7_exact_dedup", "op10_simhash", "op12_merkle"):
         assert sorted(x.doc_id for x in rows[name]) == ids, name
     assert sorted((x.page_id, x.text, x.n_chars) for x in rows["op2_wrapper"]) == [(1, "One & two", 9), (2, "", 0), (3, "", 0)]
     assert {(x.doc_id, x.keep_id) for x in rows["op7_exact_dedup"]} >= {(1, 102), (102, 102), (100, 101)}
@@ -664,10 +724,49 @@ def test_registered_queries_give_the_contract_columns(spark, tmp_path):
     assert {(x.chosen, x.rejected) for x in rows["op8_preferences"] if not x.stale} == {(0, c) for c in range(1, 6)}
 
 
-def test_mixing_refuses_too_many_sources(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "MOST_PATTERNS", 3)
-    with pytest.raises(ValueError, match="sets of sources"):
-        mixing.mix(spark.createDataFrame([(i, "a b", f"s{i}") for i in range(4)], "doc_id long, text string, source string"), F.array("source"))
+def test_mixing_of_many_sources(spark):
+    """20,000 sources, some of which share documents: targets as over one list, and each source's words near its own."""
+    r = random.Random(3)
+    rows = [(i, "w " * r.randint(1, 9), f"s{i:05d}") for i in range(20_000)] + [(30_000 + i, "w " * 5, None) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got, plan = mixing.mix(docs, F.array("source"))
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    want = mixing.water_fill(sizes, {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}, 1.5 * sum(sizes.values()))
+    assert {x.source: pytest.approx(x.target) for x in plan.collect()} == want
+    taken = Counter()
+    for x in got.collect():
+        taken[x.source] += x.mix_size * x.mix_copies
+    assert all(abs(taken[s] - want[s]) <= max(9, sizes[s]) / 2 + 1 for s in sizes)
+
+
+def test_mixing_routes_each_component(spark):
+    """Sources that share patterns are routed together, others alone; the flow of all at once has the same total and cost."""
+    sets = [["a"], ["a", "b"], ["b"], ["c"], ["d", "e"], ["e"], [None, "f"], ["g"], []]
+    docs = spark.createDataFrame([(k * 100 + i, "w " * (1 + i % 4), s) for k, s in enumerate(sets) for i in range(20 * (k + 1))], "doc_id long, text string, s array<string>")
+    rows, plan = mixing.mix(docs, F.col("s"))
+    plan = {x.source: x.target for x in plan.collect()}
+    supply, give = Counter(), Counter()
+    for x in rows.collect():
+        supply[tuple(x.s)] += x.mix_size
+        give[tuple(x.s)] += x.mix_size * x.mix_copies
+    assert give.pop(()) == 0
+    flow = mixing.min_cost_flow({p: n for p, n in supply.items() if p}, {s: round(t) for s, t in plan.items()}, {p: list(p) for p in supply if p}, [0, 1])
+    whole = Counter()
+    for (p, _), n in flow.items():
+        whole[p] += n
+    assert sum(whole.values()) == pytest.approx(sum(give.values()), abs=2 * len(sets))
+    cost = lambda g: sum(max(0, n - supply[p]) for p, n in g.items())
+    assert cost(give) == pytest.approx(cost(whole), abs=2 * len(sets))
+
+
+def test_mixing_passes_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", 1, 2, 3)], "doc_id long, text string, source string, bin int, place int, _mix_p int")
+    assert mixing.mix(docs, F.array("source"))[0].columns == [*docs.columns, "mix_size", "mix_copies"]
+    with pytest.raises(ValueError, match="there already"):
+        mixing.mix(docs.withColumn("mix_size", F.lit(1)), F.array("source"))
 
 
 def test_flow_is_the_cheapest():
