@@ -137,6 +137,13 @@ def rebuild_incremental(stored: DataFrame, daily: DataFrame, basic: DataFrame, c
     return route(stored.join(codes, "ts_code", "left_anti"), "kept").unionByName(route(tail, "tail")).unionByName(route(full, "full"))
 
 
+def rebuild_all(spark: SparkSession, quotes: str, weekly: str, flows: str, daily: DataFrame, basic: DataFrame, flow: DataFrame, cal: DataFrame, buckets: int = 64) -> None:
+    """Write the three stored layers anew: daily bars first, as the weekly ones come from them."""
+    store.put(fill_suspensions(adjusted_bars(daily, basic), daily, cal), quotes, buckets)
+    store.put(weekly_bars(store.stored(spark, quotes)), weekly, buckets)
+    store.put(daily_moneyflow(flow), flows, buckets)
+
+
 def refresh_layers(spark: SparkSession, quotes: str, weekly: str, flows: str, daily: DataFrame, basic: DataFrame, flow: DataFrame, cal: DataFrame, date: str, buckets: int = 64) -> None:
     """Bring the stored layers (paths of daily bars, weekly bars and money flow) up to a date.
 

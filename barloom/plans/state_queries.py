@@ -82,6 +82,17 @@ query("m8_guarded_append", L.panel(f"SELECT {r6('ts_code, trade_date, zone', 'di
     lambda m: N.guarded(_new_macd(m, _macd_state(m))[0], N.after(m.panel, _macd_state(m))).select("ts_code", "trade_date", "zone", "dif", "dea")
 )
 
+def _last(m):
+    return _before(m.panel).groupBy("ts_code").agg(F.max("trade_date").alias("last_trade_date"))
+
+
+query("n6_append_kpattern", L.panel(f"SELECT * REPLACE (round(strength, 6) AS strength) FROM kp WHERE trade_date >= '{DATE}'", P.KPATTERN))(
+    lambda m: N.append(lambda rows: M.candlesticks(rows, m.dim_stock), m.panel, _last(m), 75)
+)
+query("n6_append_position", L.panel(f"SELECT {r6('ts_code, trade_date', 'price_position_60d', 'price_position_120d', 'price_position_250d')} FROM position WHERE trade_date >= '{DATE}'", P.POSITION))(
+    lambda m: N.append(M.price_position, m.panel, _last(m), 250)
+)
+
 # Mixed routes
 _MODE = "CASE WHEN ts_code LIKE 'B1%' THEN 'SKIP' WHEN ts_code IN ('B03.XX', 'B22.XX', 'INDEX.XX') THEN 'FULL' ELSE 'APPEND' END"
 
@@ -151,6 +162,18 @@ def _marked(m):
 
 
 _MARKED = "SELECT * REPLACE (CASE WHEN day_idx % 50 = 3 THEN 1 WHEN day_idx % 35 = 0 THEN 0 ELSE is_week_end END AS is_week_end), is_week_end AS was FROM dim_date"
+_STORED = {"quotes": "dwd_daily_quote", "weekly": "dwd_weekly_quote", "flows": "dwd_daily_moneyflow"}
+query("b14_rebuilt_layers", sql(" UNION ALL ".join(f"SELECT '{n}' AS layer, ts_code, count(*) AS n_rows, max(trade_date) AS last FROM {t} GROUP BY ts_code" for n, t in _STORED.items()), "dwd_daily_moneyflow"))(lambda m: _rebuilt(m))
+
+
+def _rebuilt(m):
+    root = f"{store.shared_dir(m.spark)}/b14-{uuid.uuid4().hex}"
+    paths = {n: f"{root}/{n}" for n in _STORED}
+    B.rebuild_all(m.spark, *paths.values(), m.daily, m.basic, m.flow, m.cal, 8)
+    ends = (store.stored(m.spark, p).groupBy("ts_code").agg(F.count("*").alias("n_rows"), F.max("trade_date").alias("last")).withColumn("layer", F.lit(n)) for n, p in paths.items())
+    return _union(ends)
+
+
 query("b17_repair_report", sql("""SELECT CASE WHEN is_week_end > was THEN 'wrongly_marked' ELSE 'newly_marked' END AS kind, 'dim_date' AS table_name, trade_date, 1 AS n FROM marked WHERE is_week_end <> was
     UNION ALL SELECT 'orphan', 'bars', trade_date, count(*) FROM dwd_weekly_quote JOIN marked USING (trade_date) WHERE is_week_end = 1 AND was = 0 GROUP BY trade_date
     UNION ALL SELECT 'orphan', 'position', trade_date, count(*) FROM (SELECT *, count(*) OVER (PARTITION BY ts_code) AS k FROM dwd_weekly_quote JOIN marked USING (trade_date) WHERE is_week_end = 1) WHERE k >= 2 AND was = 0 GROUP BY trade_date""",

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 SIZES = {"sm": (0, 10), "md": (10, 25), "lg": (25, 40), "elg": (40, 1e9)}
 INDEX = "INDEX.XX"
+#: List dates, most of them before all rows.
+LISTED = ("19950101", "19950101", "19950101", "19980601", "20010301")
 #: Moves amounts off the middle between two rounded ones, where sums in another order would round elsewhere.
 TICK = 2.3e-8
 
@@ -97,14 +99,14 @@ def ods_moneyflow(rows: DataFrame) -> DataFrame:
 
 
 def ods_stock_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The instruments: one delisted, some under special treatment, codes spread over the exchanges' prefixes."""
+    """The instruments: listed on LISTED's dates in turn, one delisted, some under special treatment, codes spread over the exchanges' prefixes."""
     part = _brands(spark, sf_dir)
     n = F.substring_index("p_brand", "#", -1).cast("int")
     symbol = F.concat(F.element_at(F.array(*map(F.lit, ("60", "00", "30", "68", "83"))), n % 5 + 1), F.lpad(((n + F.expr("supplier div 100") * 100) % 10000).cast("string"), 4, "0"))
     return part.select(
         _code("supplier").alias("ts_code"), symbol.alias("symbol"),
         F.when(n % 11 == 0, F.concat(F.lit("ST "), "p_brand")).otherwise(F.col("p_brand")).alias("name"), F.lit("area").alias("area"), "industry",
-        F.element_at(F.array(*map(F.lit, ("SSE", "SZSE", "BSE"))), n % 3 + 1).alias("exchange"), F.lit("19950101").alias("list_date"),
+        F.element_at(F.array(*map(F.lit, ("SSE", "SZSE", "BSE"))), n % 3 + 1).alias("exchange"), F.element_at(F.array(*map(F.lit, LISTED)), n % len(LISTED) + 1).alias("list_date"),
         F.when(n == 13, "20000101").alias("delist_date"),
     )
 
