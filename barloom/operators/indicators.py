@@ -352,14 +352,14 @@ def parted(d: DataFrame, signal: str, window: int = 60) -> DataFrame:
     """``d`` (with ``rn``) and whether price and signal part within a window at a row: ``top``, ``bottom``."""
     over = back(window)
     d = d.withColumns({"_c": r10(F.col("close_qfq")), "_s": F.col(signal)})
-    d = d.select("*", F.max("_c").over(over).alias("_chi"), F.min("_c").over(over).alias("_clo"), F.max("_s").over(over).alias("_shi"), F.min("_s").over(over).alias("_slo"), F.collect_list("_c").over(over).alias("_cs"), F.collect_list("_s").over(over).alias("_ss"))
-    at = lambda a, x: F.array_position(a, F.col(x))
+    low = F.min(F.struct("_c", "rn")).over(over)  # the first of the lowest closes
+    d = d.select("*", F.max("_c").over(over).alias("_chi"), low["_c"].alias("_clo"), low["rn"].alias("_at"), F.max("_s").over(over).alias("_shi"), F.min("_s").over(over).alias("_slo"))
     col, whole = F.col, F.col("rn") >= window
-    top = (at("_ss", "_shi") < window) & (col("_shi") != 0) & (col("_s") < col("_shi")) & (col("_c") >= r10(col("_chi") * 0.98))
+    top = (col("_shi") != 0) & (col("_s") < col("_shi")) & (col("_c") >= r10(col("_chi") * 0.98))
     back_up = r10((col("_s") - col("_slo")) / F.abs(F.nullif("_slo", F.lit(0.0)))) > 0.1
-    bottom = (at("_ss", "_slo") < window) & (col("_slo") != 0) & (col("_s") > col("_slo")) & back_up & (F.lit(window) - at("_cs", "_clo") >= 3) & (col("_c") <= r10(col("_clo") * 1.02))
+    bottom = (col("_slo") != 0) & (col("_s") > col("_slo")) & back_up & (col("rn") - col("_at") >= 3) & (col("_c") <= r10(col("_clo") * 1.02))
     no = F.lit(False)
-    return d.withColumns({"top": F.coalesce(whole & top, no), "bottom": F.coalesce(whole & bottom, no)}).drop("_c", "_s", "_chi", "_clo", "_shi", "_slo", "_cs", "_ss")
+    return d.withColumns({"top": F.coalesce(whole & top, no), "bottom": F.coalesce(whole & bottom, no)}).drop("_c", "_s", "_chi", "_clo", "_at", "_shi", "_slo")
 
 
 _DDE = "ddx double, ddx2 double, smoothed double"

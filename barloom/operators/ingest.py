@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from barloom.functions.kernels import values_equal
 
+from .dims import roll_back, trading_days_between
+
 KEYS = ["ts_code", "trade_date"]
 REQUIRED = ("open", "high", "low", "close", "vol", "amount")
 
@@ -138,11 +140,13 @@ def required_ranges(stocks: DataFrame, rows: DataFrame, cal: DataFrame, date: st
     """
     days = cal.where("is_open = 1").select("cal_date", "day_idx")
     end = F.when((F.coalesce("delist_date", F.lit("")) != "") & (F.col("delist_date") < date), F.col("delist_date")).otherwise(date)
-    idx = days.agg(F.sort_array(F.collect_list("cal_date")).alias("_days"))  # one row: the calendar
-    s = stocks.select("ts_code", "list_date", end.alias("end")).join(F.broadcast(idx))
-    s = s.withColumn("_upto", F.filter("_days", lambda d: d <= F.col("end"))).where(F.size("_upto") > 0)
-    start = F.greatest("list_date", F.element_at("_upto", F.greatest(F.size("_upto") - bars + 1, F.lit(1))))
-    s = s.withColumn("start", start).withColumn("expected", F.size(F.filter("_upto", lambda d: d >= F.col("start")))).drop("_days", "_upto")
+    s = stocks.select("ts_code", "list_date", end.alias("end"))
+    at = roll_back(s.select("end").distinct(), cal, "end").join(days.withColumnRenamed("cal_date", "trade_date"), "trade_date")  # one row a date
+    first = F.greatest(F.col("day_idx") - (bars - 1), F.lit(1).cast("long")).alias("day_idx")
+    at = at.select("end", first).join(days.withColumnRenamed("cal_date", "first"), "day_idx").select("end", "first")
+    s = s.join(at, "end").select("ts_code", F.greatest("list_date", "first").alias("start"), "end")
+    expected = trading_days_between(s.select("start", "end").distinct(), cal).select("start", "end", F.greatest(F.col("n_days"), F.lit(0)).cast("int").alias("expected"))
+    s = s.join(expected, ["start", "end"])
     have = rows.select(*KEYS).distinct().join(s.select("ts_code", "start", "end"), "ts_code").where("trade_date between start and end").groupBy("ts_code").agg(F.count("*").alias("actual"))
     s = s.join(have, "ts_code", "left").fillna(0, ["actual"])
     return s.where("not (actual > 0 and actual >= expected)").select("ts_code", "start", "end", "expected", "actual")
