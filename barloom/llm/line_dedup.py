@@ -75,47 +75,63 @@ def runs(h: list[int], n: list[int], least: int) -> list[tuple[int, int, int]]:
     return [(x, y, xxhash.xxh64_intdigest(raw[8 * x : 8 * y]) - (1 << 63)) for x, y in sorted(found)]
 
 
+#: Alignments of a pair in which runs that cross are told apart; what is left then is aligned run by run.
+ROUNDS = 16
+
+
 def _seeds(least: int):
-    """Per document the distinct hashes of its runs."""
+    """Per document the distinct hashes of its runs, with the place of the first line of each."""
 
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, 100):
                 part = b.slice(at, 100)
-                found = [{x for _, _, x in runs(h, n, least)} for h, n in zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
+                found = [{x: k for k, _, x in reversed(runs(h, n, least))} for h, n in zip(part.column(2).to_pylist(), part.column(3).to_pylist())]
                 rows = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
-                seeds = pa.array([x for xs in found for x in xs], pa.int64())
-                yield pa.record_batch([part.column(0).take(rows), part.column(1).take(rows), seeds], ["id", "tag", "seed"])
+                seeds, places = pa.array([x for xs in found for x in xs], pa.int64()), pa.array([k for xs in found for k in xs.values()], pa.int32())
+                yield pa.record_batch([part.column(0).take(rows), part.column(1).take(rows), seeds, places], ["id", "tag", "seed", "at"])
 
     return run
 
 
+def aligned(early: list[int], late: list[int]) -> set[int]:
+    """The values of ``late`` that alignment with ``early`` finds; both without repeats.
+
+    A patience diff finds what stands in one order; what crosses it is aligned in further rounds.
+    """
+    found: set[int] = set()
+    for _ in range(ROUNDS):
+        pairs = patience(early, late)
+        if not pairs:
+            return found
+        found.update(late[y] for _, y in pairs)
+        early, late = [x for x in early if x not in found], [x for x in late if x not in found]
+    left = set(late)
+    return found | {x for x in early if x in left}
+
+
 def _aligned(least: int):
-    """Per pair: places of the later document's lines in aligned blocks of at least ``least`` characters.
+    """Per document the places of its lines in blocks aligned with an earlier one, and the number of those it was aligned with.
 
-    Lines that patience diff leaves out, as they cross an aligned block or occur more
-    than once, are aligned by themselves where a run of them stands in the earlier document.
+    ``shared`` has for every run that an earlier document holds first that document and the run's place in it.
     """
 
     def run(batches):
         for b in batches:
-            found = []
-            for late, sizes, early in zip(*(c.to_pylist() for c in b.columns[2:])):
-                places, block = set(), []
-                for x, y in [*patience(early, late), (-2, -2)]:
-                    if block and (x, y) != (block[-1][0] + 1, block[-1][1] + 1):
-                        if sum(sizes[q] for _, q in block) >= least:
-                            places.update(q for _, q in block)
-                        block = []
-                    block.append((x, y))
-                if len(places) < len(late):
-                    size = dict(zip(late, sizes))
-                    known = {r for _, _, r in runs(early, [size.get(x, least) for x in early], least)}
-                    for x, y, r in runs(late, sizes, least):
-                        if r in known:
-                            places.update(range(x, y))
+            found, partners = [], []
+            for lines, sizes, shared in zip(*(c.to_pylist() for c in b.columns[2:])):
+                mine, pairs, places = runs(lines, sizes, least), {}, set()
+                for x in shared:
+                    pairs.setdefault((x["id"], x["tag"]), []).append((x["at"], x["seed"]))
+                for of in pairs.values():
+                    early = [x for _, x in sorted(of)]
+                    here = set(early)
+                    took = aligned(early, list(dict.fromkeys(x for _, _, x in mine if x in here)))
+                    # A block aligned once is gone wherever it stands in this document.
+                    places.update(k for x, y, r in mine if r in took for k in range(x, y))
                 found.append(sorted(places))
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int32()))], ["id", "tag", "places"])
+                partners.append(len(pairs))
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int32())), pa.array(partners, pa.int64())], ["id", "tag", "removed", "partners"])
 
     return run
 
@@ -130,10 +146,10 @@ def dedup_lines(
     that stands in a document with a smaller id. Seeds are hashes of the shortest runs
     of lines of that length, whatever their frequency. Each seed links a document to
     the first document (by id) that holds it, never to all: the links are as many as
-    the seeds, without a cap on partners. Every linked pair is aligned by patience
-    diff, and what that leaves out by runs (blocks may cross), so each seed is settled
-    with its first holder and no further holder can add a line. ``removed`` has the
-    places of the removed lines, ``kept`` the other lines.
+    the seeds, without a cap on partners, and a link carries the seed and its place in that document, not
+    that document's lines. Every linked pair is aligned by patience diff over its shared runs, blocks that cross
+    in further rounds, so each seed is settled with its first holder and no further holder can add a line.
+    ``removed`` has the places of the removed lines, ``kept`` the other lines.
 
     Lines are hashed once; only hashes are shuffled until the kept lines are cut from
     the text at the end. Links are counted and reduced to the first holder before the
@@ -141,7 +157,7 @@ def dedup_lines(
     Defined cases: a null text counts as empty (one empty line); a null id is not
     compared and stays whole; equal ids with different texts are not compared with
     each other; repeated rows have the same result; an empty table gives no rows;
-    other columns are ignored. Ids are whole numbers.
+    other columns are ignored; texts of any length are taken whole. Ids are whole numbers.
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
@@ -150,16 +166,12 @@ def dedup_lines(
     lean = rows.where("id is not null").select(
         "id", "tag", F.transform(line, lambda x: F.xxhash64(x)).alias("h"), F.transform(line, lambda x: F.length(x)).alias("n")
     )
-    seeds = materialize(lean.mapInArrow(_seeds(least_chars), f"id {rows.schema['id'].dataType.simpleString()}, tag long, seed long"))
-    firsts = materialize(seeds.groupBy("seed").agg(F.min(F.struct("id", "tag")).alias("first"), F.count("*").alias("df")).where("df > 1").drop("df"))
-    links = seeds.join(firsts, "seed").select("id", "tag", "first")
-    links = links.where("first.id < id").distinct()
-    early = lean.select(F.struct("id", "tag").alias("first"), F.col("h").alias("early")).dropDuplicates(["first"])
-    late = lean.dropDuplicates(["id", "tag"])
-    pairs = links.join(early, "first").join(late, ["id", "tag"])
-    keyed = pairs.select(F.col("id").cast("long"), "tag", "h", "n", "early")
-    found = keyed.mapInArrow(_aligned(least_chars), "id long, tag long, places array<int>")
-    gone = found.groupBy("id", "tag").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("removed"), F.count("*").alias("partners"))
+    seeds = materialize(lean.mapInArrow(_seeds(least_chars), f"id {rows.schema['id'].dataType.simpleString()}, tag long, seed long, at int"))
+    firsts = materialize(seeds.groupBy("seed").agg(F.min(F.struct("id", "tag", "at")).alias("first"), F.count("*").alias("df")).where("df > 1").drop("df"))
+    links = seeds.drop("at").join(firsts, "seed").where("first.id < id").distinct()
+    shared = links.groupBy("id", "tag").agg(F.collect_list(F.struct(F.col("first.id").cast("long").alias("id"), "first.tag", "first.at", "seed")).alias("shared"))
+    pairs = shared.join(lean.dropDuplicates(["id", "tag"]), ["id", "tag"]).select(F.col("id").cast("long"), "tag", "h", "n", "shared")
+    gone = pairs.mapInArrow(_aligned(least_chars), "id long, tag long, removed array<int>, partners long")
     none = F.array().cast("array<int>")
     out = rows.join(gone, ["id", "tag"], "left")
     lines = F.split("t", "\n", -1)

@@ -349,6 +349,22 @@ def test_patience_alignment():
         assert all(a[x] == b[y] for x, y in got) and all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
 
 
+def test_line_dedup_removes_what_alignment_finds(spark, monkeypatch):
+    r = random.Random(6)
+    line = lambda: " ".join(r.choice(WORDS).strip() for _ in range(9))
+    blocks = ["\n".join(line() for _ in range(3)) for _ in range(40)]
+    mixed = blocks[:]
+    r.shuffle(mixed)
+    rows = [(1, "\n".join(blocks)), (2, "\n".join(mixed[:35] + [line()])), (3, "\n".join(reversed(blocks)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.id: len(x.removed) for x in line_dedup.dedup_lines(docs).collect()}
+    assert got == {1: 0, 2: 105, 3: 120}
+    h = list(range(50))
+    assert line_dedup.aligned(h, h[::-1]) == set(h) and line_dedup.aligned(h[:25], h[20:]) == set(range(20, 25))
+    monkeypatch.setattr(line_dedup, "patience", lambda a, b: [])
+    assert line_dedup.aligned(h, h) == set()  # nothing goes that alignment does not find
+
+
 @pytest.mark.parametrize("overlap", [False, True])
 def test_mixing(spark, docs, none, overlap):
     sources = F.array("source", F.lit("all")) if overlap else F.array("source")
