@@ -74,7 +74,7 @@ def format_preferences(convs: DataFrame, pairs: DataFrame) -> DataFrame:
     once and never learnt; a completion is a struct of the rest's text and of the
     spans of it to learn (assistant turns; mask). Where one conversation is a prefix
     of the other, its completion is empty. Defined cases: a pair with an unknown or
-    null id is left out; repeated pairs repeat; empty tables give no rows.
+    null id is left out; repeated pairs repeat; texts of any length are taken whole; empty tables give no rows.
     """
     a = convs.select(F.col("conv").alias("chosen"), F.col("turns").alias("a"))
     b = convs.select(F.col("conv").alias("rejected"), F.col("turns").alias("b"))

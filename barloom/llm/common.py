@@ -21,7 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not found and not sc.master.startswith("local["):
+    if not found and not sc.master.split("[")[0] == "local":
         raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not found:
         found = tempfile.mkdtemp(prefix="barloom-")

@@ -62,7 +62,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     empty texts are one group; a null id loses against every other and a group of
     null ids alone has a null ``keep_id`` and keeps its rows; rows that repeat both
     id and text all carry ``kept``, as they are the same document; an empty table
-    gives no rows; other columns are ignored.
+    gives no rows; a text of any length is cut and compared whole; other columns are ignored.
 
     Only recipes move in the second shuffle, written once for both readers: the count
     and the largest id per recipe are combined before it and written too, so the join

@@ -209,7 +209,8 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     size is the vocabulary's), so only the driver opens the file. A segment between
     white space is encoded once and remembered in a memory of bounded size.
     Defined cases: a null or empty text has no ids and decodes to the empty text; a
-    null id is passed through; repeated rows repeat; other columns are ignored.
+    null id is passed through; repeated rows repeat; an empty table gives no rows; a text of
+    any length is encoded whole; other columns are ignored.
     """
     bounded_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(load_model(model_path))
