@@ -59,7 +59,7 @@ def ewm(x: np.ndarray, there: np.ndarray, span: int, prev=None, old=None) -> tup
 def zone_codes(rank: np.ndarray, before=None, start=None) -> np.ndarray:
     """Zones with hysteresis from bar ``start`` on: one is entered and left only after several bars; ``before`` is the zone before."""
     state = np.zeros(len(rank), int) if before is None else np.maximum(before, 0).astype(int)
-    start = np.zeros(len(rank), int) if start is None else start
+    start = np.zeros(len(rank), int) if start is None else np.asarray(start)
     tests = [lambda r: r > 90, lambda r: r < 10, lambda r: r < 75, lambda r: r > 25]
     runs, out = np.zeros((4, len(rank)), int), np.empty(rank.shape, int)
     for t in range(rank.shape[1]):
