@@ -85,9 +85,16 @@ def min_cost_flow(supply: dict, quota: dict, member: dict, costs: list[int]) ->
             edges[k ^ 1][1] += push
 
 
-def source_targets(sizes: DataFrame, weight_cycle: tuple[float, ...], total: float, ceiling: float) -> DataFrame:
-    """``sizes`` (``source, size``) with ``no``, the place in code-point order, null last, and ``target``: :func:`water_fill`
-    with the weights of the cycle in turn, over any number of sources. A round reads two sums; the sources stay in Spark."""
+def source_targets(sizes: dict, weight_cycle: tuple[float, ...], total: float, ceiling: float) -> dict:
+    """Targets of a short list of sources in code-point order, null last, with the weights of the cycle in turn."""
+    names = sorted(sizes, key=lambda s: (s is None, [ord(c) for c in s or ""]))
+    weights = {s: weight_cycle[k % len(weight_cycle)] for k, s in enumerate(names)}
+    return water_fill({s: sizes[s] for s in names}, weights, total, ceiling)
+
+
+def target_table(sizes: DataFrame, weight_cycle: tuple[float, ...], total: float, ceiling: float) -> DataFrame:
+    """``sizes`` (``source, size``) with ``no``, the place in code-point order, null last, and ``target``: :func:`source_targets`
+    of any number of sources. A round reads two sums; the sources stay in Spark."""
     placed = ranked(sizes.select(F.lit(0).alias("all"), F.col("source").isNull().alias("last"), "source", "size"), "all", ["last", "source"])
     weights = F.array(*[F.lit(float(w)) for w in weight_cycle])
     rows = placed.select("source", "size", F.col("lo").alias("no"), F.get(weights, (F.col("lo") % len(weight_cycle)).cast("int")).alias("weight"), F.lit(None).cast("double").alias("fixed"))
@@ -170,7 +177,7 @@ def mix(
     patterns = materialize(bins.groupBy("_mix_p").agg(F.sum("words").alias("words"), F.first("sources").alias("sources")))
     sizes = patterns.select("words", F.explode("sources").alias("source")).groupBy("source").agg(F.sum("words").alias("size"))
     total = share * (patterns.agg(F.sum("words")).first()[0] or 0)
-    plan = materialize(source_targets(sizes, weight_cycle, total, repeats))
+    plan = materialize(target_table(sizes, weight_cycle, total, repeats))
     give = patterns.select("_mix_p", "words").join(routed(patterns, plan, repeats).select("_mix_p", "give"), "_mix_p", "left").fillna(0, ["give"])
     give = materialize(give)
 
