@@ -238,3 +238,18 @@ def test_windows_of_a_clustered_layer_need_no_exchange(spark, walks):
     assert f"GreaterThanOrEqual(trade_date,{DAYS[20]})" in plan(M.moving_averages(store.load(table, DAYS[20])))
     codes = spark.createDataFrame([("A",)], "ts_code string")
     assert {r.ts_code for r in store.load(table, DAYS[300], codes).collect()} == {"A"}
+
+
+def test_partitions_grow_with_the_largest_table(spark, monkeypatch):
+    key = "spark.sql.shuffle.partitions"
+    monkeypatch.setattr(store, "ROWS", 100)
+    own = spark.conf.get(key)
+    try:
+        for source, n, want in (("size-a", 1001, 11), ("size-b", 5, int(own)), ("size-a", 0, 11)):  # counted once a session
+            store.size_shuffles(spark, source, lambda: spark.range(n))
+            assert int(spark.conf.get(key)) == want and store.dealt(spark.range(3), "id").rdd.getNumPartitions() == want
+        spark.conf.set(key, "7")  # somebody else's number is the one to go by
+        store.size_shuffles(spark, "size-b", lambda: spark.range(5))
+        assert spark.conf.get(key) == "7"
+    finally:
+        spark.conf.set(key, own)
