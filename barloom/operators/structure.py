@@ -25,6 +25,11 @@ _CARRIED = (
 _STATE = f"struct<{','.join(f'{c}:{t}' for c, t in _CARRIED.items())}>"
 
 
+def in_order():
+    """An instrument's bars by segment and number, which is their order by date: one sort serves these windows and those of segments."""
+    return Window.partitionBy("ts_code").orderBy("gc", "rn")
+
+
 def _flow_peak(sign: int, run, inside: Column, known: Column) -> Column:
     """Running largest flow of a segment, while all its flows are known. A top that stands alone, fewer than two of
     the five flows around it at 0.8 of it or more, is none; a bottom needs a flow below zero."""
@@ -39,11 +44,11 @@ def _flow_peak(sign: int, run, inside: Column, known: Column) -> Column:
 def _peak_bar(run, open_: Column) -> Column:
     """The segment's bar of largest flow with its neighbours; a carried one gets those that came since."""
     z = F.col("z")
-    lag = lambda n: F.when(F.col("local") > n, F.lag("f", n).over(by_date())).otherwise(F.when(F.col("local") == n, z["f"]).otherwise(z["f_back"]))
-    lead = lambda n: F.lead("f", n).over(by_date())
+    lag = lambda n: F.when(F.col("local") > n, F.lag("f", n).over(in_order())).otherwise(F.when(F.col("local") == n, z["f"]).otherwise(z["f_back"]))
+    lead = lambda n: F.lead("f", n).over(in_order())
     back1, back2 = (F.when(F.col("rn") - n >= F.col("gc"), lag(n)) for n in (1, 2))
     here = F.struct(F.col("rn").alias("rn"), F.col("f").alias("f"), back1.alias("p1"), back2.alias("p2"), lead(1).alias("n1"), lead(2).alias("n2"))
-    whole = by_date().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = in_order().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first, second, old = F.nth_value("f", 1).over(whole), F.nth_value("f", 2).over(whole), z["p"]
     n1 = F.when(old["rn"] == z["rn"], first).otherwise(old["n1"])
     n2 = F.when(old["rn"] == z["rn"], second).when(old["rn"] == z["rn"] - 1, first).otherwise(old["n2"])
@@ -61,8 +66,8 @@ def _followed(lines: DataFrame, sign: int, flow: bool, state: DataFrame | None)
     z = F.col("z")
     d = d.withColumn("local", rn())
     d = d.withColumn("rn", F.coalesce(z["rn"], F.lit(0)) + F.col("local"))
-    lag = lambda c: F.when(F.col("local") == 1, z[c]).otherwise(F.lag(c).over(by_date()))
-    crossed = (lag("f") <= lag("s")) & (F.col("f") > F.col("s"))
+    lag = lambda c, w=None: F.when(F.col("local") == 1, z[c]).otherwise(F.lag(c).over(w or in_order()))
+    crossed = (lag("f", by_date()) <= lag("s", by_date())) & (F.col("f") > F.col("s"))
     d = d.withColumn("gc", F.coalesce(last_cross(crossed), z["gc"]))
     seg = Window.partitionBy("ts_code", "gc").orderBy("rn")
     run, before = seg.rowsBetween(Window.unboundedPreceding, 0), seg.rowsBetween(Window.unboundedPreceding, -1)
@@ -135,7 +140,7 @@ def _structure(lines: DataFrame, flow: bool, state: DataFrame | None) -> tuple[D
     if state is not None:
         label = F.when(F.col("sign") == 1, LABELS[1]).otherwise(LABELS[-1])
         before = state.where("kept is not null").select("ts_code", label.alias("label"), F.col("kept").alias("rn"))
-    events = found.join(spaced(found, GAP, "ts_code", "label", before=before), ["ts_code", "label", "rn"], "left_semi")
+    events = spaced(found, GAP, "ts_code", "label", before=before, carry=("trade_date", "path", "lag_bars", "zone_ok"))
     ends = []
     for sign, d in followed.items():
         kept = events.where(F.col("label") == LABELS[sign]).groupBy("ts_code").agg(F.max("rn").alias("kept"))

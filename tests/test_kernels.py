@@ -71,3 +71,9 @@ def test_zone_hysteresis():
     rank = [None, 95, 95, 80, 74, 74, 50, 9, 9, 9, 9, 9, 20, 26, 26]
     assert R.zones(rank) == [None, "normal", "explosive", "explosive", "explosive", "normal", "normal", "normal", "normal", "normal", "normal", "low_volume", "low_volume", "low_volume", "normal"]
     assert R.zones([80], "explosive") == ["explosive"]
+
+
+def test_spaced_events_carry_columns(spark):
+    d = spark.createDataFrame([("A", n, f"d{n}") for n in (3, 9, 14, 15)] + [("B", 4, "x")], "ts_code string, rn int, day string")
+    got = K.spaced(d, 10, "ts_code", carry=("day",)).collect()
+    assert sorted(tuple(r) for r in got) == [("A", 3, "d3"), ("A", 14, "d14"), ("B", 4, "x")]
