@@ -253,3 +253,16 @@ def test_partitions_grow_with_the_largest_table(spark, monkeypatch):
         assert spark.conf.get(key) == "7"
     finally:
         spark.conf.set(key, own)
+
+
+def test_weeks_and_structures_take_windows_that_run_one_way(spark, walks):
+    """A frame that ends with the last row is summed anew for every row, and each order of rows is a sort of its own."""
+    dim = walks.select("trade_date").distinct().selectExpr("trade_date", "cast(substring(trade_date, 7, 2) in ('07', '14', '21', '28') as int) is_week_end", "cast(substring(trade_date, 3, 6) as int) day_idx")
+    flow = walks.selectExpr("ts_code", "trade_date", "0.0 net_mf_vol", "net_mf_amount", "buy_lg_vol", "sell_lg_vol", "buy_elg_vol", "sell_elg_vol", "total_vol", "net_amount_dc")
+    weeks = B.weekly_moneyflow(flow, walks.select("ts_code", "trade_date"), dim, walks)
+    trends = M.weekly_flow_trend(M.flow_frame(flow, walks.withColumn("is_suspended", F.lit(0))), weeks.select("ts_code", F.col("week_end").alias("trade_date")))
+    for d in (weeks, trends):
+        frames = [w.split("specifiedwindowframe(")[1] for w in plan(d).split("windowspecdefinition(")[1:] if "specifiedwindowframe(" in w]
+        assert not [f for f in frames if f.split(")")[0].replace("$", "").startswith(("RowFrame, currentrow", "RangeFrame, currentrow"))]
+    lines = walks.select("ts_code", "trade_date", F.col("close_qfq").alias("close"), F.col("net_mf_amount").alias("dif"), F.lit(0.0).alias("dea"), F.col("net_mf_amount").alias("macd_bar"))
+    assert plan(X.tops(lines)).split("(1) ")[0].count("Sort") <= 3
