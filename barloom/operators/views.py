@@ -83,10 +83,13 @@ def health(fresh: DataFrame, today: str, days: int = 1) -> DataFrame:
     return fresh.select("table_name", "max_date", age.alias("age_days"), F.when(age <= days, "fresh").otherwise("stale").alias("status"))
 
 
-def screening(wide_rows: DataFrame, n: int = 20, **equal: str) -> DataFrame:
-    """The top ``n`` by ddx of the latest date, with filters on label columns."""
-    last = wide_rows.agg(F.max("trade_date").alias("trade_date"))
-    rows = wide_rows.join(F.broadcast(last), "trade_date")
+def screening(wide_rows: DataFrame, n: int = 20, *, bars: DataFrame | None = None, **equal: str) -> DataFrame:
+    """The top ``n`` by ddx of the latest date, with filters on label columns.
+
+    The date is that of ``bars``, if the bars behind the wide rows are given: then rows are joined for one date only.
+    """
+    last = (wide_rows if bars is None else bars).agg(F.max("trade_date")).first()[0]
+    rows = wide_rows.where(F.col("trade_date") == last)
     for c, v in equal.items():
         rows = rows.where(F.col(c) == v)
     return rows.orderBy(F.desc_nulls_last("ddx"), "ts_code").limit(n)

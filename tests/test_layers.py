@@ -49,3 +49,11 @@ def test_stream_of_bars(spark, tmp_path):
     got = microbatch.newest(spark.read.parquet(f"{out}/results"))
     read = lambda d: sorted((r.ts_code, r.trade_date, r.close, r.ma) for r in d.collect() if r.ma is not None or r.ts_code == "C")
     assert read(got) == read(full) and spark.read.parquet(f"{out}/results").where("batch_id = 1 and ts_code = 'B'").count() == 0
+
+
+def test_screening_joins_rows_for_the_last_bars_date_only(spark):
+    bars = spark.createDataFrame([(c, d, float(k)) for k, c in enumerate("ABC") for d in ("20240101", "20240102")], "ts_code string, trade_date string, ddx double")
+    wide = bars.withColumn("zone", F.lit("bull"))
+    got = V.screening(wide, 2, bars=bars, zone="bull")
+    assert [(r.ts_code, r.trade_date) for r in got.collect()] == [("C", "20240102"), ("B", "20240102")] == [(r.ts_code, r.trade_date) for r in V.screening(wide, 2, zone="bull").collect()]
+    assert V.screening(wide.limit(0), 2, bars=bars.limit(0)).count() == 0
