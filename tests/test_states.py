@@ -159,6 +159,25 @@ def test_refreshed_layers_equal_a_rebuild(spark, market, tmp_path):
             assert values(store.stored(spark, path).select(sorted(rows.columns))) == values(rows)
 
 
+def test_a_refresh_takes_in_what_is_not_stored_and_drops_what_is_left_out(spark, market, tmp_path):
+    days, daily, basic, flow, cal = market
+    daily = daily.where(~((F.col("ts_code") == "B") & (F.col("trade_date") == days[6])))  # B is not stored and has no row on the day
+    last = (F.col("ts_code") == "A") & (F.col("trade_date") == days[6])
+    daily = daily.withColumn("adj_factor", F.when(~last, F.col("adj_factor")))  # A has no factor on the day
+    past = daily.where(F.col("trade_date") < days[6])
+    bars = store.staged(B.fill_suspensions(B.adjusted_bars(past, basic), past, cal).where("ts_code <> 'B'"))
+    paths = [f"{tmp_path}/{n}" for n in ("quotes", "weekly", "flows")]
+    for path, rows in zip(paths, (bars, B.weekly_bars(bars), B.daily_moneyflow(flow.where(F.col("trade_date") < days[6])))):
+        store.put(rows, path, 8)
+    want = B.fill_suspensions(B.adjusted_bars(daily, basic), daily, cal)
+    assert {r.ts_code for r in want.collect()} == set("BCD")
+    assert values(B.rebuild_incremental(bars, daily, basic, cal, days[6]).select(sorted(want.columns))) == values(want)
+    for _ in range(2):
+        B.refresh_layers(spark, *paths, daily, basic, flow, cal, days[6], 8)
+        for path, rows in zip(paths, (want, B.weekly_bars(want), B.daily_moneyflow(flow))):
+            assert values(store.stored(spark, path).select(sorted(rows.columns))) == values(rows)
+
+
 def test_weeks_are_repaired_once(spark, tmp_path):
     days = ["20240104", "20240105", "20240108", "20240109", "20240112", "20240115"]
     marks = [1, 0, 0, 1, 1, 1]  # the 4th and the 9th wrongly, the 5th not
