@@ -10,6 +10,7 @@ from barloom.llm.common import ascii_lower, materialize, table
 from barloom.llm.exact_dedup import exact_dedup
 from barloom.llm.mixing import mix
 from barloom.llm.queries import encoded
+from barloom.llm.shingle_join import joined_classes
 from barloom.llm.simhash import COPY_RADIUS, COPY_WORDS, simhash_components
 
 
@@ -32,10 +33,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies, the one with the smallest doc_id.
 
-    Near copies are alike by 0.8 or more in their shingles of five words, told by long
-    fingerprints; the three bits of the short ones would keep nearly all of them.
+    Near copies are alike by 0.8 or more in their shingles of five words. Long fingerprints
+    find most of them; an exact join of the shingle sets links every other pair, so none is left out.
     """
-    found = simhash_components(docs, radius=COPY_RADIUS, width=5, words=COPY_WORDS)
+    found = materialize(simhash_components(docs, radius=COPY_RADIUS, width=5, words=COPY_WORDS))
+    found = joined_classes(docs, found, 5)
     kept = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct().alias("k")
     return docs.alias("d").join(kept, F.col("d.doc_id").eqNullSafe(F.col("k.id")), "left_semi")
 

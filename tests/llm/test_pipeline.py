@@ -1,10 +1,13 @@
 """Each stage of the corpus pipeline against a brute-force version on the stage's own input."""
 
 import hashlib
+import random
 from collections import Counter
 
+import pytest
+
 import corpus_pipeline
-from barloom.llm import mixing, queries, toxicity
+from barloom.llm import mixing, queries, shingle_join, toxicity
 from barloom.llm.common import materialize, table
 
 from .test_operators import brute_copies, lower
@@ -73,3 +76,29 @@ def test_empty_tables(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = materialize(stage(spark, docs, SF))
         assert docs.count() == 0
+
+
+@pytest.mark.parametrize("sample, frequent", [(20_000, 4), (100, 2)])
+def test_every_near_copy_of_the_least_similarity_goes(spark, sample, frequent, monkeypatch):
+    monkeypatch.setattr(shingle_join, "SAMPLE", sample)
+    monkeypatch.setattr(shingle_join, "FREQUENT", frequent)
+    r, texts = random.Random(5), []
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    common = [word() for _ in range(60)]  # a passage that many texts hold
+    for k in range(150):
+        base = (common if k % 3 == 0 else []) + [word() for _ in range(r.randint(6, 300))]
+        changed = list(base)
+        n = len(base) - 4
+        at, cost = len(base) // 2, max(0, int(n / 9) - 1)  # n - d of n + d shingles stay if d change
+        for i in range(cost // 5):
+            changed[(at + 7 * i) % len(base)] = word()
+        texts += [" ".join(base), " ".join(changed + [word() for _ in range(cost % 5)])]
+    texts += [texts[0].upper(), " ".join([texts[2]] * 3), "one", "one two", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    near = similar([(i, t or "") for i, t in enumerate(texts)])
+    found = {x.doc_id for x in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()}
+    assert len(near) > 100 and not [p for p in near if set(p) <= found]
+    classes = docs.selectExpr("doc_id id", "doc_id class")
+    edges = {tuple(sorted(e)) for e in shingle_join.alike(docs, classes, 5).collect()}
+    one = {i: min([x for x, y in near if y == i and (x, y) in edges], default=i) for i in range(len(texts))}
+    assert edges <= set(near) and all((x, y) in edges or one[x] == one[y] for x, y in near)
