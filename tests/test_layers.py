@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from barloom.operators import views as V
-from barloom.sources import layers
+from barloom.sources import layers, store
 from barloom.streaming import microbatch
 
 
@@ -57,3 +57,16 @@ def test_screening_joins_rows_for_the_last_bars_date_only(spark):
     got = V.screening(wide, 2, bars=bars, zone="bull")
     assert [(r.ts_code, r.trade_date) for r in got.collect()] == [("C", "20240102"), ("B", "20240102")] == [(r.ts_code, r.trade_date) for r in V.screening(wide, 2, zone="bull").collect()]
     assert V.screening(wide.limit(0), 2, bars=bars.limit(0)).count() == 0
+
+
+def test_a_scan_reads_a_bounded_number_of_rows_a_task(spark, tmp_path, monkeypatch):
+    key, path = "spark.sql.files.maxPartitionBytes", f"{tmp_path}/rows"
+    was = spark.conf.get(key)
+    spark.range(3_000_000).selectExpr("id", "hash(id) as x").coalesce(1).write.option("parquet.block.size", 1 << 20).parquet(path)
+    monkeypatch.setattr(store, "SCANNED", 300_000)
+    try:
+        store.size_shuffles(spark, path, lambda: spark.read.parquet(path))
+        sizes = [r["count"] for r in spark.read.parquet(path).groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 3_000_000 and max(sizes) < 600_000
+    finally:
+        spark.conf.set(key, was)
