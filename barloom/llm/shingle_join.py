@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -16,6 +18,8 @@ SEED = 42
 PART, WHOLE = 4, 5
 #: About so many documents tell which shingles are frequent: those in FREQUENT of them or more. Only the order depends on it, never the result.
 SAMPLE, FREQUENT = 20_000, 4
+#: Sets that share a shingle are compared pair by pair up to this many; more are told apart around a centre, in so many rounds at most.
+GROUP, ROUNDS = 8, 4
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
@@ -69,36 +73,107 @@ def prefixes(rows: DataFrame, width: int) -> DataFrame:
     return _mapped(rows, width, "size bigint, digest binary, prefix array<bigint>", cells)
 
 
-def alike(docs: DataFrame, classes: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Edges ``(a, b)`` between classes of documents, one or more for every two classes that hold alike documents.
+def _whole(rows: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """``(id, tokens)``: the whole sets of these ids, made anew from their texts."""
+    return materialize(_mapped(rows.join(ids, "id", "left_semi"), width, "tokens array<bigint>", lambda s: (s.view(np.int64),)))
 
-    ``classes`` has ``(id, class)`` for each id. Equal sets are one node. Sets that share a shingle of their prefixes meet if they are of
-    different classes and their sizes, the places of shared ones and their number in the prefixes allow enough; those pairs are told by
-    their whole sets, made anew from the texts of these documents only. A frequent shingle meets others only in texts of which over 4 of 5 shingles are as frequent.
-    """
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    sets = materialize(prefixes(rows, width).join(classes, "id"))
-    equal = sets.groupBy("digest").agg(F.min(F.struct("id", "class")).alias("least"))
-    same = sets.join(equal, "digest").select(F.col("class").alias("a"), F.col("least.class").alias("b")).where("a != b")
-    nodes = sets.join(equal.select(F.col("least.id").alias("id"), "digest"), ["id", "digest"])
+
+def _met(tokens: DataFrame) -> DataFrame:
+    """The rows whose token stands in sets of several classes, with ``n``, the number of those sets."""
     of, cls = Window.partitionBy("token"), F.col("class")
-    tokens = nodes.select("id", "class", "size", F.posexplode("prefix").alias("pos", "token"))
-    tokens = materialize(tokens.withColumn("several", F.min(cls).over(of) < F.max(cls).over(of)).where("several").drop("several"))
-    x, y = (tokens.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("id", "class", "size", "pos")]) for side in "xy")
+    told = tokens.withColumn("several", F.min(cls).over(of) < F.max(cls).over(of)).withColumn("n", F.count("*").over(of))
+    return materialize(told.where("several").drop("several"))
+
+
+def _sides(rows: DataFrame, by: list[str]) -> tuple:
+    """``rows`` twice, all columns but ``by`` named for the side."""
+    return tuple(rows.select(*by, *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c not in by]) for side in "xy")
+
+
+def _around(led: DataFrame, rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Edges to the centres, pairs to compare and ``(id, centre)`` of sets that need not meet the others of that centre again.
+
+    ``led`` has ``(id, class, size, centre, class_c, size_c)``. A set is told by its difference from the centre, so a pair's distance is that of its
+    differences. Two sets alike with the centre are joined by it. In any other alike pair the differences must share shingles: with d and e of them
+    and sizes s and t at least (d + e - (s + t) / 9) / 2, which is over (d - (s + c) / 9) / 2 where the other, and over (d + (c - s) / 9) / 2
+    where this one is alike with a centre of size c. Their prefixes, rarest first around the centre, then share one. By the triangle inequality a set
+    of similarity under 0.4 with the centre is alike with none of 0.6 or more, so those under 0.6 go on to another centre and those from 0.4 stay.
+    """
+    led = led.where(F.least("size", "size_c") * 5 >= F.greatest("size", "size_c") * 2).distinct()
+    sets = _whole(rows, led.select(F.explode(F.array("id", "centre")).alias("id")).distinct(), width)
+    both = led.join(sets, "id").join(sets.select(F.col("id").alias("centre"), F.col("tokens").alias("tokens_c")), "centre")
+    apart = F.concat(F.array_except("tokens", "tokens_c"), F.array_except("tokens_c", "tokens"))
+    apart = both.where("id != centre").withColumn("apart", apart).drop("tokens", "tokens_c").withColumn("d", F.size("apart").cast("long"))
+    total = F.col("size") + F.col("size_c")  # of similarity p / q or more: q - p of q + p parts of both sizes differ at most
+    apart = materialize(apart.where(F.col("d") * 7 <= total * 3).withColumn("near", F.col("d") * (WHOLE + PART) <= total * (WHOLE - PART)))
+    edges = apart.where("near and class != class_c").select(F.col("class").alias("a"), F.col("class_c").alias("b"))
+    close = apart.where(F.col("d") * 4 <= total).select("id", "centre")
+    each = apart.select("centre", "id", F.explode("apart").alias("token"))
+    often = each.groupBy("centre", "token").agg(F.count("*").alias("n")).where("n > 1")
+    order = each.join(often, ["centre", "token"]).groupBy("centre", "id").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("shared"))
+    least = F.when(F.col("near"), F.expr("(9 * d + size_c - size) div 18 + 1")).otherwise(F.expr("(9 * d - size - size_c + 17) div 18"))
+    known = apart.drop("apart").join(order, ["centre", "id"]).withColumn("first", F.col("d") - F.size("shared"))  # shingles of one set alone stand first
+    known = known.select("centre", "id", "class", "size", "d", "near", "first", least.alias("least"), F.posexplode("shared").alias("at", "key"))
+    known = known.select("centre", "key.token", "id", "class", "size", "d", "near", "least", (F.col("first") + F.col("at")).alias("pos"))
+    x, y = _sides(materialize(known.where("d - pos >= least").drop("least")), ["centre", "token"])
+    fit = F.least("size_x", "size_y") * WHOLE >= F.greatest("size_x", "size_y") * PART
+    from_here = F.expr("18 * least(d_x - pos_x, d_y - pos_y) >= 9 * (d_x + d_y) - size_x - size_y")  # holds at the first shared place
+    pairs = x.join(y, ["centre", "token"]).where(F.expr("id_x < id_y and class_x != class_y and not (near_x and near_y)") & fit & from_here)
+    return edges, pairs.select("id_x", "id_y", "class_x", "class_y"), close
+
+
+def compared(nodes: DataFrame, rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """Edges ``(a, b)`` told already and pairs ``(id_x, id_y, class_x, class_y)`` still to be told by their whole sets.
+
+    ``nodes`` has ``(id, class, size, prefix)``. Sets that share a shingle of their prefixes meet if they are of different classes and
+    their sizes, the places of shared ones and their number in the prefixes allow enough. Where over GROUP sets share one, each is
+    first compared with a centre (:func:`_around`), which grows with the group and not with its square; what is unlike it goes on to another one.
+    Only what ROUNDS centres of a shingle leave over is compared pair by pair as well, so no pair is left out.
+    """
+    tokens = _met(nodes.select("id", "class", "size", F.posexplode("prefix").alias("pos", "token")))
+    direct, rest, edges, found = tokens.where(F.col("n") <= GROUP), tokens.where(F.col("n") > GROUP), [], []
+    for _ in range(ROUNDS):
+        if rest.isEmpty():
+            break
+        lead = rest.groupBy("id").agg(F.min("pos").alias("lead"))  # few rare shingles: near the middle, and chosen for most of its shingles
+        centre = rest.join(lead, "id").groupBy("token").agg(F.min(F.struct("lead", "id", "class", "size")).alias("c"))
+        led = rest.join(centre, "token").withColumn("centre", F.col("c.id")).withColumn("class_c", F.col("c.class")).withColumn("size_c", F.col("c.size"))
+        led = materialize(led.drop("c", "n"))
+        told, pairs, close = _around(led.drop("token", "pos"), rows, width)
+        edges.append(materialize(told.distinct()))
+        found.append(materialize(pairs.distinct()))
+        again = _met(led.where("id != centre").join(close, ["id", "centre"], "left_anti").drop("centre", "class_c", "size_c"))
+        direct, rest = direct.unionByName(again.where(F.col("n") <= GROUP)), again.where(F.col("n") > GROUP)
+    x, y = _sides(direct.unionByName(rest).drop("n"), ["token"])
     need = (F.col("size_x") + F.col("size_y")) * PART  # of shared shingles, times PART + WHOLE
     fit = F.least("size_x", "size_y") * WHOLE >= F.greatest("size_x", "size_y") * PART
     pairs = x.join(y, "token").where(F.expr("id_x < id_y and class_x != class_y") & fit)
     from_here = F.max(F.least(F.expr("size_x - pos_x"), F.expr("size_y - pos_y"))).alias("from_here")  # from the first shared place on
     pairs = pairs.groupBy("id_x", "id_y", "class_x", "class_y", "size_x", "size_y").agg(F.count("*").alias("n"), from_here)
     behind = [F.col(c) - F.floor(F.col(c) * (WHOLE - PART) / WHOLE) - 1 for c in ("size_x", "size_y")]  # one of the prefixes ends first: what is shared after that is behind it
-    most = F.least("from_here", F.col("n") + F.greatest(*behind))
-    pairs = materialize(pairs.where(most * (PART + WHOLE) >= need).select("id_x", "id_y", "class_x", "class_y"))
-    met = pairs.select(F.explode(F.array("id_x", "id_y")).alias("id")).distinct()
-    whole = materialize(_mapped(rows.join(met, "id", "left_semi"), width, "tokens array<bigint>", lambda s: (s.view(np.int64),)))
+    most = F.least("from_here", F.col("n") + F.greatest(*behind))  # too low only for pairs that also share a shingle told around a centre
+    pairs = pairs.where(most * (PART + WHOLE) >= need).select("id_x", "id_y", "class_x", "class_y")
+    none = pairs.sparkSession.createDataFrame([], "a bigint, b bigint")
+    return reduce(DataFrame.unionByName, edges, none), materialize(reduce(DataFrame.unionByName, found, pairs).distinct())
+
+
+def alike(docs: DataFrame, classes: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Edges ``(a, b)`` between classes of documents that join the classes as all alike documents of theirs would.
+
+    ``classes`` has ``(id, class)`` for each id. Equal sets are one node. What :func:`compared` finds is told by whole sets, made anew from
+    the texts of these documents only. A frequent shingle meets others only in texts of which over 4 of 5 shingles are as frequent.
+    """
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    sets = materialize(prefixes(rows, width).join(classes, "id"))
+    equal = sets.groupBy("digest").agg(F.min(F.struct("id", "class")).alias("least"))
+    same = sets.join(equal, "digest").select(F.col("class").alias("a"), F.col("least.class").alias("b")).where("a != b")
+    nodes = sets.join(equal.select(F.col("least.id").alias("id"), "digest"), ["id", "digest"])
+    edges, pairs = compared(nodes, rows, width)
+    whole = _whole(rows, pairs.select(F.explode(F.array("id_x", "id_y")).alias("id")).distinct(), width)
     side = lambda s: whole.select(F.col("id").alias(f"id_{s}"), F.col("tokens").alias(f"tokens_{s}"))
     both = pairs.join(side("x"), "id_x").join(side("y"), "id_y").withColumn("shared", F.size(F.array_intersect("tokens_x", "tokens_y")))
     told = both.where(F.col("shared") * (PART + WHOLE) >= (F.size("tokens_x") + F.size("tokens_y")) * PART)
-    return same.unionByName(told.select(F.col("class_x").alias("a"), F.col("class_y").alias("b"))).distinct()
+    return same.unionByName(edges).unionByName(told.select(F.col("class_x").alias("a"), F.col("class_y").alias("b"))).distinct()
 
 
 def joined_classes(docs: DataFrame, found: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

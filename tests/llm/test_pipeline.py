@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from barloom.llm import mixing, queries, shingle_join, toxicity
@@ -102,3 +103,39 @@ def test_every_near_copy_of_the_least_similarity_goes(spark, sample, frequent, m
     edges = {tuple(sorted(e)) for e in shingle_join.alike(docs, classes, 5).collect()}
     one = {i: min([x for x, y in near if y == i and (x, y) in edges], default=i) for i in range(len(texts))}
     assert edges <= set(near) and all((x, y) in edges or one[x] == one[y] for x, y in near)
+
+
+@pytest.mark.parametrize("group, rounds", [(8, 4), (8, 1), (32, 4)])
+def test_a_cluster_of_near_copies_is_compared_around_a_centre(spark, group, rounds, monkeypatch):
+    monkeypatch.setattr(shingle_join, "GROUP", group)
+    monkeypatch.setattr(shingle_join, "ROUNDS", rounds)
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+
+    def changed(base, n):
+        at = set(r.sample(range(len(base)), n))
+        return [word() if i in at else w for i, w in enumerate(base)]
+
+    texts, passage = [], [word() for _ in range(120)]
+    for _ in range(2):  # two clusters around one passage: many copies alike with the middle, many with no other text
+        base = passage + [word() for _ in range(180)]
+        texts += [base] + [changed(base, r.randint(1, 15)) for _ in range(120)]
+        texts += [changed(texts[-1 - k], 2) for k in range(0, 60, 3)]  # alike with one copy, some not with the middle
+    texts += [passage + [word() for _ in range(k)] for k in range(25)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    near = similar([(i, " ".join(t)) for i, t in enumerate(texts)])
+    rows = docs.selectExpr("doc_id id", "text t")
+    nodes = materialize(shingle_join.prefixes(rows, 5).withColumn("class", F.col("id")))
+    edges, pairs = shingle_join.compared(nodes, rows, 5)
+    assert pairs.count() < len(near) + 4 * len(texts)  # not all pairs of a cluster
+
+    def classes(pairs):
+        least = list(range(len(texts)))
+        while any(least[x] != least[y] for x, y in pairs):
+            for x, y in pairs:
+                least[x] = least[y] = min(least[x], least[y])
+        return least
+
+    found = {tuple(sorted(e)) for e in shingle_join.alike(docs, docs.selectExpr("doc_id id", "doc_id class"), 5).collect()}
+    assert found <= set(near) and classes(found) == classes(near)
+    assert len(set(classes(near))) > 20
