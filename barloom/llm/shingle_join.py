@@ -7,7 +7,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, materialize
@@ -18,6 +18,8 @@ SEED = 42
 PART, WHOLE = 4, 5
 #: About so many documents tell which shingles are frequent: those in FREQUENT of them or more. Only the order depends on it, never the result.
 SAMPLE, FREQUENT = 20_000, 4
+#: A prefix is longer by one of so many shingles of the set, so that alike sets share more than one there.
+MORE = 20
 #: Sets that share a shingle are compared pair by pair up to this many; more are told apart around a centre, in so many rounds at most.
 GROUP, ROUNDS = 8, 4
 
@@ -55,9 +57,9 @@ def frequent(rows: DataFrame, width: int) -> np.ndarray:
 
 
 def prefixes(rows: DataFrame, width: int) -> DataFrame:
-    """``(id, size, digest, prefix)``: of every set, in one order of all shingles with frequent ones last, the first fifth and one more.
+    """``(id, size, digest, prefix)``: of every set, in one order of all shingles with frequent ones last, the first fifth, one more and a MORE-th.
 
-    Of two sets that are alike, each lacks at most a fifth of its shingles in the other, so their prefixes share one.
+    Of two sets that are alike, each lacks at most a fifth of its shingles in the other, so their prefixes share one more than a MORE-th of the smaller set.
     """
     last = frequent(rows, width)
     at = np.argsort(last)
@@ -67,17 +69,51 @@ def prefixes(rows: DataFrame, width: int) -> DataFrame:
         known, rank = ordered.value
         where = np.minimum(np.searchsorted(known, s), max(len(known) - 1, 0))
         place = np.where(known[where] == s, rank[where] + 1, 0) if len(known) else np.zeros(len(s), np.int64)
-        first = s[np.lexsort((s, place))][: len(s) - -(-PART * len(s) // WHOLE) + 1]
+        first = s[np.lexsort((s, place))][: len(s) - -(-PART * len(s) // WHOLE) + 1 + len(s) // MORE]
         return len(s), xxhash.xxh128_digest(s.tobytes(), SEED), first.view(np.int64)
 
     return _mapped(rows, width, "size bigint, digest binary, prefix array<bigint>", cells)
 
 
 def _whole(rows: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """``(id, tokens)``: the whole sets of these ids, made anew from their texts."""
+    """``(id, tokens)``: the whole sets of these ids, made anew from their texts. The ids are written first: if they are few, no text is shuffled."""
+    ids = materialize(ids.select("id").distinct())
     return materialize(_mapped(rows.join(ids, "id", "left_semi"), width, "tokens array<bigint>", lambda s: (s.view(np.int64),)))
 
 
+def _ends() -> Column:
+    """The length of the prefix of a set of ``size``."""
+    return F.expr(f"size - ({PART} * size + {WHOLE - 1}) div {WHOLE} + 1 + size div {MORE}")
+
+
+def _enough(tokens: DataFrame) -> DataFrame:
+    """The rows of sets that share as much with other classes as alike sets share of their prefixes, as :func:`_met` has them.
+
+    An alike set is four fifths as large at least. What goes takes shingles from others, hence two rounds.
+    """
+    for _ in range(2):
+        own = F.count("*").over(Window.partitionBy("id"))
+        least = F.expr(f"1 + (({PART} * size + {WHOLE - 1}) div {WHOLE}) div {MORE}")
+        tokens = _met(tokens.withColumn("own", own).where(F.col("own") >= least).drop("own", "n"))
+    return tokens
+
+
+def _reordered(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(id, class, size, pos, token)``: the prefixes of these sets in an order of their own, by exact counts among them.
+
+    Shingles of one class alone stand first and are left out, as they meet no other class; then come those of few sets.
+    ``nodes`` has ``(id, class, size)``, ``sets`` their ``(id, tokens)``.
+    """
+    each = materialize(nodes.join(sets, "id").select("id", "class", "size", F.explode("tokens").alias("token")))
+    several = each.groupBy("token").agg(F.count("*").alias("n"), F.min("class").alias("a"), F.max("class").alias("b")).where("a < b").select("token", "n")
+    shared = F.sort_array(F.collect_list(F.struct("n", "token"))).alias("shared")
+    order = each.join(several, "token").groupBy("id", "class", "size").agg(shared).withColumn("first", F.col("size") - F.size("shared"))
+    ends = _ends()
+    order = order.where(F.col("first") < ends).withColumn("shared", F.slice("shared", F.lit(1), (ends - F.col("first")).cast("int")))
+    order = order.select("id", "class", "size", "first", F.posexplode("shared").alias("at", "key"))
+    return order.select("id", "class", "size", (F.col("first") + F.col("at")).alias("pos"), "key.token")
+
+
 def _met(tokens: DataFrame) -> DataFrame:
     """The rows whose token stands in sets of several classes, with ``n``, the number of those sets."""
     of, cls = Window.partitionBy("token"), F.col("class")
@@ -90,17 +126,16 @@ def _sides(rows: DataFrame, by: list[str]) -> tuple:
     return tuple(rows.select(*by, *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c not in by]) for side in "xy")
 
 
-def _around(led: DataFrame, rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _around(led: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Edges to the centres, pairs to compare and ``(id, centre)`` of sets that need not meet the others of that centre again.
 
-    ``led`` has ``(id, class, size, centre, class_c, size_c)``. A set is told by its difference from the centre, so a pair's distance is that of its
+    ``led`` has ``(id, class, size, centre, class_c, size_c)``, ``sets`` the whole sets as ``(id, tokens)``. A set is told by its difference from the centre, so a pair's distance is that of its
     differences. Two sets alike with the centre are joined by it. In any other alike pair the differences must share shingles: with d and e of them
     and sizes s and t at least (d + e - (s + t) / 9) / 2, which is over (d - (s + c) / 9) / 2 where the other, and over (d + (c - s) / 9) / 2
     where this one is alike with a centre of size c. Their prefixes, rarest first around the centre, then share one. By the triangle inequality a set
     of similarity under 0.4 with the centre is alike with none of 0.6 or more, so those under 0.6 go on to another centre and those from 0.4 stay.
     """
     led = led.where(F.least("size", "size_c") * 5 >= F.greatest("size", "size_c") * 2).distinct()
-    sets = _whole(rows, led.select(F.explode(F.array("id", "centre")).alias("id")).distinct(), width)
     both = led.join(sets, "id").join(sets.select(F.col("id").alias("centre"), F.col("tokens").alias("tokens_c")), "centre")
     apart = F.concat(F.array_except("tokens", "tokens_c"), F.array_except("tokens_c", "tokens"))
     apart = both.where("id != centre").withColumn("apart", apart).drop("tokens", "tokens_c").withColumn("d", F.size("apart").cast("long"))
@@ -126,12 +161,20 @@ def compared(nodes: DataFrame, rows: DataFrame, width: int) -> tuple[DataFrame,
     """Edges ``(a, b)`` told already and pairs ``(id_x, id_y, class_x, class_y)`` still to be told by their whole sets.
 
     ``nodes`` has ``(id, class, size, prefix)``. Sets that share a shingle of their prefixes meet if they are of different classes and
-    their sizes, the places of shared ones and their number in the prefixes allow enough. Where over GROUP sets share one, each is
+    their sizes, the places of shared ones and their number in the prefixes allow enough. Sets that share too few with other
+    classes go first (:func:`_enough`). Sets that share one with over GROUP sets get
+    another prefix, by exact counts among such sets (:func:`_reordered`): most of them then meet few or none. Where still over GROUP sets share one, each is
     first compared with a centre (:func:`_around`), which grows with the group and not with its square; what is unlike it goes on to another one.
-    Only what ROUNDS centres of a shingle leave over is compared pair by pair as well, so no pair is left out.
+    Only what ROUNDS centres of a shingle leave over is compared pair by pair as well, so no pair is left out: an alike pair shares a shingle
+    of at most GROUP sets in the first order, or both its sets have a prefix in the second one, where again they share a shingle.
     """
-    tokens = _met(nodes.select("id", "class", "size", F.posexplode("prefix").alias("pos", "token")))
-    direct, rest, edges, found = tokens.where(F.col("n") <= GROUP), tokens.where(F.col("n") > GROUP), [], []
+    tokens = _enough(_met(nodes.select("id", "class", "size", F.posexplode("prefix").alias("pos", "token"))))
+    direct, rest, edges, found = tokens.where(F.col("n") <= GROUP).withColumn("turn", F.lit(1)), tokens.where(F.col("n") > GROUP), [], []
+    if not rest.isEmpty():
+        many = materialize(rest.select("id", "class", "size").distinct())
+        sets = _whole(rows, many, width)
+        tokens = _enough(_met(_reordered(many, sets)))
+        direct, rest = direct.unionByName(tokens.where(F.col("n") <= GROUP).withColumn("turn", F.lit(2))), tokens.where(F.col("n") > GROUP)
     for _ in range(ROUNDS):
         if rest.isEmpty():
             break
@@ -139,19 +182,19 @@ def compared(nodes: DataFrame, rows: DataFrame, width: int) -> tuple[DataFrame,
         centre = rest.join(lead, "id").groupBy("token").agg(F.min(F.struct("lead", "id", "class", "size")).alias("c"))
         led = rest.join(centre, "token").withColumn("centre", F.col("c.id")).withColumn("class_c", F.col("c.class")).withColumn("size_c", F.col("c.size"))
         led = materialize(led.drop("c", "n"))
-        told, pairs, close = _around(led.drop("token", "pos"), rows, width)
+        told, pairs, close = _around(led.drop("token", "pos"), sets)
         edges.append(materialize(told.distinct()))
         found.append(materialize(pairs.distinct()))
         again = _met(led.where("id != centre").join(close, ["id", "centre"], "left_anti").drop("centre", "class_c", "size_c"))
-        direct, rest = direct.unionByName(again.where(F.col("n") <= GROUP)), again.where(F.col("n") > GROUP)
-    x, y = _sides(direct.unionByName(rest).drop("n"), ["token"])
+        direct, rest = direct.unionByName(again.where(F.col("n") <= GROUP).withColumn("turn", F.lit(2))), again.where(F.col("n") > GROUP)
+    x, y = _sides(direct.unionByName(rest.withColumn("turn", F.lit(2))).drop("n"), ["token", "turn"])
     need = (F.col("size_x") + F.col("size_y")) * PART  # of shared shingles, times PART + WHOLE
     fit = F.least("size_x", "size_y") * WHOLE >= F.greatest("size_x", "size_y") * PART
-    pairs = x.join(y, "token").where(F.expr("id_x < id_y and class_x != class_y") & fit)
+    pairs = x.join(y, ["token", "turn"]).where(F.expr("id_x < id_y and class_x != class_y") & fit)
     from_here = F.max(F.least(F.expr("size_x - pos_x"), F.expr("size_y - pos_y"))).alias("from_here")  # from the first shared place on
-    pairs = pairs.groupBy("id_x", "id_y", "class_x", "class_y", "size_x", "size_y").agg(F.count("*").alias("n"), from_here)
-    behind = [F.col(c) - F.floor(F.col(c) * (WHOLE - PART) / WHOLE) - 1 for c in ("size_x", "size_y")]  # one of the prefixes ends first: what is shared after that is behind it
-    most = F.least("from_here", F.col("n") + F.greatest(*behind))  # too low only for pairs that also share a shingle told around a centre
+    pairs = pairs.groupBy("turn", "id_x", "id_y", "class_x", "class_y", "size_x", "size_y").agg(F.count("*").alias("n"), from_here)
+    behind = [F.expr(f"({PART} * {c} + {WHOLE - 1}) div {WHOLE} - 1 - {c} div {MORE}") for c in ("size_x", "size_y")]  # one of the prefixes ends first: what is shared after that is behind it
+    most = F.least("from_here", F.col("n") + F.greatest(*behind))  # too low only for pairs that also share a shingle told in the second order or around a centre
     pairs = pairs.where(most * (PART + WHOLE) >= need).select("id_x", "id_y", "class_x", "class_y")
     none = pairs.sparkSession.createDataFrame([], "a bigint, b bigint")
     return reduce(DataFrame.unionByName, edges, none), materialize(reduce(DataFrame.unionByName, found, pairs).distinct())
@@ -169,7 +212,7 @@ def alike(docs: DataFrame, classes: DataFrame, width: int, id_col: str = "doc_id
     same = sets.join(equal, "digest").select(F.col("class").alias("a"), F.col("least.class").alias("b")).where("a != b")
     nodes = sets.join(equal.select(F.col("least.id").alias("id"), "digest"), ["id", "digest"])
     edges, pairs = compared(nodes, rows, width)
-    whole = _whole(rows, pairs.select(F.explode(F.array("id_x", "id_y")).alias("id")).distinct(), width)
+    whole = _whole(rows, pairs.select(F.explode(F.array("id_x", "id_y")).alias("id")), width)
     side = lambda s: whole.select(F.col("id").alias(f"id_{s}"), F.col("tokens").alias(f"tokens_{s}"))
     both = pairs.join(side("x"), "id_x").join(side("y"), "id_y").withColumn("shared", F.size(F.array_intersect("tokens_x", "tokens_y")))
     told = both.where(F.col("shared") * (PART + WHOLE) >= (F.size("tokens_x") + F.size("tokens_y")) * PART)

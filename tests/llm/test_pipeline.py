@@ -139,3 +139,22 @@ def test_a_cluster_of_near_copies_is_compared_around_a_centre(spark, group, roun
     found = {tuple(sorted(e)) for e in shingle_join.alike(docs, docs.selectExpr("doc_id id", "doc_id class"), 5).collect()}
     assert found <= set(near) and classes(found) == classes(near)
     assert len(set(classes(near))) > 20
+
+
+@pytest.mark.parametrize("shared", [20, 150])
+def test_texts_that_share_a_passage_meet_no_centre(spark, shared, monkeypatch):
+    monkeypatch.setattr(shingle_join, "FREQUENT", 10**6)  # as if the sample told none of the passage
+
+    def around(*_):
+        raise AssertionError("compared with a centre")
+
+    monkeypatch.setattr(shingle_join, "_around", around)
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    passage = [word() for _ in range(shared)]
+    texts = [passage + [word() for _ in range(300 - shared)] for _ in range(40)]
+    texts.append(texts[0][:-6] + [word() for _ in range(6)])
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    near = similar([(i, " ".join(t)) for i, t in enumerate(texts)])
+    found = shingle_join.alike(docs, docs.selectExpr("doc_id id", "doc_id class"), 5).collect()
+    assert near == [(0, 40)] and {tuple(sorted(e)) for e in found} == set(near)
