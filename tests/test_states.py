@@ -285,3 +285,36 @@ def test_weeks_and_structures_take_windows_that_run_one_way(spark, walks):
         assert not [f for f in frames if f.split(")")[0].replace("$", "").startswith(("RowFrame, currentrow", "RangeFrame, currentrow"))]
     lines = walks.select("ts_code", "trade_date", F.col("close_qfq").alias("close"), F.col("net_mf_amount").alias("dif"), F.lit(0.0).alias("dea"), F.col("net_mf_amount").alias("macd_bar"))
     assert plan(X.tops(lines)).split("(1) ")[0].count("Sort") <= 3
+
+
+def test_clustered_layers_meet_by_instrument_and_date_without_an_exchange(spark, walks):
+    store.size_shuffles(spark, "size-keys", lambda: spark.range(1))
+    a, b = (store.layer(spark, "test", f"keys_{n}", lambda: walks, "ts_code") for n in "ab")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = a.join(b.select("ts_code", "trade_date", F.col("vol").alias("v")), ["ts_code", "trade_date"])
+        assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined) and joined.count() == walks.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_trades_are_dealt_once_for_bars_valuations_and_money_flow(spark, tmp_path):
+    from datetime import datetime
+
+    from barloom.sources import market as S
+
+    rows = [(o, n, 1 + o % 2, s, 5.0 * n, 100.25 * o + n, "O", datetime(1999, 6, d)) for o in range(1, 9) for n in (1, 2) for s in (7, 250) for d in (14, 15, 16)]
+    schema = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_linestatus string, l_shipdate timestamp"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "Brand#7", "t"), (2, "Brand#8", "t")], "p_partkey long, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    trades = S.trades(spark, str(tmp_path), store.staged(S.trade_cal(spark, str(tmp_path))))
+    raw = S.ods(trades)
+    exchanges = [line for line in plan(raw).splitlines() if line.startswith("Arguments: hashpartitioning(")]
+    assert not [line for line in exchanges if "ts_code" in line and "trade_date" in line]
+    order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "px")
+    want = trades.groupBy("trade_date").agg(F.min_by("px", order).alias("open"), F.max_by("px", order).alias("close"), F.sum("l_quantity").alias("vol"), F.round(F.sum("l_extendedprice"), 2).alias("amount"))
+    index = raw.where(F.col("ts_code") == S.INDEX)
+    assert values(index.select("trade_date", "open", "close", "vol", "amount")) == values(want)
+    flows = S.ods_moneyflow(raw)
+    assert flows.count() == 3 * 4 and flows.where("net_mf_vol is null").count() == 0 and index.where("net_mf_vol is not null").count() == 0
