@@ -73,6 +73,13 @@ def after(rows: DataFrame, state: DataFrame, *more: str) -> DataFrame:
     return rows.where(F.col("trade_date") > F.lit(floor)).join(since, "ts_code").where("trade_date > _last").drop("_last")
 
 
+def newest(state: DataFrame, moved: DataFrame, *keys: str) -> DataFrame:
+    """The stored states with those that moved on in their place; what moved is computed once."""
+    new = moved.select(*keys, F.struct(*[c for c in moved.columns if c not in keys]).alias("_new"))
+    here = F.col("_new").isNotNull()
+    return state.join(new, list(keys), "left").select(*[c if c in keys else F.when(here, F.col("_new")[c]).otherwise(F.col(c)).alias(c) for c in moved.columns])
+
+
 def seeds(results: DataFrame, before: str, *columns: str) -> DataFrame:
     """The last stored values of every instrument before a date."""
     return results.where(F.col("trade_date") < before).groupBy("ts_code").agg(F.max_by(F.struct("trade_date", *columns), "trade_date").alias("s")).select("ts_code", "s.*")

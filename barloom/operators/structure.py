@@ -2,7 +2,8 @@
 
 A segment starts where the fast line crosses the slow one; its running extremes are
 compared with those at the end of the segment before, and of the one before that.
-A bottom is a top of the negated series, so one definition serves both.
+A bottom is a top of the negated series, so one definition serves both: bars stand twice, by their sign, behind
+the crossings, and one order by segment serves all that follows.
 """
 
 from __future__ import annotations
@@ -10,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.functions.kernels import by_date, last_cross, r10, rn, scaled_part, spaced
+from barloom.functions.kernels import by_date, r10, rn, scaled_part, thinned
 
-from .incremental import after
+from .incremental import after, newest
 
 GAP, MOST_LAG = 10, 1
+LABELS = {1: "top_divergence", -1: "bottom_divergence"}
 
 #: What an open segment carries on: the last bar, the last crossing, running extremes, those of the two segments before, and the last tests.
 _CARRIED = (
@@ -26,19 +28,17 @@ _STATE = f"struct<{','.join(f'{c}:{t}' for c, t in _CARRIED.items())}>"
 
 
 def in_order():
-    """An instrument's bars by segment and number, which is their order by date: one sort serves these windows and those of segments."""
-    return Window.partitionBy("ts_code").orderBy("gc", "rn")
+    """An instrument's bars of a sign by segment and number, which is their order by date: one sort serves these windows and those of segments."""
+    return Window.partitionBy("ts_code", "sign").orderBy("gc", "rn")
 
 
-def _flow_peak(sign: int, run, inside: Column, known: Column) -> Column:
+def _flow_peak(inside: Column, known: Column) -> Column:
     """Running largest flow of a segment, while all its flows are known. A top that stands alone, fewer than two of
     the five flows around it at 0.8 of it or more, is none; a bottom needs a flow below zero."""
-    if sign < 0:
-        return F.when(inside & known & (F.col("top_f") > 0), F.col("top_f"))
     p = F.col("p")
     high = lambda c, ok: F.when(ok & (p[c] >= p["f"] * 0.8), 1).otherwise(0)
     n = F.when(p["f"] >= p["f"] * 0.8, 1).otherwise(0) + high("p1", F.lit(True)) + high("p2", F.lit(True)) + high("n1", F.col("rn") > p["rn"]) + high("n2", F.col("rn") > p["rn"] + 1)
-    return F.when(inside & known & (n >= 2), p["f"])
+    return F.when(inside & known, F.when(F.col("sign") < 0, F.when(F.col("top_f") > 0, F.col("top_f"))).when(n >= 2, p["f"]))
 
 
 def _peak_bar(run, open_: Column) -> Column:
@@ -56,20 +56,30 @@ def _peak_bar(run, open_: Column) -> Column:
     return F.coalesce(F.last(F.when(F.col("first_f"), here), ignorenulls=True).over(run), carried)
 
 
-def _followed(lines: DataFrame, sign: int, flow: bool, state: DataFrame | None) -> DataFrame:
-    """The bars with their segments' running extremes and tests; ``z`` is what a state carries, null without one."""
-    d = lines.select("ts_code", "trade_date", *[r10(F.col(c) * sign).alias(a) for c, a in (("close", "c"), ("dif", "f"), ("dea", "s"), ("macd_bar", "b"))])
+def _signed(lines: DataFrame, state: DataFrame | None) -> DataFrame:
+    """Every bar for tops and for bottoms, by ``sign``, with the number of its segment's first bar; ``z`` is what a state carries, null without one."""
+    values = {"c": "close", "f": "dif", "s": "dea", "b": "macd_bar"}
+    d = lines.select("ts_code", "trade_date", *[F.col(c).alias(a) for a, c in values.items()])
     if state is None:
-        d = d.withColumn("z", F.lit(None).cast(_STATE))
+        d = d.withColumns({f"z{sign}": F.lit(None).cast(_STATE) for sign in LABELS})
     else:
-        d = d.join(state.where(F.col("sign") == sign).select("ts_code", "z"), "ts_code")
-    z = F.col("z")
-    d = d.withColumn("local", rn())
-    d = d.withColumn("rn", F.coalesce(z["rn"], F.lit(0)) + F.col("local"))
-    lag = lambda c, w=None: F.when(F.col("local") == 1, z[c]).otherwise(F.lag(c).over(w or in_order()))
-    crossed = (lag("f", by_date()) <= lag("s", by_date())) & (F.col("f") > F.col("s"))
-    d = d.withColumn("gc", F.coalesce(last_cross(crossed), z["gc"]))
-    seg = Window.partitionBy("ts_code", "gc").orderBy("rn")
+        d = d.join(state.groupBy("ts_code").agg(*[F.first(F.when(F.col("sign") == sign, F.col("z")), True).alias(f"z{sign}") for sign in LABELS]), "ts_code")
+    d, past, every = d.withColumn("local", rn()), by_date().rowsBetween(Window.unboundedPreceding, 0), []
+    for sign in LABELS:
+        z, now = F.col(f"z{sign}"), {c: r10(F.col(c) * sign) for c in "fs"}
+        was = {c: F.when(F.col("local") == 1, z[c]).otherwise(F.lag(x).over(by_date())) for c, x in now.items()}
+        crossed = (was["f"] <= was["s"]) & (now["f"] > now["s"])
+        at = F.coalesce(z["rn"], F.lit(0)) + F.col("local")
+        every.append(F.struct(F.lit(sign).alias("sign"), z.alias("z"), at.alias("rn"), F.coalesce(F.last(F.when(crossed, at), ignorenulls=True).over(past), z["gc"]).alias("gc")))
+    d = d.select("ts_code", "trade_date", "local", *values, F.array(*every).alias("every")).select("ts_code", "trade_date", "local", *values, F.inline("every"))
+    return d.withColumns({c: r10(F.col(c) * F.col("sign")) for c in values})
+
+
+def _followed(lines: DataFrame, flow: bool, state: DataFrame | None) -> DataFrame:
+    """The bars of both signs with their segments' running extremes and tests."""
+    d, z = _signed(lines, state), F.col("z")
+    lag = lambda c: F.when(F.col("local") == 1, z[c]).otherwise(F.lag(c).over(in_order()))
+    seg = Window.partitionBy("ts_code", "sign", "gc").orderBy("rn")
     run, before = seg.rowsBetween(Window.unboundedPreceding, 0), seg.rowsBetween(Window.unboundedPreceding, -1)
     inside, open_ = F.col("gc").isNotNull(), z.isNotNull() & F.col("gc").eqNullSafe(z["gc"])
     most = lambda x, c, w=run: F.greatest(F.max(x).over(w), F.when(open_, z[c]))
@@ -81,7 +91,7 @@ def _followed(lines: DataFrame, sign: int, flow: bool, state: DataFrame | None)
     if flow:
         d = d.withColumn("first_f", F.coalesce(F.col("f") > most("f", "top_f", before), F.col("f").isNotNull()))
         d = d.withColumn("p", _peak_bar(run, open_))
-        d = d.withColumn("f1", _flow_peak(sign, run, inside, F.col("known")))
+        d = d.withColumn("f1", _flow_peak(inside, F.col("known")))
         d = d.withColumns({"b1": F.when(F.col("f1") > 0, F.col("f1")), "h1": F.when(inside & F.col("known"), F.col("top_c"))})
     else:
         d = d.withColumns({f"{k}1": F.when(inside, F.col(f"top_{c}")) for k, c in zip("hfb", "cfb")}).withColumn("p", z["p"])
@@ -103,19 +113,20 @@ def tops(lines: DataFrame, sign: int = 1, flow: bool = False, state: DataFrame |
 
     With ``flow`` the lines are ddx, ddx2 and ddx again: peaks are :func:`_flow_peak`. With a state the lines are those of later bars.
     """
-    return _hits(_followed(lines, sign, flow, state))
+    d = _followed(lines, flow, state).where(F.col("sign") == sign)
+    return d.where(_hit()).select("ts_code", *_event())
 
 
-def _hits(d: DataFrame) -> DataFrame:
+def _hit() -> Column:
+    """Whether a bar is an event."""
     turned = F.when(F.col("w1"), F.col("m2") < F.col("l2")).when(F.col("w2"), F.col("m3") < F.col("l3"))
     over = (F.col("w1") & (F.col("f1") >= F.col("f2"))) | (F.col("w2") & F.coalesce(F.col("f1") >= F.col("f3"), F.lit(False)))
-    hit = d.where(F.col("valid") & F.coalesce(turned, F.lit(False)) & ~over)
-    return hit.select(
-        "ts_code", "trade_date", "rn", F.when(F.col("w1"), "direct").otherwise("skip_peak").alias("path"), (F.col("rn") - F.col("peak")).alias("lag_bars"), (F.col("b") > 0).alias("zone_ok")
-    )
+    return F.col("valid") & F.coalesce(turned, F.lit(False)) & ~over
 
 
-LABELS = {1: "top_divergence", -1: "bottom_divergence"}
+def _event() -> list[Column]:
+    path = F.when(F.col("w1"), "direct").otherwise("skip_peak")
+    return [F.col("rn"), F.col("trade_date"), path.alias("path"), (F.col("rn") - F.col("peak")).alias("lag_bars"), (F.col("b") > 0).alias("zone_ok")]
 
 
 def structure_state(lines: DataFrame, flow: bool = False) -> DataFrame:
@@ -129,27 +140,23 @@ def continue_structure(lines: DataFrame, state: DataFrame, flow: bool = False) -
     ``lines`` may hold later bars only; earlier ones are dropped and those of instruments without a state left to a full run.
     """
     events, moved = _structure(after(lines, state.where("sign = 1")), flow, state)
-    return events, moved.unionByName(state.join(moved.select("ts_code", "sign"), ["ts_code", "sign"], "left_anti").select(*moved.columns))
+    return events, newest(state, moved, "ts_code", "sign")
 
 
 def _structure(lines: DataFrame, flow: bool, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    followed = {sign: _followed(lines, sign, flow, state) for sign in LABELS}
-    found = [_hits(d).withColumn("label", F.lit(LABELS[sign])) for sign, d in followed.items()]
-    found = found[0].unionByName(found[1])
-    before = None
+    """Events that count and the states after the bars, both from one row an instrument and sign."""
+    d = _followed(lines, flow, state)
+    one = d.groupBy("ts_code", "sign").agg(
+        F.max("trade_date").alias("last_trade_date"), F.max_by(F.struct(*_CARRIED), "trade_date").alias("z"), F.array_sort(F.collect_list(F.when(_hit(), F.struct(*_event())))).alias("all")
+    )
+    before = F.lit(None).cast("int")
     if state is not None:
-        label = F.when(F.col("sign") == 1, LABELS[1]).otherwise(LABELS[-1])
-        before = state.where("kept is not null").select("ts_code", label.alias("label"), F.col("kept").alias("rn"))
-    events = spaced(found, GAP, "ts_code", "label", before=before, carry=("trade_date", "path", "lag_bars", "zone_ok"))
-    ends = []
-    for sign, d in followed.items():
-        kept = events.where(F.col("label") == LABELS[sign]).groupBy("ts_code").agg(F.max("rn").alias("kept"))
-        end = d.groupBy("ts_code").agg(F.max("trade_date").alias("last_trade_date"), F.max_by(F.struct(*_CARRIED), "trade_date").alias("z"))
-        end = end.withColumn("sign", F.lit(sign)).join(kept, "ts_code", "left")
-        if state is not None:
-            end = end.join(state.where(F.col("sign") == sign).select("ts_code", F.col("kept").alias("_kept")), "ts_code", "left").withColumn("kept", F.coalesce("kept", "_kept")).drop("_kept")
-        ends.append(end.select("ts_code", "sign", "last_trade_date", "z", "kept"))
-    return events, ends[0].unionByName(ends[1])
+        one, before = one.join(state.select("ts_code", "sign", F.col("kept").alias("_kept")), ["ts_code", "sign"], "left"), F.col("_kept")
+    label = F.when(F.col("sign") == 1, LABELS[1]).otherwise(LABELS[-1]).alias("label")
+    found = thinned(one.where(F.size("all") > 0), "all", GAP, before)
+    events = found.select("ts_code", label, F.inline("all"))
+    ends = thinned(one, "all", GAP, before).select("ts_code", "sign", "last_trade_date", "z", F.coalesce(F.try_element_at("all", F.lit(-1))["rn"], before).alias("kept"))
+    return events, ends
 
 
 def flow_lines(dde: DataFrame, panel: DataFrame) -> DataFrame:

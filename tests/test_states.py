@@ -318,3 +318,14 @@ def test_trades_are_dealt_once_for_bars_valuations_and_money_flow(spark, tmp_pat
     assert values(index.select("trade_date", "open", "close", "vol", "amount")) == values(want)
     flows = S.ods_moneyflow(raw)
     assert flows.count() == 3 * 4 and flows.where("net_mf_vol is null").count() == 0 and index.where("net_mf_vol is not null").count() == 0
+
+
+@pytest.mark.parametrize("flow", [False, True])
+def test_events_and_states_of_structures_come_from_one_pass(walks, flow):
+    lines = store.staged(walks.select("ts_code", "trade_date", F.col("close_qfq").alias("close"), F.col("net_mf_amount").alias("dif"), F.lit(0.0).alias("dea"), F.col("net_mf_amount").alias("macd_bar")))
+    state = store.staged(X.structure_state(lines.where(F.col("trade_date") <= DAYS[171]), flow))
+    events, moved = X.continue_structure(lines, state, flow)
+    for df in (X.divergence_events(lines, flow), X.structure_state(lines, flow), events, moved):
+        tree = plan(df).split("(1) ")[0]
+        assert tree.count("Union") == 0
+        assert sum(1 for line in plan(df).splitlines() if line.startswith("ReadSchema") and "macd_bar" in line) == 1  # the lines are read once for both signs
