@@ -213,19 +213,19 @@ def guarded(results: DataFrame, bars: DataFrame) -> DataFrame:
     return both.where(fine).select(*results.columns)
 
 
-def run_route(modes: DataFrame, stored: DataFrame, state: DataFrame, full, fresh_state, onward) -> tuple[DataFrame, DataFrame]:
+def run_route(modes: DataFrame, stored: DataFrame | None, state: DataFrame, full, fresh_state, onward) -> tuple[DataFrame | None, DataFrame]:
     """One indicator's results and states for instruments of mixed routes, ``mode`` telling each row's.
 
     SKIP keeps stored results and states, APPEND keeps the results and goes on from the states (``onward``: state to new rows
     and next state), FULL computes both anew (``full`` and ``fresh_state``: a filter on instruments to rows). An
-    APPEND instrument without a state goes the FULL way, so no row is lost.
+    APPEND instrument without a state goes the FULL way, so no row is lost. Without stored results only the states are brought up to date.
     """
     mode = modes.select("ts_code", "mode").join(state.select("ts_code").distinct().withColumn("_has", F.lit(True)), "ts_code", "left")
     mode = mode.withColumn("mode", F.when((F.col("mode") == "APPEND") & F.col("_has").isNull(), "FULL").otherwise(F.col("mode"))).drop("_has")
     of = lambda *wanted: mode.where(F.col("mode").isin(*wanted))
     anew = of("FULL").select("ts_code")
     new, moved = onward(state.join(of("APPEND").select("ts_code"), "ts_code", "left_semi"))
-    rows = stored.join(of("SKIP", "APPEND"), "ts_code").unionByName(new.withColumn("mode", F.lit("APPEND"))).unionByName(full(anew).withColumn("mode", F.lit("FULL")))
+    rows = None if stored is None else stored.join(of("SKIP", "APPEND"), "ts_code").unionByName(new.withColumn("mode", F.lit("APPEND"))).unionByName(full(anew).withColumn("mode", F.lit("FULL")))
     states = state.join(of("SKIP").select("ts_code"), "ts_code", "left_semi").unionByName(moved).unionByName(fresh_state(anew).select(*state.columns))
     return rows, states
 

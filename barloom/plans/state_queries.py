@@ -24,9 +24,9 @@ from .base_sql import CTES, sql
 from .queries import _TO, DATE, UPTO, query, r6, stored_before
 
 
-def state(m, name: str, build):
-    """A state of the day before DATE, written as runs before would have left it."""
-    return store.layer(m.spark, m.sf_dir, f"state-{name}", build)
+def state(m, name: str, build, by: str | None = None):
+    """A state of the day before DATE, written as runs before would have left it; results, which are many rows, ``by`` instrument."""
+    return store.layer(m.spark, m.sf_dir, f"state_{name}", build, by)
 
 
 def _before(rows):
@@ -45,12 +45,12 @@ def _dde_state(m):
     return state(m, "dde", lambda: M.dde_state(_before(m.moneyflow), _before(m.panel)))
 
 
-def _structure_state(m):
-    return state(m, "structure", lambda: X.structure_state(_before(L._lines(m))))
+def _structure_state(m, lines=None):
+    return state(m, "structure", lambda: X.structure_state(_before(L._lines(m) if lines is None else lines)))
 
 
 def _flow_structure_state(m):
-    return state(m, "flow-structure", lambda: X.structure_state(_before(X.flow_lines(M.dde(m.moneyflow, m.panel), m.panel)), True))
+    return state(m, "flow_structure", lambda: X.structure_state(_before(X.flow_lines(M.dde(m.moneyflow, m.panel), m.panel)), True))
 
 
 def _new_macd(m, s):
@@ -103,18 +103,27 @@ def _modes(m):
     return m.panel.select("ts_code").distinct().select("ts_code", mode.alias("mode"))
 
 
-def _routes(m):
-    """(indicator, label column, results, states) of three indicators, each by its instruments' modes."""
+def _routes(m, results: bool = True):
+    """(indicator, results, states) of three indicators, each by its instruments' modes; results have the indicator's ``label``. Where only states are asked for, nothing else is computed."""
     some = lambda rows, codes: rows.join(codes, "ts_code", "left_semi")
-    modes = _modes(m)
-    lines, flow = state(m, "lines", lambda: L._lines(m)), state(m, "flows", lambda: M.dde(m.moneyflow, m.panel))  # the stored results
-    yield "macd", "zone", N.run_route(modes, _before(lines.drop("close")), _macd_state(m), lambda c: M.macd(some(m.panel, c)), lambda c: M.macd_state(some(m.panel, c)), lambda s: _new_macd(m, s))
-    yield "dde", "trend", N.run_route(
-        modes, _before(flow), _dde_state(m), lambda c: M.dde(some(m.moneyflow, c), some(m.panel, c)), lambda c: M.dde_state(some(m.moneyflow, c), some(m.panel, c)), lambda s: M.continue_dde(m.moneyflow, m.panel, s)
-    )
-    events = X.divergence_events(lines)
-    yield "structure", "label", N.run_route(
-        modes, _before(events), _structure_state(m), lambda c: X.divergence_events(some(lines, c)), lambda c: X.structure_state(some(lines, c)), lambda s: X.continue_structure(_new_lines(m), s)
+    labelled = lambda rows, c: rows.select("ts_code", "trade_date", F.col(c).alias("label"))
+    modes = state(m, "modes", lambda: _modes(m))
+    lines = state(m, "lines", lambda: L._lines(m).select("ts_code", "trade_date", "close", "dif", "dea", "macd_bar", "zone"), "ts_code") if results else None  # the stored results
+    flow = state(m, "flows", lambda: labelled(M.dde(m.moneyflow, m.panel), "trend"), "ts_code") if results else None
+    events = X.divergence_events(lines) if results else None
+    anew = lambda c: L.lines_of(some(m.panel, c)) if lines is None else some(lines, c)
+
+    def route(name, column, stored, known, full, fresh, onward):
+        def on(s):
+            rows, states = onward(s)
+            return labelled(rows, column), states
+
+        return name, *N.run_route(modes, None if stored is None else _before(stored), known, lambda c: labelled(full(c), column), fresh, on)
+
+    yield route("macd", "zone", labelled(lines, "zone") if results else None, _macd_state(m), lambda c: M.macd(some(m.panel, c)), lambda c: M.macd_state(some(m.panel, c)), lambda s: _new_macd(m, s))
+    yield route("dde", "trend", flow, _dde_state(m), lambda c: M.dde(some(m.moneyflow, c), some(m.panel, c)), lambda c: M.dde_state(some(m.moneyflow, c), some(m.panel, c)), lambda s: M.continue_dde(m.moneyflow, m.panel, s))
+    yield route(
+        "structure", "label", labelled(events, "label") if results else None, _structure_state(m, lines), lambda c: X.divergence_events(anew(c)), lambda c: X.structure_state(anew(c)), lambda s: X.continue_structure(_new_lines(m), s)
     )
 
 
@@ -128,11 +137,11 @@ def _union(parts):
 
 _ROUTED = " UNION ALL ".join(f"SELECT '{i}' AS indicator, ts_code, trade_date, {c} AS label, {_MODE} AS mode FROM {t}" for i, c, t in (("macd", "zone", "macd"), ("dde", "trend", "dde"), ("structure", "label", "structure")))
 query("n19_routed_results", L.panel(f"SELECT * FROM ({_ROUTED}) WHERE mode <> 'SKIP' OR trade_date < '{DATE}'", P.STRUCTURE | P.DDE))(
-    lambda m: _union(rows.select(F.lit(i).alias("indicator"), "ts_code", "trade_date", F.col(c).alias("label"), "mode") for i, c, (rows, _) in _routes(m))
+    lambda m: _union(rows.select(F.lit(i).alias("indicator"), "ts_code", "trade_date", "label", "mode") for i, rows, _ in _routes(m))
 )
 _ENDS = f"SELECT ts_code, max(trade_date) FILTER (trade_date < '{DATE}' OR {_MODE} <> 'SKIP') AS last_trade_date FROM {{}} GROUP BY ts_code HAVING count(*) >= {{}}"
 query("n19_routed_states", L.panel(" UNION ALL ".join(f"SELECT '{i}' AS indicator, * FROM ({_ENDS.format(t, n)})" for i, t, n in (("macd", "macd", 27), ("dde", "f0", 10), ("structure", "macd", 27))), P.MACD | P.DDE))(
-    lambda m: _union(states.select(F.lit(i).alias("indicator"), "ts_code", "last_trade_date").distinct() for i, _, (_, states) in _routes(m))
+    lambda m: _union(states.select(F.lit(i).alias("indicator"), "ts_code", "last_trade_date").distinct() for i, _, states in _routes(m, results=False))
 )
 
 # Stored layers

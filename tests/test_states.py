@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.functions import kernels as K
+from barloom.functions import recursion as R
 from barloom.operators import bars as B
 from barloom.operators import gate as G
 from barloom.operators import incremental as N
@@ -294,7 +295,7 @@ def test_clustered_layers_meet_by_instrument_and_date_without_an_exchange(spark,
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         joined = a.join(b.select("ts_code", "trade_date", F.col("vol").alias("v")), ["ts_code", "trade_date"])
-        assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined) and joined.count() == walks.count()
+        assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined) and " Sort (" not in plan(joined).split("(1) ")[0] and joined.count() == walks.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
@@ -329,3 +330,19 @@ def test_events_and_states_of_structures_come_from_one_pass(walks, flow):
         tree = plan(df).split("(1) ")[0]
         assert tree.count("Union") == 0
         assert sum(1 for line in plan(df).splitlines() if line.startswith("ReadSchema") and "macd_bar" in line) == 1  # the lines are read once for both signs
+
+
+def test_routed_states_compute_no_results_and_routed_results_lie_by_instrument(spark):
+    from barloom.plans import state_queries  # noqa: F401
+    from barloom.plans.queries import QUERIES
+
+    source = "/root/testdata/./sf0.001"  # a source of its own: layers are kept by this name
+    written = lambda: {k[2]: v for k, v in store._WRITTEN.items() if k[:2] == (spark.sparkContext.applicationId, source)}
+    states = QUERIES["n19_routed_states"](spark, source)
+    assert {"state_macd", "state_dde", "state_structure"} <= set(written()) and not {"state_lines", "state_flows"} & set(written())
+    assert states.groupBy("indicator", "ts_code").count().where("count > 1").isEmpty()
+    QUERIES["n19_routed_results"](spark, source)
+    found = written()
+    assert found["state_lines"].columns == ["ts_code", "trade_date", "close", "dif", "dea", "macd_bar", "zone"] and found["state_flows"].columns == ["ts_code", "trade_date", "label"]
+    both = found["state_lines"].join(found["state_flows"], ["ts_code", "trade_date"])
+    assert "hashpartitioning(ts_code" not in plan(both.hint("merge"))
