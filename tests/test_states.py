@@ -332,6 +332,21 @@ def test_events_and_states_of_structures_come_from_one_pass(walks, flow):
         assert sum(1 for line in plan(df).splitlines() if line.startswith("ReadSchema") and "macd_bar" in line) == 1  # the lines are read once for both signs
 
 
+def test_a_state_takes_the_last_bars_of_a_series_only(walks):
+    run = lambda **more: R.over_series(walks, ["close_qfq"], "ema_12 double, raw_dea double", R.macd_lines, **more)
+    every = run()
+    want = N.tail(every, 3)
+    assert values(run(last=3)) == values(want) and want.count() == 3 * 12
+    left = []
+    real = R.over_series
+    try:
+        M.R.over_series = lambda *a, **k: left.append(real(*a, **k)) or left[-1]
+        M.macd_state(walks), M.dde_state(*parts(walks))
+    finally:
+        M.R.over_series = real
+    assert [d.groupBy("ts_code").count().agg(F.max("count")).first()[0] for d in left] == [M.MACD_BACK, M.FLOW_BACK]
+
+
 def test_routed_states_compute_no_results_and_routed_results_lie_by_instrument(spark):
     from barloom.plans import state_queries  # noqa: F401
     from barloom.plans.queries import QUERIES
