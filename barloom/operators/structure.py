@@ -44,10 +44,9 @@ def _flow_peak(inside: Column, known: Column) -> Column:
 def _peak_bar(run, open_: Column) -> Column:
     """The segment's bar of largest flow with its neighbours; a carried one gets those that came since."""
     z = F.col("z")
-    lag = lambda n: F.when(F.col("local") > n, F.lag("f", n).over(in_order())).otherwise(F.when(F.col("local") == n, z["f"]).otherwise(z["f_back"]))
-    lead = lambda n: F.lead("f", n).over(in_order())
+    lag = lambda n: F.when(F.col("local") > n, F.col(f"f_{n}")).otherwise(F.when(F.col("local") == n, z["f"]).otherwise(z["f_back"]))
     back1, back2 = (F.when(F.col("rn") - n >= F.col("gc"), lag(n)) for n in (1, 2))
-    here = F.struct(F.col("rn").alias("rn"), F.col("f").alias("f"), back1.alias("p1"), back2.alias("p2"), lead(1).alias("n1"), lead(2).alias("n2"))
+    here = F.struct(F.col("rn").alias("rn"), F.col("f").alias("f"), back1.alias("p1"), back2.alias("p2"), F.col("f_next1").alias("n1"), F.col("f_next2").alias("n2"))
     whole = in_order().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first, second, old = F.nth_value("f", 1).over(whole), F.nth_value("f", 2).over(whole), z["p"]
     n1 = F.when(old["rn"] == z["rn"], first).otherwise(old["n1"])
@@ -59,26 +58,28 @@ def _peak_bar(run, open_: Column) -> Column:
 def _signed(lines: DataFrame, state: DataFrame | None) -> DataFrame:
     """Every bar for tops and for bottoms, by ``sign``, with the number of its segment's first bar; ``z`` is what a state carries, null without one."""
     values = {"c": "close", "f": "dif", "s": "dea", "b": "macd_bar"}
-    d = lines.select("ts_code", "trade_date", *[F.col(c).alias(a) for a, c in values.items()])
+    d = lines.select("ts_code", "trade_date", *[r10(F.col(c)).alias(a) for a, c in values.items()])
     if state is None:
         d = d.withColumns({f"z{sign}": F.lit(None).cast(_STATE) for sign in LABELS})
     else:
         d = d.join(state.groupBy("ts_code").agg(*[F.first(F.when(F.col("sign") == sign, F.col("z")), True).alias(f"z{sign}") for sign in LABELS]), "ts_code")
-    d, past, every = d.withColumn("local", rn()), by_date().rowsBetween(Window.unboundedPreceding, 0), []
+    near = {f"{c}_{n}": F.lag(c, n).over(by_date()) for c, n in (("f", 1), ("f", 2), ("s", 1), ("b", 1))} | {f"f_next{n}": F.lead("f", n).over(by_date()) for n in (1, 2)}
+    d, past, every = d.withColumns({"local": rn()} | near), by_date().rowsBetween(Window.unboundedPreceding, 0), []
     for sign in LABELS:
-        z, now = F.col(f"z{sign}"), {c: r10(F.col(c) * sign) for c in "fs"}
-        was = {c: F.when(F.col("local") == 1, z[c]).otherwise(F.lag(x).over(by_date())) for c, x in now.items()}
-        crossed = (was["f"] <= was["s"]) & (now["f"] > now["s"])
+        z = F.col(f"z{sign}")
+        was = {c: F.when(F.col("local") == 1, z[c]).otherwise(F.col(f"{c}_1") * sign) for c in "fs"}
+        crossed = (was["f"] <= was["s"]) & (F.col("f") * sign > F.col("s") * sign)
         at = F.coalesce(z["rn"], F.lit(0)) + F.col("local")
         every.append(F.struct(F.lit(sign).alias("sign"), z.alias("z"), at.alias("rn"), F.coalesce(F.last(F.when(crossed, at), ignorenulls=True).over(past), z["gc"]).alias("gc")))
-    d = d.select("ts_code", "trade_date", "local", *values, F.array(*every).alias("every")).select("ts_code", "trade_date", "local", *values, F.inline("every"))
-    return d.withColumns({c: r10(F.col(c) * F.col("sign")) for c in values})
+    signed = [*values, *near]
+    d = d.select("ts_code", "trade_date", "local", *signed, F.array(*every).alias("every")).select("ts_code", "trade_date", "local", *signed, F.inline("every"))
+    return d.withColumns({c: F.col(c) * F.col("sign") + 0.0 for c in signed})  # no negative zeros
 
 
 def _followed(lines: DataFrame, flow: bool, state: DataFrame | None) -> DataFrame:
     """The bars of both signs with their segments' running extremes and tests."""
     d, z = _signed(lines, state), F.col("z")
-    lag = lambda c: F.when(F.col("local") == 1, z[c]).otherwise(F.lag(c).over(in_order()))
+    lag = lambda c: F.when(F.col("local") == 1, z[c]).otherwise(F.col(f"{c}_1") if c in "fb" else F.lag(c).over(in_order()))
     seg = Window.partitionBy("ts_code", "sign", "gc").orderBy("rn")
     run, before = seg.rowsBetween(Window.unboundedPreceding, 0), seg.rowsBetween(Window.unboundedPreceding, -1)
     inside, open_ = F.col("gc").isNotNull(), z.isNotNull() & F.col("gc").eqNullSafe(z["gc"])
